@@ -56,18 +56,23 @@ def cap(value: Column, low: float | None = None, high: float | None = None) -> C
     return value
 
 
-def log_scale(value: Column, on_invalid: str = "null") -> Column:
-    """ln(1 + x). Below the domain: null, mirrored sign ("signed"), or an error."""
+def log_sql(value: str, on_invalid: str = "null") -> str:
+    """SQL for ln(1 + x). Below its domain: null, mirrored sign ("signed"), or an error."""
     if on_invalid == "null":
-        return F.log1p(value)
+        return f"log1p({value})"
     if on_invalid == "signed":
-        return F.signum(value) * F.log1p(F.abs(value))
+        return f"signum({value}) * log1p(abs({value}))"
     if on_invalid == "error":
-        fail = F.raise_error(F.lit("log scale needs values above -1")).cast("double")
-        return F.when(value <= -1, fail).otherwise(F.log1p(value))
+        fail = "CAST(raise_error('log scale needs values above -1') AS DOUBLE)"
+        return f"CASE WHEN {value} <= -1 THEN {fail} ELSE log1p({value}) END"
     raise ValueError(f"on_invalid must be null, signed or error, not {on_invalid!r}")
 
 
+def log_scale(df: DataFrame, cols: Sequence[str], on_invalid: str = "null") -> DataFrame:
+    """Replace columns by ln(1 + x), all in one projection."""
+    return df.withColumns({c: F.expr(log_sql(f"`{c}`", on_invalid)) for c in cols})
+
+
 def range_label(value: Column, edges: Sequence[float], names: Sequence[str]) -> Column:
     """Name of the half-open range (edge, next edge] a value falls in.
 

@@ -1,5 +1,7 @@
 """Declared table schemas and the columns derived from them."""
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 KEY = "bib_id"
@@ -79,3 +81,13 @@ def loaded_schema(table: str) -> StructType:
     ddl.update(dict.fromkeys(TIMESTAMP_COLUMNS[table], "timestamp"))
     ddl.update(dict.fromkeys(DATE_COLUMNS[table], "date"))
     return StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in ddl.items()))
+
+
+def conform(df: DataFrame, schema: StructType) -> DataFrame:
+    """The declared columns in declared order and type; absent ones are null."""
+    return df.select(
+        *(
+            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema
+        )
+    )
