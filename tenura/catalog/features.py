@@ -62,10 +62,12 @@ AGGREGATES = {
         FROM cdr GROUP BY ALL""",
 }
 USER_SQL = """SELECT bib_id,
-    round(date_diff('day', date_of_birth_d, DATE '2024-01-01') / 365.25, 4) AS age,
+    round(date_diff('day', date_of_birth_d, DATE '2024-01-01') / 365.25, {digits}) AS age,
     CAST(year(registration_date_d) AS INTEGER) AS registration_year,
     contract_type_v, gender_v, ability_status, account_balance
     FROM subscriber"""
+EXACT_USER_SQL = USER_SQL.format(digits=15)
+USER_SQL = USER_SQL.format(digits=4)
 
 
 def aggregate_sql(table: str, where: str = "", keys: str = "bib_id") -> str:
@@ -77,13 +79,13 @@ def _period(table: str) -> str:
     return f"WHERE {column} >= TIMESTAMP '1996-01-01' AND {column} < TIMESTAMP '1996-04-01'"
 
 
-def dataset_sql(population: str, aggregates: dict[str, str]) -> str:
+def dataset_sql(population: str, aggregates: dict[str, str], users: str = USER_SQL) -> str:
     """The star of left joins over a population, activity features filled with 0."""
     filled = [f'coalesce("{c}", 0) AS "{c}"' for c in AMOUNT_FEATURES + USAGE_FEATURES]
     joins = "".join(f" LEFT JOIN ({sql}) USING (bib_id)" for sql in aggregates.values())
     return f"""SELECT bib_id, label, {', '.join(filled)}, age, registration_year,
         contract_type_v, gender_v, ability_status, account_balance
-        FROM {population}{joins} LEFT JOIN ({USER_SQL}) USING (bib_id)"""
+        FROM {population}{joins} LEFT JOIN ({users}) USING (bib_id)"""
 
 
 PERIOD_AGGREGATES = {

@@ -1 +1,492 @@
-"""Models."""
+"""Fitted features, classifiers, metrics and scoring."""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tenura.catalog.features import (
+    ALL_TABLES,
+    DATASET_SQL,
+    EXACT_USER_SQL,
+    PERIOD_AGGREGATES,
+    aggregate_sql,
+    dataset,
+    dataset_sql,
+    split_dataset,
+)
+from tenura.catalog.registry import bound_sql, query
+from tenura.catalog.sources import build_lake
+from tenura.operators.features import FEATURE_SETS, aggregate_features, user_attributes
+from tenura.plans.feature_plan import (
+    FEATURES,
+    apply_features,
+    fill_stage,
+    fit_features,
+    fit_medians,
+    fit_modes,
+    fit_quartile_ranges,
+    onehot_stages,
+    robust_stage,
+    scaler_stages,
+    spread_features,
+)
+from tenura.plans.jobs import (
+    dataset_job,
+    evaluate_job,
+    label_job,
+    preprocess_job,
+    score_job,
+    train_job,
+)
+from tenura.plans.models import (
+    area_under_roc,
+    class_metrics,
+    classifier,
+    evaluate,
+    grid_scores,
+    load_model,
+    param_grid,
+    save_model,
+    score,
+    tune,
+)
+from tenura.schemas import AMOUNT_FEATURES, USAGE_FEATURES
+from tenura.sources.bindings import AS_OF, StarSchema
+from tenura.sources.lake import MONTH, load_months
+from tenura.sources.parquet import read_table, write_table
+from tenura.sources.shared import materialize, new_path
+from tenura.streaming.scoring import read_stream, score_stream
+
+RECHARGES = ["CountRecharge", "MedianRechargeAmount"]
+RECHARGE_SQL = f"recharges AS ({aggregate_sql('recharge')})"
+
+
+def recharges(spark: SparkSession, sf: str) -> DataFrame:
+    return aggregate_features(StarSchema(spark, sf).recharge(), FEATURE_SETS["recharge"])
+
+
+def users(spark: SparkSession, sf: str) -> DataFrame:
+    return user_attributes(StarSchema(spark, sf).user(), AS_OF)
+
+
+def _vector(df: DataFrame, vector: str, names: list[str]) -> DataFrame:
+    values = vector_to_array(vector)
+    return df.select("bib_id", *(F.round(values[i], 6).alias(n) for i, n in enumerate(names)))
+
+
+@query(
+    "m2_assembled_vector",
+    bound_sql(
+        """SELECT bib_id, CAST("CountRecharge" AS DOUBLE) AS "CountRecharge",
+                  round("MedianRechargeAmount", 6) AS "MedianRechargeAmount" FROM recharges""",
+        "recharge",
+        more=RECHARGE_SQL,
+    ),
+)
+def assembled(spark, sf):
+    vector = VectorAssembler(inputCols=RECHARGES, outputCol="v").transform(recharges(spark, sf))
+    return _vector(vector, "v", RECHARGES)
+
+
+@query(
+    "m3_scaled_by_train_fit",
+    bound_sql(
+        """SELECT bib_id, round((v - lo) / (hi - lo), 6) AS scaled
+           FROM (SELECT bib_id, median(recharge_value_amt) AS v FROM recharge
+                 WHERE recharge_dt >= TIMESTAMP '1998-01-01' GROUP BY bib_id),
+                (SELECT min(v) AS lo, max(v) AS hi FROM (
+                     SELECT median(recharge_value_amt) AS v FROM recharge
+                     WHERE recharge_dt < TIMESTAMP '1998-01-01' GROUP BY bib_id))""",
+        "recharge",
+    ),
+)
+def scaled_by_train(spark, sf):
+    """Fitted before 1998, applied from 1998 on, where values may leave [0, 1]."""
+    rows = StarSchema(spark, sf).recharge()
+    middle = F.lit("1998-01-01").cast("timestamp_ntz")
+    wanted = FEATURE_SETS["recharge"]
+    train = aggregate_features(rows.where(F.col("recharge_dt") < middle), wanted)
+    later = aggregate_features(rows.where(F.col("recharge_dt") >= middle), wanted)
+    fitted = Pipeline(stages=scaler_stages(["MedianRechargeAmount"], "minmax", "v")).fit(train)
+    return _vector(fitted.transform(later), "v", ["scaled"])
+
+
+@query(
+    "m4_minmax_scale",
+    bound_sql(
+        "SELECT bib_id, "
+        + ", ".join(
+            f'round(("{c}" - min("{c}") OVER ()) / (max("{c}") OVER () - min("{c}") OVER ()), 6)'
+            f' AS "{c}"'
+            for c in RECHARGES
+        )
+        + " FROM recharges",
+        "recharge",
+        more=RECHARGE_SQL,
+    ),
+)
+def minmax(spark, sf):
+    rows = recharges(spark, sf)
+    fitted = Pipeline(stages=scaler_stages(RECHARGES, "minmax", "v")).fit(rows)
+    return _vector(fitted.transform(rows), "v", RECHARGES)
+
+
+@query(
+    "m5_robust_scale",
+    bound_sql(
+        "SELECT bib_id, "
+        + ", ".join(
+            f'round("{c}" / (SELECT quantile_disc("{c}", 0.75) - quantile_disc("{c}", 0.25)'
+            f' FROM recharges), 6) AS "{c}"'
+            for c in RECHARGES
+        )
+        + " FROM recharges",
+        "recharge",
+        more=RECHARGE_SQL,
+    ),
+)
+def robust(spark, sf):
+    rows = recharges(spark, sf)
+    scaled = robust_stage(fit_quartile_ranges(rows, RECHARGES)).transform(rows)
+    return scaled.select("bib_id", *(F.round(f"{c}_robust", 6).alias(c) for c in RECHARGES))
+
+
+@query(
+    "m6_standard_scale",
+    bound_sql(
+        "SELECT bib_id, "
+        + ", ".join(f'round("{c}" / stddev_samp("{c}") OVER (), 6) AS "{c}"' for c in RECHARGES)
+        + " FROM recharges",
+        "recharge",
+        more=RECHARGE_SQL,
+    ),
+)
+def standard(spark, sf):
+    rows = recharges(spark, sf)
+    fitted = Pipeline(stages=scaler_stages(RECHARGES, "standard", "v")).fit(rows)
+    return _vector(fitted.transform(rows), "v", RECHARGES)
+
+
+@query(
+    "m7_median_fill",
+    bound_sql(
+        """SELECT bib_id, coalesce(balance, (SELECT quantile_disc(balance, 0.5) FROM b)) AS balance
+           FROM b""",
+        "subscriber",
+        more="""b AS (SELECT bib_id, CASE WHEN gender_v IS NOT NULL THEN account_balance END
+                      AS balance FROM subscriber)""",
+    ),
+)
+def median_filled(spark, sf):
+    balance = F.when(F.col("gender_v").isNotNull(), F.col("account_balance"))
+    rows = StarSchema(spark, sf).user().select("bib_id", balance.alias("balance"))
+    filled = fill_stage(fit_medians(rows, ["balance"])).transform(rows)
+    return filled.select("bib_id", F.col("balance_filled").alias("balance"))
+
+
+@query(
+    "m8_mode_fill",
+    bound_sql(
+        """SELECT bib_id, coalesce(gender_v, (SELECT gender_v FROM subscriber
+                      WHERE gender_v IS NOT NULL GROUP BY ALL
+                      ORDER BY count(*) DESC, gender_v LIMIT 1)) AS gender_v,
+                  CAST(coalesce(year(registration_date_d), (SELECT year(registration_date_d)
+                      FROM subscriber WHERE registration_date_d IS NOT NULL GROUP BY ALL
+                      ORDER BY count(*) DESC, year(registration_date_d) LIMIT 1)) AS INTEGER)
+                      AS registration_year
+           FROM subscriber""",
+        "subscriber",
+    ),
+)
+def mode_filled(spark, sf):
+    cols = ["gender_v", "registration_year"]
+    rows = users(spark, sf).select("bib_id", *cols)
+    filled = fill_stage(fit_modes(rows, cols)).transform(rows)
+    return filled.select("bib_id", *(F.col(f"{c}_filled").alias(c) for c in cols))
+
+
+CATEGORIES = {"contract_type_v": 5, "gender_v": 2, "ability_status": 2}
+
+
+def _ranked(table: str) -> str:
+    """Categories by falling frequency, one table expression per column."""
+    return ", ".join(
+        f"""{c}_rank AS (SELECT {c} AS value, row_number() OVER (ORDER BY count(*) DESC, {c}) AS r
+            FROM {table} WHERE {c} IS NOT NULL GROUP BY {c})"""
+        for c in CATEGORIES
+    )
+
+
+def _slots(first: int = 0) -> list[str]:
+    """One-hot columns named from f<first> on."""
+    slots = [(c, r) for c, size in CATEGORIES.items() for r in range(1, size + 1)]
+    return [
+        f"""CASE WHEN {c} = (SELECT value FROM {c}_rank WHERE r = {r}) THEN 1.0::DOUBLE
+            ELSE 0.0::DOUBLE END AS f{first + i:02d}"""
+        for i, (c, r) in enumerate(slots)
+    ]
+
+
+@query(
+    "m9_onehot",
+    bound_sql(
+        f"SELECT bib_id, {', '.join(_slots())} FROM subscriber",
+        "subscriber",
+        more=_ranked("subscriber"),
+    ),
+)
+def onehot(spark, sf):
+    rows = StarSchema(spark, sf).user().select("bib_id", *CATEGORIES)
+    encode = [
+        *onehot_stages(list(CATEGORIES)),
+        VectorAssembler(inputCols=[f"{c}_onehot" for c in CATEGORIES], outputCol=FEATURES),
+    ]
+    encoded = Pipeline(stages=encode).fit(rows).transform(rows)
+    return spread_features(encoded.select("bib_id", FEATURES), 9)
+
+
+def _features_sql() -> str:
+    """The whole recipe over the labelled dataset, in vector order."""
+    logs = [f'CASE WHEN "{c}" > -1 THEN ln(1 + "{c}") END AS "{c}"'
+            for c in AMOUNT_FEATURES + USAGE_FEATURES]
+    logs.append("CASE WHEN age > 100 THEN ln(101) WHEN age > -1 THEN ln(1 + age) END AS age")
+    logs.append("CASE WHEN account_balance > -1 THEN ln(1 + account_balance) END"
+                " AS account_balance")
+    numeric = [*AMOUNT_FEATURES, *USAGE_FEATURES, "age", "account_balance"]
+    fills = [f'coalesce("{c}", (SELECT quantile_disc("{c}", 0.5) FROM logs)) AS "{c}"'
+             for c in numeric]
+    fills.append("""coalesce(registration_year, (SELECT registration_year FROM logs
+        WHERE registration_year IS NOT NULL GROUP BY ALL
+        ORDER BY count(*) DESC, registration_year LIMIT 1)) AS registration_year""")
+    passed = f"bib_id, label, {', '.join(CATEGORIES)}"
+
+    def minmax_sql(c):
+        low, high = f'min("{c}") OVER ()', f'max("{c}") OVER ()'
+        return f'CASE WHEN {low} = {high} THEN 0.5 ELSE ("{c}" - {low}) / ({high} - {low}) END'
+
+    def robust_sql(c):
+        width = f'(SELECT quantile_disc("{c}", 0.75) - quantile_disc("{c}", 0.25) FROM logs)'
+        return f'CASE WHEN {width} = 0 THEN 0 ELSE "{c}" / {width} END'
+
+    def standard_sql(c):
+        return f'"{c}" / stddev_samp("{c}") OVER ()'
+
+    values = [*map(minmax_sql, AMOUNT_FEATURES), *map(robust_sql, USAGE_FEATURES),
+              standard_sql("age"), standard_sql("account_balance"),
+              minmax_sql("registration_year")]
+    named = [f"CAST(round({v}, 6) AS DOUBLE) AS f{i:02d}" for i, v in enumerate(values)]
+    return bound_sql(
+        f"SELECT bib_id, label, {', '.join(named + _slots(len(named)))} FROM filled",
+        *ALL_TABLES,
+        "activity",
+        "label",
+        more=f"""data AS ({dataset_sql('label', PERIOD_AGGREGATES, EXACT_USER_SQL)}),
+            logs AS (SELECT {passed}, registration_year, {', '.join(logs)} FROM data),
+            filled AS (SELECT {passed}, {', '.join(fills)} FROM logs),
+            {_ranked('data')}""",
+    )
+
+
+@query("m10_m11_fitted_features", _features_sql())
+def fitted_features(spark, sf):
+    rows = materialize(dataset(spark, sf), "dataset")
+    vectors = apply_features(fit_features(rows), rows)
+    return spread_features(vectors, 25, digits=6)
+
+
+def _trained(spark, sf, name="lr"):
+    """Fitted features and classifier of the labelled dataset, and the dataset."""
+    rows = materialize(dataset(spark, sf), "dataset")
+    features = fit_features(rows)
+    vectors = materialize(apply_features(features, rows), "vectors")
+    return PipelineModel([*features.stages, classifier(name).fit(vectors)]), rows
+
+
+def _scored(name):
+    def run(spark, sf):
+        model, rows = _trained(spark, sf, name)
+        return score(model, rows, probability=True)
+
+    return run
+
+
+query("k1_random_forest")(_scored("rf"))
+query("k2_logistic_regression")(_scored("lr"))
+query("k3_gradient_boosted_trees")(_scored("gbt"))
+
+
+@query("k4_k5_tuned_grid")
+def tuned_grid(spark, sf):
+    """Mean metric of each grid point over three folds."""
+    rows = materialize(dataset(spark, sf), "dataset")
+    vectors = materialize(apply_features(fit_features(rows), rows), "vectors")
+    estimator = classifier("lr")
+    grid = param_grid(estimator, {"regParam": [0.01, 0.1, 0.5]})
+    tuned = tune(estimator, vectors, "auc", grid)
+    return grid_scores(tuned, "auc").select(
+        F.col("params")["regParam"].alias("reg_param"), "metric", F.round("score", 6).alias("score")
+    )
+
+
+RULE = """rule AS (SELECT label, CASE WHEN "CountPackage" < 2 THEN 1 ELSE 0 END AS prediction,
+                          "CountRecharge" + "MedianPackageAmount" / 1e6 AS probability FROM data)"""
+
+
+def _rule(spark, sf):
+    """A rule and a score over the labelled dataset."""
+    return dataset(spark, sf).select(
+        "label",
+        F.when(F.col("CountPackage") < 2, 1).otherwise(0).alias("prediction"),
+        (F.col("CountRecharge") + F.col("MedianPackageAmount") / 1e6).alias("probability"),
+    )
+
+
+@query(
+    "k6_class_metrics",
+    bound_sql(
+        """SELECT round(sum(tp) / sum(support), 6) AS accuracy,
+                  round(sum(support * coalesce(2 * tp / (support + predicted), 0)) / sum(support), 6)
+                      AS f1,
+                  round(sum(support * coalesce(tp / nullif(predicted, 0), 0)) / sum(support), 6)
+                      AS "precision",
+                  round(sum(support * coalesce(tp / nullif(support, 0), 0)) / sum(support), 6)
+                      AS recall
+           FROM (SELECT k, (SELECT count(*) FROM rule WHERE label = k)::DOUBLE AS support,
+                        (SELECT count(*) FROM rule WHERE prediction = k)::DOUBLE AS predicted,
+                        (SELECT count(*) FROM rule WHERE label = k AND prediction = k)::DOUBLE AS tp
+                 FROM (SELECT unnest([0, 1]) AS k))""",
+        more=f"data AS ({DATASET_SQL}), {RULE}",
+    ),
+)
+def rule_metrics(spark, sf):
+    found = class_metrics(_rule(spark, sf))
+    return found.select(*(F.round(c, 6).alias(c) for c in found.columns))
+
+
+@query(
+    "k6_area_under_roc",
+    bound_sql(
+        """SELECT round(sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)), 6) AS auc
+           FROM (SELECT *, coalesce(sum(neg) OVER (ORDER BY probability ROWS BETWEEN
+                           UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+                 FROM (SELECT probability, sum(label)::DOUBLE AS pos, sum(1 - label)::DOUBLE AS neg
+                       FROM rule GROUP BY probability))""",
+        more=f"data AS ({DATASET_SQL}), {RULE}",
+    ),
+)
+def rule_auc(spark, sf):
+    rows = materialize(_rule(spark, sf), "rule")
+    return area_under_roc(rows).select(F.round("auc", 6).alias("auc"))
+
+
+@query("k7_evaluated_model")
+def evaluated(spark, sf):
+    """Fitted on the train quarter, measured on the next one."""
+    rows = materialize(split_dataset(spark, sf), "splits")
+    train = rows.where(F.col("split") == "train")
+    features = fit_features(train)
+    vectors = materialize(apply_features(features, train), "vectors")
+    model = PipelineModel([*features.stages, classifier("lr").fit(vectors)])
+    later = rows.where(F.col("split") == "eval")
+    predictions = score(model, later, ("bib_id", "label"), probability=True)
+    return evaluate(materialize(predictions, "evaluated"))
+
+
+SAME_SQL = bound_sql(
+    "SELECT bib_id, 1 AS same FROM label", "package", "recharge", "activity", "label"
+)
+
+
+def _same(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Whether two sets of predictions agree, per subscriber of either."""
+    joined = left.alias("a").join(right.alias("b"), "bib_id", "full")
+    same = F.col("a.probability").eqNullSafe(F.col("b.probability"))
+    return joined.select("bib_id", F.when(same, 1).otherwise(0).alias("same"))
+
+
+@query("s8_s9_saved_model_scores_alike", SAME_SQL)
+def saved_model(spark, sf):
+    model, rows = _trained(spark, sf)
+    path = new_path(spark, "model")
+    save_model(model, path)
+    reloaded = score(load_model(path), rows, probability=True)
+    return _same(score(model, rows, probability=True), reloaded)
+
+
+@query(
+    "s10_predictions_sink",
+    bound_sql(
+        "SELECT count(*) AS n_rows, count(DISTINCT bib_id) AS subscribers FROM label",
+        "package",
+        "recharge",
+        "activity",
+        "label",
+    ),
+)
+def predictions_sink(spark, sf):
+    model, rows = _trained(spark, sf)
+    path = new_path(spark, "predictions")
+    write_table(score(model, rows), path)
+    per_key = read_table(spark, path).groupBy("bib_id").agg(F.count(F.lit(1)).alias("n"))
+    return per_key.agg(F.sum("n").alias("n_rows"), F.count("bib_id").alias("subscribers"))
+
+
+@query("k10_scored_subscribers")
+def scored(spark, sf):
+    """Fitted on the train quarter, applied to the raw rows of the unlabelled one."""
+    rows = materialize(split_dataset(spark, sf), "splits")
+    train = rows.where(F.col("split") == "train")
+    features = fit_features(train)
+    vectors = materialize(apply_features(features, train), "vectors")
+    model = PipelineModel([*features.stages, classifier("rf").fit(vectors)])
+    return score(model, rows.where(F.col("split") == "test"), probability=True)
+
+
+def _quarters(spark: SparkSession, sf: str):
+    """A lake of quarters with labels and datasets of three of them."""
+    lake = build_lake(
+        spark, sf, month=lambda c: F.concat(F.year(c), F.lit("Q"), F.quarter(c))
+    )
+    months = ["1996Q1", "1996Q2", "1996Q3"]
+    # Undated tables hold the same rows in every quarter.
+    for table in ("cdr", "user"):
+        rows = load_months(spark, lake, ["all"], [table])[table].drop(MONTH)
+        each = rows.select("*", F.explode(F.array(*map(F.lit, months))).alias(MONTH))
+        write_table(each, lake.table_path(table), partition_by=[MONTH])
+    label_job(spark, lake, months)
+    dataset_job(spark, lake, months, AS_OF)
+    preprocess_job(spark, lake, months)
+    return lake, months
+
+
+@query("k12_preprocess_job")
+def preprocessed(spark, sf):
+    lake, _ = _quarters(spark, sf)
+    vectors = read_table(spark, lake.result_path("preprocessed"))
+    return spread_features(vectors, 25, digits=6)
+
+
+@query("k8_k9_k11_train_evaluate_score_jobs")
+def train_evaluate_score(spark, sf):
+    """Predictions of the last quarter next to the f1 of the quarter before."""
+    lake, months = _quarters(spark, sf)
+    train_job(spark, lake, months[0], "gbt", "f1", {"maxIter": [2, 5]})
+    metrics = evaluate_job(spark, lake, months[1], "gbt", "f1")
+    score_job(spark, lake, months[2], "gbt", "f1")
+    f1 = metrics.where("metric = 'f1'").select("value").scalar()
+    predictions = read_table(spark, lake.result_path("predictions/gbt__f1"))
+    return predictions.select("bib_id", "prediction", f1.alias("eval_f1"))
+
+
+@query("z1_stream_scores_like_batch", SAME_SQL)
+def streamed(spark, sf):
+    model, rows = _trained(spark, sf)
+    source, sink = new_path(spark, "stream-in"), new_path(spark, "stream-out")
+    write_table(rows, source)
+    stream = read_stream(spark, source, rows.schema, maxFilesPerTrigger=4)
+    score_stream(model, stream, sink, new_path(spark, "stream-state")).awaitTermination()
+    return _same(score(model, rows, probability=True), read_table(spark, sink))

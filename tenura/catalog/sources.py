@@ -1 +1,218 @@
-"""Sources."""
+"""Files: CSV landing, Parquet tables and month partitions."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tenura.catalog.registry import bound_sql, query
+from tenura.operators.activity import churn_label, package_recharge_activity
+from tenura.schemas import (
+    DATE_COLUMNS,
+    TABLES,
+    TIMESTAMP_COLUMNS,
+    conform,
+    loaded_schema,
+    raw_schema,
+)
+from tenura.sources.bindings import PERIOD_COLUMN, StarSchema
+from tenura.sources.csv import read_landing_table
+from tenura.sources.lake import MONTH, Lake, ingest, load_activity, load_months
+from tenura.sources.parquet import read_table, write_table
+from tenura.sources.shared import new_path
+
+YEARS = [str(year) for year in range(1995, 2002)]
+ALL = "all"
+
+
+def landing_text(df: DataFrame, table: str) -> DataFrame:
+    """A bound table as it would be delivered: declared columns, dates as text."""
+    text = {
+        c: F.date_format(c, "yyyyMMdd HH:mm:ss")
+        for c in TIMESTAMP_COLUMNS[table]
+        if c in df.columns
+    }
+    text |= {c: F.date_format(c, "yyyyMMdd") for c in DATE_COLUMNS[table] if c in df.columns}
+    return conform(df.withColumns(text), raw_schema(table))
+
+
+def with_month(df: DataFrame, table: str, month=F.year) -> DataFrame:
+    """Add the period a row belongs to; undated tables have a single one."""
+    if table not in PERIOD_COLUMN:
+        return df.withColumn(MONTH, F.lit(ALL))
+    return df.withColumn(MONTH, month(PERIOD_COLUMN[table]).cast("string"))
+
+
+def months_of(table: str) -> list[str]:
+    return YEARS if table in PERIOD_COLUMN else [ALL]
+
+
+def build_lake(spark: SparkSession, sf: str, tables=TABLES, month=F.year) -> Lake:
+    """Bound tables written as monthly partitions."""
+    lake = Lake(new_path(spark, "lake"))
+    for table, df in StarSchema(spark, sf).tables(tables).items():
+        rows = conform(with_month(df, table, month), loaded_schema(table).add(MONTH, "string"))
+        write_table(rows, lake.table_path(table), partition_by=[MONTH], rebalance=True)
+    return lake
+
+
+@query(
+    "s1_csv_scan",
+    bound_sql(
+        """SELECT bib_id, recharge_value_amt,
+                  strftime(recharge_dt, '%Y-%m-%d %H:%M:%S') AS recharge_dt,
+                  CAST(NULL AS VARCHAR) AS origin_host_nm
+           FROM recharge""",
+        "recharge",
+    ),
+)
+def csv_scan(spark, sf):
+    """CSV whose header order differs from the declared one."""
+    path = new_path(spark, "recharge-csv")
+    text = landing_text(StarSchema(spark, sf).recharge(), "recharge")
+    text.select(text.columns[::-1]).write.csv(path, header=True)
+    return read_landing_table(spark, "recharge", path).select(
+        "bib_id",
+        "recharge_value_amt",
+        F.date_format("recharge_dt", "yyyy-MM-dd HH:mm:ss").alias("recharge_dt"),
+        "origin_host_nm",
+    )
+
+
+COUNTS_SQL = " UNION ALL ".join(
+    f"SELECT '{t}' AS source, count(*) AS n_rows, count(DISTINCT bib_id) AS subscribers FROM {b}"
+    for t, b in zip(TABLES, [*TABLES[:-1], "subscriber"])
+)
+
+
+def _counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows and subscribers per table; the distinct keys are combined before counting."""
+    found = None
+    for name, df in tables.items():
+        per_key = df.groupBy("bib_id").agg(F.count(F.lit(1)).alias("n"))
+        counts = per_key.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count("bib_id").alias("subscribers")
+        ).select(F.lit(name).alias("source"), "n_rows", "subscribers")
+        found = counts if found is None else found.unionByName(counts)
+    return found
+
+
+@query("s2_declared_tables", bound_sql(COUNTS_SQL, *TABLES[:-1], "subscriber"))
+def declared(spark, sf):
+    """All six tables in their declared columns and types."""
+    bound = StarSchema(spark, sf).tables()
+    return _counts({t: conform(df, loaded_schema(t)) for t, df in bound.items()})
+
+
+@query(
+    "s3_parquet_scan",
+    """SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem
+       WHERE l_shipdate >= TIMESTAMP '1996-01-01' AND l_shipdate < TIMESTAMP '1997-01-01'""",
+)
+def parquet_scan(spark, sf):
+    items = read_table(spark, f"{sf}/lineitem.parquet")
+    at = F.col("l_shipdate")
+    inside = (at >= F.lit("1996-01-01").cast("timestamp_ntz")) & (
+        at < F.lit("1997-01-01").cast("timestamp_ntz")
+    )
+    return items.where(inside).select("l_orderkey", "l_linenumber", "l_extendedprice")
+
+
+@query(
+    "s4_parquet_sink",
+    """SELECT o_orderstatus, count(*) AS n_rows, round(sum(o_totalprice), 2) AS total FROM orders
+       WHERE o_orderstatus <> 'F' OR o_totalprice > 250000 GROUP BY o_orderstatus""",
+)
+def parquet_sink(spark, sf):
+    """A partitioned table whose F partition is replaced by a second write."""
+    path = new_path(spark, "orders")
+    orders = StarSchema(spark, sf).raw("orders").select(
+        "o_orderkey", "o_totalprice", "o_orderstatus"
+    )
+    write_table(orders, path, partition_by=["o_orderstatus"])
+    large = orders.where((F.col("o_orderstatus") == "F") & (F.col("o_totalprice") > 250000))
+    write_table(large, path, partition_by=["o_orderstatus"])
+    return read_table(spark, path).groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("o_totalprice"), 2).alias("total")
+    )
+
+
+@query(
+    "s5_csv_to_parquet",
+    bound_sql(
+        " UNION ALL ".join(
+            f"SELECT '{t}' AS source, CAST(year({c}) AS VARCHAR) AS month, count(*) AS n_rows "
+            f"FROM {t} GROUP BY ALL"
+            for t, c in PERIOD_COLUMN.items()
+        )
+        + " UNION ALL SELECT 'cdr', 'all', count(*) FROM cdr"
+        + " UNION ALL SELECT 'user', 'all', count(*) FROM subscriber",
+        *TABLES[:-1],
+        "subscriber",
+    ),
+)
+def csv_to_parquet(spark, sf):
+    """All six tables landed as CSV per period, ingested, and read back."""
+    root = new_path(spark, "lake")
+    lake = Lake(root, landing="{root}/landing/{table}/month={month}")
+    found = None
+    for table, df in StarSchema(spark, sf).tables().items():
+        months = months_of(table)
+        text = landing_text(df, table)
+        if table in PERIOD_COLUMN:
+            text = text.withColumn(MONTH, F.substring(PERIOD_COLUMN[table], 1, 4))
+        else:
+            text = text.withColumn(MONTH, F.lit(ALL))
+        landing = lake.csv_path(table, "").removesuffix("/month=")
+        text.hint("rebalance", MONTH).write.partitionBy(MONTH).csv(landing, header=True)
+        ingest(spark, lake, months, [table])
+        loaded = load_months(spark, lake, months, [table])[table]
+        counts = loaded.groupBy(MONTH).agg(F.count(F.lit(1)).alias("n_rows"))
+        counts = counts.select(F.lit(table).alias("source"), MONTH, "n_rows")
+        found = counts if found is None else found.unionByName(counts)
+    return found
+
+
+@query(
+    "s6_tables_of_one_month",
+    bound_sql(
+        COUNTS_SQL,
+        *TABLES[:-1],
+        "subscriber",
+        more=", ".join(
+            f"{t}_96 AS (SELECT * FROM {t} WHERE year({c}) = 1996)"
+            for t, c in PERIOD_COLUMN.items()
+        ),
+    )
+    .replace("FROM loan_assign UNION", "FROM loan_assign_96 UNION")
+    .replace("FROM loan_recovery UNION", "FROM loan_recovery_96 UNION")
+    .replace("FROM package UNION", "FROM package_96 UNION")
+    .replace("FROM recharge UNION", "FROM recharge_96 UNION"),
+)
+def one_month(spark, sf):
+    lake = build_lake(spark, sf)
+    dated = load_months(spark, lake, ["1996"], list(PERIOD_COLUMN))
+    undated = load_months(spark, lake, [ALL], ["cdr", "user"])
+    return _counts(dated | undated)
+
+
+@query(
+    "s7_activity_of_two_months",
+    bound_sql(
+        """SELECT bib_id, CASE WHEN lo IS NULL OR
+                  date_diff('day', CAST(hi AS DATE), CAST(lo AS DATE)) > 30 THEN 1 ELSE 0
+                  END AS label
+           FROM (SELECT bib_id, max(ts) AS hi FROM activity WHERE year(ts) = 1996 GROUP BY bib_id)
+           LEFT JOIN (SELECT bib_id, min(ts) AS lo FROM activity WHERE year(ts) = 1997
+                      GROUP BY bib_id) USING (bib_id)""",
+        "package",
+        "recharge",
+        "activity",
+    ),
+)
+def two_months(spark, sf):
+    lake = build_lake(spark, sf, ["package", "recharge"])
+    tables = load_activity(spark, lake, ["1996", "1997"])
+    rows = package_recharge_activity(tables["package"], tables["recharge"], (MONTH, "bib_id"))
+    by_month = [rows.where(F.col(MONTH) == m).drop(MONTH) for m in ("1996", "1997")]
+    return churn_label(*by_month)

@@ -51,7 +51,7 @@ def label_job(
     tables = load_activity(spark, lake, months)
     activity = package_recharge_activity(tables["package"], tables["recharge"], MONTH_KEYS)
     labels = churn_labels(activity, months, gap_days)
-    write_table(labels, lake.result_path("label"), partition_by=[MONTH])
+    write_table(labels, lake.result_path("label"), partition_by=[MONTH], rebalance=True)
 
 
 def dataset_job(
@@ -63,7 +63,7 @@ def dataset_job(
     newest = [tables[t].where(F.col(MONTH) == months[-1]) for t in ("package", "recharge")]
     population = labels.unionByName(scoring_population(newest, MONTH_KEYS))
     dataset = modelling_dataset(tables, population, as_of, MONTH_KEYS)
-    write_table(dataset, lake.result_path("dataset"), partition_by=[MONTH])
+    write_table(dataset, lake.result_path("dataset"), partition_by=[MONTH], rebalance=True)
 
 
 def preprocess_job(

@@ -15,11 +15,21 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_table(
-    df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    partition_by: Sequence[str] = (),
+    rebalance: bool = False,
 ) -> None:
-    """Write a table. Overwriting a partitioned table replaces only the partitions in df."""
+    """Write a table. Overwriting a partitioned table replaces only the partitions in df.
+
+    ``rebalance`` shuffles rows into files of even size, for results whose tasks each
+    hold rows of many table partitions; large table partitions are split over tasks.
+    """
     if mode not in WRITE_MODES:
         raise ValueError(f"mode must be one of {WRITE_MODES}, not {mode!r}")
+    if rebalance:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
