@@ -26,9 +26,8 @@ from tenura.plans.feature_plan import (
     apply_features,
     fill_stage,
     fit_features,
-    fit_medians,
     fit_modes,
-    fit_quartile_ranges,
+    fit_quantiles,
     onehot_stages,
     robust_stage,
     scaler_stages,
@@ -151,7 +150,7 @@ def minmax(spark, sf):
 )
 def robust(spark, sf):
     rows = recharges(spark, sf)
-    scaled = robust_stage(fit_quartile_ranges(rows, RECHARGES)).transform(rows)
+    scaled = robust_stage(fit_quantiles(rows, ranges=RECHARGES)[1]).transform(rows)
     return scaled.select("bib_id", *(F.round(f"{c}_robust", 6).alias(c) for c in RECHARGES))
 
 
@@ -184,7 +183,7 @@ def standard(spark, sf):
 def median_filled(spark, sf):
     balance = F.when(F.col("gender_v").isNotNull(), F.col("account_balance"))
     rows = StarSchema(spark, sf).user().select("bib_id", balance.alias("balance"))
-    filled = fill_stage(fit_medians(rows, ["balance"])).transform(rows)
+    filled = fill_stage(fit_quantiles(rows, medians=["balance"])[0]).transform(rows)
     return filled.select("bib_id", F.col("balance_filled").alias("balance"))
 
 

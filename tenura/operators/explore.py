@@ -12,7 +12,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenura.operators.skew import HOT_ROWS, Quantile, grouped_quantiles, join_small
+from tenura.operators.skew import (
+    HOT_JOIN_ROWS,
+    HOT_ROWS,
+    Quantile,
+    grouped_quantiles,
+    join_small,
+    semi_join,
+)
 
 PLOT_KINDS = ("count", "line", "box", "hist", "kde", "violin")
 Hue = str | Sequence[str] | None
@@ -100,9 +107,11 @@ def recovery_per_loan(assign: DataFrame, recovery: DataFrame) -> DataFrame:
     return sums.join(assign.select("loan_id").distinct(), "loan_id", "left_semi")
 
 
-def recovered_rows(assign: DataFrame, recovery: DataFrame) -> DataFrame:
+def recovered_rows(
+    assign: DataFrame, recovery: DataFrame, hot_rows: int = HOT_JOIN_ROWS
+) -> DataFrame:
     """Recovery rows of assigned loans."""
-    return recovery.join(assign.select("loan_id").distinct(), "loan_id", "left_semi")
+    return semi_join(recovery, assign, ["loan_id"], hot_rows)
 
 
 def common_values(left: DataFrame, right: DataFrame, col: str) -> DataFrame:
@@ -193,23 +202,14 @@ def box(
     ).drop("_all")
 
 
-def auto_bins(df: DataFrame, x: str, hot_rows: int = HOT_ROWS) -> int:
+def _auto_bins(n: int, low: float, high: float, iqr: float) -> int:
     """Number of equal bins: the finer of the Sturges and Freedman-Diaconis rules."""
-    stats = grouped_quantiles(
-        df.select(F.col(x).cast("double").alias("v")).where(F.col("v").isNotNull()),
-        [],
-        {"q1": Quantile("v", 0.25), "q3": Quantile("v", 0.75)},
-        {"n": F.count(F.lit(1)), "low": F.min("v"), "high": F.max("v")},
-        hot_rows=hot_rows,
-    ).first()
-    if not stats["n"] or stats["low"] == stats["high"]:
+    if not n or low == high:
         return 1
-    spread = stats["high"] - stats["low"]
-    widths = [spread / (math.log2(stats["n"]) + 1)]
-    fd = 2 * (stats["q3"] - stats["q1"]) / stats["n"] ** (1 / 3)
-    if fd > 0:
-        widths.append(fd)
-    return math.ceil(spread / min(widths))
+    widths = [(high - low) / (math.log2(n) + 1)]
+    if iqr > 0:
+        widths.append(2 * iqr / n ** (1 / 3))
+    return math.ceil((high - low) / min(widths))
 
 
 def histogram(
@@ -219,23 +219,31 @@ def histogram(
     low: float | None = None,
     high: float | None = None,
     hue: Hue = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Counts in equal bins over [low, high], the last one closed, empty ones included.
 
-    Missing limits are the extremes of the data; values outside stated limits are left
-    out, as are null and NaN. Groups of hue share the bins.
+    Missing limits are the extremes of the data, a missing number of bins is chosen from
+    it. Values outside stated limits are left out, as are null and NaN. Groups of hue
+    share the bins.
     """
     groups = _groups(hue)
     v = F.col("v")
     rows = df.select(*groups, F.col(x).cast("double").alias("v")).where(
         v.isNotNull() & ~F.isnan(v)
     )
-    if low is None or high is None:
-        found = rows.agg(F.min("v").alias("low"), F.max("v").alias("high")).first()
-        low = found["low"] if low is None else low
-        high = found["high"] if high is None else high
+    limits = {"low": F.min("v"), "high": F.max("v"), "n": F.count(F.lit(1))}
+    if bins is None:
+        quartiles = {"q1": Quantile("v", 0.25), "q3": Quantile("v", 0.75)}
+        found = grouped_quantiles(rows, [], quartiles, limits, hot_rows=hot_rows).first()
+    elif low is None or high is None:
+        found = rows.agg(*(agg.alias(name) for name, agg in limits.items())).first()
+    if low is None:
+        low = found["low"]
+    if high is None:
+        high = found["high"]
     if bins is None:
-        bins = auto_bins(rows, "v")
+        bins = _auto_bins(found["n"], low, high, (found["q3"] or 0) - (found["q1"] or 0))
     if low is None or high is None:
         low, high = 0.0, 1.0  # no rows
     if low == high:

@@ -19,6 +19,8 @@ from tenura.sources.shared import cut_lineage
 
 # One group's percentile buffer holds up to this many distinct values in a task.
 HOT_ROWS = 200_000
+# A join takes more rows of one key than an aggregate's buffer does.
+HOT_JOIN_ROWS = 5_000_000
 # A table with at most this many rows may be broadcast.
 BROADCAST_ROWS = 20_000
 # Copies of the small side in a salted join when it is too long to broadcast.
@@ -70,12 +72,13 @@ def join_small(
 ) -> DataFrame:
     """Join rows of any skew to a table with one row per key; null keys match.
 
-    The small side is counted first (unless the caller knows its length) and broadcast
-    only when short. Otherwise it is replicated over salts and shuffled, which spreads
-    the rows of one key over as many tasks.
+    The small side is checkpointed and counted first, unless the caller knows its length,
+    and broadcast only when short. Otherwise it is replicated over salts and shuffled,
+    which spreads the rows of one key over as many tasks.
     """
     if small_rows is None:
-        small_rows = small.limit(BROADCAST_ROWS + 1).count()
+        small = cut_lineage(small)
+        small_rows = small.count()
     side = small.withColumnsRenamed({k: f"_{k}" for k in keys})
     match = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
     if small_rows <= BROADCAST_ROWS:
@@ -89,6 +92,29 @@ def join_small(
     return joined.drop("_row_salt", "_salt", *(f"_{k}" for k in keys))
 
 
+def semi_join(
+    rows: DataFrame,
+    matches: DataFrame,
+    keys: Sequence[str],
+    hot_rows: int = HOT_JOIN_ROWS,
+) -> DataFrame:
+    """Rows whose keys occur in ``matches``. Rows of hot keys are not shuffled.
+
+    The hot keys of ``rows`` are found first; whether each occurs in ``matches`` is
+    settled per key, and its rows then only meet that short list.
+    """
+    present = matches.select(*keys).distinct()
+    hot = count_hot_groups({"rows": rows}, keys, hot_rows)["rows"]
+    if not hot.count:
+        return rows.join(present, list(keys), "left_semi")
+    hot_keys = hot.rows.select(*keys)
+    cold = join_small(rows, hot_keys, keys, "left_anti", hot.count)
+    found = hot_keys.join(present, list(keys), "left_semi")
+    return cold.join(present, list(keys), "left_semi").unionByName(
+        join_small(rows, found, keys, "left_semi", hot.count)
+    )
+
+
 @dataclass(frozen=True)
 class Quantile:
     """A wanted quantile of a numeric column: interpolated, or the observed value."""
@@ -163,8 +189,12 @@ def _hot_quantiles(
     sketches = []
     for i, q in enumerate(wanted):
         around = [max(0.0, q.p - margin), min(1.0, q.p + margin)]
+        found = F.percentile_approx(f"v{i}", around, SKETCH_ACCURACY)
+        # With few values the margin is less than a rank; all of them are counted instead.
+        few = F.count(f"v{i}") < SKETCH_ACCURACY
+        everything = F.array(F.lit(float("-inf")), F.lit(float("nan")))
         sketches.append(F.count(f"v{i}").alias(f"n{i}"))
-        sketches.append(F.percentile_approx(f"v{i}", around, SKETCH_ACCURACY).alias(f"b{i}"))
+        sketches.append(F.when(few, everything).otherwise(found).alias(f"b{i}"))
     brackets = cut_lineage(values.groupBy(*keys).agg(*sketches))
 
     # Per wanted quantile a row counts as below its bracket, as its value inside, or not.

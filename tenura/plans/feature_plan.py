@@ -87,34 +87,40 @@ def log_stage(
     return add_columns(sql)
 
 
-def _require(found: Mapping[str, object], what: str) -> dict[str, object]:
-    empty = [name for name, value in found.items() if value is None]
+def _require(found: Mapping[str, object], what: str) -> None:
+    empty = sorted({name.split()[0] for name, value in found.items() if value is None})
     if empty:
         raise ValueError(f"no {what}: columns without any value in train: {empty}")
-    return dict(found)
 
 
-def fit_medians(train: DataFrame, cols: Sequence[str], hot_rows: int = HOT_ROWS) -> dict:
-    """Median of each column, as a value that occurs in it."""
-    wanted = {c: Quantile(c, 0.5, interpolate=False) for c in cols}
+def fit_quantiles(
+    train: DataFrame,
+    medians: Sequence[str] = (),
+    ranges: Sequence[str] = (),
+    hot_rows: int = HOT_ROWS,
+) -> tuple[dict, dict]:
+    """Medians of some columns and quartile distances of others, in one pass.
+
+    Both are taken between values that occur in the column.
+    """
+    wanted = {f"{c} median": Quantile(c, 0.5, interpolate=False) for c in medians}
+    for c in ranges:
+        wanted[f"{c} low"] = Quantile(c, 0.25, interpolate=False)
+        wanted[f"{c} high"] = Quantile(c, 0.75, interpolate=False)
     row = grouped_quantiles(train, [], wanted, hot_rows=hot_rows).first()
-    return _require(row.asDict(), "median")
+    _require(row.asDict(), "quantile")
+    return (
+        {c: row[f"{c} median"] for c in medians},
+        {c: row[f"{c} high"] - row[f"{c} low"] for c in ranges},
+    )
 
 
 def fit_modes(train: DataFrame, cols: Sequence[str]) -> dict:
     """Most frequent non-null value of each column, the smallest of several."""
     rows = {c: mode(train, c).first() for c in cols}
-    return _require({c: row[0] if row else None for c, row in rows.items()}, "mode")
-
-
-def fit_quartile_ranges(train: DataFrame, cols: Sequence[str], hot_rows: int = HOT_ROWS) -> dict:
-    """Distance between the quartiles of each column."""
-    wanted = {}
-    for c in cols:
-        wanted[f"{c} low"] = Quantile(c, 0.25, interpolate=False)
-        wanted[f"{c} high"] = Quantile(c, 0.75, interpolate=False)
-    row = _require(grouped_quantiles(train, [], wanted, hot_rows=hot_rows).first().asDict(), "IQR")
-    return {c: row[f"{c} high"] - row[f"{c} low"] for c in cols}
+    modes = {c: row[0] if row else None for c, row in rows.items()}
+    _require(modes, "mode")
+    return modes
 
 
 def fill_stage(values: Mapping[str, object], suffix: str = "_filled") -> SQLTransformer:
@@ -169,8 +175,9 @@ def fit_features(
     used = [*logged, *r.mode, *r.categorical]
     prepared = logs.transform(train).select(*used).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fills = fit_medians(prepared, logged, hot_rows) | fit_modes(prepared, r.mode)
-        ranges = fit_quartile_ranges(prepared, [f"{c}_log" for c in r.robust], hot_rows)
+        robust = [f"{c}_log" for c in r.robust]
+        medians, ranges = fit_quantiles(prepared, logged, robust, hot_rows)
+        fills = medians | fit_modes(prepared, r.mode)
         ranges = {f"{c}_filled": width for c, width in ranges.items()}
         literal_stages = [fill_stage(fills), robust_stage(ranges)]
 
