@@ -31,14 +31,21 @@ SQL_STAMP = "%Y-%m-%d %H:%M:%S"
 QUARTERS = [f"{year}Q{q}" for year in range(1995, 2002) for q in range(1, 5)]
 
 
+def activity_of_star(star: StarSchema) -> DataFrame:
+    return package_recharge_activity(star.package(), star.recharge())
+
+
 def activity(spark: SparkSession, sf: str) -> DataFrame:
-    tables = StarSchema(spark, sf)
-    return package_recharge_activity(tables.package(), tables.recharge())
+    return activity_of_star(StarSchema(spark, sf))
 
 
-def label(spark: SparkSession, sf: str) -> DataFrame:
+def label_of_star(star: StarSchema) -> DataFrame:
     limits = [F.lit(t) for t in (CURRENT_START, NEXT_START, NEXT_END)]
-    return churn_label_between(activity(spark, sf), *limits)
+    return churn_label_between(activity_of_star(star), *limits)
+
+
+def label(spark: SparkSession, sf: str) -> DataFrame:
+    return label_of_star(StarSchema(spark, sf))
 
 
 query(

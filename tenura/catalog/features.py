@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenura.catalog.activity import label
+from tenura.catalog.activity import label_of_star as label
 from tenura.catalog.registry import bound_sql, query, rounded
 from tenura.operators.activity import churn_labels, package_recharge_activity, scoring_population
 from tenura.operators.features import (
@@ -98,8 +98,8 @@ DATASET_SQL = bound_sql(
 
 
 def dataset(spark: SparkSession, sf: str) -> DataFrame:
-    tables = StarSchema(spark, sf).period(CURRENT_START, NEXT_START)
-    return modelling_dataset(tables, label(spark, sf), AS_OF)
+    star = StarSchema(spark, sf)
+    return modelling_dataset(star.period(CURRENT_START, NEXT_START), label(star), AS_OF)
 
 
 def _aggregate(table):

@@ -19,6 +19,9 @@ from tenura.sources.shared import cut_lineage
 
 # One group's percentile buffer holds up to this many distinct values in a task.
 HOT_ROWS = 200_000
+# Rows of a group of that size in the sample that hot groups are looked for in.
+SAMPLED_ROWS_OF_HOT = 2_000
+SEED = 11
 # A join takes more rows of one key than an aggregate's buffer does.
 HOT_JOIN_ROWS = 5_000_000
 # A table with at most this many rows may be broadcast.
@@ -31,7 +34,7 @@ SKETCH_ACCURACY = 50_000
 
 @dataclass(frozen=True)
 class HotGroups:
-    """Groups above a row limit: their keys with the row count n, and how many there are."""
+    """Groups above a row limit: their keys, and how many there are."""
 
     rows: DataFrame | None
     count: int
@@ -43,19 +46,34 @@ NO_HOT_GROUPS = HotGroups(None, 0)
 def count_hot_groups(
     tables: Mapping[str, DataFrame], keys: Sequence[str], hot_rows: int = HOT_ROWS
 ) -> dict[str, HotGroups]:
-    """Find the hot groups of several tables in one job that reads only the key columns."""
-    tagged = [df.select(F.lit(name).alias("source"), *keys) for name, df in tables.items()]
+    """Find the hot groups of several tables in one job that reads only the key columns.
+
+    Groups are counted on a sample in which a group of ``hot_rows`` rows still has
+    thousands; half the expected number makes a group hot, so none of that size is
+    missed. Results never depend on which groups are found, only their cost does.
+    """
+    share = min(1.0, SAMPLED_ROWS_OF_HOT / max(hot_rows, 1))
+    limit = hot_rows if share == 1.0 else hot_rows * share / 2
+    tagged = []
+    for name, df in tables.items():
+        key_rows = df.select(F.lit(name).alias("source"), *keys)
+        tagged.append(key_rows if share == 1.0 else key_rows.sample(share, seed=SEED))
     sizes = (
         reduce(DataFrame.unionByName, tagged)
         .groupBy("source", *keys)
         .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > hot_rows)
+        .where(F.col("n") > limit)
+        .drop("n")
     )
-    found = {r["source"]: r["groups"] for r in sizes.groupBy("source").agg(
-        F.count(F.lit(1)).alias("groups")).collect()}
-    if not found:
+
+    def per_table() -> dict[str, int]:
+        counts = sizes.groupBy("source").agg(F.count(F.lit(1)).alias("groups"))
+        return {r["source"]: r["groups"] for r in counts.collect()}
+
+    if not per_table():
         return dict.fromkeys(tables, NO_HOT_GROUPS)
     sizes = cut_lineage(sizes)
+    found = per_table()
     return {
         name: HotGroups(sizes.where(F.col("source") == name).drop("source"), found[name])
         if name in found else NO_HOT_GROUPS
@@ -107,7 +125,7 @@ def semi_join(
     hot = count_hot_groups({"rows": rows}, keys, hot_rows)["rows"]
     if not hot.count:
         return rows.join(present, list(keys), "left_semi")
-    hot_keys = hot.rows.select(*keys)
+    hot_keys = hot.rows
     cold = join_small(rows, hot_keys, keys, "left_anti", hot.count)
     found = hot_keys.join(present, list(keys), "left_semi")
     return cold.join(present, list(keys), "left_semi").unionByName(
@@ -153,62 +171,97 @@ def grouped_quantiles(
     keys the whole table is one group. Null values are ignored; a group without values
     has null quantiles.
     """
-    aggregates = dict(aggregates or {})
-    keyed, group = df, list(keys)
-    if not group:
-        keyed, group = df.withColumn("_all", F.lit(0)), ["_all"]
-    if hot is None:
-        hot = count_hot_groups({"rows": keyed}, group, hot_rows)["rows"]
+    aggregates = {name: agg.alias(name) for name, agg in (aggregates or {}).items()}
+    plain = [q.aggregate().alias(name) for name, q in quantiles.items()] + [*aggregates.values()]
+    names = [*keys, *quantiles, *aggregates]
+    if not keys:
+        if df.count() <= hot_rows:
+            return df.agg(*plain)
+        rows = df.withColumn("_all", F.lit(0))
+        return _hot_groups(rows, ["_all"], quantiles, aggregates, 1).select(names)
 
-    plain = [q.aggregate().alias(name) for name, q in quantiles.items()]
-    plain += [agg.alias(name) for name, agg in aggregates.items()]
+    if hot is None:
+        hot = count_hot_groups({"rows": df}, keys, hot_rows)["rows"]
     if not hot.count:
         return df.groupBy(*keys).agg(*plain)
-
-    names = [*keys, *quantiles, *aggregates]
-    hot_keys = hot.rows.select(*group)
-    cold = join_small(keyed, hot_keys, group, "left_anti", hot.count)
-    cold = cold.groupBy(*group).agg(*plain)
-    rows = join_small(keyed, hot_keys, group, "left_semi", hot.count)
-    exact = _hot_quantiles(rows, group, quantiles, hot.count)
-    if aggregates:
-        combined = rows.groupBy(*group).agg(*(a.alias(n) for n, a in aggregates.items()))
-        exact = join_small(exact, combined, group, "inner", hot.count)
+    cold = join_small(df, hot.rows, keys, "left_anti", hot.count).groupBy(*keys).agg(*plain)
+    rows = join_small(df, hot.rows, keys, "left_semi", hot.count)
+    exact = _hot_groups(rows, keys, quantiles, aggregates, hot.count)
     return cold.select(names).unionByName(exact.select(names))
 
 
+def _hot_groups(
+    rows: DataFrame,
+    keys: Sequence[str],
+    quantiles: Mapping[str, Quantile],
+    aggregates: Mapping[str, Column],
+    groups: int,
+) -> DataFrame:
+    exact = _hot_quantiles(rows, list(keys), quantiles, groups)
+    if not aggregates:
+        return exact
+    combined = rows.groupBy(*keys).agg(*aggregates.values())
+    return join_small(exact, combined, keys, "inner", groups)
+
+
 def _hot_quantiles(
     rows: DataFrame, keys: list[str], quantiles: Mapping[str, Quantile], groups: int
 ) -> DataFrame:
     wanted = list(quantiles.values())
-    margin = 3 / SKETCH_ACCURACY
+    cols = list(dict.fromkeys(q.col for q in wanted))
     values = rows.select(
-        *keys, *(F.col(q.col).cast("double").alias(f"v{i}") for i, q in enumerate(wanted))
+        *keys, *(F.col(c).cast("double").alias(f"v{j}") for j, c in enumerate(cols))
     )
 
+    # One sketch per column brackets all its quantiles, two bounds each.
+    margin = 3 / SKETCH_ACCURACY
     sketches = []
-    for i, q in enumerate(wanted):
-        around = [max(0.0, q.p - margin), min(1.0, q.p + margin)]
-        found = F.percentile_approx(f"v{i}", around, SKETCH_ACCURACY)
+    for j, col in enumerate(cols):
+        around = []
+        for q in wanted:
+            if q.col == col:
+                around += [max(0.0, q.p - margin), min(1.0, q.p + margin)]
+        found = F.percentile_approx(f"v{j}", around, SKETCH_ACCURACY)
         # With few values the margin is less than a rank; all of them are counted instead.
-        few = F.count(f"v{i}") < SKETCH_ACCURACY
+        few = F.count(f"v{j}") < SKETCH_ACCURACY
         everything = F.array(F.lit(float("-inf")), F.lit(float("nan")))
-        sketches.append(F.count(f"v{i}").alias(f"n{i}"))
-        sketches.append(F.when(few, everything).otherwise(found).alias(f"b{i}"))
+        everything = F.flatten(F.array_repeat(everything, len(around) // 2))
+        sketches.append(F.count(f"v{j}").alias(f"n{j}"))
+        sketches.append(F.when(few, everything).otherwise(found).alias(f"b{j}"))
     brackets = cut_lineage(values.groupBy(*keys).agg(*sketches))
 
-    # Per wanted quantile a row counts as below its bracket, as its value inside, or not.
+    # Rows outside every bracket fall into one group per key, which counts the values
+    # below each bracket; rows inside one keep their value.
+    column = [cols.index(q.col) for q in wanted]
+    bounds = []
+    for i, j in enumerate(column):
+        at = 2 * column[:i].count(j)
+        bounds.append((F.col(f"b{j}")[at], F.col(f"b{j}")[at + 1]))
+    kept = []
+    for j in range(len(cols)):
+        inside = [F.col(f"v{j}").between(*bounds[i]) for i in range(len(wanted)) if column[i] == j]
+        kept.append(F.when(reduce(Column.__or__, inside), F.col(f"v{j}")).alias(f"k{j}"))
+    below = [
+        F.count_if(F.col(f"v{j}") < bounds[i][0]).alias(f"below{i}") for i, j in enumerate(column)
+    ]
+    combined = (
+        join_small(values, brackets, keys, "inner", groups)
+        .groupBy(*keys, *kept)
+        .agg(F.count(F.lit(1)).alias("copies"), *below)
+    )
+
     targets = []
-    for i in range(len(wanted)):
-        value, low, high = F.col(f"v{i}"), F.col(f"b{i}")[0], F.col(f"b{i}")[1]
-        inside = F.when(value >= low, value)
-        hit = F.struct(F.lit(i).alias("t"), F.col(f"n{i}").alias("n"), inside.alias("v"))
-        targets.append(F.when(value <= high, hit))
+    for i, j in enumerate(column):
+        name = [F.lit(i).alias("t"), F.col(f"n{j}").alias("n")]
+        nothing = F.lit(None).cast("double").alias("v")
+        targets.append(F.struct(*name, nothing, F.col(f"below{i}").alias("copies")))
+        hit = F.struct(*name, F.col(f"k{j}").alias("v"), F.col("copies"))
+        targets.append(F.when(F.col(f"k{j}").between(*bounds[i]), hit))
     counted = (
-        join_small(values, brackets, keys, "inner", groups)
+        join_small(combined, brackets, keys, "inner", groups)
         .select(*keys, F.inline(F.array_compact(F.array(*targets))))
         .groupBy(*keys, "t", "n", "v")
-        .agg(F.count(F.lit(1)).alias("copies"))
+        .agg(F.sum("copies").alias("copies"))
     )
 
     # The below count has v null and sorts first, so a running sum gives global ranks.
@@ -230,8 +283,7 @@ def _hot_quantiles(
         weight = q.ranks(F.col("n"))[2]
         value = F.col("low") * (1 - weight) + F.col("high") * weight
         value = F.when(weight == 0, F.col("low")).otherwise(value)
-        value = F.when(F.col("low").isNull() | F.col("high").isNull(), missed).otherwise(value)
+        found = F.col("low").isNotNull() & F.col("high").isNotNull()
+        value = F.when(found, value).when(F.col("n") > 0, missed)
         results.append(F.max(F.when(F.col("t") == i, value)).alias(name))
-    found = picked.groupBy(*keys).agg(*results)
-    # Groups whose values are all null have no counted rows.
-    return join_small(brackets.select(*keys), found, keys, "left", groups)
+    return picked.groupBy(*keys).agg(*results)

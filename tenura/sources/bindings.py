@@ -34,9 +34,12 @@ class StarSchema:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._read: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return read_table(self.spark, f"{self.folder}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = read_table(self.spark, f"{self.folder}/{name}.parquet")
+        return self._read[name]
 
     def loan_assign(self) -> DataFrame:
         urgent = self.raw("orders").where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
