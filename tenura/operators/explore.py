@@ -20,6 +20,7 @@ from tenura.operators.skew import (
     join_small,
     semi_join,
 )
+from tenura.sources.shared import cut_lineage
 
 PLOT_KINDS = ("count", "line", "box", "hist", "kde", "violin")
 Hue = str | Sequence[str] | None
@@ -31,12 +32,6 @@ def _groups(hue: Hue) -> list[str]:
     return [hue] if isinstance(hue, str) else list(hue or [])
 
 
-def _grouped(df: DataFrame, hue: Hue) -> tuple[DataFrame, list[str]]:
-    """The table with at least one grouping column, a constant one if there is no hue."""
-    groups = _groups(hue)
-    return (df, groups) if groups else (df.withColumn("_all", F.lit(0)), ["_all"])
-
-
 def preview(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
     """First rows in a stated order."""
     return df.orderBy(*order_by).limit(n)
@@ -183,7 +178,7 @@ def box(
     df: DataFrame, x: str, hue: Hue = None, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Quartiles, whiskers within 1.5 IQR of the box, and the number of points beyond."""
-    df, groups = _grouped(df, hue)
+    groups = _groups(hue)
     rows = df.where(F.col(x).isNotNull()).select(*groups, F.col(x).cast("double").alias("v"))
     quartiles = {"q1": Quantile("v", 0.25), "median": Quantile("v"), "q3": Quantile("v", 0.75)}
     stats = grouped_quantiles(
@@ -199,7 +194,7 @@ def box(
         F.min(F.when(inside, v)).alias("whisker_low"),
         F.max(F.when(inside, v)).alias("whisker_high"),
         F.count_if(~inside).alias("outliers"),
-    ).drop("_all")
+    )
 
 
 def _auto_bins(n: int, low: float, high: float, iqr: float) -> int:
@@ -289,29 +284,29 @@ def kde(
     So the kernel work depends on the range and the grid, not on the number of rows.
     Densities of several groups add up to one, as shares of all rows.
     """
-    df, groups = _grouped(df, hue)
+    groups = _groups(hue)
     rows = df.where(F.col(x).isNotNull()).select(*groups, F.col(x).cast("double").alias("v"))
     bandwidth = F.stddev_samp("v") * F.pow(F.count(F.lit(1)).cast("double"), F.lit(-0.2))
-    stats = (
-        rows.groupBy(*groups)
-        .agg(
+    sizes = cut_lineage(
+        rows.groupBy(*groups).agg(
             F.count(F.lit(1)).alias("n"),
             F.min("v").alias("low"),
             F.max("v").alias("high"),
             bandwidth.alias("bw"),
         )
-        .where(F.col("bw") > 0)
     )
-    total = rows.agg(F.count(F.lit(1))).scalar()
-    stats = stats.withColumns(
-        {
-            "start": F.col("low") - cut * F.col("bw"),
-            "step": (F.col("high") - F.col("low") + 2 * cut * F.col("bw")) / (grid - 1),
-        }
+    total = sizes.agg(F.sum("n")).scalar()
+    length = F.col("high") - F.col("low") + 2 * cut * F.col("bw")
+    stats = sizes.where(F.col("bw") > 0).select(
+        *groups,
+        "low",
+        "bw",
+        (F.col("low") - cut * F.col("bw")).alias("start"),
+        (length / (grid - 1)).alias("step"),
     )
     place = F.floor((F.col("v") - F.col("low")) / F.col("bw") * bins_per_bandwidth)
     binned = (
-        join_small(rows, stats.select(*groups, "low", "bw", "start", "step"), groups)
+        join_small(rows, stats, groups, small_rows=stats.count())
         .groupBy(*groups, "bw", "start", "step", place.alias("bin"))
         .agg(F.count(F.lit(1)).alias("weight"), F.avg("v").alias("at"))
     )
@@ -335,7 +330,7 @@ def kde(
     for g in groups:
         match &= F.col(f"m.{g}").eqNullSafe(F.col(f"f.{g}"))
     return frame.alias("f").join(mass.alias("m"), match, "left").select(
-        *(F.col(f"f.{g}") for g in _groups(hue)),
+        *(F.col(f"f.{g}") for g in groups),
         F.col("f.point").alias("point"),
         (F.col("start") + F.col("f.point") * F.col("step")).alias("x"),
         (F.coalesce(F.col("mass"), F.lit(0.0)) / scale).alias("density"),
@@ -344,9 +339,7 @@ def kde(
 
 def violin(df: DataFrame, x: str, hue: Hue = None, grid: int = 200) -> DataFrame:
     """Density grid of each group together with its box measures."""
-    density, groups = _grouped(kde(df, x, hue, grid), hue)
-    measures, _ = _grouped(box(df, x, hue), hue)
-    return join_small(density, measures, groups).drop("_all")
+    return join_small(kde(df, x, hue, grid), box(df, x, hue), _groups(hue))
 
 
 def distribution(

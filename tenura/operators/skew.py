@@ -92,8 +92,11 @@ def join_small(
 
     The small side is checkpointed and counted first, unless the caller knows its length,
     and broadcast only when short. Otherwise it is replicated over salts and shuffled,
-    which spreads the rows of one key over as many tasks.
+    which spreads the rows of one key over as many tasks. Without keys the small side is
+    a single row, whose values become constants.
     """
+    if not keys:
+        return _with_constants(rows, small)
     if small_rows is None:
         small = cut_lineage(small)
         small_rows = small.count()
@@ -110,6 +113,15 @@ def join_small(
     return joined.drop("_row_salt", "_salt", *(f"_{k}" for k in keys))
 
 
+def _with_constants(rows: DataFrame, single: DataFrame) -> DataFrame:
+    row = single.first()
+    if row is None:
+        return rows.where(F.lit(False)).select(
+            "*", *(F.lit(None).cast(f.dataType).alias(f.name) for f in single.schema)
+        )
+    return rows.withColumns({f.name: F.lit(row[f.name]).cast(f.dataType) for f in single.schema})
+
+
 def semi_join(
     rows: DataFrame,
     matches: DataFrame,
@@ -177,8 +189,7 @@ def grouped_quantiles(
     if not keys:
         if df.count() <= hot_rows:
             return df.agg(*plain)
-        rows = df.withColumn("_all", F.lit(0))
-        return _hot_groups(rows, ["_all"], quantiles, aggregates, 1).select(names)
+        return _hot_groups(df, [], quantiles, aggregates, 1).select(names)
 
     if hot is None:
         hot = count_hot_groups({"rows": df}, keys, hot_rows)["rows"]
