@@ -204,7 +204,7 @@ def split_dataset(spark: SparkSession, sf: str) -> DataFrame:
     return modelling_dataset(tables, population, AS_OF, keys)
 
 
-def _split_sql() -> str:
+def split_sql(users: str = USER_SQL) -> str:
     parts = []
     for i, split in enumerate(SPLITS.values()):
         start, middle, end = (f"TIMESTAMP '1996-{m:02d}-01'" for m in (3 * i + 1, 3 * i + 4, 3 * i + 7))
@@ -227,11 +227,11 @@ def _split_sql() -> str:
             for t in AGGREGATES
         }
         parts.append(
-            f"SELECT '{split}' AS split, * FROM ({dataset_sql(f'({population})', aggregates)})"
+            f"SELECT '{split}' AS split, * FROM ({dataset_sql(f'({population})', aggregates, users)})"
         )
     return " UNION ALL ".join(parts)
 
 
-@query("l5_datasets_of_all_splits", bound_sql(_split_sql(), *ALL_TABLES, "activity"))
+@query("l5_datasets_of_all_splits", bound_sql(split_sql(), *ALL_TABLES, "activity"))
 def all_splits(spark, sf):
     return tidy(split_dataset(spark, sf))

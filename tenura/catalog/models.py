@@ -17,6 +17,7 @@ from tenura.catalog.features import (
     dataset,
     dataset_sql,
     split_dataset,
+    split_sql,
 )
 from tenura.catalog.registry import bound_sql, query
 from tenura.catalog.sources import build_lake
@@ -248,49 +249,75 @@ def onehot(spark, sf):
     return spread_features(encoded.select("bib_id", FEATURES), 9)
 
 
-def _features_sql() -> str:
-    """The whole recipe over the labelled dataset, in vector order."""
+def _features_sql(data: str, train: str, passed: str, *tables: str) -> str:
+    """The whole recipe in vector order: fitted on the train rows of data, applied to all."""
     logs = [f'CASE WHEN "{c}" > -1 THEN ln(1 + "{c}") END AS "{c}"'
             for c in AMOUNT_FEATURES + USAGE_FEATURES]
     logs.append("CASE WHEN age > 100 THEN ln(101) WHEN age > -1 THEN ln(1 + age) END AS age")
     logs.append("CASE WHEN account_balance > -1 THEN ln(1 + account_balance) END"
                 " AS account_balance")
     numeric = [*AMOUNT_FEATURES, *USAGE_FEATURES, "age", "account_balance"]
-    fills = [f'coalesce("{c}", (SELECT quantile_disc("{c}", 0.5) FROM logs)) AS "{c}"'
+    fills = [f'coalesce("{c}", (SELECT quantile_disc("{c}", 0.5) FROM train_logs)) AS "{c}"'
              for c in numeric]
-    fills.append("""coalesce(registration_year, (SELECT registration_year FROM logs
+    fills.append("""coalesce(registration_year, (SELECT registration_year FROM train_logs
         WHERE registration_year IS NOT NULL GROUP BY ALL
         ORDER BY count(*) DESC, registration_year LIMIT 1)) AS registration_year""")
-    passed = f"bib_id, label, {', '.join(CATEGORIES)}"
+    passed = f"{passed}, {', '.join(CATEGORIES)}"
+
+    def of_train(expression):
+        return f"(SELECT {expression} FROM train_filled)"
 
     def minmax_sql(c):
-        low, high = f'min("{c}") OVER ()', f'max("{c}") OVER ()'
+        low, high = of_train(f'min("{c}")'), of_train(f'max("{c}")')
         return f'CASE WHEN {low} = {high} THEN 0.5 ELSE ("{c}" - {low}) / ({high} - {low}) END'
 
     def robust_sql(c):
-        width = f'(SELECT quantile_disc("{c}", 0.75) - quantile_disc("{c}", 0.25) FROM logs)'
+        width = f'(SELECT quantile_disc("{c}", 0.75) - quantile_disc("{c}", 0.25) FROM train_logs)'
         return f'CASE WHEN {width} = 0 THEN 0 ELSE "{c}" / {width} END'
 
     def standard_sql(c):
-        return f'"{c}" / stddev_samp("{c}") OVER ()'
+        deviation = of_train(f'stddev_samp("{c}")')
+        return f'"{c}" / {deviation}'
 
     values = [*map(minmax_sql, AMOUNT_FEATURES), *map(robust_sql, USAGE_FEATURES),
               standard_sql("age"), standard_sql("account_balance"),
               minmax_sql("registration_year")]
     named = [f"CAST(round({v}, 6) AS DOUBLE) AS f{i:02d}" for i, v in enumerate(values)]
+    kept = passed.removesuffix(f", {', '.join(CATEGORIES)}")
     return bound_sql(
-        f"SELECT bib_id, label, {', '.join(named + _slots(len(named)))} FROM filled",
-        *ALL_TABLES,
-        "activity",
-        "label",
-        more=f"""data AS ({dataset_sql('label', PERIOD_AGGREGATES, EXACT_USER_SQL)}),
+        f"SELECT {kept}, {', '.join(named + _slots(len(named)))} FROM filled",
+        *tables,
+        more=f"""data AS MATERIALIZED ({data}), train AS (SELECT * FROM data WHERE {train}),
             logs AS (SELECT {passed}, registration_year, {', '.join(logs)} FROM data),
+            train_logs AS MATERIALIZED (SELECT * FROM logs WHERE {train}),
             filled AS (SELECT {passed}, {', '.join(fills)} FROM logs),
-            {_ranked('data')}""",
+            train_filled AS MATERIALIZED (SELECT * FROM filled WHERE {train}),
+            {_ranked('train')}""",
     )
 
 
-@query("m10_m11_fitted_features", _features_sql())
+LABELLED_FEATURES_SQL = _features_sql(
+    dataset_sql("label", PERIOD_AGGREGATES, EXACT_USER_SQL),
+    "true",
+    "bib_id, label",
+    *ALL_TABLES,
+    "activity",
+    "label",
+)
+# Quarters of 1996 by the split they serve as.
+QUARTERS = {"train": "1996Q1", "eval": "1996Q2", "test": "1996Q3"}
+SPLIT_FEATURES_SQL = _features_sql(
+    "SELECT * EXCLUDE split, CASE split "
+    + " ".join(f"WHEN '{s}' THEN '{q}'" for s, q in QUARTERS.items())
+    + f" END AS month FROM ({split_sql(EXACT_USER_SQL)})",
+    "month = '1996Q1'",
+    "month, bib_id, label",
+    *ALL_TABLES,
+    "activity",
+)
+
+
+@query("m10_m11_fitted_features", LABELLED_FEATURES_SQL)
 def fitted_features(spark, sf):
     rows = materialize(dataset(spark, sf), "dataset")
     vectors = apply_features(fit_features(rows), rows)
@@ -450,7 +477,7 @@ def _quarters(spark: SparkSession, sf: str):
     lake = build_lake(
         spark, sf, month=lambda c: F.concat(F.year(c), F.lit("Q"), F.quarter(c))
     )
-    months = ["1996Q1", "1996Q2", "1996Q3"]
+    months = list(QUARTERS.values())
     # Undated tables hold the same rows in every quarter.
     for table in ("cdr", "user"):
         rows = load_months(spark, lake, ["all"], [table])[table].drop(MONTH)
@@ -462,7 +489,7 @@ def _quarters(spark: SparkSession, sf: str):
     return lake, months
 
 
-@query("k12_preprocess_job")
+@query("k12_preprocess_job", SPLIT_FEATURES_SQL)
 def preprocessed(spark, sf):
     lake, _ = _quarters(spark, sf)
     vectors = read_table(spark, lake.result_path("preprocessed"))
