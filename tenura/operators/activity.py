@@ -113,17 +113,21 @@ def churn_labels(
     """
     if len(months) < 2:
         raise ValueError("labels need at least two consecutive months")
-    roles = F
-    for i, month in enumerate(months):
-        as_current = [_role(month, True)] if i + 1 < len(months) else []
-        as_following = [_role(months[i - 1], False)] if i > 0 else []
-        roles = roles.when(F.col(month_col) == month, F.array(*as_current, *as_following))
-    tagged = activity.select(*keys, "ts", F.inline(roles))
-    return _label(tagged, ["period", *keys], gap_days).withColumnRenamed("period", month_col)
-
-
-def _role(period: str, is_current: bool) -> Column:
-    return F.struct(F.lit(period).alias("period"), F.lit(is_current).alias("is_current"))
+    names = F.array(*(F.lit(m) for m in months))
+    # Positions count from 1; a month not in the list is at 0, the last one has no label.
+    placed = activity.select(
+        *keys, "ts", F.array_position(names, F.col(month_col)).cast("int").alias("at")
+    )
+    tagged = placed.select(
+        *keys,
+        "ts",
+        F.explode(F.array(F.lit(True), F.lit(False))).alias("is_current"),
+        "at",
+    ).withColumn("period", F.when(F.col("is_current"), F.col("at")).otherwise(F.col("at") - 1))
+    labelled = tagged.where(F.col("period").between(1, len(months) - 1)).drop("at")
+    month = F.element_at(names, F.col("period"))
+    labels = _label(labelled, ["period", *keys], gap_days)
+    return labels.select(month.alias(month_col), *keys, "label")
 
 
 def scoring_population(tables: Sequence[DataFrame], keys: Sequence[str] = (KEY,)) -> DataFrame:

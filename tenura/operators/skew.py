@@ -182,6 +182,8 @@ def grouped_quantiles(
     ``aggregates`` must combine on the map side (count, sum, min, max, average). With no
     keys the whole table is one group. Null values are ignored; a group without values
     has null quantiles.
+
+    ``df`` should hold no columns beyond those used.
     """
     aggregates = {name: agg.alias(name) for name, agg in (aggregates or {}).items()}
     plain = [q.aggregate().alias(name) for name, q in quantiles.items()] + [*aggregates.values()]
@@ -193,9 +195,12 @@ def grouped_quantiles(
 
     if hot is None:
         hot = count_hot_groups({"rows": df}, keys, hot_rows)["rows"]
+    # Values of a key seldom repeat, so combining them before the shuffle would cost more
+    # than it saves; with the hot groups apart, the rows of a key are few.
     if not hot.count:
-        return df.groupBy(*keys).agg(*plain)
-    cold = join_small(df, hot.rows, keys, "left_anti", hot.count).groupBy(*keys).agg(*plain)
+        return df.repartition(*keys).groupBy(*keys).agg(*plain)
+    cold = join_small(df, hot.rows, keys, "left_anti", hot.count)
+    cold = cold.repartition(*keys).groupBy(*keys).agg(*plain)
     rows = join_small(df, hot.rows, keys, "left_semi", hot.count)
     exact = _hot_groups(rows, keys, quantiles, aggregates, hot.count)
     return cold.select(names).unionByName(exact.select(names))
