@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenura.schemas import KEY
@@ -18,14 +18,18 @@ from tenura.schemas import KEY
 GAP_DAYS = 30
 
 
-def with_keys(
-    df: DataFrame, keys: Sequence[str] = (KEY,), dropped: Observation | None = None
-) -> DataFrame:
-    """Rows whose keys are all set; ``dropped`` counts the others in the same pass."""
-    null_key = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
-    if dropped is not None:
-        df = df.observe(dropped, F.count_if(null_key).alias("null_keys"))
-    return df.where(~null_key)
+def _null_key(keys: Sequence[str]) -> Column:
+    return reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+
+
+def with_keys(df: DataFrame, keys: Sequence[str] = (KEY,)) -> DataFrame:
+    """Rows whose keys are all set."""
+    return df.where(~_null_key(keys))
+
+
+def null_key_count(df: DataFrame, keys: Sequence[str] = (KEY,)) -> DataFrame:
+    """How many rows ``with_keys`` leaves out; reads only the key columns."""
+    return df.agg(F.count_if(_null_key(keys)).alias("null_keys"))
 
 
 def activity_rows(

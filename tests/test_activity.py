@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tenura.operators.activity import (
@@ -11,6 +10,7 @@ from tenura.operators.activity import (
     churn_label_between,
     churn_labels,
     combine_outer,
+    null_key_count,
     package_recharge_activity,
     scoring_population,
     with_keys,
@@ -101,10 +101,10 @@ def test_labels_of_all_months_match_pairwise_labels(rows):
 
 
 def test_null_keys_are_dropped_and_counted(rows):
-    seen = Observation()
-    kept = with_keys(rows(ACTIVITY, [("a", None), (None, at(1, 1)), (None, None)]), dropped=seen)
-    assert kept.count() == 1
-    assert seen.get == {"null_keys": 2}
+    df = rows(ACTIVITY, [("a", None), (None, at(1, 1)), (None, None)])
+    assert with_keys(df).count() == 1
+    assert null_key_count(df).first()["null_keys"] == 2
+    assert null_key_count(df, ["bib_id", "ts"]).first()["null_keys"] == 3
 
 
 def test_bounds_and_unknown_bound(rows):
