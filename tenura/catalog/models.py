@@ -277,7 +277,8 @@ def _features_sql(data: str, train: str, passed: str, *tables: str) -> str:
 
     def standard_sql(c):
         deviation = of_train(f'stddev_samp("{c}")')
-        return f'"{c}" / {deviation}'
+        # A constant column scales to 0, as FIXTURES.md 3.2 has it.
+        return f'CASE WHEN {deviation} = 0 THEN 0 ELSE "{c}" / {deviation} END'
 
     values = [*map(minmax_sql, AMOUNT_FEATURES), *map(robust_sql, USAGE_FEATURES),
               standard_sql("age"), standard_sql("account_balance"),
