@@ -124,3 +124,10 @@ def test_semi_join_of_hot_keys(skewed, rows):
     nothing = matches.where("k = '1'")
     assert collected(semi_join(skewed, nothing, ["k"], hot_rows=500)) == collected(
         skewed.where("k = '1'"))
+
+
+def test_hot_groups_are_found_in_a_sample(skewed):
+    found = count_hot_groups({"big": skewed}, ["k"], 3000)["big"]
+    assert [r["k"] for r in found.rows.collect()] == ["hot"] and found.count == 1
+    plain = collected(grouped_quantiles(skewed, ["k"], WANTED, counted()))
+    assert collected(grouped_quantiles(skewed, ["k"], WANTED, counted(), hot_rows=3000)) == plain
