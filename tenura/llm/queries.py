@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenura.llm import packing, token_files
+from tenura.llm import bpe, minhash, packing, substring, token_files
 from tenura.llm.common import table
 
 
@@ -15,6 +15,15 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), path, end_id=1, size=2048)
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return bpe.digest_documents(bpe.encode_documents(table(spark, sf_dir, "documents"), path), path)
+
+
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2, similarity=80)
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), path, end_id=2)
@@ -23,5 +32,15 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_packing": op1_packing, "op6_token_files": op6_token_files}
+def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents"), window=50)
+
+
+QUERIES = {
+    "op1_packing": op1_packing,
+    "op2_bpe": op2_bpe,
+    "op3_minhash": op3_minhash,
+    "op6_token_files": op6_token_files,
+    "op9_substring": op9_substring,
+}
 ORACLES: dict[str, str] = {}
