@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenura.llm import bpe, minhash, packing, substring, token_files
+from tenura.llm import bpe, lattice, minhash, packing, substring, token_files, topk
 from tenura.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2, similarity=80)
 
 
+def op4_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicate_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), path, end_id=2)
@@ -32,6 +36,11 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5, scale=256.0)
+
+
 def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(table(spark, sf_dir, "documents"), window=50)
 
@@ -40,7 +49,9 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_bpe": op2_bpe,
     "op3_minhash": op3_minhash,
+    "op4_lattice": op4_lattice,
     "op6_token_files": op6_token_files,
+    "op7_topk": op7_topk,
     "op9_substring": op9_substring,
 }
 ORACLES: dict[str, str] = {}
