@@ -7,7 +7,7 @@ padding, or nothing if L is a power of two. With f(j) the least cost of the ids
 cut j,
 
     f(j) = penalty(j) + min(min over i within size before j of f(i) + i + size - j,
-                            min over powers of two p of f(j - p))
+                            min over powers of two p of f(j - p)),  the latter at document ends.
 
 The first inner minimum is over a sliding window and kept in a monotone queue, so each cut
 is pushed and popped once. Cuts inside sentences are those a full sequence after another
@@ -17,7 +17,6 @@ cut, which is where such a cut leaves no padding.
 from __future__ import annotations
 
 import zlib
-from collections import deque
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -63,34 +62,44 @@ def choose_cuts(
     longest = int(np.diff(bounds).max())
     inside = np.concatenate([bounds + size * k for k in range(1, longest // size + 2)])
     inside = np.setdiff1d(inside[inside < total], bounds)
-    places = np.concatenate([free, sentences, inside])
+    # A sentence end so little before costs no more.
+    nearest = bounds[np.searchsorted(bounds, inside) - 1]
+    inside = inside[inside - nearest > costs.inside - costs.sentence]
+    cuts = np.concatenate([free, sentences, inside])
     penalty = np.repeat(
         [0.0, costs.sentence, costs.inside], [len(free), len(sentences), len(inside)]
     )
-    order = np.argsort(places, kind="stable")
-    place, penalties = places[order].tolist(), penalty[order].tolist()
+    order = np.argsort(cuts, kind="stable")
+    place, penalties = cuts[order].tolist(), (penalty[order] + costs.sequence).tolist()
     powers = [1 << k for k in range(size.bit_length()) if 1 << k <= size]
 
+    is_end = np.isin(place, free).tolist()
     least, came = [0.0] * len(place), [0] * len(place)
     at = {0: 0}
-    queue: deque[tuple[float, int]] = deque([(0.0, 0)])  # f(i) + i rising, and cut i
+    # Cuts of the window with f(i) + i rising: its values, places and numbers.
+    values, places, numbers, head = [0.0], [0], [0], 0
     for j in range(1, len(place)):
         here = place[j]
-        while here - place[queue[0][1]] > size:
-            queue.popleft()
-        best, source = queue[0]
-        best += size - here
-        for p in powers:
-            i = at.get(here - p)
-            if i is not None and least[i] < best:
-                best, source = least[i], i
-        best += penalties[j] + costs.sequence
+        first = here - size
+        while places[head] < first:
+            head += 1
+        best, source = values[head] + size - here, numbers[head]
+        if is_end[j]:
+            for p in powers:
+                i = at.get(here - p)
+                if i is not None and least[i] < best:
+                    best, source = least[i], i
+        best += penalties[j]
         least[j], came[j] = best, source
         at[here] = j
         value = best + here
-        while queue and queue[-1][0] >= value:
-            queue.pop()
-        queue.append((value, j))
+        while len(values) > head and values[-1] >= value:
+            values.pop()
+            places.pop()
+            numbers.pop()
+        values.append(value)
+        places.append(here)
+        numbers.append(j)
     ends, j = [], len(place) - 1
     while j:
         ends.append(place[j])

@@ -16,6 +16,7 @@ import numpy as np
 
 # Pieces remembered by one task before it starts anew; bounds its memory.
 REMEMBERED = 400_000
+_WIDE = re.compile("[^\x00-\u012f\u0131-\u024f]")
 _ODD = re.compile(r"[^\S \n]|\x00")
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
@@ -49,7 +50,9 @@ def space_piece_text(piece: str) -> str:
 
 
 def word_pieces(text: str) -> list[str]:
-    """Pieces for vocabularies that drop white space."""
+    """Pieces for vocabularies that drop white space and case."""
+    if not _WIDE.search(text):  # else lower case may depend on the library's tables
+        text = text.lower()
     return text.replace("\n", " ").split(" ")
 
 
@@ -145,6 +148,8 @@ class PieceIds:
         remembered: int = REMEMBERED,
     ):
         self.encode, self.split, self.text_of = encode, split, text_of
+        # How a piece begins that stands for its text without a space.
+        self.closing = "\x00" if split is space_pieces else ""
         self.remembered = remembered
         self._clear()
 
@@ -156,8 +161,27 @@ class PieceIds:
         self.flat = np.zeros(0, np.uint32)
 
     def _learn(self, pieces: Iterable[str]) -> None:
-        new = list(pieces)
-        flat, lengths = self.encode([self.text_of(p) for p in new])
+        """A letter and a last comma or full stop are words apart, so they are put together."""
+        plain, closed = set(), []
+        for piece in pieces:
+            if piece[-1:] in (".", ",") and piece[-2:-1] < "\u0130" and piece[-2:-1].isalpha():
+                closed.append(piece)
+                base = piece[:-1]
+                if base not in self.index:
+                    plain.add(base)
+            else:
+                plain.add(piece)
+        if closed:
+            plain.update(p for p in (self.closing + ".", self.closing + ",") if p not in self.index)
+        new = list(plain)
+        self._add(new, *self.encode([self.text_of(p) for p in new]))
+        if closed:
+            parts = [self.index[p] for piece in closed for p in (piece[:-1], self.closing + piece[-1])]
+            numbers = np.array(parts, np.int64)
+            lengths = self.lengths[numbers].reshape(-1, 2).sum(axis=1)
+            self._add(closed, self.ids(numbers), lengths)
+
+    def _add(self, new: list[str], flat: np.ndarray, lengths: np.ndarray) -> None:
         starts = len(self.flat) + np.cumsum(lengths) - lengths
         self.index.update(zip(new, range(len(self.keys), len(self.keys) + len(new))))
         self.keys += new
