@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenura.llm import bpe, lattice, minhash, packing, substring, token_files, topk
+from tenura.llm import bpe, language, lattice, minhash, packing, quality, substring, token_files, topk
 from tenura.llm.common import table
 
 
@@ -28,6 +28,15 @@ def op4_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_duplicate_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.train(docs))
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    return found.select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), path, end_id=2)
@@ -41,6 +50,12 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5, scale=256.0)
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, quality.toxic_quality_grades(table(spark, sf_dir, "labels")))
+    return quality.grade_documents(docs, model)
+
+
 def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(table(spark, sf_dir, "documents"), window=50)
 
@@ -50,8 +65,10 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_minhash": op3_minhash,
     "op4_lattice": op4_lattice,
+    "op5_language": op5_language,
     "op6_token_files": op6_token_files,
     "op7_topk": op7_topk,
+    "op8_quality": op8_quality,
     "op9_substring": op9_substring,
 }
 ORACLES: dict[str, str] = {}
