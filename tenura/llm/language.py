@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from itertools import chain
 
@@ -22,6 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tenura.llm.common import chunks, to_batch
 
@@ -235,21 +237,20 @@ def identify(
     model: Model | None,
     key: str = "doc_id",
     text: str = "text",
+    columns: Sequence[str] = (),
 ) -> DataFrame:
-    """key, lang_pred, score for every whole text.
+    """key, lang_pred, score for every whole text, and other ``columns`` as they are.
 
     A null text and one without letters are ``und`` with score 0, and so is everything if
     there is no model. Equal means go to the language that sorts first.
     """
-    kind = docs.schema[key].dataType
-    schema = f"`{key}` {kind.simpleString()}, lang_pred string, score double"
+    same = docs.select(key, *columns).schema
+    schema = StructType([*same, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_type
-
         model = shared.value
-        out = pa.schema([(key, to_arrow_type(kind)), ("lang_pred", pa.string()), ("score", pa.float64())])
+        out = to_arrow_schema(schema)
         index: dict[str, int] = {}
         table = np.zeros((0, len(model.languages) if model else 1))
         for rows in chunks(batches):
@@ -279,9 +280,10 @@ def identify(
                         languages[i] = model.languages[b]
                     else:
                         score[i] = 0.0
-            yield to_batch(out, [[r[0] for r in rows], languages, score])
+            whole = list(zip(*rows))
+            yield to_batch(out, [whole[0], *whole[2:], languages, score])
 
-    return docs.select(F.col(key), F.col(text).alias("_text")).mapInArrow(run, schema)
+    return docs.select(key, F.col(text).alias("_text"), *columns).mapInArrow(run, schema)
 
 
 def train(

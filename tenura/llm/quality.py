@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,6 +23,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
 from tenura.llm.common import chunks, to_batch
 
@@ -221,43 +223,40 @@ def grade_documents(
     key: str = "doc_id",
     text: str = "text",
     keep: float = 0.5,
+    columns: Sequence[str] = (),
 ) -> DataFrame:
-    """key, expected_grade, tail_probability, kept for every whole text.
+    """key, expected_grade, tail_probability, kept for every whole text, and other ``columns``.
 
     ``tail_probability`` is that of the top grade; rows with at least ``keep`` are kept. A
     null text or one without tokens has no features, so its score is 0. Without a model
     both numbers are null and every row is kept.
     """
-    kind = docs.schema[key].dataType
-    schema = f"`{key}` {kind.simpleString()}, expected_grade double, tail_probability double, kept boolean"
+    found = [("expected_grade", DoubleType()), ("tail_probability", DoubleType()), ("kept", BooleanType())]
+    same = docs.select(key, *columns).schema
+    schema = StructType([*same, *(StructField(*f) for f in found)])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_type
-
         model = shared.value
-        out = pa.schema([
-            (key, to_arrow_type(kind)), ("expected_grade", pa.float64()),
-            ("tail_probability", pa.float64()), ("kept", pa.bool_()),
-        ])
+        out = to_arrow_schema(schema)
         weights = model.weights.tolist() if model else []
         # Most tokens have no bucket with a weight.
         tokens = Tokens(lambda own: tuple(b for b in own if weights[b]))
         for rows in chunks(batches):
+            whole = list(zip(*rows))
+            same = [whole[0], *whole[2:]]
             if model is None:
                 n = len(rows)
-                yield to_batch(out, [[r[0] for r in rows], [None] * n, [None] * n, [True] * n])
+                yield to_batch(out, [*same, [None] * n, [None] * n, [True] * n])
                 continue
             scores = np.array([
                 sum(map(weights.__getitem__, sorted(document_features(r[1], tokens)))) for r in rows
             ])
             below = model.at_most(scores)
             tail = 1 - below[:, -1]
-            yield to_batch(
-                out, [[r[0] for r in rows], (1 - below).sum(axis=1), tail, tail >= keep]
-            )
+            yield to_batch(out, [*same, (1 - below).sum(axis=1), tail, tail >= keep])
 
-    return docs.select(F.col(key), F.col(text).alias("_text")).mapInArrow(run, schema)
+    return docs.select(key, F.col(text).alias("_text"), *columns).mapInArrow(run, schema)
 
 
 def toxic_quality_grades(labels: DataFrame) -> DataFrame:

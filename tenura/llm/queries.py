@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenura.llm import bpe, language, lattice, minhash, packing, quality, substring, token_files, topk
+import corpus_pipeline
+from tenura.llm import (
+    bpe, html_text, language, lattice, minhash, packing, quality, substring, token_files, topk,
+)
 from tenura.llm.common import table
 
 
@@ -60,6 +63,10 @@ def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(table(spark, sf_dir, "documents"), window=50)
 
 
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_bpe": op2_bpe,
@@ -70,5 +77,51 @@ QUERIES = {
     "op7_topk": op7_topk,
     "op8_quality": op8_quality,
     "op9_substring": op9_substring,
+    "op10_html": op10_html,
+    "pipeline": corpus_pipeline.run,
+}
+# DuckDB SQL where it can express the query.
+ORACLES: dict[str, str] = {
+    "op4_lattice": """
+WITH RECURSIVE
+linked AS (
+    SELECT a.vec_id AS x, b.vec_id AS y
+    FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) >= 0.93),
+reached AS (
+    SELECT vec_id AS x, vec_id AS y FROM embeddings
+    UNION SELECT r.x, l.y FROM reached r JOIN linked l ON r.y = l.x)
+SELECT vec_id, (SELECT count(*) FROM linked WHERE x = vec_id) AS n_links, component_id,
+       vec_id = component_id AS kept
+FROM embeddings JOIN (SELECT x AS vec_id, min(y) AS component_id FROM reached GROUP BY x) USING (vec_id)""",
+    "op7_topk": """
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings),
+scored AS (
+    SELECT q.vec_id AS query_id, d.vec_id,
+           CAST(list_sum(list_transform(list_zip(q.v, d.v), p -> p[1] * p[2])) AS BIGINT) AS score
+    FROM whole q JOIN whole d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id),
+ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+    FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op9_substring": """
+WITH split AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'),
+                               x -> x <> '') AS words
+    FROM documents),
+windows AS (
+    SELECT doc_id, i, array_to_string(words[i:i + 49], ' ') AS s
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM split WHERE len(words) >= 50)),
+firsts AS (SELECT s, min(doc_id) AS first FROM windows GROUP BY s),
+hits AS (SELECT doc_id, i FROM windows JOIN firsts USING (s) WHERE first < doc_id),
+gone AS (SELECT DISTINCT doc_id, i + k AS j FROM (SELECT doc_id, i, unnest(range(0, 50)) AS k FROM hits)),
+kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS text, count(*) AS n
+    FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS j FROM split)
+    ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (doc_id)""",
 }
-ORACLES: dict[str, str] = {}

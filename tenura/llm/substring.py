@@ -234,7 +234,9 @@ def remove_repeats(
     shard_documents: int = SHARD_DOCUMENTS,
     with_text: bool = False,
 ) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 of every document; kept_text if asked for.
+    """doc_id, n_words, n_removed, kept_sha256 of every document.
+
+    ``with_text`` adds words_sha256 (of all its words joined by one space) and kept_text.
 
     Whole texts are judged, as they came in. A null text has no words. ``kept_sha256`` is
     of the kept words joined by one space. Rows with one doc_id don't take from each other;
@@ -293,6 +295,7 @@ def remove_repeats(
         F.when(whole, F.lit(_EMPTY)).otherwise(F.coalesce("sha", F.lower(F.hex("digest")))).alias("kept_sha256"),
     ]
     if with_text:
+        columns.append(F.lower(F.hex("digest")).alias("words_sha256"))
         columns.append(F.when(whole, F.lit("")).otherwise(F.col("kept")).alias("kept_text"))
     return out.select(columns)
 
