@@ -5,17 +5,18 @@ SIGNATURE hash functions over the set. Two documents of Jaccard similarity s agr
 coordinate with probability s. A posting is a document under one (coordinate, value) pair.
 
 * Documents of equal sets are one class and only its smallest id goes on.
-* Prefix: coordinates are ordered by how many documents share their value, rarest first. A
-  pair that agrees in at least MATCHES coordinates must share one of the first
-  ``SIGNATURE - MATCHES + 1`` of either, so only those are posted; frequent values are
-  hardly ever among them, and values of one document need no posting.
-* A posting list first meets its smallest document. Confirmed links join documents into
-  components. Lists whose documents are in one component are then skipped; in the others
-  only pairs between components remain, taken from the documents outside the list's largest
-  component. So a group of near copies costs its size, not its square, and no pair that
-  could join two components is left out.
-* Agreeing coordinates of a pair are counted on the whole signatures; pairs of at least
-  MATCHES are confirmed on the full shingle sets of their texts.
+* Prefix: of the first POSTED coordinates, those whose values fewest documents share come
+  first. A pair that agrees in at least MATCHES of them must share one of the first
+  ``POSTED - MATCHES + 1`` of either, so only those are posted; frequent values are hardly
+  ever among them, and values of one document need no posting.
+* Skip: a posting list first meets its hub, the document whose values are shared most.
+  Confirmed links join documents into components. Lists whose documents are in one component
+  are then skipped; in the others only pairs between components remain, taken from the
+  documents outside the list's largest component. So a group of near copies costs about its
+  size, and no pair that could join two components is left out.
+* Those pairs are compared inside their lists, in blocks: agreeing coordinates of the whole
+  signatures are counted, and pairs of at least a similarity of LEAST_ESTIMATE are confirmed
+  on the full shingle sets of their texts. A pair counts in the first list that it shares.
 """
 
 from __future__ import annotations
@@ -31,10 +32,15 @@ from pyspark.sql import functions as F
 from tenura.llm.common import chunks, connected_components, to_batch
 from tenura.sources.shared import materialize
 
-# Hash functions, and least agreements of a pair: at similarity 0.8 fewer agree in about
-# one pair of 100,000.
-SIGNATURE = 64
+# Hash functions, and the share of them that must agree. At similarity 0.8 a smaller share
+# agrees in about one pair of 100,000.
+SIGNATURE = 256
+LEAST_ESTIMATE = 0.69
+# Posted coordinates, and least agreements in them: fewer in one pair of 100,000.
+POSTED = 64
 MATCHES = 36
+# Documents of one list that are compared with the others in one place.
+LIST_ROWS = 512
 _REMEMBERED = 400_000
 _U64 = np.uint64
 
@@ -90,72 +96,165 @@ class Signer:
 
     def sign(self, sets: list[np.ndarray]) -> np.ndarray:
         """A row of 32-bit minima for each set, which isn't empty."""
-        flat = np.concatenate(sets)
-        starts = np.cumsum([0] + [len(s) for s in sets[:-1]])
         out = np.empty((len(sets), len(self.a)), np.uint32)
-        for k, (a, b) in enumerate(zip(self.a, self.b)):
-            out[:, k] = np.minimum.reduceat(((flat * a + b) >> _U64(32)).astype(np.uint32), starts)
+        begin = 0
+        while begin < len(sets):  # so many shingles at a time as a cache holds
+            end, size = begin, 0
+            while end < len(sets) and (end == begin or size + len(sets[end]) <= 16_384):
+                size += len(sets[end])
+                end += 1
+            flat = np.concatenate(sets[begin:end])
+            starts = np.cumsum([0] + [len(s) for s in sets[begin : end - 1]])
+            for k, (a, b) in enumerate(zip(self.a, self.b)):
+                values = ((flat * a + b) >> _U64(32)).astype(np.uint32)
+                out[begin:end, k] = np.minimum.reduceat(values, starts)
+            begin = end
         return out
 
 
-def describe(docs: DataFrame, key: str, text: str, words: int, signature: int) -> DataFrame:
-    """doc_id, n_shingles, digest of the set, and posting keys (coordinate, value) as longs."""
+def describe(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
+    """doc_id, n_shingles, digest of the set, postings (coordinate and value as longs), signature.
+
+    The signature has the low byte of each minimum.
+    """
     schema = pa.schema(
         [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()),
-         ("postings", pa.list_(pa.int64()))]
+         ("postings", pa.list_(pa.int64())), ("signature", pa.binary())]
     )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        signer = Signer(words, signature)
-        coordinate = np.arange(signature, dtype=np.int64) << 32
+        signer = Signer(words)
+        coordinate = np.arange(POSTED, dtype=np.int64) << 32
         for rows in chunks(batches):
             sets = [signer.shingles(words_of(r[1])) for r in rows]
             full = [s for s in sets if len(s)]
-            signed = iter((signer.sign(full).astype(np.int64) | coordinate).tolist() if full else [])
+            signed = signer.sign(full) if full else np.zeros((0, SIGNATURE), np.uint32)
+            posted = iter((signed[:, :POSTED].astype(np.int64) | coordinate).tolist())
+            short = iter(signed.astype(np.uint8))
             yield to_batch(
                 schema,
                 [
                     [r[0] for r in rows],
                     [len(s) for s in sets],
                     [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
-                    [next(signed) if len(s) else None for s in sets],
+                    [next(posted) if len(s) else None for s in sets],
+                    [next(short).tobytes() if len(s) else None for s in sets],
                 ],
             )
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(
-        run, "doc_id long, n_shingles long, digest binary, postings array<long>"
+        run, "doc_id long, n_shingles long, digest binary, postings array<long>, signature binary"
     )
 
 
-def prefix_postings(classes: DataFrame, signature: int, matches: int) -> DataFrame:
-    """key, doc, n: each document under the shared ones among its rarest coordinates."""
+def prefixes(classes: DataFrame) -> DataFrame:
+    """doc, n, prefix, score: shared ones among the rarest coordinates of each document.
+
+    The score is how often the document's values are shared in all.
+    """
     every = classes.select("doc", "n", F.explode("postings").alias("key"))
     shared = every.groupBy("key").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1")
     ordered = every.join(shared, "key").groupBy("doc", "n").agg(
-        F.sort_array(F.collect_list(F.struct("docs", "key"))).alias("shared")
+        F.sort_array(F.collect_list(F.struct("docs", "key"))).alias("shared"), F.sum("docs").alias("score")
     )
     # Values of one document come first in the prefix.
-    left = F.lit(signature - matches + 1 - signature) + F.size("shared")
+    left = F.lit(1 - MATCHES) + F.size("shared")
     return ordered.where(left > 0).select(
-        "doc", "n", F.explode(F.slice("shared", F.lit(1), left)).alias("s")
-    ).select(F.col("s.key").alias("key"), "doc", "n")
+        "doc", "n", "score", F.slice("shared", F.lit(1), left).getField("key").alias("prefix")
+    )
 
 
 def _similar_sizes(similarity: int):
     return F.expr(f"100 * least(n_a, n_b) >= {similarity} * greatest(n_a, n_b)")
 
 
-def _confirm(
-    pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, matches: int, similarity: int,
-) -> DataFrame:
-    """The pairs (a, b) whose signatures agree often enough and whose sets are similar."""
-    signatures = classes.select("doc", "postings")
-    agreeing = F.expr("aggregate(zip_with(p_a, p_b, (x, y) -> int(x = y)), 0, (s, x) -> s + x)")
-    retained = (
-        pairs.join(signatures.toDF("a", "p_a"), "a").join(signatures.toDF("b", "p_b"), "b")
-        .where(agreeing >= matches).select("a", "b").distinct()
-    )
+def _agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose signatures agree in enough coordinates."""
+    signatures = classes.select("doc", "signature")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (_matrix(batch.column(i), np.uint8) for i in (2, 3))
+            keep = pa.array((x == y).sum(axis=1) >= LEAST_ESTIMATE * SIGNATURE)
+            yield to_batch(schema, [batch.column(i).filter(keep) for i in range(2)])
+
+    joined = pairs.join(signatures.toDF("a", "s_a"), "a").join(signatures.toDF("b", "s_b"), "b")
+    return joined.select("a", "b", "s_a", "s_b").mapInArrow(run, "a long, b long")
+
+
+def _matrix(column: pa.Array, kind) -> np.ndarray:
+    """Rows of a binary column of one length."""
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
+
+
+def _cross(mixed: DataFrame, similarity: int) -> DataFrame:
+    """Pairs (a, b) of different components in one list whose signatures agree.
+
+    mixed: key, part, probe, doc, n, component, prefix and signature as binaries; rows that
+    are compared with all others of their list and part come first.
+    """
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    least = LEAST_ESTIMATE * SIGNATURE
+
+    def meet(key: int, stored: dict, probing: dict) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(probing["doc"]), 64):
+            own = {f: v[at : at + 64] for f, v in probing.items()}
+            n, m = own["n"][:, None], stored["n"][None, :]
+            open_ = (own["component"][:, None] != stored["component"]) & (
+                100 * np.minimum(n, m) >= similarity * np.maximum(n, m)
+            )
+            i, j = np.nonzero(open_)
+            if not len(i):
+                continue
+            keep = (own["signature"][i, :64] == stored["signature"][j, :64]).sum(axis=1) >= MATCHES
+            i, j = i[keep], j[keep]
+            keep = (own["signature"][i] == stored["signature"][j]).sum(axis=1) >= least
+            i, j = i[keep], j[keep]
+            first = np.array([
+                np.intersect1d(own["prefix"][x], stored["prefix"][y])[0] == key for x, y in zip(i, j)
+            ], bool)
+            i, j = i[first], j[first]
+            if len(i):
+                x, y = own["doc"][i], stored["doc"][j]
+                yield to_batch(schema, [np.minimum(x, y), np.maximum(x, y)])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, stored = None, []
+        names = ["key", "part", "probe", "doc", "n", "component"]
+        for batch in batches:
+            column = {f: np.asarray(batch.column(i)) for i, f in enumerate(names)}
+            prefix = [np.frombuffer(v.as_buffer(), ">i8") for v in batch.column(6)]
+            signature = _matrix(batch.column(7), np.uint8)
+            change = np.zeros(batch.num_rows, bool)
+            for name in ("key", "part", "probe"):
+                change[1:] |= column[name][1:] != column[name][:-1]
+            cuts = np.flatnonzero(change).tolist()
+            for begin, end in zip([0, *cuts], [*cuts, batch.num_rows]):
+                if begin == end:
+                    continue
+                place = (int(column["key"][begin]), int(column["part"][begin]))
+                if place != current:
+                    current, stored = place, []
+                rows = {f: column[f][begin:end] for f in ("doc", "n", "component")}
+                rows |= {"prefix": prefix[begin:end], "signature": signature[begin:end]}
+                if not column["probe"][begin]:
+                    stored.append(rows)
+                elif stored:
+                    if len(stored) > 1:
+                        whole = {f: np.concatenate([s[f] for s in stored]) for f in rows if f != "prefix"}
+                        stored = [whole | {"prefix": [p for s in stored for p in s["prefix"]]}]
+                    yield from meet(current[0], stored[0], rows)
+
+    ordered = mixed.repartition("key", "part").sortWithinPartitions("key", "part", "probe")
+    return ordered.select(*["key", "part", "probe", "doc", "n", "component", "prefix", "signature"]).mapInArrow(
+        run, "a long, b long"
+    ).distinct()
+
+
+def _confirm(retained: DataFrame, docs: DataFrame, words: int, similarity: int) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets are similar."""
     retained = materialize(retained, "minhash-pairs")
     wanted = retained.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
     texts = docs.join(wanted, "doc", "left_semi")
@@ -187,8 +286,7 @@ def near_duplicates(
     text: str = "text",
     words: int = 5,
     similarity: int = 80,
-    signature: int = SIGNATURE,
-    matches: int = MATCHES,
+    list_rows: int = LIST_ROWS,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: a row for each document.
 
@@ -197,46 +295,68 @@ def near_duplicates(
     id, whose row is kept. A text of fewer words has one shingle, all of it; a null text and
     one without words have none and link with nothing. Rows with one doc_id are one node of
     the links. A row with a null id links with nothing: its component is null and it is kept.
+
+    ``similarity`` is in percent, 80 or more: the signature's limits are set for 80.
     """
-    described = materialize(describe(docs, key, text, words, signature), "minhash-documents")
+    if similarity < 80:
+        raise ValueError("similarity must be 80 or more")
+    described = materialize(describe(docs, key, text, words), "minhash-documents")
     linkable = described.where("n_shingles > 0 and doc_id is not null")
     of_class = linkable.groupBy("digest").agg(F.min("doc_id").alias("doc"))
     classes = linkable.join(of_class, "digest").where("doc_id = doc").select(
-        "doc", F.col("n_shingles").alias("n"), "postings"
+        "doc", F.col("n_shingles").alias("n"), "postings", "signature"
     ).dropDuplicates(["doc", "postings"])
     classes = materialize(classes, "minhash-classes")
-    postings = materialize(prefix_postings(classes, signature, matches), "minhash-postings")
+    prefix = materialize(prefixes(classes), "minhash-prefixes")
+    postings = prefix.select("doc", "n", "score", F.explode("prefix").alias("key"))
     texts = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
 
-    # Every list meets its smallest document.
-    first = postings.groupBy("key").agg(F.min(F.struct("doc", "n")).alias("f"))
-    star = postings.join(first, "key").select(
-        F.col("f.doc").alias("a"), F.col("doc").alias("b"), F.col("f.n").alias("n_a"), F.col("n").alias("n_b")
+    # Every list meets its hub.
+    hub = F.max(F.struct("score", (-F.col("doc")).alias("negative"), "doc", "n")).alias("hub")
+    star = postings.join(postings.groupBy("key").agg(hub), "key").select(
+        F.least("doc", "hub.doc").alias("a"), F.greatest("doc", "hub.doc").alias("b"),
+        F.col("hub.n").alias("n_a"), F.col("n").alias("n_b"),
     ).where("a < b").where(_similar_sizes(similarity)).select("a", "b").distinct()
     links = materialize(
-        _confirm(star, classes, texts, words, matches, similarity), "minhash-links"
+        _confirm(_agreeing(star, classes), texts, words, similarity), "minhash-links"
     )
 
     # Then pairs of different components in one list remain.
-    nodes = postings.select(F.col("doc").alias("node")).distinct()
+    nodes = prefix.select(F.col("doc").alias("node")).distinct()
     components = connected_components(nodes, links, "minhash")
-    placed = postings.join(components.withColumnRenamed("node", "doc"), "doc")
+    placed = postings.join(components.withColumnRenamed("node", "doc"), "doc").select(
+        "key", "doc", "n", "component"
+    )
     sizes = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
-    largest = sizes.groupBy("key").agg(
-        F.max(F.struct("size", "component")).alias("top"), F.count(F.lit(1)).alias("parts")
-    ).where("parts > 1").select("key", F.col("top.component").alias("top"))
-    mixed = materialize(placed.join(largest, "key"), "minhash-mixed")
-    outside = mixed.where("component <> top").select(
-        "key", F.col("doc").alias("x"), F.col("n").alias("n_a"), F.col("component").alias("c_a")
+    lists = sizes.groupBy("key").agg(
+        F.max(F.struct("size", "component")).alias("top"), F.count(F.lit(1)).alias("components"),
+        F.sum("size").alias("all"),
+    ).where("components > 1").select(
+        "key", F.col("top.component").alias("top"),
+        F.ceil((F.col("all") - F.col("top.size")) / list_rows).cast("int").alias("parts"),
+    )
+    outside = F.col("component") != F.col("top")
+    own = F.array(F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int"))
+    mixed = placed.join(lists, "key")
+    stored = mixed.where(outside).withColumn("part", F.explode(own)).withColumn("probe", F.lit(0))
+    probing = mixed.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn(
+        "probe", F.lit(1)
+    )
+    coded = F.expr("unhex(array_join(transform(array_sort(prefix), x -> lpad(hex(x), 16, '0')), ''))")
+    payload = prefix.select("doc", "n", coded.alias("prefix")).join(
+        classes.select("doc", "n", "signature"), ["doc", "n"]
     )
-    others = mixed.select("key", F.col("doc").alias("y"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-    cross = (
-        outside.join(others, "key").where("c_a <> c_b").where(_similar_sizes(similarity))
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    cross = _cross(stored.unionByName(probing).join(payload, ["doc", "n"]), similarity)
+    more = _confirm(cross.join(links, ["a", "b"], "left_anti"), texts, words, similarity)
+    # Texts that share an id are one node.
+    several = linkable.groupBy("doc_id").agg(
+        F.min("digest").alias("x"), F.max("digest").alias("y")
+    ).where("x <> y").select("doc_id")
+    same = linkable.join(several, "doc_id").join(of_class, "digest").select(
+        F.col("doc_id").alias("a"), F.col("doc").alias("b")
     )
-    cross = materialize(cross.join(links, ["a", "b"], "left_anti"), "minhash-cross")
-    more = _confirm(cross, classes, texts, words, matches, similarity)
-    final = connected_components(nodes, links.unionAll(more), "minhash")
+    nodes = nodes.unionAll(same.select(F.explode(F.array("a", "b")))).distinct()
+    final = connected_components(nodes, links.unionAll(more).unionAll(same), "minhash")
 
     placed = of_class.join(final.withColumnRenamed("node", "doc"), "doc", "left").select(
         "digest", F.coalesce("component", "doc").alias("component")
