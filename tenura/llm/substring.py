@@ -9,8 +9,8 @@ starts in a document of a smaller id. Steps, each a distributed job:
    of two or more units go on.
 3. Windows around such anchors are counted by their hashes. Those of two or more documents
    are joined, where they occur first, into passages.
-4. Passages are dealt to shards of bounded size, and a document to those shards whose
-   passages share an anchor with it. Each shard compiles an Aho-Corasick automaton of its
+4. Passages are dealt to shards of bounded size, like ones together, and a document to those
+   shards whose passages share an anchor with it. Each shard compiles an Aho-Corasick automaton of its
    passages' blocks of ANCHOR words (every window of a passage holds one whole), streams
    its documents through it, and extends each hit word by word. So what is removed has
    been compared word for word. Shards of many documents are split, with a copy of the
@@ -140,25 +140,37 @@ def _windows(texts: DataFrame, window: int, anchor: int) -> DataFrame:
 
 
 def _passages(texts: DataFrame, firsts: DataFrame, window: int) -> DataFrame:
-    """doc, words (joined by one space), n_words of each run of windows that recur."""
-    schema = pa.schema([("doc", pa.int64()), ("words", pa.binary()), ("n_words", pa.int64())])
-    positions = firsts.groupBy("doc").agg(F.collect_list("at").alias("positions"))
+    """Runs of windows that recur: doc, words (joined by one space), n_words, anchors, kin.
+
+    ``kin`` is the least of a run's anchors, so runs of like words mostly have the same.
+    """
+    schema = pa.schema(
+        [("doc", pa.int64()), ("words", pa.binary()), ("n_words", pa.int64()),
+         ("anchors", pa.list_(pa.int64())), ("kin", pa.int64())]
+    )
+    places = firsts.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("at", "anchor"))).alias("p"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in chunks(batches):
             found = []
-            for doc, text, at in rows:
+            for doc, text, at, anchor in rows:
                 words = words_of(text)
-                at = np.unique(np.array(at, np.int64))
-                at = at[at + window <= len(words)]
-                for part in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1):
+                at, first = np.unique(np.array(at, np.int64), return_index=True)
+                anchor = np.array(anchor, np.int64)[first]
+                inside = at + window <= len(words)
+                at, anchor = at[inside], anchor[inside]
+                cuts = np.flatnonzero(np.diff(at) > 1) + 1
+                for part, own in zip(np.split(at, cuts), np.split(anchor, cuts)):
                     if len(part):
-                        own = words[part[0] : part[-1] + window]
-                        found.append((doc, b" ".join(own), len(own)))
-            yield to_batch(schema, list(zip(*found)) if found else [[]] * 3)
-
-    rows = texts.select("doc", "text").join(positions, "doc").select("doc", "text", "positions")
-    return rows.mapInArrow(run, "doc long, words binary, n_words long")
+                        text_of = words[part[0] : part[-1] + window]
+                        own = np.unique(own)
+                        found.append((doc, b" ".join(text_of), len(text_of), own.tolist(), int(own[0])))
+            yield to_batch(schema, list(zip(*found)) if found else [[]] * 5)
+
+    rows = texts.select("doc", "text").join(places, "doc").select("doc", "text", "p.at", "p.anchor")
+    return rows.mapInArrow(
+        run, "doc long, words binary, n_words long, anchors array<long>, kin long"
+    )
 
 
 class PassageAutomaton:
@@ -266,9 +278,9 @@ def remove_repeats(
     total = passages.agg(F.sum("n_words")).first()[0] or 0
     shards = max(1, -(-total // shard_words))
     shard = lambda c: F.pmod(F.xxhash64(c), F.lit(shards)).alias("shard")
-    routes = recurs.select("anchor", shard("doc"), F.col("doc").alias("source")).groupBy(
-        "anchor", "shard"
-    ).agg(F.min("source").alias("source"))
+    routes = passages.select(
+        F.explode("anchors").alias("anchor"), shard("kin"), F.col("doc").alias("source")
+    ).groupBy("anchor", "shard").agg(F.min("source").alias("source"))
     wanted = texts.select("doc", F.explode("anchors").alias("anchor")).join(routes, "anchor").where(
         "source < doc"
     ).select("doc", "shard").distinct()
@@ -277,7 +289,7 @@ def remove_repeats(
     probes = wanted.join(load, "shard").select(
         "doc", "shard", F.pmod(F.xxhash64(F.lit(1), "doc"), F.col("parts")).cast("int").alias("part")
     ).join(texts.select("doc", "text"), "doc")
-    dealt = passages.select("doc", "words", shard("doc")).join(load, "shard").select(
+    dealt = passages.select("doc", "words", shard("kin")).join(load, "shard").select(
         "doc", "words", "shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
     )
     stretches = _locate(probes, dealt, window, anchor).groupBy("doc", "digest").agg(
