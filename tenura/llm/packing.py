@@ -43,7 +43,7 @@ class Costs:
 
     sequence: float = 4.0
     sentence: float = 1.0
-    inside: float = 8.0
+    inside: float = 20.0
 
 
 def choose_cuts(
@@ -56,24 +56,24 @@ def choose_cuts(
     """
     if not total:
         return []
-    free = np.unique(np.concatenate([[0, total], documents]))
-    sentences = np.setdiff1d(sentences, free)
-    bounds = np.union1d(free, sentences)
+    kind = np.zeros(total + 1, np.int8)  # of each place: 3 document end, 2 sentence end, 1 inside
+    kind[sentences] = 2
+    kind[documents] = 3
+    kind[[0, total]] = 3
+    bounds = np.flatnonzero(kind)
+    # A cut inside is worth it if no sentence ends so little before.
     longest = int(np.diff(bounds).max())
-    inside = np.concatenate([bounds + size * k for k in range(1, longest // size + 2)])
-    inside = np.setdiff1d(inside[inside < total], bounds)
-    # A sentence end so little before costs no more.
-    nearest = bounds[np.searchsorted(bounds, inside) - 1]
-    inside = inside[inside - nearest > costs.inside - costs.sentence]
-    cuts = np.concatenate([free, sentences, inside])
-    penalty = np.repeat(
-        [0.0, costs.sentence, costs.inside], [len(free), len(sentences), len(inside)]
-    )
-    order = np.argsort(cuts, kind="stable")
-    place, penalties = cuts[order].tolist(), (penalty[order] + costs.sequence).tolist()
+    for k in range(1, longest // size + 2):
+        inside = bounds + size * k
+        inside = inside[inside < total]
+        nearest = bounds[np.searchsorted(bounds, inside, side="right") - 1]
+        kind[inside[inside - nearest > costs.inside - costs.sentence]] = 1
+    cuts = np.flatnonzero(kind)
+    kinds = kind[cuts]
+    place, is_end = cuts.tolist(), (kinds == 3).tolist()
+    penalties = (np.array([0.0, costs.inside, costs.sentence, 0.0])[kinds] + costs.sequence).tolist()
     powers = [1 << k for k in range(size.bit_length()) if 1 << k <= size]
 
-    is_end = np.isin(place, free).tolist()
     least, came = [0.0] * len(place), [0] * len(place)
     at = {0: 0}
     # Cuts of the window with f(i) + i rising: its values, places and numbers.

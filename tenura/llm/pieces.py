@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterable
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 
@@ -192,18 +192,24 @@ class PieceIds:
     def pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Piece numbers of all texts in a row, and how many each text has."""
         split = [self.split(t) for t in texts]
-        new = set(chain.from_iterable(split)).difference(self.index)
-        if new and len(self.index) + len(new) > self.remembered:
-            self._clear()
-            new = set(chain.from_iterable(split))
-        if new:
-            self._learn(new)
         counts = np.fromiter(map(len, split), np.int64, len(split))
-        numbers = np.fromiter(
-            map(self.index.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum())
-        )
+        every = list(chain.from_iterable(split))
+        numbers = self._known(every)
+        missing = np.flatnonzero(numbers < 0)
+        if len(missing):
+            new = [every[i] for i in missing.tolist()]
+            distinct = set(new)
+            if len(self.index) + len(distinct) > self.remembered:
+                self._clear()
+                new, missing = every, np.arange(len(every))
+                distinct = set(new)
+            self._learn(distinct)
+            numbers[missing] = self._known(new)
         return numbers, counts
 
+    def _known(self, pieces: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.index.get, pieces, repeat(-1)), np.int64, len(pieces))
+
     def ids(self, numbers: np.ndarray) -> np.ndarray:
         return gather(self.flat, self.starts[numbers], self.lengths[numbers])
 

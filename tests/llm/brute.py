@@ -81,7 +81,9 @@ def pack_cost(total, documents, sentences, size, costs):
     """Least cost of cutting by trying every earlier place for every cut."""
     free = {0, total, *documents}
     bounds = free | set(sentences)
-    inside = {b + size * k for b in bounds for k in range(1, total // size + 2)} - bounds
+    ordered = sorted(bounds)
+    longest = max(b - a for a, b in zip(ordered, ordered[1:]))
+    inside = {b + size * k for b in bounds for k in range(1, longest // size + 2)} - bounds
     places = sorted(p for p in bounds | inside if p <= total)
     least = {0: 0.0}
     for p in places[1:]:

@@ -27,7 +27,6 @@ def test_cuts_cost_least(seed):
         length, end = cut - start, cut in set(documents.tolist())
         cost += costs.sequence + (0 if end and length & (length - 1) == 0 else size - length)
         cost += 0 if end else costs.sentence if cut in sentences else costs.inside
-    # Cuts just after a sentence end are never better, so leaving them out costs nothing.
     assert cost == pytest.approx(brute.pack_cost(total, documents, sentences, size, costs))
 
 
