@@ -27,8 +27,6 @@ from tenura.sources.bindings import (
 
 STAMP = "yyyy-MM-dd HH:mm:ss"
 SQL_STAMP = "%Y-%m-%d %H:%M:%S"
-# Quarters of all dated rows.
-QUARTERS = [f"{year}Q{q}" for year in range(1995, 2002) for q in range(1, 5)]
 
 
 def activity_of_star(star: StarSchema) -> DataFrame:
@@ -100,7 +98,9 @@ def label_of_pair(spark, sf):
 def consecutive_labels(spark, sf):
     rows = activity(spark, sf)
     quarter = F.concat(F.year("ts"), F.lit("Q"), F.quarter("ts"))
-    return churn_labels(rows.withColumn("month", quarter), QUARTERS)
+    years = rows.agg(F.year(F.min("ts")), F.year(F.max("ts"))).first()
+    quarters = [f"{year}Q{q}" for year in range(years[0], years[1] + 1) for q in range(1, 5)]
+    return churn_labels(rows.withColumn("month", quarter), quarters)
 
 
 def _bound(which):

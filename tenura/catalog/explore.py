@@ -189,13 +189,13 @@ def sorted_counts(spark, sf):
 @query(
     "t2_top_offerings",
     bound_sql(
-        """SELECT offering_name, count(*) AS count FROM package GROUP BY offering_name
-           ORDER BY count DESC, offering_name LIMIT 25""",
+        """SELECT offering_code, count(*) AS count FROM package GROUP BY offering_code
+           ORDER BY count DESC, offering_code LIMIT 10""",
         "package",
     ),
 )
 def top_offerings(spark, sf):
-    return explore.top_values(StarSchema(spark, sf).named_package(), "offering_name", 25)
+    return explore.top_values(StarSchema(spark, sf).package(), "offering_code", 10)
 
 
 @query(
@@ -204,13 +204,13 @@ def top_offerings(spark, sf):
         f"""SELECT {DURATION_SQL} AS duration_category, count(*) AS count
             FROM (SELECT date_diff('day', CAST(activation_date AS DATE),
                                    CAST(deactivation_date AS DATE)) AS days FROM package)
-            GROUP BY ALL ORDER BY count DESC, duration_category LIMIT 10""",
+            GROUP BY ALL ORDER BY count DESC, duration_category LIMIT 4""",
         "package",
     ),
 )
 def top_durations(spark, sf):
     labelled = categorize_durations(StarSchema(spark, sf).package())
-    return explore.top_values(labelled, "duration_category", 10)
+    return explore.top_values(labelled, "duration_category", 4)
 
 
 @query(
@@ -302,12 +302,15 @@ def box_plot_by_group(spark, sf):
     return _box(StarSchema(spark, sf).raw("events"), "value", "event_type")
 
 
-HIST_SQL = """SELECT {hue} bin::INTEGER AS bin, round(CAST({low} + bin * {width} AS DOUBLE), 4) AS bin_low,
-       round(CAST({low} + (bin + 1) * {width} AS DOUBLE), 4) AS bin_high, coalesce(count, 0) AS count
-    FROM {frame} LEFT JOIN (
-        SELECT {hue} least(floor(({v} - {low}) / ({high} - {low}) * {bins}), {bins} - 1)::INTEGER
-               AS bin, count(*) AS count
-        FROM {table} WHERE {v} BETWEEN {low} AND {high} GROUP BY ALL) USING ({hue} bin)"""
+HIST_SQL = """SELECT {hue} bin, round(CASE WHEN bin >= 0 THEN CAST({low} + bin * {width} AS DOUBLE) END, 4) AS bin_low,
+       round(CASE WHEN bin < {bins} THEN CAST({low} + (bin + 1) * {width} AS DOUBLE) END, 4) AS bin_high,
+       count(*) AS count
+    FROM (SELECT {hue} CAST(CASE WHEN {v} < {low} THEN -1 WHEN {v} > {high} THEN {bins}
+                 ELSE least(floor(({v} - {low}) / ({high} - {low}) * {bins}), {bins} - 1) END AS BIGINT) AS bin
+          FROM {table} WHERE {v} IS NOT NULL)
+    GROUP BY ALL"""
+# The counts of a histogram add up to the values.
+HIST_SUM_SQL = "SELECT count({v}) AS n FROM {table}"
 
 
 def _hist(df, x, bins, **more):
@@ -320,7 +323,7 @@ def _hist(df, x, bins, **more):
     bound_sql(
         HIST_SQL.format(
             hue="", v="recharge_value_amt", low="0", high="500000", bins="25", width="20000",
-            table="recharge", frame="(SELECT unnest(range(25)) AS bin)",
+            table="recharge",
         ),
         "recharge",
     ),
@@ -334,7 +337,6 @@ def histogram_plot(spark, sf):
     "x4_histogram_by_group",
     HIST_SQL.format(
         hue="event_type,", v="value", low="0", high="400", bins="16", width="25", table="events",
-        frame="(SELECT DISTINCT event_type FROM events) CROSS JOIN (SELECT unnest(range(16)) AS bin)",
     ),
 )
 def histogram_by_group(spark, sf):
@@ -349,7 +351,7 @@ def histogram_by_group(spark, sf):
                quantile_cont(c_acctbal, 0.75) - quantile_cont(c_acctbal, 0.25) AS iqr FROM customer),
     b AS (SELECT *, ceil((hi - lo) / least((hi - lo) / (log2(n) + 1),
                                            2 * iqr / power(n, 1.0 / 3))) AS bins FROM s)
-    SELECT bin::INTEGER AS bin, round(lo + bin * (hi - lo) / bins, 4) AS bin_low,
+    SELECT bin, round(lo + bin * (hi - lo) / bins, 4) AS bin_low,
            round(lo + (bin + 1) * (hi - lo) / bins, 4) AS bin_high, count(c_acctbal) AS count
     FROM (SELECT lo, hi, bins, unnest(range(bins::BIGINT)) AS bin FROM b)
     LEFT JOIN customer
@@ -358,7 +360,7 @@ def histogram_by_group(spark, sf):
 )
 def histogram_auto(spark, sf):
     customers = StarSchema(spark, sf).raw("customer")
-    found = explore.distribution(customers, "hist", "c_acctbal")
+    found = explore.histogram(customers, "c_acctbal", empty=True)
     return found.withColumns({c: F.round(c, 4) for c in ("bin_low", "bin_high")})
 
 
@@ -367,7 +369,6 @@ def histogram_auto(spark, sf):
     bound_sql(
         HIST_SQL.format(
             hue="", v="total", low="0", high="5000000", bins="20", width="250000", table="totals",
-            frame="(SELECT unnest(range(20)) AS bin)",
         ),
         "loan_assign",
         more="""totals AS (SELECT nid_hash, sum(loan_amount) AS total
@@ -380,6 +381,13 @@ def loan_sum_histogram(spark, sf):
     return found.withColumns({c: F.round(c, 4) for c in ("bin_low", "bin_high")})
 
 
+@query("x4_histogram_sums", HIST_SUM_SQL.format(v="value", table="events"))
+def histogram_sums(spark, sf):
+    """Limits well inside the data: what lies beyond them is still counted."""
+    found = explore.histogram(StarSchema(spark, sf).raw("events"), "value", 7, low=10.0, high=50.0)
+    return found.agg(F.sum("count").alias("n"))
+
+
 # The same binned kernel sum, each bin reaching every grid point.
 KDE_SQL = """WITH g AS (
         SELECT {hue} count(*) AS n, min({v}) AS lo, max({v}) AS hi,

@@ -333,30 +333,90 @@ def _trained(spark, sf, name="lr"):
     return PipelineModel([*features.stages, classifier(name).fit(vectors)]), rows
 
 
+# What must hold for every subscriber of the label query.
+FACTS_SQL = bound_sql(
+    "SELECT bib_id, 1 AS in_range, 1 AS by_half, 1 AS of_classes FROM label",
+    "package", "recharge", "activity", "label",
+)
+
+
+def _facts(scored: DataFrame) -> DataFrame:
+    """Per subscriber: probability in [0, 1], prediction by its half, prediction 0 or 1."""
+    p, found = F.col("probability"), F.col("prediction")
+    return scored.select(
+        "bib_id",
+        p.between(0, 1).cast("int").alias("in_range"),
+        (found == F.when(p > 0.5, 1.0).otherwise(0.0)).cast("int").alias("by_half"),
+        found.isin(0.0, 1.0).cast("int").alias("of_classes"),
+    )
+
+
 def _scored(name):
     def run(spark, sf):
         model, rows = _trained(spark, sf, name)
-        return score(model, rows, probability=True)
+        return _facts(score(model, rows, probability=True))
 
     return run
 
 
-query("k1_random_forest")(_scored("rf"))
-query("k2_logistic_regression")(_scored("lr"))
-query("k3_gradient_boosted_trees")(_scored("gbt"))
+query("k1_random_forest", FACTS_SQL)(_scored("rf"))
+query("k2_logistic_regression", FACTS_SQL)(_scored("lr"))
+query("k3_gradient_boosted_trees", FACTS_SQL)(_scored("gbt"))
 
 
-@query("k4_k5_tuned_grid")
-def tuned_grid(spark, sf):
-    """Mean metric of each grid point over three folds."""
+@query("k2_score_equations", "SELECT 25 AS slots, 25 AS near_zero")
+def score_equations(spark, sf):
+    """Without a penalty, sums of (probability - label) times each feature vanish at the fit."""
     rows = materialize(dataset(spark, sf), "dataset")
     vectors = materialize(apply_features(fit_features(rows), rows), "vectors")
-    estimator = classifier("lr")
-    grid = param_grid(estimator, {"regParam": [0.01, 0.1, 0.5]})
-    tuned = tune(estimator, vectors, "auc", grid)
-    return grid_scores(tuned, "auc").select(
-        F.col("params")["regParam"].alias("reg_param"), "metric", F.round("score", 6).alias("score")
+    fitted = classifier("lr").setMaxIter(500).setTol(1e-12).fit(vectors)
+    wide = spread_features(
+        fitted.transform(vectors).select(
+            "label", "FEATURES", vector_to_array("probability")[1].alias("p")
+        ), 25,
     )
+    gap = F.col("p") - F.col("label")
+    names = [f"f{i:02d}" for i in range(25)]
+    sums = wide.agg(
+        F.count(F.lit(1)).alias("n"), *(F.sum(gap * F.col(c)).alias(c) for c in names)
+    )
+    near = sum(((F.abs(c) < 1e-3 * F.col("n")).cast("int") for c in map(F.col, names)), F.lit(0))
+    return sums.select(F.lit(25).alias("slots"), near.alias("near_zero"))
+
+
+# Labelled rows that a tuning query fits on at most; the grid is never cut.
+TUNED_ROWS = 400
+GRID_SQL = "SELECT 9 AS points, 9 AS in_range, 9 AS named, 1 AS best_is_largest"
+
+
+def _tuned(name):
+    def run(spark, sf):
+        """The whole grid over three folds: its points and scores, and which one was refitted."""
+        rows = materialize(dataset(spark, sf), "dataset")
+        vectors = apply_features(fit_features(rows), rows)
+        vectors = materialize(vectors.orderBy(F.xxhash64("bib_id")).limit(TUNED_ROWS), "vectors")
+        estimator = classifier(name)
+        tuned = tune(estimator, vectors, "auc", param_grid(estimator))
+        scores = grid_scores(tuned, "auc")
+        best = max(tuned.avgMetrics)
+        chosen = tuned.getEstimatorParamMaps()[tuned.avgMetrics.index(best)]
+        used = all(
+            tuned.bestModel.getOrDefault(tuned.bestModel.getParam(p.name)) == v
+            for p, v in chosen.items()
+        )
+        return scores.agg(
+            F.count(F.lit(1)).cast("int").alias("points"),
+            F.count_if(F.col("score").between(0, 1)).cast("int").alias("in_range"),
+            F.count_distinct(F.to_json("params")).cast("int").alias("named"),
+            F.lit(int(used)).alias("best_is_largest"),
+        )
+
+    return run
+
+
+query("k4_k5_tuned_grid", GRID_SQL)(_tuned("lr"))
+query("k4_k5_tuned_grid_of_forests", GRID_SQL)(_tuned("rf"))
+query("k4_k5_tuned_grid_of_boosted_trees", GRID_SQL)(_tuned("gbt"))
 
 
 RULE = """rule AS (SELECT label, CASE WHEN "CountPackage" < 2 THEN 1 ELSE 0 END AS prediction,
@@ -410,7 +470,35 @@ def rule_auc(spark, sf):
     return area_under_roc(rows).select(F.round("auc", 6).alias("auc"))
 
 
-@query("k7_evaluated_model")
+# Metrics in plain SQL over predictions.
+PLAIN_METRICS = """
+    WITH k AS (SELECT CAST(c AS DOUBLE) AS c FROM VALUES (0), (1) AS t(c)),
+    s AS (SELECT c, count_if(label = c) AS support, count_if(prediction = c) AS predicted,
+                 count_if(label = c AND prediction = c) AS tp FROM k CROSS JOIN {rows} GROUP BY c),
+    r AS (SELECT label, avg(rank) AS rank, count(*) AS n FROM (
+            SELECT label, avg(n) OVER (PARTITION BY probability) AS rank FROM (
+                SELECT label, probability, row_number() OVER (ORDER BY probability) AS n
+                FROM {rows})) GROUP BY label)
+    SELECT 'accuracy' AS metric, sum(tp) / sum(support) AS plain FROM s
+    UNION ALL SELECT 'f1', sum(support * coalesce(2 * tp / (support + predicted), 0)) / sum(support) FROM s
+    UNION ALL SELECT 'precision', sum(support * coalesce(tp / nullif(predicted, 0), 0)) / sum(support) FROM s
+    UNION ALL SELECT 'recall', sum(support * coalesce(tp / nullif(support, 0), 0)) / sum(support) FROM s
+    UNION ALL SELECT 'auc', (max(CASE WHEN label = 1 THEN rank END)
+                             - (max(CASE WHEN label = 1 THEN n END) + 1) / 2)
+                            / max(CASE WHEN label = 0 THEN n END) FROM r"""
+METRICS_SQL = " UNION ALL ".join(
+    f"SELECT '{m}' AS metric, 1 AS equal" for m in ("accuracy", "f1", "precision", "recall", "auc")
+)
+
+
+def _equal_to_plain(metrics: DataFrame, predictions: DataFrame) -> DataFrame:
+    """Per metric, whether it is what plain SQL gives for the predictions."""
+    plain = predictions.sparkSession.sql(PLAIN_METRICS.format(rows="{rows}"), rows=predictions)
+    near = F.abs(F.col("value") - F.col("plain")) < 1e-9
+    return metrics.join(plain, "metric", "full").select("metric", near.cast("int").alias("equal"))
+
+
+@query("k7_evaluated_model", METRICS_SQL)
 def evaluated(spark, sf):
     """Fitted on the train quarter, measured on the next one."""
     rows = materialize(split_dataset(spark, sf), "splits")
@@ -420,7 +508,8 @@ def evaluated(spark, sf):
     model = PipelineModel([*features.stages, classifier("lr").fit(vectors)])
     later = rows.where(F.col("split") == "eval")
     predictions = score(model, later, ("bib_id", "label"), probability=True)
-    return evaluate(materialize(predictions, "evaluated"))
+    predictions = materialize(predictions, "evaluated")
+    return _equal_to_plain(evaluate(predictions), predictions)
 
 
 SAME_SQL = bound_sql(
@@ -462,7 +551,14 @@ def predictions_sink(spark, sf):
     return per_key.agg(F.sum("n").alias("n_rows"), F.count("bib_id").alias("subscribers"))
 
 
-@query("k10_scored_subscribers")
+@query(
+    "k10_scored_subscribers",
+    bound_sql(
+        """SELECT DISTINCT bib_id, 1 AS in_range, 1 AS by_half, 1 AS of_classes FROM activity
+           WHERE ts >= TIMESTAMP '1996-07-01' AND ts < TIMESTAMP '1996-10-01'""",
+        "package", "recharge", "activity",
+    ),
+)
 def scored(spark, sf):
     """Fitted on the train quarter, applied to the raw rows of the unlabelled one."""
     rows = materialize(split_dataset(spark, sf), "splits")
@@ -470,7 +566,7 @@ def scored(spark, sf):
     features = fit_features(train)
     vectors = materialize(apply_features(features, train), "vectors")
     model = PipelineModel([*features.stages, classifier("rf").fit(vectors)])
-    return score(model, rows.where(F.col("split") == "test"), probability=True)
+    return _facts(score(model, rows.where(F.col("split") == "test"), probability=True))
 
 
 def _quarters(spark: SparkSession, sf: str):
@@ -497,16 +593,34 @@ def preprocessed(spark, sf):
     return spread_features(vectors, 25, digits=6)
 
 
-@query("k8_k9_k11_train_evaluate_score_jobs")
+JOBS_SQL = bound_sql(
+    f"""SELECT DISTINCT bib_id, 1 AS same, 1 AS trained, 5 AS equal_metrics FROM activity
+        WHERE ts >= TIMESTAMP '1996-07-01' AND ts < TIMESTAMP '1996-10-01'""",
+    "package", "recharge", "activity",
+)
+
+
+@query("k8_k9_k11_train_evaluate_score_jobs", JOBS_SQL)
 def train_evaluate_score(spark, sf):
-    """Predictions of the last quarter next to the f1 of the quarter before."""
+    """Predictions of the last quarter against batch scores, and checks of the metrics."""
     lake, months = _quarters(spark, sf)
-    train_job(spark, lake, months[0], "gbt", "f1", {"maxIter": [2, 5]})
-    metrics = evaluate_job(spark, lake, months[1], "gbt", "f1")
-    score_job(spark, lake, months[2], "gbt", "f1")
-    f1 = metrics.where("metric = 'f1'").select("value").scalar()
-    predictions = read_table(spark, lake.result_path("predictions/gbt__f1"))
-    return predictions.select("bib_id", "prediction", f1.alias("eval_f1"))
+    on_train = train_job(spark, lake, months[0], "lr", "f1")
+    metrics = evaluate_job(spark, lake, months[1], "lr", "f1")
+    score_job(spark, lake, months[2], "lr", "f1")
+    rows = read_table(spark, lake.result_path("dataset"))
+    model = load_model(lake.model_path("lr", "f1"))
+    later = rows.where(F.col(MONTH) == months[1])
+    labelled = materialize(score(model, later, ("bib_id", "label"), probability=True), "evaluated")
+    equal = _equal_to_plain(metrics, labelled).agg(F.sum("equal")).first()[0]
+    batch = score(model, rows.where(F.col(MONTH) == months[2]), probability=True)
+    written = read_table(spark, lake.result_path("predictions/lr__f1"))
+    joined = written.alias("a").join(batch.alias("b"), "bib_id", "full")
+    same = F.col("a.prediction").eqNullSafe(F.col("b.prediction"))
+    return joined.select(
+        "bib_id", same.cast("int").alias("same"),
+        F.lit(int(on_train is not None and 0 <= on_train <= 1)).alias("trained"),
+        F.lit(int(equal)).alias("equal_metrics"),
+    )
 
 
 @query("z1_stream_scores_like_batch", SAME_SQL)

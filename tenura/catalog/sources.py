@@ -21,7 +21,6 @@ from tenura.sources.lake import MONTH, Lake, ingest, load_activity, load_months
 from tenura.sources.parquet import read_table, write_table
 from tenura.sources.shared import new_path
 
-YEARS = [str(year) for year in range(1995, 2002)]
 ALL = "all"
 
 
@@ -43,8 +42,13 @@ def with_month(df: DataFrame, table: str, month=F.year) -> DataFrame:
     return df.withColumn(MONTH, month(PERIOD_COLUMN[table]).cast("string"))
 
 
-def months_of(table: str) -> list[str]:
-    return YEARS if table in PERIOD_COLUMN else [ALL]
+def months_of(table: str, df: DataFrame) -> list[str]:
+    """The years of a table's rows, or the single period of an undated one."""
+    if table not in PERIOD_COLUMN:
+        return [ALL]
+    at = PERIOD_COLUMN[table]
+    first, last = df.agg(F.year(F.min(at)), F.year(F.max(at))).first()
+    return [] if first is None else [str(year) for year in range(first, last + 1)]
 
 
 def build_lake(spark: SparkSession, sf: str, tables=TABLES, month=F.year) -> Lake:
@@ -157,7 +161,7 @@ def csv_to_parquet(spark, sf):
     lake = Lake(root, landing="{root}/landing/{table}/month={month}")
     found = None
     for table, df in StarSchema(spark, sf).tables().items():
-        months = months_of(table)
+        months = months_of(table, df)
         text = landing_text(df, table)
         if table in PERIOD_COLUMN:
             text = text.withColumn(MONTH, F.substring(PERIOD_COLUMN[table], 1, 4))
@@ -173,6 +177,36 @@ def csv_to_parquet(spark, sf):
     return found
 
 
+@query(
+    "s4_s5_month_that_becomes_empty",
+    bound_sql(
+        """SELECT CAST(year(recharge_dt) AS VARCHAR) AS month, count(*) AS n_rows FROM recharge
+           WHERE year(recharge_dt) <> 1996 GROUP BY ALL
+           UNION ALL SELECT '1996', 0""",
+        "recharge",
+    ),
+)
+def emptied_month(spark, sf):
+    """Ingested, then ingested anew for one year whose file has no rows any more."""
+    lake = Lake(new_path(spark, "lake"), landing="{root}/landing/{table}/{month}")
+    recharge = StarSchema(spark, sf).recharge()
+    text = landing_text(recharge, "recharge").withColumn(MONTH, F.substring("recharge_dt", 1, 4))
+    months = months_of("recharge", recharge)
+    for month in months:
+        rows = text.where(F.col(MONTH) == month).drop(MONTH)
+        rows.write.csv(lake.csv_path("recharge", month), header=True)
+    ingest(spark, lake, months, ["recharge"])
+    nothing = text.where("false").drop(MONTH).coalesce(1)
+    nothing.write.mode("overwrite").csv(lake.csv_path("recharge", "1996"), header=True)
+    ingest(spark, lake, ["1996"], ["recharge"])
+    loaded = load_months(spark, lake, months, ["recharge"])["recharge"]
+    counts = loaded.groupBy(MONTH).agg(F.count(F.lit(1)).alias("n_rows"))
+    named = spark.createDataFrame([(m,) for m in months], f"{MONTH} string")
+    return named.join(counts, MONTH, "left").select(
+        MONTH, F.coalesce("n_rows", F.lit(0)).alias("n_rows")
+    )
+
+
 @query(
     "s6_tables_of_one_month",
     bound_sql(

@@ -32,6 +32,17 @@ def null_key_count(df: DataFrame, keys: Sequence[str] = (KEY,)) -> DataFrame:
     return df.agg(F.count_if(_null_key(keys)).alias("null_keys"))
 
 
+def null_key_counts(
+    tables: Mapping[str, DataFrame], keys: Sequence[str] = (KEY,)
+) -> DataFrame:
+    """Rows of each table that ``with_keys`` leaves out: table, null_keys."""
+    counts = [
+        null_key_count(df, keys).select(F.lit(name).alias("table"), "null_keys")
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def activity_rows(
     sources: Sequence[tuple[DataFrame, str]], keys: Sequence[str] = (KEY,)
 ) -> DataFrame:
@@ -113,7 +124,8 @@ def churn_labels(
 ) -> DataFrame:
     """Labels of every month that has a next one in the ordered list, in one pass.
 
-    A row counts as current for its own month and as following for the month before.
+    A row counts as current for its own month and as following for the month before. Rows
+    of months that aren't in the list take no part.
     """
     if len(months) < 2:
         raise ValueError("labels need at least two consecutive months")

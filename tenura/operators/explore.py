@@ -13,12 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenura.operators.skew import (
-    HOT_JOIN_ROWS,
     HOT_ROWS,
     Quantile,
     grouped_quantiles,
     join_small,
-    semi_join,
 )
 from tenura.sources.shared import cut_lineage
 
@@ -102,11 +100,9 @@ def recovery_per_loan(assign: DataFrame, recovery: DataFrame) -> DataFrame:
     return sums.join(assign.select("loan_id").distinct(), "loan_id", "left_semi")
 
 
-def recovered_rows(
-    assign: DataFrame, recovery: DataFrame, hot_rows: int = HOT_JOIN_ROWS
-) -> DataFrame:
-    """Recovery rows of assigned loans."""
-    return semi_join(recovery, assign, ["loan_id"], hot_rows)
+def recovered_rows(assign: DataFrame, recovery: DataFrame) -> DataFrame:
+    """Recovery rows of assigned loans. Adaptive execution splits the rows of a hot loan."""
+    return recovery.join(assign.select("loan_id"), "loan_id", "left_semi")
 
 
 def common_values(left: DataFrame, right: DataFrame, col: str) -> DataFrame:
@@ -179,7 +175,8 @@ def box(
 ) -> DataFrame:
     """Quartiles, whiskers within 1.5 IQR of the box, and the number of points beyond."""
     groups = _groups(hue)
-    rows = df.where(F.col(x).isNotNull()).select(*groups, F.col(x).cast("double").alias("v"))
+    value = F.nanvl(F.col(x).cast("double"), F.lit(None)).alias("v")
+    rows = df.select(*groups, value).where(F.col("v").isNotNull())
     quartiles = {"q1": Quantile("v", 0.25), "median": Quantile("v"), "q3": Quantile("v", 0.75)}
     stats = grouped_quantiles(
         rows, groups, quartiles, {"n": F.count(F.lit(1))}, hot_rows=hot_rows
@@ -215,17 +212,20 @@ def histogram(
     high: float | None = None,
     hue: Hue = None,
     hot_rows: int = HOT_ROWS,
+    empty: bool = False,
 ) -> DataFrame:
-    """Counts in equal bins over [low, high], the last one closed, empty ones included.
+    """Counts in equal bins over [low, high], the last one closed; bins from 0.
 
     Missing limits are the extremes of the data, a missing number of bins is chosen from
-    it. Values outside stated limits are left out, as are null and NaN. Groups of hue
-    share the bins.
+    it. Values below stated limits are counted in bin -1 (bin_low null), those above in bin
+    ``bins`` (bin_high null), so the counts add up to the values; null and NaN are missing.
+    Only bins with values are rows, unless ``empty`` ones of [low, high] are asked for.
+    Groups of hue share the bins.
     """
     groups = _groups(hue)
     v = F.col("v")
-    rows = df.select(*groups, F.col(x).cast("double").alias("v")).where(
-        v.isNotNull() & ~F.isnan(v)
+    rows = df.select(*groups, F.nanvl(F.col(x).cast("double"), F.lit(None)).alias("v")).where(
+        v.isNotNull()
     )
     limits = {"low": F.min("v"), "high": F.max("v"), "n": F.count(F.lit(1))}
     if bins is None:
@@ -237,36 +237,40 @@ def histogram(
         low = found["low"]
     if high is None:
         high = found["high"]
-    if bins is None:
-        bins = _auto_bins(found["n"], low, high, (found["q3"] or 0) - (found["q1"] or 0))
     if low is None or high is None:
         low, high = 0.0, 1.0  # no rows
+    if bins is None:
+        bins = _auto_bins(found["n"], low, high, (found["q3"] or 0) - (found["q1"] or 0))
     if low == high:
         low, high = low - 0.5, high + 0.5
     width = (high - low) / bins
-    place = F.floor((v - F.lit(low)) / F.lit(high - low) * bins).cast("int")
+    place = F.floor((v - F.lit(low)) / F.lit(high - low) * bins)
     place = F.least(place, F.lit(bins - 1))
-    counts = (
-        rows.where((v >= low) & (v <= high))
-        .groupBy(*groups, place.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("count"))
+    place = F.when(v < low, -1).when(v > high, bins).otherwise(place).cast("long")
+    counts = rows.groupBy(*groups, place.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    if empty:
+        counts = _with_empty_bins(counts, groups, bins)
+    bin_ = F.col("bin")
+    start = F.lit(low) + bin_ * F.lit(width)
+    return counts.select(
+        *groups,
+        "bin",
+        F.when(bin_ >= 0, start).alias("bin_low"),
+        F.when(bin_ < bins, start + F.lit(width)).alias("bin_high"),
+        "count",
     )
-    all_bins = F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
+
+
+def _with_empty_bins(counts: DataFrame, groups: list[str], bins: int) -> DataFrame:
+    """Rows for all bins from 0 to ``bins - 1`` of each group, with count 0 where none are."""
+    numbers = counts.sparkSession.range(bins).select(F.col("id").alias("bin"))
+    zero = numbers.withColumn("count", F.lit(0).cast("long"))
     if groups:
-        frame = counts.select(*groups).distinct().select(*groups, all_bins)
-    else:
-        frame = df.sparkSession.range(1).select(all_bins)
-    match = F.col("c.bin") == F.col("f.bin")
-    for g in groups:
-        match &= F.col(f"c.{g}").eqNullSafe(F.col(f"f.{g}"))
-    start = F.lit(low) + F.col("f.bin") * F.lit(width)
-    return frame.alias("f").join(counts.alias("c"), match, "left").select(
-        *(f"f.{g}" for g in groups),
-        F.col("f.bin").alias("bin"),
-        start.alias("bin_low"),
-        (start + F.lit(width)).alias("bin_high"),
-        F.coalesce(F.col("c.count"), F.lit(0)).alias("count"),
-    )
+        # The groups are counted before they are broadcast.
+        names = cut_lineage(counts.select(*groups).distinct()).withColumn("_one", F.lit(1))
+        zero = join_small(zero.withColumn("_one", F.lit(1)), names, ["_one"]).drop("_one")
+    both = counts.unionByName(zero.select(counts.columns))
+    return both.groupBy(*groups, "bin").agg(F.sum("count").alias("count"))
 
 
 def kde(
@@ -282,10 +286,13 @@ def kde(
     Rows are first combined into bins much narrower than the bandwidth, each standing at
     the mean of its values; a bin reaches only the grid points within eight bandwidths.
     So the kernel work depends on the range and the grid, not on the number of rows.
-    Densities of several groups add up to one, as shares of all rows.
+    Densities of several groups add up to one, as shares of all rows. A group without
+    spread has no density: one row, point 0 at its value (or null without values), whose
+    density is null. Null and NaN are missing.
     """
     groups = _groups(hue)
-    rows = df.where(F.col(x).isNotNull()).select(*groups, F.col(x).cast("double").alias("v"))
+    value = F.nanvl(F.col(x).cast("double"), F.lit(None)).alias("v")
+    rows = df.select(*groups, value).where(F.col("v").isNotNull())
     bandwidth = F.stddev_samp("v") * F.pow(F.count(F.lit(1)).cast("double"), F.lit(-0.2))
     sizes = cut_lineage(
         rows.groupBy(*groups).agg(
@@ -329,12 +336,17 @@ def kde(
     match = F.col("m.point") == F.col("f.point")
     for g in groups:
         match &= F.col(f"m.{g}").eqNullSafe(F.col(f"f.{g}"))
-    return frame.alias("f").join(mass.alias("m"), match, "left").select(
+    spread_out = frame.alias("f").join(mass.alias("m"), match, "left").select(
         *(F.col(f"f.{g}") for g in groups),
         F.col("f.point").alias("point"),
         (F.col("start") + F.col("f.point") * F.col("step")).alias("x"),
         (F.coalesce(F.col("mass"), F.lit(0.0)) / scale).alias("density"),
     )
+    single = sizes.where((F.col("n") > 0) & ~F.coalesce(F.col("bw") > 0, F.lit(False))).select(
+        *groups, F.lit(0).alias("point"), F.col("low").alias("x"),
+        F.lit(None).cast("double").alias("density"),
+    )
+    return spread_out.unionByName(single)
 
 
 def violin(df: DataFrame, x: str, hue: Hue = None, grid: int = 200) -> DataFrame:
@@ -345,10 +357,12 @@ def violin(df: DataFrame, x: str, hue: Hue = None, grid: int = 200) -> DataFrame
 def distribution(
     df: DataFrame, kind: str, x: str, y: str | None = None, hue: Hue = None
 ) -> DataFrame:
-    """The data of one plot kind. Box and violin with y show y for each value of x."""
+    """The data of one plot kind. All but count and line show y, if given, for each x."""
     if kind not in PLOT_KINDS:
         raise ValueError(f"kind must be one of {PLOT_KINDS}, not {kind!r}")
     if kind == "count":
+        if y is not None:
+            raise ValueError("a count takes no y")
         return value_counts(df, x, *_groups(hue))
     if kind == "line":
         if y is None:
@@ -358,7 +372,7 @@ def distribution(
         make = box if kind == "box" else violin
         return make(df, y, [x, *_groups(hue)]) if y else make(df, x, hue)
     make = histogram if kind == "hist" else kde
-    return make(df, x, hue=hue)
+    return make(df, y, hue=[x, *_groups(hue)]) if y else make(df, x, hue=hue)
 
 
 def person_loan_histogram(assign: DataFrame, bins: int | None = None, **limits) -> DataFrame:

@@ -94,16 +94,18 @@ def user_attributes(
 ) -> DataFrame:
     """Age, registration year and account attributes, one row per key.
 
-    Of several rows for one key the smallest is kept, so that reruns agree.
+    Of several rows for one key one with the fewest nulls is kept, the smallest of these, so
+    that reruns agree.
     """
     age = F.datediff(F.lit(as_of), F.col("date_of_birth_d")) / DAYS_PER_YEAR
     rows = with_keys(user, keys).withColumns(
         {"age": age, "registration_year": F.year("registration_date_d")}
     )
+    nulls = sum((F.col(c).isNull().cast("int") for c in USER_FEATURES), F.lit(0)).alias("nulls")
     return (
         rows.groupBy(*keys)
-        .agg(F.min(F.struct(*USER_FEATURES)).alias("attributes"))
-        .select(*keys, "attributes.*")
+        .agg(F.min(F.struct(nulls, *USER_FEATURES)).alias("attributes"))
+        .select(*keys, *(f"attributes.{c}" for c in USER_FEATURES))
     )
 
 

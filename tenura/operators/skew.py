@@ -3,11 +3,14 @@
 A group with more than ``hot_rows`` rows is never gathered in one task. Quantiles of
 ordinary groups are plain grouped aggregates. Those of hot groups take two more passes
 over the hot rows, both combined on the map side: a mergeable sketch brackets every
-wanted rank, then the rows inside the brackets are counted per distinct value.
+wanted rank, then the rows inside the brackets are counted per distinct value. Quantiles of
+a whole table are found by counting rows in bins and descending into the bins that hold the
+wanted ranks, so no task and no sketch holds more than the bins.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -22,8 +25,9 @@ HOT_ROWS = 200_000
 # Rows of a group of that size in the sample that hot groups are looked for in.
 SAMPLED_ROWS_OF_HOT = 2_000
 SEED = 11
-# A join takes more rows of one key than an aggregate's buffer does.
-HOT_JOIN_ROWS = 5_000_000
+# Bins of a pass for a whole table's quantiles, and values that are counted one by one.
+RANK_BINS = 1024
+RANK_VALUES = 1000
 # A table with at most this many rows may be broadcast.
 BROADCAST_ROWS = 20_000
 # Copies of the small side in a salted join when it is too long to broadcast.
@@ -122,29 +126,6 @@ def _with_constants(rows: DataFrame, single: DataFrame) -> DataFrame:
     return rows.withColumns({f.name: F.lit(row[f.name]).cast(f.dataType) for f in single.schema})
 
 
-def semi_join(
-    rows: DataFrame,
-    matches: DataFrame,
-    keys: Sequence[str],
-    hot_rows: int = HOT_JOIN_ROWS,
-) -> DataFrame:
-    """Rows whose keys occur in ``matches``. Rows of hot keys are not shuffled.
-
-    The hot keys of ``rows`` are found first; whether each occurs in ``matches`` is
-    settled per key, and its rows then only meet that short list.
-    """
-    present = matches.select(*keys).distinct()
-    hot = count_hot_groups({"rows": rows}, keys, hot_rows)["rows"]
-    if not hot.count:
-        return rows.join(present, list(keys), "left_semi")
-    hot_keys = hot.rows
-    cold = join_small(rows, hot_keys, keys, "left_anti", hot.count)
-    found = hot_keys.join(present, list(keys), "left_semi")
-    return cold.join(present, list(keys), "left_semi").unionByName(
-        join_small(rows, found, keys, "left_semi", hot.count)
-    )
-
-
 @dataclass(frozen=True)
 class Quantile:
     """A wanted quantile of a numeric column: interpolated, or the observed value."""
@@ -180,18 +161,20 @@ def grouped_quantiles(
     """Exact quantiles and other aggregates per group, one row per group.
 
     ``aggregates`` must combine on the map side (count, sum, min, max, average). With no
-    keys the whole table is one group. Null values are ignored; a group without values
-    has null quantiles.
+    keys the whole table is one group. Null and NaN values are missing: ignored in the
+    columns of the quantiles, also by ``aggregates``; a group without values has null
+    quantiles.
 
     ``df`` should hold no columns beyond those used.
     """
     aggregates = {name: agg.alias(name) for name, agg in (aggregates or {}).items()}
     plain = [q.aggregate().alias(name) for name, q in quantiles.items()] + [*aggregates.values()]
     names = [*keys, *quantiles, *aggregates]
+    floats = {f.name for f in df.schema if f.dataType.typeName() in ("double", "float")}
+    columns = {q.col for q in quantiles.values()} & floats - set(keys)
+    df = df.withColumns({c: F.nanvl(c, F.lit(None)) for c in sorted(columns)})
     if not keys:
-        if df.count() <= hot_rows:
-            return df.agg(*plain)
-        return _hot_groups(df, [], quantiles, aggregates, 1).select(names)
+        return _whole_table(df, quantiles, aggregates)
 
     if hot is None:
         hot = count_hot_groups({"rows": df}, keys, hot_rows)["rows"]
@@ -206,6 +189,91 @@ def grouped_quantiles(
     return cold.select(names).unionByName(exact.select(names))
 
 
+def _bins(v: Column, low: float, high: float) -> Column:
+    """Number of the bin of v in [low, high]: rises with v."""
+    if math.isinf(low) or math.isinf(high):
+        return F.when(v == low, 0).when(v == high, 2).otherwise(1)
+    half = high / 2 - low / 2  # high - low may be beyond a double
+    place = F.floor((v / 2 - F.lit(low / 2)) / F.lit(half) * RANK_BINS)
+    return F.least(place, F.lit(RANK_BINS - 1)).cast("int")
+
+
+def _whole_table(
+    df: DataFrame, quantiles: Mapping[str, Quantile], aggregates: Mapping[str, Column]
+) -> DataFrame:
+    """One row of exact quantiles and aggregates of all rows.
+
+    Each pass counts the rows of every sought interval in RANK_BINS bins, combined on the
+    map side, and goes on with the one bin that holds the rank. Once an interval has few
+    rows, their values are counted. So the driver sees a bounded number of counts, and the
+    number of passes grows with the logarithm of the rows.
+    """
+    cols = list(dict.fromkeys(q.col for q in quantiles.values()))
+    values = df.select(*(F.col(c).cast("double").alias(f"v{j}") for j, c in enumerate(cols)))
+    limits = [
+        agg for j, c in enumerate(cols) for v in [F.col(c).cast("double")]
+        for agg in (F.count(v).alias(f"n{j}"), F.min(v).alias(f"lo{j}"), F.max(v).alias(f"hi{j}"))
+    ]
+    summary = df.agg(*limits, *aggregates.values())
+    found = summary.first()
+
+    ranks = {}
+    for name, q in quantiles.items():
+        j = cols.index(q.col)
+        n = found[f"n{j}"]
+        if n:
+            at = q.p * (n - 1) if q.interpolate else max(math.ceil(q.p * n) - 1, 0)
+            ranks[name] = (j, math.floor(at), math.ceil(at), at - math.floor(at))
+    # For each sought (column, rank): rows below, rows inside, smallest and largest inside.
+    spans = {
+        (j, rank): (0, found[f"n{j}"], found[f"lo{j}"], found[f"hi{j}"])
+        for j, low, high, _ in ranks.values() for rank in (low, high)
+    }
+
+    def counted(open_: list, place) -> dict:
+        """Rows of each sought interval by their place, with least and largest value."""
+        tagged = []
+        for t, (j, rank) in enumerate(open_):
+            _, _, low, high = spans[j, rank]
+            v = F.col(f"v{j}")
+            one = F.struct(F.lit(t).alias("t"), place(v, low, high).alias("place"), v.alias("v"))
+            tagged.append(F.when(v.between(low, high), one))
+        rows = values.select(F.inline(F.array_compact(F.array(*tagged)))).groupBy("t", "place").agg(
+            F.count(F.lit(1)).alias("rows"), F.min("v").alias("low"), F.max("v").alias("high")
+        )
+        parts: dict = {key: [] for key in open_}
+        for r in rows.collect():
+            parts[open_[r["t"]]].append((r["low"], r["high"], r["rows"]))
+        return {key: sorted(p) for key, p in parts.items()}
+
+    def descend(parts: dict) -> None:
+        for (j, rank), bins in parts.items():
+            below = spans[j, rank][0]
+            for low, high, rows in bins:
+                if rank < below + rows:
+                    spans[j, rank] = (below, rows, low, high)
+                    break
+                below += rows
+
+    while open_ := [k for k, (_, n, low, high) in spans.items() if n > RANK_VALUES and low < high]:
+        descend(counted(open_, _bins))
+    if last := [k for k, (_, _, low, high) in spans.items() if low < high]:
+        descend(counted(last, lambda v, low, high: v))
+
+    row = {}
+    for name in quantiles:
+        row[name] = None
+        if name in ranks:
+            j, low, high, weight = ranks[name]
+            a, b = spans[j, low][2], spans[j, high][2]
+            row[name] = a if weight == 0 else a * (1 - weight) + b * weight
+    kinds = {f.name: f.dataType for f in summary.schema}
+    return df.sparkSession.range(1).select(
+        *(F.lit(v).cast("double").alias(n) for n, v in row.items()),
+        *(F.lit(found[n]).cast(kinds[n]).alias(n) for n in aggregates),
+    )
+
+
 def _hot_groups(
     rows: DataFrame,
     keys: Sequence[str],

@@ -75,11 +75,11 @@ def _literal(value: object) -> str:
 def log_stage(
     cols: Sequence[str], upper_limits: Mapping[str, float] | None = None, on_invalid: str = "null"
 ) -> SQLTransformer:
-    """ln(1 + x) of each column, after capping, as ``<name>_log``."""
+    """ln(1 + x) of each column, after capping, as ``<name>_log``. NaN is missing."""
     upper_limits = upper_limits or {}
     sql = {}
     for c in cols:
-        value = f"`{c}`"
+        value = f"nanvl(CAST(`{c}` AS DOUBLE), NULL)"
         if c in upper_limits:
             limit = _number(upper_limits[c])
             value = f"CASE WHEN {value} > {limit} THEN {limit} ELSE {value} END"
@@ -124,10 +124,12 @@ def fit_modes(train: DataFrame, cols: Sequence[str]) -> dict:
 
 
 def fill_stage(values: Mapping[str, object], suffix: str = "_filled") -> SQLTransformer:
-    """Stage that replaces nulls by fitted values, as ``<name><suffix>``."""
-    return add_columns(
-        {f"{c}{suffix}": f"coalesce(`{c}`, {_literal(v)})" for c, v in values.items()}
-    )
+    """Stage that replaces nulls by fitted values, as ``<name><suffix>``; NaN by numbers too."""
+    sql = {}
+    for c, v in values.items():
+        column = f"nanvl(`{c}`, NULL)" if isinstance(v, float) else f"`{c}`"
+        sql[f"{c}{suffix}"] = f"coalesce({column}, {_literal(v)})"
+    return add_columns(sql)
 
 
 def robust_stage(ranges: Mapping[str, float], suffix: str = "_robust") -> SQLTransformer:

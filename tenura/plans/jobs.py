@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tenura.operators.activity import (
     GAP_DAYS,
     churn_labels,
+    null_key_counts,
     package_recharge_activity,
     scoring_population,
 )
@@ -26,6 +27,7 @@ from tenura.plans.feature_plan import FEATURES, LABEL, FeatureRecipe, apply_feat
 from tenura.plans.models import (
     classifier,
     evaluate,
+    evaluator,
     load_model,
     param_grid,
     save_model,
@@ -34,7 +36,7 @@ from tenura.plans.models import (
 )
 from tenura.schemas import KEY
 from tenura.sources.lake import MONTH, Lake, ingest, load_activity, load_months
-from tenura.sources.parquet import path_exists, read_table, write_table
+from tenura.sources.parquet import is_complete, mark_complete, read_table, write_table
 from tenura.sources.shared import materialize
 
 MONTH_KEYS = (MONTH, KEY)
@@ -46,24 +48,41 @@ def ingest_job(spark: SparkSession, lake: Lake, months: Sequence[str]) -> None:
 
 def label_job(
     spark: SparkSession, lake: Lake, months: Sequence[str], gap_days: int = GAP_DAYS
-) -> None:
-    """Labels of every month but the last."""
+) -> DataFrame:
+    """Labels of every month but the last. Returns the rows of each table without a key."""
     tables = load_activity(spark, lake, months)
     activity = package_recharge_activity(tables["package"], tables["recharge"], MONTH_KEYS)
     labels = churn_labels(activity, months, gap_days)
-    write_table(labels, lake.result_path("label"), partition_by=[MONTH], rebalance=True)
+    write_table(
+        labels,
+        lake.result_path("label"),
+        partition_by=[MONTH],
+        rebalance=True,
+        partitions=months[:-1],
+    )
+    return null_key_counts(tables, MONTH_KEYS)
 
 
 def dataset_job(
     spark: SparkSession, lake: Lake, months: Sequence[str], as_of: datetime.date
-) -> None:
-    """Modelling rows of all months, the last one unlabelled, in one pass over the tables."""
+) -> DataFrame:
+    """Modelling rows of all months, the last one unlabelled, in one pass over the tables.
+
+    Returns the rows of each table without a key, which are left out.
+    """
     tables = load_months(spark, lake, months)
     labels = _result(spark, lake, "label").where(F.col(MONTH).isin(*months[:-1]))
     newest = [tables[t].where(F.col(MONTH) == months[-1]) for t in ("package", "recharge")]
     population = labels.unionByName(scoring_population(newest, MONTH_KEYS))
     dataset = modelling_dataset(tables, population, as_of, MONTH_KEYS)
-    write_table(dataset, lake.result_path("dataset"), partition_by=[MONTH], rebalance=True)
+    write_table(
+        dataset,
+        lake.result_path("dataset"),
+        partition_by=[MONTH],
+        rebalance=True,
+        partitions=months,
+    )
+    return null_key_counts(tables, MONTH_KEYS)
 
 
 def preprocess_job(
@@ -78,7 +97,9 @@ def preprocess_job(
     fitted = fit_features(dataset.where(F.col(MONTH) == months[0]), recipe, on_invalid)
     save_model(fitted, _features_path(lake), overwrite=True)
     vectors = apply_features(fitted, dataset, (KEY, LABEL, MONTH))
-    write_table(vectors, lake.result_path("preprocessed"), partition_by=[MONTH])
+    write_table(
+        vectors, lake.result_path("preprocessed"), partition_by=[MONTH], partitions=months
+    )
 
 
 def train_job(
@@ -90,14 +111,15 @@ def train_job(
     grid_values: dict[str, list] | None = None,
     overwrite: bool = False,
     parallelism: int = 4,
-) -> bool:
+) -> float | None:
     """Tune a classifier on one month and save it together with the features.
 
-    Returns False if the model exists already and is not to be overwritten.
+    Returns its metric on that month, or None if the whole model exists already and is not
+    to be overwritten. A model that was only partly saved is made anew.
     """
     path = lake.model_path(model, metric)
-    if not overwrite and path_exists(spark, path):
-        return False
+    if not overwrite and is_complete(spark, path):
+        return None
     estimator = classifier(model)
     train = _result(spark, lake, "preprocessed").where(F.col(MONTH) == month)
     train = train.select(KEY, FEATURES, LABEL).persist(StorageLevel.MEMORY_AND_DISK)
@@ -105,11 +127,14 @@ def train_job(
         tuned = tune(
             estimator, train, metric, param_grid(estimator, grid_values), parallelism=parallelism
         )
+        labelled = tuned.transform(train.where(F.col(LABEL).isNotNull()))
+        on_train = evaluator(metric).evaluate(labelled)
     finally:
         train.unpersist()
     features = load_model(_features_path(lake))
     save_model(PipelineModel([*features.stages, tuned.bestModel]), path, overwrite=True)
-    return True
+    mark_complete(spark, path)
+    return on_train
 
 
 def evaluate_job(
@@ -135,7 +160,10 @@ def score_job(
     fitted = load_model(lake.model_path(model, metric))
     predictions = score(fitted, rows, (KEY,), probability).withColumn(MONTH, F.lit(month))
     write_table(
-        predictions, lake.result_path(f"predictions/{model}__{metric}"), partition_by=[MONTH]
+        predictions,
+        lake.result_path(f"predictions/{model}__{metric}"),
+        partition_by=[MONTH],
+        partitions=[month],
     )
 
 

@@ -37,7 +37,10 @@ class Lake:
 
 
 def ingest(spark: SparkSession, lake: Lake, months: Sequence[str], tables=TABLES) -> None:
-    """CSV to Parquet: one scan-and-write job per table, idempotent per month."""
+    """CSV to Parquet: one scan-and-write job per table, idempotent per month.
+
+    A month whose file has no rows is then there and empty, whatever it held before.
+    """
     for table in tables:
         monthly = [
             read_landing_table(spark, table, lake.csv_path(table, month)).withColumn(
@@ -46,7 +49,10 @@ def ingest(spark: SparkSession, lake: Lake, months: Sequence[str], tables=TABLES
             for month in months
         ]
         write_table(
-            reduce(DataFrame.unionByName, monthly), lake.table_path(table), partition_by=[MONTH]
+            reduce(DataFrame.unionByName, monthly),
+            lake.table_path(table),
+            partition_by=[MONTH],
+            partitions=months,
         )
 
 
@@ -55,7 +61,7 @@ def load_months(
 ) -> dict[str, DataFrame]:
     """The named tables for some months, read through a partition filter.
 
-    A month of a table that was never ingested raises ValueError.
+    A month of a table that was never ingested raises ValueError; an empty one has no rows.
     """
     loaded = {}
     for table in tables:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 WRITE_MODES = ("append", "overwrite", "ignore", "error")
@@ -20,14 +19,24 @@ def write_table(
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
     rebalance: bool = False,
+    partitions: Sequence[str] = (),
 ) -> None:
     """Write a table. Overwriting a partitioned table replaces only the partitions in df.
 
+    ``partitions`` names values of the only partition column that df stands for: each is
+    replaced even if df has no rows of it, and is then there without rows. df must not be
+    read from them.
+
     ``rebalance`` shuffles rows into files of even size, for results whose tasks each
     hold rows of many table partitions; large table partitions are split over tasks.
     """
     if mode not in WRITE_MODES:
         raise ValueError(f"mode must be one of {WRITE_MODES}, not {mode!r}")
+    if partitions:
+        (column,) = partition_by
+        nothing = df.sparkSession.createDataFrame([], df.drop(column).schema)
+        for value in partitions:
+            nothing.write.mode("overwrite").parquet(f"{path}/{column}={value}")
     if rebalance:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode)
@@ -36,12 +45,23 @@ def write_table(
     writer.parquet(path)
 
 
+def _place(spark: SparkSession, path: str):
+    """The file system that Spark uses for a path, and the path in it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on the file system Spark writes to."""
-    try:
-        spark.read.format("binaryFile").load(path)
-        return True
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+    system, place = _place(spark, path)
+    return system.exists(place)
+
+
+def mark_complete(spark: SparkSession, path: str, name: str = "_COMPLETE") -> None:
+    """Put an empty marker file into a folder whose content is whole."""
+    system, place = _place(spark, f"{path}/{name}")
+    system.create(place, True).close()
+
+
+def is_complete(spark: SparkSession, path: str, name: str = "_COMPLETE") -> bool:
+    return path_exists(spark, f"{path}/{name}")

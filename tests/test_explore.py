@@ -123,12 +123,12 @@ def test_box_by_group_with_hot_groups(values):
 def test_histogram_counts_every_value_once(values):
     data = pulled(values)
     for bins in (7, None):
-        found = explore.histogram(values, "v", bins).orderBy("bin").collect()
+        found = explore.histogram(values, "v", bins, empty=True).orderBy("bin").collect()
         edges = np.histogram_bin_edges(data, bins or "auto")
         assert len(found) == len(edges) - 1
         assert [r["count"] for r in found] == list(np.histogram(data, edges)[0])
         assert [r["bin_low"] for r in found] == pytest.approx(list(edges[:-1]))
-    grouped = explore.histogram(values, "v", 5, hue="g")
+    grouped = explore.histogram(values, "v", 5, hue="g", empty=True)
     assert grouped.agg(F.sum("count")).first()[0] == 900 and grouped.count() == 15
 
 
@@ -136,9 +136,45 @@ def test_histogram_edge_cases(rows):
     same = rows("v double", [(2.0,), (2.0,), (None,), (math.nan,)])
     assert [r["count"] for r in explore.histogram(same, "v").collect()] == [2]
     empty = explore.histogram(same.where("v < 0"), "v")
-    assert [r["count"] for r in empty.collect()] == [0]
+    assert empty.collect() == []
+    assert [r["count"] for r in explore.histogram(same.where("v < 0"), "v", 2, empty=True).collect()] == [0, 0]
     limited = explore.histogram(rows("v double", [(0.0,), (5.0,), (10.0,), (11.0,)]), "v", 2, 0, 10)
-    assert [r["count"] for r in limited.orderBy("bin").collect()] == [1, 2]
+    assert [tuple(r) for r in limited.orderBy("bin").collect()] == [
+        (0, 0.0, 5.0, 1), (1, 5.0, 10.0, 2), (2, 10.0, None, 1)]
+    below = explore.histogram(rows("v double", [(-1.0,), (5.0,)]), "v", 2, 0, 10)
+    assert [tuple(r) for r in below.orderBy("bin").collect()] == [(-1, None, 0.0, 1), (1, 5.0, 10.0, 1)]
+
+
+def test_default_histogram_with_an_outlier(rows):
+    """Bins by the spread of the middle half: thousands of millions, of which few are rows."""
+    df = rows("v double", [(float(i % 97),) for i in range(1000)] + [(1e12,)])
+    found = explore.histogram(df, "v").collect()
+    assert sum(r["count"] for r in found) == 1001 and len(found) <= 98
+
+
+def test_nan_is_missing(rows):
+    df = rows("g string, v double", [("a", v) for v in (1.0, 2.0, 3.0, 4.0, math.nan, None)])
+    whole = df.where("v is not null and not isnan(v)")
+    for make in (explore.box, explore.kde, explore.violin, explore.histogram):
+        assert sorted(make(df, "v").collect(), key=str) == sorted(make(whole, "v").collect(), key=str)
+        grouped = make(df, "v", hue="g")
+        assert sorted(grouped.collect(), key=str) == sorted(make(whole, "v", hue="g").collect(), key=str)
+    assert explore.exact_medians(df, ["v"]).first()["v"] == 2.0
+
+
+def test_groups_without_spread_stay(rows):
+    df = rows("g string, v double", [("a", 1.0), ("a", 2.0), ("b", 5.0), ("c", 3.0), ("c", 3.0)])
+    found = explore.violin(df, "v", "g")
+    assert {r["g"] for r in found.collect()} == {r["g"] for r in explore.box(df, "v", "g").collect()}
+    assert [(r["x"], r["density"]) for r in found.where("g = 'b'").collect()] == [(5.0, None)]
+
+
+def test_distribution_of_y_for_each_x(values):
+    for kind in ("hist", "kde"):
+        found = explore.distribution(values, kind, "g", "v")
+        assert {r["g"] for r in found.collect()} == {"0", "1", None}
+    with pytest.raises(ValueError):
+        explore.distribution(values, "count", "g", "v")
 
 
 def kernel_density(data, grid):

@@ -5,13 +5,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tenura.operators import skew
+from tenura.operators.explore import recovered_rows
 from tenura.operators.skew import (
     HotGroups,
     Quantile,
     count_hot_groups,
     grouped_quantiles,
     join_small,
-    semi_join,
 )
 
 WANTED = {
@@ -116,14 +116,54 @@ def test_join_small_broadcasts_only_short_tables(skewed, rows, monkeypatch):
     assert "strategy=broadcast" not in plan(join_small(skewed, small, ["k"]))
 
 
-def test_semi_join_of_hot_keys(skewed, rows):
-    matches = rows("k string, y int", [("hot", 1), ("hot", 2), ("1", 3), (None, 4)])
-    expected = collected(skewed.join(matches, "k", "left_semi"))
-    assert collected(semi_join(skewed, matches, ["k"])) == expected
-    assert collected(semi_join(skewed, matches, ["k"], hot_rows=500)) == expected
-    nothing = matches.where("k = '1'")
-    assert collected(semi_join(skewed, nothing, ["k"], hot_rows=500)) == collected(
-        skewed.where("k = '1'"))
+def test_semi_join_is_split_where_a_key_is_hot(spark):
+    """Without a distinct on either side, adaptive execution splits the skewed partition."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        i = F.col("id")
+        recovery = spark.range(0, 300_000, 1, 8).select(
+            F.when(i % 3 > 0, "hot").otherwise(i.cast("string")).alias("loan_id"), F.rand(1).alias("x")
+        )
+        assign = spark.range(0, 1000, 1, 4).select(
+            F.when(i == 1, "hot").otherwise(i.cast("string")).alias("loan_id")
+        )
+        found = recovered_rows(assign, recovery)
+        assert len(found.collect()) == 200_000 + 334
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def test_whole_table_quantiles_of_awkward_values(rows, monkeypatch):
+    monkeypatch.setattr(skew, "RANK_VALUES", 3)
+    monkeypatch.setattr(skew, "RANK_BINS", 4)
+    inf, nan = float("inf"), float("nan")
+    rng = np.random.default_rng(3)
+    for values in (
+        [*rng.normal(size=200), 1e12, -1e15], [-inf, 1.0, 2.0, 3.0, 4.0, 5.0, inf], [nan, 1.0, None, 2.0, nan],
+        [1.5e308, -1.5e308, 0.0, 1.0, 2.0, 3.0], [7.0] * 50, [0.0] * 20 + [1.0] * 30,
+    ):
+        real = np.array([v for v in values if v is not None and v == v])
+        df = rows("a double", [(None if v is None else float(v),) for v in values])
+        wanted = {f"q{k}": Quantile("a", k / 10, False) for k in range(11)}
+        row = grouped_quantiles(df, [], wanted, {"n": F.count("a")}).first()
+        assert row["n"] == len(real)
+        for k in range(11):
+            assert row[f"q{k}"] == np.quantile(real, k / 10, method="inverted_cdf")
 
 
 def test_hot_groups_are_found_in_a_sample(skewed):
