@@ -88,3 +88,39 @@ def test_landing_files_to_predictions(spark, tmp_path):
     jobs.score_job(spark, lake, "39", "gbt", "f1", probability=True)
     with pytest.raises(ValueError):
         jobs.label_job(spark, lake, ["40", "41"])
+
+
+def test_months_without_rows_and_rows_without_a_key(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    rng = random.Random(4)
+    for number, month in enumerate(MONTHS, start=1):
+        land_month(landing, month, number, rng)
+    package = landing / "package_38.csv"
+    header = package.read_text().splitlines()[0]
+    package.write_text(package.read_text() + "," * header.count(",") + "\n")
+    lake = Lake(str(tmp_path))
+    jobs.ingest_job(spark, lake, MONTHS)
+    without = dict(jobs.label_job(spark, lake, MONTHS).collect())
+    assert without == {"package": 1, "recharge": 0}
+    left_out = jobs.dataset_job(spark, lake, MONTHS, AS_OF)
+    assert dict(left_out.collect())["package"] == 1
+
+    # Loans of month 39 vanish: its rows stay, with counts of 0.
+    loans = landing / "loan_assign_39.csv"
+    loans.write_text(loans.read_text().splitlines()[0] + "\n")
+    jobs.ingest_job(spark, lake, ["39"])
+    jobs.dataset_job(spark, lake, MONTHS, AS_OF)
+    rows = spark.read.parquet(lake.result_path("dataset")).where("month = 39")
+    assert rows.count() > 0
+    assert rows.where("CountAssignLoanAmount <> 0").count() == 0
+
+    # All activity of month 39 vanishes: no labels and no rows of it stay behind.
+    for table in ("package", "recharge"):
+        file = landing / f"{table}_39.csv"
+        file.write_text(file.read_text().splitlines()[0] + "\n")
+    jobs.ingest_job(spark, lake, ["39"])
+    jobs.label_job(spark, lake, MONTHS)
+    jobs.dataset_job(spark, lake, MONTHS, AS_OF)
+    for kind in ("label", "dataset"):
+        assert spark.read.parquet(lake.result_path(kind)).where("month = 39").count() == 0

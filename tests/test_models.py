@@ -86,6 +86,19 @@ def test_constant_columns(rows):
         scaler_stages(["x"], "robust", "v")
 
 
+def test_nan_is_filled_like_null(rows):
+    nan = float("nan")
+    df = rows("x double", [(1.0,), (2.0,), (nan,), (None,), (4.0,)])
+    logs = log_stage(["x"])
+    logged = logs.transform(df)
+    medians, _ = fit_quantiles(logged, ["x_log"])
+    assert medians["x_log"] == pytest.approx(math.log(3))
+    filled = fill_stage(medians).transform(logged).select("x_log_filled").collect()
+    assert sum(r[0] == medians["x_log"] for r in filled) == 3
+    raw = fill_stage({"x": 2.0}).transform(df).select("x_filled").collect()
+    assert [r[0] for r in raw] == [1.0, 2.0, 2.0, 2.0, 4.0]
+
+
 def test_modes_and_medians_ignore_null(rows):
     df = rows("s string, i int, x double", [
         (None, None, None), (None, None, None), (None, None, 4.0), ("b'", 2, 1.0), ("a", 1, 2.0)])

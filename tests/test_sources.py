@@ -7,7 +7,7 @@ from tenura.schemas import TABLES, conform, loaded_schema, raw_schema
 from tenura.sources import shared
 from tenura.sources.csv import read_csv, read_landing_table
 from tenura.sources.lake import Lake, ingest, load_activity, load_months
-from tenura.sources.parquet import path_exists, read_table, write_table
+from tenura.sources.parquet import is_complete, mark_complete, path_exists, read_table, write_table
 
 RECHARGE = [
     "bib_id", "date_key", "fake_id", "nid_hash", "recharge_value_amt", "recharge_dt",
@@ -137,6 +137,41 @@ def test_ingest_and_load_months(spark, lake):
         load_months(spark, lake, ["01", "03"])
 
 
+def test_a_month_that_becomes_empty(spark, lake, tmp_path):
+    ingest(spark, lake, ["01", "02"])
+    for table in TABLES:
+        (tmp_path / f"{table}_02.csv").write_text(",".join(raw_schema(table).names) + "\n")
+    ingest(spark, lake, ["02"])
+    for table, df in load_months(spark, lake, ["01", "02"]).items():
+        assert [r["month"] for r in df.collect()] == ["01"], table
+        assert df.where("month = '02'").count() == 0
+
+
+def test_named_partitions_are_replaced(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(10).withColumn("month", (F.col("id") % 2).cast("string"))
+    write_table(df, path, partition_by=["month"])
+    write_table(df.where("month = '0'"), path, partition_by=["month"], partitions=["0", "1"])
+    assert dict(read_table(spark, path).groupBy("month").count().collect()) == {0: 5}
+    assert path_exists(spark, f"{path}/month=1")
+
+
+def test_old_dates_are_read_as_written(spark, tmp_path):
+    """Dates before the calendar reform come back from Parquet unchanged."""
+    path = str(tmp_path / "old")
+    spark.sql("SELECT DATE'1500-01-01' AS d, TIMESTAMP'1500-01-01 00:00:00' AS t").write.parquet(path)
+    row = spark.read.parquet(path).selectExpr("CAST(d AS STRING) d", "CAST(t AS STRING) t").first()
+    assert tuple(row) == ("1500-01-01", "1500-01-01 00:00:00")
+
+
+def test_a_model_folder_counts_when_it_is_whole(spark, tmp_path):
+    folder = tmp_path / "model"
+    folder.mkdir()
+    assert not is_complete(spark, str(folder))
+    mark_complete(spark, str(folder))
+    assert is_complete(spark, str(folder))
+
+
 def test_conform(rows):
     found = conform(rows("sms_count long, bib_id int", [(1, 7)]), loaded_schema("cdr"))
     assert found.schema.simpleString() == loaded_schema("cdr").simpleString()
