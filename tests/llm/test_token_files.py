@@ -25,7 +25,7 @@ def test_outliers_are_exceptions():
     ids = np.arange(256, dtype=np.uint32) % 16
     ids[[3, 200]] = 2**31
     data, starts = pfor.pack(ids)
-    head = np.frombuffer(data[:16], pfor.HEAD)[0]
+    head = np.frombuffer(data[: pfor.HEAD.itemsize], pfor.HEAD)[0]
     assert (head["width"], head["patches"]) == (4, 2)
     assert (pfor.unpack(data, starts) == ids).all()
 

@@ -50,7 +50,7 @@ def test_few_others_large_values_and_rows_left_out(spark, rows):
 
 
 def test_exact_beyond_doubles(spark, rows):
-    data = [(1, [3e5 + 1 / 256] * 3), (2, [1e11 + 1.0, 7.0, 1e11]), (3, [1e11, 7.0, 1e11 + 1.0])]
+    data = [(1, [1e7 + 1 / 256, 3.0]), (2, [1e7, 7.0]), (3, [1e7, 7.00390625]), (4, [1e7 - 1 / 256, 7.0])]
     vectors = rows(SCHEMA, data)
     assert result(topk.top_k(vectors, vectors.where("vec_id = 1"))) == expected(data, [1], 5)
 
