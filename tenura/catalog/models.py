@@ -385,7 +385,7 @@ def score_equations(spark, sf):
 
 
 # Labelled rows that a tuning query fits on at most; the grid is never cut.
-TUNED_ROWS = 400
+TUNED_ROWS = 200
 GRID_SQL = "SELECT 9 AS points, 9 AS in_range, 9 AS named, 1 AS best_is_largest"
 
 
