@@ -16,7 +16,9 @@ coordinate with probability s. A posting is a document under one (coordinate, va
   size, and no pair that could join two components is left out.
 * Those pairs are compared inside their lists, in blocks: agreeing coordinates of the whole
   signatures are counted, and pairs of at least a similarity of LEAST_ESTIMATE are confirmed
-  on the full shingle sets of their texts. A pair counts in the first list that it shares.
+  on the full shingle sets of their texts. At first only the best partner of each document is,
+  which joins most of what belongs together; then all pairs that are still between
+  components, each in the first list that it shares.
 """
 
 from __future__ import annotations
@@ -189,15 +191,19 @@ def _matrix(column: pa.Array, kind) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
 
 
-def _cross(mixed: DataFrame, similarity: int) -> DataFrame:
+def _cross(mixed: DataFrame, similarity: int, best: bool) -> DataFrame:
     """Pairs (a, b) of different components in one list whose signatures agree.
 
     mixed: key, part, probe, doc, n, component, prefix and signature as binaries; rows that
-    are compared with all others of their list and part come first.
+    are compared with all others of their list and part come first. ``best``: only the pair
+    of each such row that agrees most, the first of equal ones.
     """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     least = LEAST_ESTIMATE * SIGNATURE
 
+    def paired(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+        return to_batch(schema, [np.minimum(x, y), np.maximum(x, y)])
+
     def meet(key: int, stored: dict, probing: dict) -> Iterator[pa.RecordBatch]:
         for at in range(0, len(probing["doc"]), 64):
             own = {f: v[at : at + 64] for f, v in probing.items()}
@@ -206,19 +212,30 @@ def _cross(mixed: DataFrame, similarity: int) -> DataFrame:
                 100 * np.minimum(n, m) >= similarity * np.maximum(n, m)
             )
             i, j = np.nonzero(open_)
-            if not len(i):
-                continue
             keep = (own["signature"][i, :64] == stored["signature"][j, :64]).sum(axis=1) >= MATCHES
             i, j = i[keep], j[keep]
-            keep = (own["signature"][i] == stored["signature"][j]).sum(axis=1) >= least
-            i, j = i[keep], j[keep]
+            agree = (own["signature"][i] == stored["signature"][j]).sum(axis=1)
+            i, j, agree = i[agree >= least], j[agree >= least], agree[agree >= least]
+            if not len(i):
+                continue
+            if best:
+                order = np.lexsort((own["doc"][i], -agree, j))
+                one = order[np.unique(j[order], return_index=True)[1]]
+                better = agree[one] > stored["agree"][j[one]]
+                one = one[better]
+                stored["agree"][j[one]], stored["partner"][j[one]] = agree[one], own["doc"][i[one]]
+                continue
             first = np.array([
                 np.intersect1d(own["prefix"][x], stored["prefix"][y])[0] == key for x, y in zip(i, j)
             ], bool)
-            i, j = i[first], j[first]
-            if len(i):
-                x, y = own["doc"][i], stored["doc"][j]
-                yield to_batch(schema, [np.minimum(x, y), np.maximum(x, y)])
+            if first.any():
+                yield paired(own["doc"][i[first]], stored["doc"][j[first]])
+
+    def finish(stored: list) -> Iterator[pa.RecordBatch]:
+        for rows in stored if best else ():
+            found = rows.get("agree", np.zeros(0)) > 0
+            if found.any():
+                yield paired(rows["doc"][found], rows["partner"][found])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, stored = None, []
@@ -236,6 +253,7 @@ def _cross(mixed: DataFrame, similarity: int) -> DataFrame:
                     continue
                 place = (int(column["key"][begin]), int(column["part"][begin]))
                 if place != current:
+                    yield from finish(stored)
                     current, stored = place, []
                 rows = {f: column[f][begin:end] for f in ("doc", "n", "component")}
                 rows |= {"prefix": prefix[begin:end], "signature": signature[begin:end]}
@@ -245,7 +263,11 @@ def _cross(mixed: DataFrame, similarity: int) -> DataFrame:
                     if len(stored) > 1:
                         whole = {f: np.concatenate([s[f] for s in stored]) for f in rows if f != "prefix"}
                         stored = [whole | {"prefix": [p for s in stored for p in s["prefix"]]}]
+                    if "agree" not in stored[0]:
+                        size = len(stored[0]["doc"])
+                        stored[0] |= {"agree": np.zeros(size, np.int64), "partner": np.zeros(size, np.int64)}
                     yield from meet(current[0], stored[0], rows)
+        yield from finish(stored)
 
     ordered = mixed.repartition("key", "part").sortWithinPartitions("key", "part", "probe")
     return ordered.select(*["key", "part", "probe", "doc", "n", "component", "prefix", "signature"]).mapInArrow(
@@ -280,6 +302,34 @@ def _confirm(retained: DataFrame, docs: DataFrame, words: int, similarity: int)
     return joined.mapInArrow(similar, "a long, b long").distinct()
 
 
+def _mixed_lists(
+    postings: DataFrame, components: DataFrame, payload: DataFrame, list_rows: int
+) -> DataFrame:
+    """Rows of the lists of two or more components, for _cross.
+
+    Compared with all are the documents outside a list's largest component, in parts of
+    about ``list_rows``.
+    """
+    placed = postings.join(components.withColumnRenamed("node", "doc"), "doc").select(
+        "key", "doc", "n", "component"
+    )
+    sizes = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
+    lists = sizes.groupBy("key").agg(
+        F.max(F.struct("size", "component")).alias("top"), F.count(F.lit(1)).alias("components"),
+        F.sum("size").alias("all"),
+    ).where("components > 1").select(
+        "key", F.col("top.component").alias("top"),
+        F.ceil((F.col("all") - F.col("top.size")) / list_rows).cast("int").alias("parts"),
+    )
+    own = F.array(F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int"))
+    every = F.sequence(F.lit(0), F.col("parts") - 1)
+    mixed = placed.join(lists, "key")
+    stored = mixed.where(F.col("component") != F.col("top")).withColumn("part", F.explode(own))
+    probing = mixed.withColumn("part", F.explode(every))
+    both = stored.withColumn("probe", F.lit(0)).unionByName(probing.withColumn("probe", F.lit(1)))
+    return both.join(payload, ["doc", "n"])
+
+
 def near_duplicates(
     docs: DataFrame,
     key: str = "doc_id",
@@ -323,31 +373,17 @@ def near_duplicates(
 
     # Then pairs of different components in one list remain.
     nodes = prefix.select(F.col("doc").alias("node")).distinct()
-    components = connected_components(nodes, links, "minhash")
-    placed = postings.join(components.withColumnRenamed("node", "doc"), "doc").select(
-        "key", "doc", "n", "component"
-    )
-    sizes = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
-    lists = sizes.groupBy("key").agg(
-        F.max(F.struct("size", "component")).alias("top"), F.count(F.lit(1)).alias("components"),
-        F.sum("size").alias("all"),
-    ).where("components > 1").select(
-        "key", F.col("top.component").alias("top"),
-        F.ceil((F.col("all") - F.col("top.size")) / list_rows).cast("int").alias("parts"),
-    )
-    outside = F.col("component") != F.col("top")
-    own = F.array(F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int"))
-    mixed = placed.join(lists, "key")
-    stored = mixed.where(outside).withColumn("part", F.explode(own)).withColumn("probe", F.lit(0))
-    probing = mixed.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn(
-        "probe", F.lit(1)
-    )
     coded = F.expr("unhex(array_join(transform(array_sort(prefix), x -> lpad(hex(x), 16, '0')), ''))")
     payload = prefix.select("doc", "n", coded.alias("prefix")).join(
         classes.select("doc", "n", "signature"), ["doc", "n"]
     )
-    cross = _cross(stored.unionByName(probing).join(payload, ["doc", "n"]), similarity)
-    more = _confirm(cross.join(links, ["a", "b"], "left_anti"), texts, words, similarity)
+    for best in (True, False):
+        components = connected_components(nodes, links, "minhash")
+        mixed = _mixed_lists(postings, components, payload, list_rows)
+        cross = _cross(mixed, similarity, best).join(links, ["a", "b"], "left_anti")
+        more = _confirm(cross, texts, words, similarity)
+        links = materialize(links.unionAll(more), "minhash-links")
+
     # Texts that share an id are one node.
     several = linkable.groupBy("doc_id").agg(
         F.min("digest").alias("x"), F.max("digest").alias("y")
@@ -356,7 +392,7 @@ def near_duplicates(
         F.col("doc_id").alias("a"), F.col("doc").alias("b")
     )
     nodes = nodes.unionAll(same.select(F.explode(F.array("a", "b")))).distinct()
-    final = connected_components(nodes, links.unionAll(more).unionAll(same), "minhash")
+    final = connected_components(nodes, links.unionAll(same), "minhash")
 
     placed = of_class.join(final.withColumnRenamed("node", "doc"), "doc", "left").select(
         "digest", F.coalesce("component", "doc").alias("component")
