@@ -144,9 +144,8 @@ def _meet(posted: DataFrame, settings: tuple, threshold: float) -> DataFrame:
     names = ["id", "n", "a", "b"]
     schema = pa.schema([(n, pa.int64()) for n in names])
 
-    def first_meeting(hashes: LatticeHash, x: np.ndarray, y: np.ndarray, table: np.ndarray, swapped: np.ndarray):
-        """Whether rows of x (probing) and y (stored) did not meet before this table and turn."""
-        cx, cy = hashes.cells(x), hashes.cells(y)
+    def first_meeting(cx: np.ndarray, cy: np.ndarray, table: np.ndarray, swapped: np.ndarray):
+        """Whether cells cx (probing) and cy (stored) did not meet before this table and turn."""
         forward = (cx == cy[:, :, :1]).any(axis=2)  # x probes the cell of y
         backward = (cy == cx[:, :, :1]).any(axis=2)
         met = forward | backward
@@ -154,6 +153,17 @@ def _meet(posted: DataFrame, settings: tuple, threshold: float) -> DataFrame:
         rows = np.arange(len(table))
         return ~((met & before).any(axis=1) | (swapped & backward[rows, table]))
 
+    remembered: dict[int, np.ndarray] = {}
+
+    def cells_of(hashes: LatticeHash, ids: np.ndarray, units: np.ndarray) -> np.ndarray:
+        """Cells of vectors; the same ones meet in many places."""
+        if len(remembered) > 20_000:
+            remembered.clear()
+        new = {i: k for k, i in enumerate(ids.tolist()) if i not in remembered}
+        if new:
+            remembered.update(zip(new, hashes.cells(units[list(new.values())])))
+        return np.stack([remembered[i] for i in ids.tolist()])
+
     def match(hashes, stored: dict, probing: dict) -> Iterator[pa.RecordBatch]:
         unit_s, unit_p = stored["unit"], probing["unit"]
         close = unit_p.astype(np.float32) @ unit_s.astype(np.float32).T >= threshold - 1e-3
@@ -178,7 +188,8 @@ def _meet(posted: DataFrame, settings: tuple, threshold: float) -> DataFrame:
             for b in range(0, len(i), 1000):
                 u, v = i[b : b + 1000], j[b : b + 1000]
                 swapped = probing["id"][u] > stored["id"][v]
-                new = first_meeting(hashes, unit_p[u], unit_s[v], probing["hop"][u], swapped)
+                met = cells_of(hashes, probing["id"][u], unit_p[u]), cells_of(hashes, stored["id"][v], unit_s[v])
+                new = first_meeting(*met, probing["hop"][u], swapped)
                 for x, y in zip(u[new].tolist(), v[new].tolist()):
                     for mine, other in (((probing, x), (stored, y)), ((stored, y), (probing, x))):
                         own = int(mine[0]["id"][mine[1]])
