@@ -96,11 +96,11 @@ SELECT vec_id, (SELECT count(*) FROM linked WHERE x = vec_id) AS n_links, compon
 FROM embeddings JOIN (SELECT x AS vec_id, min(y) AS component_id FROM reached GROUP BY x) USING (vec_id)""",
     "op7_topk": """
 WITH whole AS (
-    SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
     FROM embeddings),
 scored AS (
     SELECT q.vec_id AS query_id, d.vec_id,
-           CAST(list_sum(list_transform(list_zip(q.v, d.v), p -> p[1] * p[2])) AS BIGINT) AS score
+           CAST(list_sum(list_transform(list_zip(q.v, d.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
     FROM whole q JOIN whole d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id),
 ranked AS (
     SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
@@ -109,7 +109,7 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
     "op9_substring": """
 WITH split AS (
     SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'),
-                               x -> x <> '') AS words
+                               lambda x: x <> '') AS words
     FROM documents),
 windows AS (
     SELECT doc_id, i, array_to_string(words[i:i + 49], ' ') AS s
