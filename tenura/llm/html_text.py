@@ -43,6 +43,21 @@ FURNITURE_WORDS = set(
     "sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
 )
 ARTICLE_WORDS = set("article articlebody entry main post story".split())
+# Words that a name of page furniture may have besides: a name counts as a whole, so neither
+# "has-header" nor "search-methods" is furniture, but "site-header" and "cookie-notice" are.
+NEUTRAL_WORDS = ARTICLE_WORDS | set(
+    "area author bar block body bottom box button buttons col column container content desktop fixed global "
+    "icon icons info inner item items label law left link links list message meta mobile outer overlay page "
+    "panel policy posts primary right row secondary section site slot space sticky text title tools top unit "
+    "wrap wrapper zone".split()
+)
+# Words that also name the layout of a wrapper around a whole page.
+LAYOUT_WORDS = set("form header masthead nav navbar search sidebar toolbar topbar".split())
+# Of a heading's or paragraph's classes in an article, only these count.
+ADVERT_WORDS = set("ad ads adsense advert advertisement adverts".split())
+PROSE_TAGS = set("h1 h2 h3 h4 h5 h6 p".split())
+# How an element is furniture: it may be a wrapper around the page's text, it is, it is hidden.
+LAYOUT, FURNITURE, HIDDEN = 1, 2, 3
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -54,6 +69,7 @@ _TAG = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'<>=`]+))?""")
 _LETTERS = re.compile(r"[a-z]+")
+_NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 @dataclass
@@ -63,16 +79,32 @@ class Block:
     density: float
     in_article: bool
     in_furniture: bool
+    element: int = -1
+    plain: int = 0
+
+
+@dataclass
+class Element:
+    parent: int  # -1: none
+    article: bool  # an article or main element, or one with such a role
+    main: bool
+    named: bool  # called an article by its class or id
+    furniture: int = 0
+    form: bool = False
+    wide: bool = False  # by its name, a wrapper around the page's text is possible
+    prose: bool = False  # holds paragraphs or headings
+    plain: int = 0  # words outside links and certain furniture
 
 
 @dataclass
 class _Reader:
-    """Blocks of one page."""
+    """Blocks and elements of one page."""
 
     blocks: list[Block] = field(default_factory=list)
+    elements: list[Element] = field(default_factory=list)
     parts: list[str] = field(default_factory=list)
     linked: list[str] = field(default_factory=list)
-    open: list[tuple[str, bool, bool]] = field(default_factory=list)  # tag, article, furniture
+    open: list[tuple[str, int, bool, bool]] = field(default_factory=list)  # tag, element, inside article, furniture
     links: int = 0
 
     def flush(self) -> None:
@@ -82,8 +114,8 @@ class _Reader:
                 inside = len(html.unescape(" ".join(self.linked)).split()) if self.linked else 0
                 self.blocks.append(
                     Block(
-                        " ".join(words), len(words), min(1.0, inside / len(words)),
-                        any(a for _, a, _ in self.open), any(f for _, _, f in self.open),
+                        " ".join(words), len(words), min(1.0, inside / len(words)), False, False,
+                        self.open[-1][1] if self.open else -1, max(0, len(words) - inside),
                     )
                 )
         self.parts, self.linked = [], []
@@ -109,17 +141,20 @@ class _Reader:
         if name in VOID_TAGS or rest.endswith("/"):
             return
         if name in BLOCK_TAGS or name in ("span", "button", "label", "ins", "small"):
-            article, furniture = _kind(name, rest, any(a for _, a, _ in self.open))
-            if furniture and name not in BLOCK_TAGS:
+            _, parent, inside, _ = self.open[-1] if self.open else ("", -1, False, False)
+            element = _element(name, rest, inside, parent)
+            if element.furniture and name not in BLOCK_TAGS:
                 self.flush()
-            self.open.append((name, article, furniture))
+            self.elements.append(element)
+            inside |= (element.article or element.named) and not element.furniture
+            self.open.append((name, len(self.elements) - 1, inside, element.furniture > 0))
 
     def end(self, name: str) -> None:
         if name == "a":
             self.links = 0
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == name:
-                if name in BLOCK_TAGS or any(f for _, _, f in self.open[i:]):
+                if name in BLOCK_TAGS or any(o[3] for o in self.open[i:]):
                     self.flush()
                 del self.open[i:]
                 return
@@ -127,22 +162,93 @@ class _Reader:
             self.flush()
 
 
-def _kind(name: str, rest: str, in_article: bool) -> tuple[bool, bool]:
-    """Whether an element is an article, and whether it is page furniture."""
-    furniture = name in FURNITURE_TAGS or (name == "header" and not in_article)
-    article = name in ("article", "main")
-    if "=" in rest or "hidden" in rest:
-        values = {k.lower(): v.strip("\"'").lower() for k, v in _ATTRIBUTE.findall(rest)}
-        words = set(_LETTERS.findall(values.get("class", "") + " " + values.get("id", "")))
-        role = values.get("role", "")
-        hidden = "hidden" in values or values.get("aria-hidden") == "true"
-        hidden |= "display:none" in values.get("style", "").replace(" ", "")
-        named = words & FURNITURE_WORDS
-        if named == {"header"} and (in_article or words & ARTICLE_WORDS):
-            named = set()
-        furniture |= bool(named) or role in FURNITURE_ROLES or hidden
-        article |= role in ("main", "article") or bool(words & ARTICLE_WORDS)
-    return article and not furniture, furniture
+def _element(name: str, rest: str, in_article: bool, parent: int) -> Element:
+    """What an element is by its tag, role, class and id."""
+    found = Element(parent, name in ("article", "main"), name == "main", False, prose=name in PROSE_TAGS)
+    if name == "form":
+        found.furniture, found.form = LAYOUT, True
+    elif name == "header":
+        found.furniture = 0 if in_article else LAYOUT
+    elif name in FURNITURE_TAGS:
+        found.furniture = FURNITURE
+    if name in ("html", "body") or not ("=" in rest or "hidden" in rest):
+        return found
+    values = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(rest)}
+    role = values.get("role", "").lower()
+    if role in FURNITURE_ROLES:
+        found.furniture, found.form = max(found.furniture, LAYOUT if role == "form" else FURNITURE), role == "form"
+    found.article |= role in ("main", "article")
+    found.main |= role == "main"
+    names = values.get("class", "").split()
+    if not found.prose:  # ids of headings and paragraphs are made of their words
+        names.append(values.get("id", ""))
+        found.named = any(ARTICLE_WORDS.intersection(_LETTERS.findall(n.lower())) for n in names)
+    for parts in ([w.lower() for w in _NAME_PARTS.findall(n)] for n in names):
+        named = FURNITURE_WORDS.intersection(parts)
+        if not named or not named.union(NEUTRAL_WORDS).issuperset(parts):
+            continue
+        if named == {"header"} and (in_article or ARTICLE_WORDS.intersection(parts)):
+            continue
+        if found.prose and in_article and not ADVERT_WORDS.issuperset(parts):
+            continue
+        wide = named <= LAYOUT_WORDS and (len(parts) > 1 or named == {"form"})
+        found.wide |= wide and not found.furniture
+        found.wide &= wide
+        found.furniture = max(found.furniture, LAYOUT if named <= LAYOUT_WORDS else FURNITURE)
+    if "hidden" in values or values.get("aria-hidden", "").lower() == "true" or "display:none" in (
+        values.get("style", "").lower().replace(" ", "")
+    ):
+        found.furniture = HIDDEN
+    return found
+
+
+def _enclose(elements: list[Element], reset: bool) -> list[tuple[int, bool, bool]]:
+    """Of each element: how it lies in furniture, whether in an article, in one by its name.
+
+    A main element ends furniture around it. With ``reset`` an article ends what may be a
+    wrapper around the page.
+    """
+    found: list[tuple[int, bool, bool]] = []
+    for e in elements:
+        outer, article, named = found[e.parent] if e.parent >= 0 else (0, False, False)
+        if not e.furniture and (e.main and outer < HIDDEN or reset and e.article and outer <= LAYOUT):
+            outer = 0
+        own = not e.furniture
+        found.append((max(outer, e.furniture), article or own and e.article, named or own and e.named))
+    return found
+
+
+def _resolve(blocks: list[Block], elements: list[Element]) -> None:
+    """Tell which blocks lie in the page's article, and which in furniture.
+
+    A form, or without an article a wrapper by its name, that holds most of the page's words
+    outside links is no furniture.
+    """
+    around = _enclose(elements, False)
+    at = lambda b: around[b.element] if b.element >= 0 else (0, False, False)
+    has_article = lambda: any(a and not f for f, a, _ in map(at, blocks))
+    if any(f == LAYOUT for f, _, _ in around):
+        total = 0
+        for b in blocks:
+            if at(b)[0] < FURNITURE:
+                total += b.plain
+                if b.element >= 0:
+                    elements[b.element].plain += b.plain
+        for e in reversed(elements):
+            if e.parent >= 0:
+                elements[e.parent].plain += e.plain
+                elements[e.parent].prose |= e.prose
+        reset = not has_article()
+        if reset:
+            around = _enclose(elements, True)
+        wide = not any((a or n) and not f for f, a, n in (around[b.element] for b in blocks if b.element >= 0))
+        for e in elements:
+            if e.furniture == LAYOUT and (e.form or wide and e.wide) and e.prose and 2 * e.plain > total:
+                e.furniture = 0
+        around = _enclose(elements, reset)
+    for b in blocks:
+        furniture, article, called = at(b)
+        b.in_furniture, b.in_article = furniture > 0, article or called
 
 
 def text_blocks(page: str) -> list[Block]:
@@ -161,6 +267,7 @@ def text_blocks(page: str) -> list[Block]:
     if at < len(page):
         reader.text(page[at:])
     reader.flush()
+    _resolve(reader.blocks, reader.elements)
     return reader.blocks
 
 

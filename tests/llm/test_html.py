@@ -37,6 +37,39 @@ def test_odd_pages(page, expected):
     assert text(page) == expected
 
 
+LONG = " ".join(["many plain words of a page"] * 8)
+
+
+@pytest.mark.parametrize("open_, close", [
+    ('<html class="no-sidebar"><body class="right-sidebar single-post" id="search">', "</body></html>"),
+    ('<div class="content has-header">', "</div>"), ('<div class="right-sidebar"><div><article>', "</article></div></div>"),
+    ('<div id="menu"><main>', "</main></div>"), ('<form action="x">', "</form>"), ('<form><div class="content-sidebar">', "</div></form>"),
+    ('<main><form id="form1">', "</form></main>"), ('<div class="right-sidebar">', "</div>"),
+])
+def test_wrappers_around_a_page_are_no_furniture(open_, close):
+    page = f'{open_}<nav>a b c</nav><h1>Title words</h1><p>{LONG}</p><div class="cookie-notice">We use cookies</div><p>{LONG}</p><div id="footer">Legal</div>{close}'
+    assert text(page) == f"Title words\n\n{LONG}\n\n{LONG}"
+
+
+@pytest.mark.parametrize("around", ["<article>%s</article>", "<main>%s</main>"])
+def test_names_of_headings_and_paragraphs_in_an_article(around):
+    page = (
+        f'<h2 id="search-methods">Search methods</h2><p id="notice-3">{LONG}</p><h2 id="social-history">Social history</h2>'
+        f'<section id="form-and-function"><h3 id="comments" class="notice">Comments on it</h3><p class="share">{LONG}</p></section>'
+        '<p class="ad">Buy</p><div class="ad-slot">Buy</div><section id="comments"><p>Nice</p></section><div class="entry-footer">by me</div>'
+    )
+    assert text(around % page) == f"Search methods\n\n{LONG}\n\nSocial history\n\nComments on it\n\n{LONG}"
+
+
+def test_furniture_beside_an_article_stays_furniture():
+    page = (
+        f'<article><h1>Title</h1><p>Short</p><form><p>{LONG}</p><article class="comment">{LONG}</article></form></article>'
+        .replace("<form>", '<div id="comments">').replace("</form>", "</div>")
+        + f'<div class="left-sidebar"><h2>More</h2><p>{LONG} {LONG}</p></div><aside><article>{LONG}</article></aside><form><label>Mail</label></form>'
+    )
+    assert text(page) == "Title\n\nShort"
+
+
 def test_table(spark, rows):
     data = [(1, "u", PAGE, "clash"), (2, None, None, "clash"), (None, "v", "", "clash"), (1, "u", PAGE, "clash"), (3, "w", "<article>" + "<p>x y</p>" * 50_000, "clash")]
     pages = rows("page_id long, url string, html string, text string", data)
