@@ -55,7 +55,10 @@ NEUTRAL_WORDS = ARTICLE_WORDS | set(
 LAYOUT_WORDS = set("form header masthead nav navbar search sidebar toolbar topbar".split())
 # Of a heading's or paragraph's classes in an article, only these count.
 ADVERT_WORDS = set("ad ads adsense advert advertisement adverts".split())
-PROSE_TAGS = set("h1 h2 h3 h4 h5 h6 p".split())
+HEADING_TAGS = set("h1 h2 h3 h4 h5 h6".split())
+PROSE_TAGS = HEADING_TAGS | {"p"}
+# A block of this link density is mostly links.
+LINKED = 0.5
 # How an element is furniture: it may be a wrapper around the page's text, it is, it is hidden.
 LAYOUT, FURNITURE, HIDDEN = 1, 2, 3
 
@@ -79,6 +82,7 @@ class Block:
     density: float
     in_article: bool
     in_furniture: bool
+    heading: bool = False
     element: int = -1
     plain: int = 0
 
@@ -115,7 +119,7 @@ class _Reader:
                 self.blocks.append(
                     Block(
                         " ".join(words), len(words), min(1.0, inside / len(words)), False, False,
-                        self.open[-1][1] if self.open else -1, max(0, len(words) - inside),
+                        any(o[0] in HEADING_TAGS for o in self.open[-4:]), self.open[-1][1] if self.open else -1, max(0, len(words) - inside),
                     )
                 )
         self.parts, self.linked = [], []
@@ -222,7 +226,8 @@ def _resolve(blocks: list[Block], elements: list[Element]) -> None:
     """Tell which blocks lie in the page's article, and which in furniture.
 
     A form, or without an article a wrapper by its name, that holds most of the page's words
-    outside links is no furniture.
+    outside links is no furniture. Classes and ids make an article only of what holds most
+    of these words.
     """
     around = _enclose(elements, False)
     at = lambda b: around[b.element] if b.element >= 0 else (0, False, False)
@@ -246,9 +251,16 @@ def _resolve(blocks: list[Block], elements: list[Element]) -> None:
             if e.furniture == LAYOUT and (e.form or wide and e.wide) and e.prose and 2 * e.plain > total:
                 e.furniture = 0
         around = _enclose(elements, reset)
+    named = total = 0
     for b in blocks:
         furniture, article, called = at(b)
-        b.in_furniture, b.in_article = furniture > 0, article or called
+        b.in_furniture, b.in_article = furniture > 0, article
+        if not b.in_furniture:
+            total += b.plain
+            named += b.plain * called
+    if 2 * named > total:
+        for b in blocks:
+            b.in_article |= at(b)[2]
 
 
 def text_blocks(page: str) -> list[Block]:
@@ -272,56 +284,85 @@ def text_blocks(page: str) -> list[Block]:
 
 
 def block_features(blocks: list[Block]) -> list[tuple]:
-    """words, density, those of the block before, of the block after, article, furniture, lost.
+    """words, density, those of the block before, of the block after, and what encloses the block.
 
-    ``lost``: the page has an article, but the block is outside.
+    That is: article, furniture, lost, heading, between. ``lost``: the page has an article, but
+    the block is outside and no plain heading right before it. ``between``: both neighbours
+    are mostly links. Furniture beside a block counts as the page's end, and a heading beside
+    it as free of links.
     """
     has_article = any(b.in_article for b in blocks)
-    around = [(0, 0.0), *((b.words, b.density) for b in blocks), (0, 0.0)]
+    leads = [b.in_article for b in blocks] + [False]  # in the article, or heads it
+    for i in range(len(blocks) - 1, -1, -1):
+        leads[i] |= leads[i + 1] and blocks[i].heading and blocks[i].density < LINKED
+    around = [
+        (0, 0.0), *((0, 0.0) if b.in_furniture else (b.words, 0.0 if b.heading else b.density) for b in blocks), (0, 0.0)
+    ]
     return [
-        (*around[i + 1], *around[i], *around[i + 2], b.in_article, b.in_furniture,
-         has_article and not b.in_article)
+        (b.words, b.density, *around[i], *around[i + 2], b.in_article, b.in_furniture,
+         has_article and not leads[i], b.heading, around[i][1] >= LINKED and around[i + 2][1] >= LINKED)
         for i, b in enumerate(blocks)
     ]
 
 
 # The labelled table: words, density, words and density before, and after; 1 if inside an
-# article, inside furniture, outside the page's article; 1 if the block is text.
+# article, inside furniture, outside the page's article, in a heading, between links; 1 if the
+# block is text.
 LABELLED = [
     # menus and footers
-    (6, 1.0, 0, 0.0, 5, 1.0, 0, 1, 0, 0), (1, 1.0, 1, 1.0, 1, 1.0, 0, 1, 1, 0),
-    (2, 1.0, 3, 1.0, 40, 0.0, 0, 1, 1, 0), (25, 0.1, 90, 0.0, 0, 0.0, 0, 1, 1, 0),
-    (60, 0.0, 2, 1.0, 8, 0.0, 0, 1, 1, 0), (12, 0.0, 120, 0.0, 0, 0.0, 0, 1, 0, 0),
-    (1, 0.0, 1, 1.0, 90, 0.0, 0, 1, 1, 0), (9, 0.9, 70, 0.0, 4, 1.0, 0, 1, 0, 0),
+    (6, 1.0, 0, 0.0, 5, 1.0, 0, 1, 0, 0, 0, 0), (1, 1.0, 1, 1.0, 1, 1.0, 0, 1, 1, 0, 1, 0),
+    (2, 1.0, 3, 1.0, 40, 0.0, 0, 1, 1, 0, 0, 0), (25, 0.1, 90, 0.0, 0, 0.0, 0, 1, 1, 0, 0, 0),
+    (60, 0.0, 2, 1.0, 8, 0.0, 0, 1, 1, 0, 0, 0), (12, 0.0, 120, 0.0, 0, 0.0, 0, 1, 0, 0, 0, 0),
+    (1, 0.0, 1, 1.0, 90, 0.0, 0, 1, 1, 0, 0, 0), (9, 0.9, 70, 0.0, 4, 1.0, 0, 1, 0, 0, 0, 0),
     # notices, adverts, forms and comments in an article or beside it
-    (30, 0.0, 80, 0.0, 75, 0.0, 1, 1, 0, 0), (8, 0.0, 45, 0.0, 60, 0.0, 1, 1, 0, 0),
-    (55, 0.0, 120, 0.0, 40, 0.0, 1, 1, 0, 0), (4, 0.5, 66, 0.0, 21, 0.0, 1, 1, 0, 0),
-    (140, 0.0, 20, 0.0, 15, 0.0, 0, 1, 1, 0), (1, 1.0, 80, 0.0, 2, 0.0, 1, 1, 0, 0),
-    (70, 0.05, 50, 0.0, 0, 0.0, 0, 1, 1, 0), (18, 0.0, 0, 0.0, 30, 0.0, 0, 1, 1, 0),
+    (30, 0.0, 80, 0.0, 75, 0.0, 1, 1, 0, 0, 0, 0), (8, 0.0, 45, 0.0, 60, 0.0, 1, 1, 0, 0, 0, 0),
+    (55, 0.0, 120, 0.0, 40, 0.0, 1, 1, 0, 0, 0, 0), (4, 0.5, 66, 0.0, 21, 0.0, 1, 1, 0, 0, 0, 0),
+    (140, 0.0, 20, 0.0, 15, 0.0, 0, 1, 1, 0, 0, 0), (1, 1.0, 80, 0.0, 2, 0.0, 1, 1, 0, 0, 0, 0),
+    (70, 0.05, 50, 0.0, 0, 0.0, 0, 1, 1, 0, 0, 0), (18, 0.0, 0, 0.0, 30, 0.0, 0, 1, 1, 0, 0, 0),
     # paragraphs, headings, short lines and linked words of an article
-    (9, 0.0, 6, 0.0, 80, 0.0, 1, 0, 0, 1), (80, 0.0, 9, 0.0, 120, 0.02, 1, 0, 0, 1),
-    (120, 0.02, 80, 0.0, 3, 0.0, 1, 0, 0, 1), (2, 0.0, 110, 0.0, 70, 0.0, 1, 0, 0, 1),
-    (1, 0.0, 2, 0.0, 1, 0.0, 1, 0, 0, 1), (1, 0.0, 0, 0.0, 0, 0.0, 1, 0, 0, 1),
-    (5, 1.0, 60, 0.0, 44, 0.0, 1, 0, 0, 1), (3, 1.0, 4, 1.0, 3, 1.0, 1, 0, 0, 1),
-    (30, 0.4, 12, 0.1, 0, 0.0, 1, 0, 0, 1), (1, 0.0, 6, 1.0, 3, 1.0, 1, 0, 0, 1),
-    (400, 0.0, 5, 0.0, 15, 0.0, 1, 0, 0, 1), (7, 0.0, 12, 0.0, 9, 0.0, 1, 0, 0, 1),
-    # outside a page's article
-    (20, 0.0, 5, 1.0, 9, 0.0, 0, 0, 1, 0), (90, 0.0, 30, 0.0, 5, 1.0, 0, 0, 1, 0),
-    (3, 0.0, 0, 0.0, 100, 0.0, 0, 0, 1, 0), (4, 1.0, 90, 0.0, 4, 1.0, 0, 0, 1, 0),
-    (45, 0.0, 200, 0.0, 0, 0.0, 0, 0, 1, 0), (1, 0.0, 2, 0.0, 1, 0.0, 0, 0, 1, 0),
+    (9, 0.0, 6, 0.0, 80, 0.0, 1, 0, 0, 0, 0, 1), (80, 0.0, 9, 0.0, 120, 0.02, 1, 0, 0, 0, 0, 1),
+    (120, 0.02, 80, 0.0, 3, 0.0, 1, 0, 0, 0, 0, 1), (2, 0.0, 110, 0.0, 70, 0.0, 1, 0, 0, 0, 0, 1),
+    (1, 0.0, 2, 0.0, 1, 0.0, 1, 0, 0, 0, 0, 1), (1, 0.0, 0, 0.0, 0, 0.0, 1, 0, 0, 0, 0, 1),
+    (5, 1.0, 60, 0.0, 44, 0.0, 1, 0, 0, 0, 0, 1), (3, 1.0, 4, 1.0, 3, 1.0, 1, 0, 0, 0, 1, 1),
+    (30, 0.4, 12, 0.1, 0, 0.0, 1, 0, 0, 0, 0, 1), (1, 0.0, 6, 1.0, 3, 1.0, 1, 0, 0, 0, 1, 1),
+    (400, 0.0, 5, 0.0, 15, 0.0, 1, 0, 0, 0, 0, 1), (7, 0.0, 12, 0.0, 9, 0.0, 1, 0, 0, 0, 0, 1),
+    # beside a page's article: short or linked blocks
+    (20, 0.0, 5, 1.0, 9, 0.0, 0, 0, 1, 0, 0, 0), (90, 0.0, 30, 0.0, 5, 1.0, 0, 0, 1, 0, 0, 1),
+    (3, 0.0, 0, 0.0, 100, 0.0, 0, 0, 1, 0, 0, 0), (4, 1.0, 90, 0.0, 4, 1.0, 0, 0, 1, 0, 0, 0),
+    (45, 0.0, 200, 0.0, 0, 0.0, 0, 0, 1, 0, 0, 1), (1, 0.0, 2, 0.0, 1, 0.0, 0, 0, 1, 0, 0, 0),
     # pages without a marked article: text
-    (60, 0.0, 4, 0.0, 70, 0.0, 0, 0, 0, 1), (70, 0.03, 60, 0.0, 2, 1.0, 0, 0, 0, 1),
-    (25, 0.0, 70, 0.0, 30, 0.0, 0, 0, 0, 1), (18, 0.1, 40, 0.0, 33, 0.0, 0, 0, 0, 1),
-    (4, 0.0, 60, 0.0, 50, 0.0, 0, 0, 0, 1), (2, 0.0, 45, 0.0, 80, 0.0, 0, 0, 0, 1),
-    (6, 0.0, 3, 1.0, 55, 0.0, 0, 0, 0, 1), (8, 0.0, 0, 0.0, 90, 0.0, 0, 0, 0, 1),
-    (12, 0.0, 38, 0.0, 0, 0.0, 0, 0, 0, 1), (150, 0.2, 3, 1.0, 2, 1.0, 0, 0, 0, 1),
-    (16, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1), (14, 0.0, 9, 0.0, 12, 0.0, 0, 0, 0, 1),
+    (60, 0.0, 4, 0.0, 70, 0.0, 0, 0, 0, 0, 0, 1), (70, 0.03, 60, 0.0, 2, 1.0, 0, 0, 0, 0, 0, 1),
+    (25, 0.0, 70, 0.0, 30, 0.0, 0, 0, 0, 0, 0, 1), (18, 0.1, 40, 0.0, 33, 0.0, 0, 0, 0, 0, 0, 1),
+    (4, 0.0, 60, 0.0, 50, 0.0, 0, 0, 0, 0, 0, 1), (2, 0.0, 45, 0.0, 80, 0.0, 0, 0, 0, 0, 0, 1),
+    (6, 0.0, 3, 1.0, 55, 0.0, 0, 0, 0, 0, 0, 1), (8, 0.0, 0, 0.0, 90, 0.0, 0, 0, 0, 0, 0, 1),
+    (12, 0.0, 38, 0.0, 0, 0.0, 0, 0, 0, 0, 0, 1), (150, 0.2, 3, 1.0, 2, 1.0, 0, 0, 0, 0, 1, 1),
+    (16, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 0, 0, 1), (14, 0.0, 9, 0.0, 12, 0.0, 0, 0, 0, 0, 0, 1),
     # pages without a marked article: lists of links and loose words
-    (3, 1.0, 0, 0.0, 2, 1.0, 0, 0, 0, 0), (2, 1.0, 3, 1.0, 60, 0.0, 0, 0, 0, 0),
-    (5, 0.8, 70, 0.0, 4, 1.0, 0, 0, 0, 0), (24, 0.9, 60, 0.0, 0, 0.0, 0, 0, 0, 0),
-    (1, 0.0, 2, 1.0, 1, 1.0, 0, 0, 0, 0), (3, 0.0, 4, 1.0, 2, 1.0, 0, 0, 0, 0),
-    (2, 0.0, 3, 0.0, 4, 1.0, 0, 0, 0, 0), (40, 0.7, 5, 1.0, 6, 1.0, 0, 0, 0, 0),
-    (9, 0.6, 50, 0.0, 44, 0.0, 0, 0, 0, 0), (2, 1.0, 2, 1.0, 0, 0.0, 0, 0, 0, 0),
+    (3, 1.0, 0, 0.0, 2, 1.0, 0, 0, 0, 0, 0, 0), (2, 1.0, 3, 1.0, 60, 0.0, 0, 0, 0, 0, 0, 0),
+    (5, 0.8, 70, 0.0, 4, 1.0, 0, 0, 0, 0, 0, 0), (24, 0.9, 60, 0.0, 0, 0.0, 0, 0, 0, 0, 0, 0),
+    (1, 0.0, 2, 1.0, 1, 1.0, 0, 0, 0, 0, 1, 0), (3, 0.0, 4, 1.0, 2, 1.0, 0, 0, 0, 0, 1, 0),
+    (2, 0.0, 3, 0.0, 4, 1.0, 0, 0, 0, 0, 0, 1), (40, 0.7, 5, 1.0, 6, 1.0, 0, 0, 0, 0, 1, 0),
+    (9, 0.6, 50, 0.0, 44, 0.0, 0, 0, 0, 0, 0, 0), (2, 1.0, 2, 1.0, 0, 0.0, 0, 0, 0, 0, 0, 0),
+    # long blocks beside a page's article: text if free of links
+    (30, 0.0, 5, 1.0, 9, 0.0, 0, 0, 1, 0, 0, 1), (60, 0.0, 0, 0.0, 40, 0.0, 0, 0, 1, 0, 0, 1),
+    (120, 0.02, 3, 0.0, 80, 0.0, 0, 0, 1, 0, 0, 1), (35, 0.5, 60, 0.0, 9, 1.0, 0, 0, 1, 0, 0, 0),
+    (60, 0.9, 90, 0.0, 5, 1.0, 0, 0, 1, 0, 0, 0), (24, 1.0, 0, 0.0, 0, 0.0, 0, 0, 1, 0, 0, 0),
+    # headings, linked ones too
+    (4, 1.0, 60, 0.0, 70, 0.0, 0, 0, 0, 1, 0, 1), (6, 1.0, 0, 0.0, 90, 0.0, 0, 0, 0, 1, 0, 1),
+    (3, 0.6, 2, 1.0, 40, 0.0, 0, 0, 0, 1, 0, 1), (1, 0.0, 2, 1.0, 1, 1.0, 0, 0, 0, 1, 1, 1),
+    (2, 1.0, 4, 1.0, 3, 1.0, 0, 0, 0, 1, 1, 1), (30, 1.0, 0, 0.0, 60, 0.0, 0, 0, 0, 1, 0, 1),
+    (5, 1.0, 60, 0.0, 60, 0.0, 0, 1, 0, 1, 0, 0), (3, 0.0, 0, 0.0, 60, 0.0, 0, 1, 1, 1, 0, 0),
+    (4, 0.0, 90, 0.0, 20, 0.0, 0, 0, 1, 1, 0, 0), (4, 1.0, 90, 0.0, 20, 0.0, 0, 0, 1, 1, 0, 0),
+    # short last lines and first ones
+    (3, 0.0, 60, 0.0, 5, 1.0, 0, 0, 0, 0, 0, 1), (1, 0.0, 80, 0.0, 30, 0.9, 0, 0, 0, 0, 0, 1),
+    (2, 0.0, 2, 0.0, 5, 1.0, 0, 0, 0, 0, 0, 1), (1, 0.0, 1, 0.0, 1, 1.0, 0, 0, 0, 0, 0, 1),
+    (2, 0.0, 0, 0.0, 4, 1.0, 0, 0, 0, 0, 0, 1), (2, 0.0, 4, 1.0, 0, 0.0, 0, 0, 0, 0, 0, 1),
+    # more than loose words between lists of links
+    (5, 0.0, 4, 1.0, 3, 1.0, 0, 0, 0, 0, 1, 1), (20, 0.0, 3, 1.0, 6, 1.0, 0, 0, 0, 0, 1, 1),
+    (90, 0.0, 2, 1.0, 5, 1.0, 0, 0, 0, 0, 1, 1), (40, 0.05, 8, 0.9, 2, 1.0, 0, 0, 0, 0, 1, 1),
+    (60, 0.0, 2, 1.0, 1, 1.0, 0, 0, 0, 0, 1, 1), (8, 0.0, 5, 1.0, 1, 1.0, 0, 0, 0, 0, 1, 1),
+    (1, 0.0, 3, 1.0, 6, 1.0, 0, 0, 0, 0, 1, 0),
+    (2, 0.0, 8, 0.9, 12, 0.9, 0, 0, 0, 0, 1, 0), (3, 0.0, 20, 1.0, 3, 1.0, 0, 0, 0, 0, 1, 0),
 ]
 
 

@@ -70,6 +70,27 @@ def test_furniture_beside_an_article_stays_furniture():
     assert text(page) == "Title\n\nShort"
 
 
+def test_only_an_article_or_what_holds_most_words_makes_the_rest_lost():
+    page = '<h1 class="entry-title">T</h1><div class="%s"><p>x y</p><p>' + LONG + "</p></div>"
+    assert text(page % "content") == text(page % "post-content") == f"T\n\nx y\n\n{LONG}"
+    assert text(f'<div class="post"><p>{LONG}</p><div>z</div></div><div>a b</div>') == f"{LONG}\n\nz"
+    assert text(f'<div class="story">Teaser</div><h2>Head</h2><p>{LONG}</p>') == f"Teaser\n\nHead\n\n{LONG}"
+
+
+def test_long_blocks_beside_an_article_are_text():
+    page = f"<article><h1>T</h1><p>x</p></article><div><p>{LONG}</p></div><div>a b</div><div><a href=1>{LONG}</a></div>"
+    assert text(page) == f"T\n\nx\n\n{LONG}"
+
+
+@pytest.mark.parametrize("end", ["<footer><a href=1>Imprint</a></footer>", "<div><a href=1>Imprint</a></div>", ""])
+def test_short_lines_and_linked_headings_without_an_article(end):
+    page = f"<nav><a href=1>Home</a></nav><h1><a href=2>Linked title</a></h1><p>{LONG}</p><h2><a href=3>Part</a></h2><p>{LONG}</p><p>The end.</p>{end}"
+    assert text(page) == f"Linked title\n\n{LONG}\n\nPart\n\n{LONG}\n\nThe end."
+    assert text(f"<nav><a href=1>Home</a></nav><p>Hello there</p>{end}") == "Hello there"
+    links = "<ul><li><a href=1>One</a><li><a href=2>Two</a></ul>"
+    assert text(f"{links}<p>or</p>{links}<p>{LONG}</p>{links}{end}") == LONG
+
+
 def test_table(spark, rows):
     data = [(1, "u", PAGE, "clash"), (2, None, None, "clash"), (None, "v", "", "clash"), (1, "u", PAGE, "clash"), (3, "w", "<article>" + "<p>x y</p>" * 50_000, "clash")]
     pages = rows("page_id long, url string, html string, text string", data)
