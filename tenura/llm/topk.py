@@ -38,6 +38,7 @@ class BlockIndex:
         self.high = np.maximum.reduceat(self.values, self.starts, axis=0)
         self.low = np.minimum.reduceat(self.values, self.starts, axis=0)
         self.most = float(np.abs(self.values).max(initial=0))
+        self.repeated = len(np.unique(ids)) < len(ids)
 
     @staticmethod
     def _leading(values: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -50,7 +51,7 @@ class BlockIndex:
         return (size.argmax(axis=1), positive, first)
 
     def search(self, query: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best documents other than the query, ties to smaller ids."""
+        """Ids and scores of the k best ids other than the query, ties to smaller ids."""
         bounds = np.maximum(q * self.high, q * self.low).sum(axis=1)
         order = np.argsort(-bounds, kind="stable")
         bounds = bounds[order]
@@ -74,13 +75,33 @@ class BlockIndex:
                 own, found = own[better], found[better]
             keep = own != query
             ids, scores = np.concatenate([ids, own[keep]]), np.concatenate([scores, found[keep]])
+            if self.repeated:
+                ids, scores = _best_of_each(ids, scores)
             best = np.lexsort((ids, -scores))[:k]
             ids, scores = ids[best], scores[best]
         return ids, scores
 
 
+def _best_of_each(ids: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every id once, with its best score."""
+    order = np.lexsort((-scores, ids))
+    ids, scores = ids[order], scores[order]
+    first = np.ones(len(ids), bool)
+    first[1:] = ids[1:] != ids[:-1]
+    return ids[first], scores[first]
+
+
+def _unlike_before(ids: np.ndarray, values: np.ndarray, last_id, last_values) -> np.ndarray:
+    """Which rows differ in id or vector from the row before; the first one's is given."""
+    new = np.ones(len(ids), bool)
+    new[0] = last_id is None or ids[0] != last_id or bool((values[0] != last_values).any())
+    same = np.flatnonzero(ids[1:] == ids[:-1]) + 1
+    new[same] = (values[same] != values[same - 1]).any(axis=1)
+    return new
+
+
 def _search(rows: DataFrame, k: int, block: int) -> DataFrame:
-    """rows: part, length, is_query, id, values; sorted so that documents come first."""
+    """rows: part, length, is_query, id, values; sorted so that documents come first, equal ones together."""
     names = ["query_id", "vec_id", "score"]
     schema = pa.schema([(n, pa.int64()) for n in names])
 
@@ -102,8 +123,10 @@ def _search(rows: DataFrame, k: int, block: int) -> DataFrame:
                     key, ids, parts, index = (part[a], length[a]), [], [], None
                 values = flat[begin[a] : begin[a] + (b - a) * int(length[a])].reshape(b - a, -1)
                 if not kind[a]:
-                    ids.append(own[a:b])
-                    parts.append(values)
+                    new = _unlike_before(own[a:b], values, ids[-1][-1] if ids else None, parts[-1][-1] if ids else None)
+                    if new.any():
+                        ids.append(own[a:b][new])
+                        parts.append(values[new])
                     continue
                 if not ids:
                     continue
@@ -150,8 +173,8 @@ def top_k(
     A component x counts as floor(``scale`` * x). Ties go to the smaller id; a query with
     fewer others has all of them. Vectors that are null, empty or hold null or non-finite
     components, and null ids, take no part; vectors of other lengths than the query's are
-    not compared with it. A row with the query's own id is no result. Of rows that share an
-    id and a score one is returned. A score beyond a long is an error.
+    not compared with it. A row with the query's own id is no result. Rows that share an
+    id count as one, with the best of their scores. A score beyond a long is an error.
     """
 
     def whole(df: DataFrame) -> DataFrame:
@@ -169,7 +192,7 @@ def top_k(
     asked = whole(queries).dropDuplicates(["id", "v"]).select(
         F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), "length", F.lit(1).alias("q"), "id", "v"
     )
-    rows = dealt.unionByName(asked).repartition("part").sortWithinPartitions("part", "length", "q", "id")
+    rows = dealt.unionByName(asked).repartition("part").sortWithinPartitions("part", "length", "q", "id", "v")
     found = _search(rows, k, block_rows)
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -55,6 +55,25 @@ def test_exact_beyond_doubles(spark, rows):
     assert result(topk.top_k(vectors, vectors.where("vec_id = 1"))) == expected(data, [1], 5)
 
 
+@pytest.mark.parametrize("part_rows", [1, 3, 8, 100_000])
+def test_repeated_ids_take_one_place(spark, rows, part_rows):
+    others = [(i, [float(i % 4), 1.0]) for i in range(3, 9)]
+    # Copies, and the same ids with vectors of their own that score less, in more than one block.
+    copies = [(2, [9.0, 9.0])] * 6 + [(10, [8.0, 8.0 - i / 4]) for i in range(20)]
+    vectors = rows(SCHEMA, [(1, [1.0, 1.0]), *copies, *others])
+    got = topk.top_k(vectors, vectors.where("vec_id = 1"), part_rows=part_rows, block_rows=2)
+    once = [(1, [1.0, 1.0]), (2, [9.0, 9.0]), (10, [8.0, 8.0]), *others]
+    assert result(got) == expected(once, [1], 5)
+    got = topk.top_k(vectors, vectors.where("vec_id = 1"), k=20, part_rows=part_rows, block_rows=2)
+    assert result(got) == expected(once, [1], 20)
+
+
+def test_equal_rows_are_held_once():
+    ids, values = np.array([1, 1, 1, 2, 2]), np.array([[1, 2], [1, 2], [1, 3], [1, 3], [1, 3]])
+    assert topk._unlike_before(ids, values, None, None).tolist() == [True, False, True, True, False]
+    assert topk._unlike_before(ids, values, 1, np.array([1, 2])).tolist() == [False, False, True, True, False]
+
+
 def test_repeated_rows_and_empty_tables(spark, rows):
     twice = rows(SCHEMA, [(1, [1.0]), (2, [1.0]), (2, [1.0])])
     assert result(topk.top_k(twice, twice)) == {(1, 1): (2, 65536), (2, 1): (1, 65536)}
