@@ -20,7 +20,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
@@ -31,6 +31,8 @@ UNKNOWN = "und"
 # Bounds of what the model is fitted on: labelled documents, and words of each.
 TRAIN_DOCUMENTS = 1_500
 TRAIN_WORDS = 60
+# Every language has this many of them, if it has as many documents and they fill half at most.
+TRAIN_LEAST = 100
 # Hashed n-gram weights for each language, and words in the lexicon.
 BUCKETS = 1 << 16
 LEXICON = 20_000
@@ -203,7 +205,11 @@ def fit(samples: list[tuple[str, list[str]]], rounds: int = 25, rate: float = 0.
 def training_sample(
     docs: DataFrame, key: str, text: str, lang: str, documents: int, words: int
 ) -> list[tuple[str, list[str]]]:
-    """A bounded sample of labelled documents: by hash of the id, a stretch of words of each."""
+    """A bounded sample of labelled documents: by hash of the id, a stretch of words of each.
+
+    Some of each language come first, the most frequent ``documents`` languages if there are
+    more; the smallest hashes of all fill the rest.
+    """
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).where(
         F.pmod(F.crc32(F.col(key).cast("string")), F.lit(4)) != 2
     ).select(F.xxhash64(F.lit(3), key).alias("h"), F.col(text).alias("text"), F.col(lang).alias("lang"))
@@ -214,7 +220,7 @@ def training_sample(
         for part in chunks(batches):
             for h, body, language in part:
                 best.append((h, language, body))
-            best = sorted(best)[:documents]
+            best = _spread(best, documents, least)
         found = []
         for h, language, body in best:
             every = words_of(body)
@@ -223,15 +229,36 @@ def training_sample(
                 found.append((h, language, " ".join(every[start : start + words])))
         yield to_batch(schema, list(zip(*found)) if found else [[]] * 3)
 
-    # Each task keeps its share of the sample; the smallest hashes of all are the sample.
-    limit = rows.select("h").orderBy("h").limit(documents).agg(F.max("h")).first()[0]
-    if limit is None:
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(documents).collect()
+    if not counts:
         return []
-    chosen = rows.where(F.col("h") <= limit).mapInArrow(pick, "h long, lang string, words string")
-    found = sorted((r["h"], r["lang"], r["words"]) for r in chosen.collect())[:documents]
+    least = max(1, min(TRAIN_LEAST, documents // (2 * len(counts))))
+    # Each task keeps its share of the sample; the smallest hashes of all are most of it.
+    limit = rows.select("h").orderBy("h").limit(documents).agg(F.max("h")).first()[0]
+    there = dict(rows.where(F.col("h") <= limit).groupBy("lang").count().collect())
+    rare = [r["lang"] for r in counts if there.get(r["lang"], 0) < min(r["count"], least)]
+    inside = F.col("h") <= limit
+    if rare:
+        order = Window.partitionBy("lang").orderBy("h")
+        first = rows.where(F.col("lang").isin(rare)).select("lang", "h").withColumn("n", F.row_number().over(order))
+        limits = first.where(F.col("n") <= least).groupBy("lang").agg(F.max("h")).collect()
+        own = F.create_map(*[F.lit(x) for row in limits for x in row])
+        inside |= F.coalesce(F.col("h") <= F.try_element_at(own, F.col("lang")), F.lit(False))
+    chosen = rows.where(inside).mapInArrow(pick, "h long, lang string, words string")
+    found = _spread([(r["h"], r["lang"], r["words"]) for r in chosen.collect()], documents, least)
     return [(language, text.split(" ")) for _, language, text in found]
 
 
+def _spread(sample: list[tuple], documents: int, least: int) -> list[tuple]:
+    """Rows of the smallest hashes: ``least`` of each language, and up to ``documents`` in all."""
+    seen: Counter = Counter()
+    first, rest = [], []
+    for row in sorted(sample):
+        (first if seen[row[1]] < least else rest).append(row)
+        seen[row[1]] += 1
+    return sorted(first + rest[: max(0, documents - len(first))])
+
+
 def identify(
     docs: DataFrame,
     model: Model | None,

@@ -61,6 +61,16 @@ def test_texts_without_letters_and_odd_rows(spark, rows):
     )
 
 
+def test_a_rare_language_is_in_the_sample(spark, rows):
+    data = [(i, "aa bb ab ba", "a") for i in range(4_000)] + [(i, "yy xx xy yx", "x") for i in range(4_000, 4_012)]
+    docs = rows(SCHEMA, data)
+    sample = language.training_sample(docs, "doc_id", "text", "lang", 40, 10)
+    assert len(sample) == 40 and sum(lang == "x" for lang, _ in sample) >= 6
+    model = language.train(docs, documents=40)
+    found = language.identify(rows(SCHEMA, [(1, "xx yx", None), (2, "ab ba", None)]), model).collect()
+    assert sorted((r["doc_id"], r["lang_pred"]) for r in found) == [(1, "x"), (2, "a")]
+
+
 def test_no_labels_and_empty_table(spark, rows):
     unlabelled = rows(SCHEMA, [(1, "abc", None)])
     assert language.train(unlabelled) is None
