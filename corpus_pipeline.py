@@ -16,7 +16,7 @@ from tenura.llm.common import table
 from tenura.sources.shared import materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-# A document goes if its language is this unsure; texts in several languages are surer.
+# A document goes if its words' languages are this unsure; texts in several languages are surer.
 LEAST_LANGUAGE_SCORE = 0.4
 # A document goes if it is more likely toxic or of low quality.
 LEAST_QUALITY = 0.5
@@ -24,8 +24,8 @@ LEAST_QUALITY = 0.5
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a known language: texts that are null or have no letters go."""
-    found = language.identify(docs, language.train(docs), columns=COLUMNS[1:])
-    known = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
+    found = language.identify(docs, language.train(docs), columns=COLUMNS[1:], sureness="sureness")
+    known = (F.col("lang_pred") != language.UNKNOWN) & (F.col("sureness") >= LEAST_LANGUAGE_SCORE)
     return found.where(known).select(COLUMNS)
 
 

@@ -265,14 +265,20 @@ def identify(
     key: str = "doc_id",
     text: str = "text",
     columns: Sequence[str] = (),
+    sureness: str | None = None,
 ) -> DataFrame:
     """key, lang_pred, score for every whole text, and other ``columns`` as they are.
 
+    ``sureness`` names one more column: the mean over all words of each word's largest
+    probability, which is also high in a text of several languages.
+
     A null text and one without letters are ``und`` with score 0, and so is everything if
     there is no model. Equal means go to the language that sorts first.
     """
     same = docs.select(key, *columns).schema
     schema = StructType([*same, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    if sureness is not None:
+        schema = schema.add(sureness, DoubleType())
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,7 +297,7 @@ def identify(
                 table = np.concatenate([table, model.emissions(new)])
             lengths = np.fromiter(map(len, every), np.int64, len(every))
             has = np.flatnonzero(lengths > 0)
-            languages, score = [UNKNOWN] * len(rows), np.zeros(len(rows))
+            languages, score, sure = [UNKNOWN] * len(rows), np.zeros(len(rows)), np.zeros(len(rows))
             if len(has):
                 numbers = np.fromiter(
                     map(index.__getitem__, chain.from_iterable(every)), np.int64, int(lengths.sum())
@@ -301,14 +307,17 @@ def identify(
                 mean = np.add.reduceat(found, starts, axis=0) / lengths[has][:, None]
                 best = mean.argmax(axis=1)
                 score[has] = np.clip(mean[np.arange(len(has)), best], 0.0, 1.0)
+                if sureness is not None:
+                    sure[has] = np.clip(np.add.reduceat(found.max(axis=1), starts) / lengths[has], 0.0, 1.0)
                 for i, b in zip(has.tolist(), best.tolist()):
                     # A run of numerals such as "²" counts as a word, but has no letter.
                     if any(c.isalpha() for w in every[i] for c in w):
                         languages[i] = model.languages[b]
                     else:
-                        score[i] = 0.0
+                        score[i] = sure[i] = 0.0
             whole = list(zip(*rows))
-            yield to_batch(out, [whole[0], *whole[2:], languages, score])
+            more = [sure] if sureness is not None else []
+            yield to_batch(out, [whole[0], *whole[2:], languages, score, *more])
 
     return docs.select(key, F.col(text).alias("_text"), *columns).mapInArrow(run, schema)
 

@@ -44,6 +44,19 @@ def test_language_keeps_texts_with_letters(kept):
     assert all(before[d] == t for d, t in after.items())
 
 
+def test_language_keeps_a_text_in_three_languages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    parts = [next(r["text"] for r in docs.where((F.col("lang") == lang) & (F.length("text") > 600)).orderBy("doc_id").collect())
+             for lang in ("de", "es", "fr")]
+    mixed = " ".join(" ".join(p.split()[:60]) for p in parts)
+    planted = spark.createDataFrame([(10**6 + 2, mixed, None, "s", len(mixed))], docs.schema)
+    model = corpus_pipeline.language.train(docs)
+    row = corpus_pipeline.language.identify(planted, model, sureness="sureness").first()
+    assert row["score"] < corpus_pipeline.LEAST_LANGUAGE_SCORE < 0.8 < row["sureness"]
+    kept = corpus_pipeline.language_stage(spark, docs.unionByName(planted), SF)
+    assert kept.where(F.col("doc_id") == 10**6 + 2).first()["text"] == mixed
+
+
 def test_quality_keeps_good_documents(spark, kept):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     truth = {r["doc_id"]: r["toxic"] == 0 and r["quality"] == 1 for r in labels.collect()}
