@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,15 +23,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def chunks(
     batches: Iterable[pa.RecordBatch], text: int = 1, limit: int = CHUNK_CHARS
 ) -> Iterator[list[tuple]]:
-    """Rows as tuples, in lists of about ``limit`` characters in column ``text`` (null: empty)."""
+    """Rows as tuples, in lists of about ``limit`` bytes in column ``text`` (null: empty).
+
+    Batches are cut before they become Python values, so that no task holds more than one
+    list of them; a longer text is a list alone.
+    """
     rows: list[tuple] = []
     size = 0
     for batch in batches:
-        columns = [c.to_pylist() for c in batch.columns]
-        columns[text] = [t or "" for t in columns[text]]
-        for row in zip(*columns):
-            rows.append(row)
-            size += len(row[text]) + 100
+        for piece, length in slices(batch, text, limit):
+            if rows and size + length > limit:
+                yield rows
+                rows, size = [], 0
+            columns = [c.to_pylist() for c in piece.columns]
+            columns[text] = [t or "" for t in columns[text]]
+            rows += zip(*columns)
+            size += length
             if size >= limit:
                 yield rows
                 rows, size = [], 0
@@ -37,6 +46,22 @@ def chunks(
         yield rows
 
 
+def slices(
+    batch: pa.RecordBatch, text: int = 1, limit: int = CHUNK_CHARS
+) -> Iterator[tuple[pa.RecordBatch, int]]:
+    """Parts of a batch of at most ``limit`` bytes in a text column, or one row, and their size."""
+    if not batch.num_rows:
+        return
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    upto = np.cumsum(sizes.astype(np.int64) + 100)
+    start = 0
+    while start < batch.num_rows:
+        before = upto[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(upto, before + limit, "right")))
+        yield batch.slice(start, stop - start), int(upto[stop - 1] - before)
+        start = stop
+
+
 def to_batch(schema: pa.Schema, columns: Sequence) -> pa.RecordBatch:
     arrays = [
         c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(columns, schema)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tenura.llm import (
-    bpe, html_text, language, lattice, minhash, packing, quality, substring, token_files, topk,
+    alignment, bpe, html_text, language, lattice, minhash, packing, quality, resampling, substring,
+    token_counts, token_files, topk,
 )
 from tenura.llm.common import table
 
@@ -67,6 +68,22 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(table(spark, sf_dir, "pages"))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = table(spark, sf_dir, "benchmark")
+    return resampling.resample(table(spark, sf_dir, "documents"), target, percent=25, seed=7)
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), path, limit=2048)
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    byte_path = public_tokenizers.path("byte_bpe_50k.json")
+    piece_path = public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align_documents(table(spark, sf_dir, "documents"), byte_path, piece_path)
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_bpe": op2_bpe,
@@ -78,6 +95,9 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_substring": op9_substring,
     "op10_html": op10_html,
+    "op11_resampling": op11_resampling,
+    "op12_token_counts": op12_token_counts,
+    "op13_alignment": op13_alignment,
     "pipeline": corpus_pipeline.run,
 }
 # DuckDB SQL where it can express the query.
