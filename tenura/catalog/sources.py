@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +20,7 @@ from tenura.sources.bindings import PERIOD_COLUMN, StarSchema
 from tenura.sources.csv import read_landing_table
 from tenura.sources.lake import MONTH, Lake, ingest, load_activity, load_months
 from tenura.sources.parquet import read_table, write_table
+from tenura.sources.published import publish, read_partitions
 from tenura.sources.shared import new_path
 
 ALL = "all"
@@ -207,6 +209,42 @@ def emptied_month(spark, sf):
     )
 
 
+@query(
+    "s4_s5_failed_and_unmoved_writes",
+    bound_sql(
+        """SELECT CAST(year(recharge_dt) AS VARCHAR) AS month, count(*) AS n_rows,
+                  CAST(round(sum(round(recharge_value_amt * 100))) AS BIGINT) AS cents
+           FROM recharge
+           WHERE year(recharge_dt) <> 1997 OR recharge_value_amt > 200000 GROUP BY ALL""",
+        "recharge",
+    ),
+)
+def failed_write(spark, sf):
+    """A write of two years that fails half-way leaves both; one left unmoved is current.
+
+    1996 and 1997 are written with a row that can't be computed, then 1997 anew with its
+    large amounts, published but not moved to its plain folder.
+    """
+    path = new_path(spark, "published")
+    recharge = StarSchema(spark, sf).recharge()
+    rows = recharge.withColumn(MONTH, F.year("recharge_dt").cast("string"))
+    publish(rows, path, MONTH, months_of("recharge", recharge), rebalance=True)
+    two = rows.where(F.col(MONTH).isin("1996", "1997"))
+    last = two.agg(F.max("recharge_dt")).first()[0]
+    broken = F.when(F.col("recharge_dt") == F.lit(last), F.raise_error(F.lit("broken row")))
+    try:
+        publish(two.withColumn("bib_id", F.coalesce(broken, "bib_id")), path, MONTH)
+        raise AssertionError("the write should have failed")
+    except SparkRuntimeException:
+        pass
+    large = two.where((F.col(MONTH) == "1997") & (F.col("recharge_value_amt") > 200000))
+    publish(large, path, MONTH, ["1997"], settle=False)
+    cents = F.round(F.sum(F.round(F.col("recharge_value_amt") * 100))).cast("long")
+    return read_partitions(spark, path, MONTH).groupBy(MONTH).agg(
+        F.count(F.lit(1)).alias("n_rows"), cents.alias("cents")
+    )
+
+
 @query(
     "s6_tables_of_one_month",
     bound_sql(

@@ -1,8 +1,9 @@
 """Batch jobs that hand tables to each other under one lake folder.
 
 Months have roles by position: the first trains, the ones between evaluate, the last,
-for which no following month is known yet, is scored. Every job overwrites only the
-partitions it makes and deletes no input, so each can be run again.
+for which no following month is known yet, is scored. Every job replaces only the
+partitions it makes, all of them at one stroke once they are written, and deletes no input,
+so each can be run again, also after it was killed.
 """
 
 from __future__ import annotations
@@ -36,7 +37,8 @@ from tenura.plans.models import (
 )
 from tenura.schemas import KEY
 from tenura.sources.lake import MONTH, Lake, ingest, load_activity, load_months
-from tenura.sources.parquet import is_complete, mark_complete, read_table, write_table
+from tenura.sources.parquet import is_complete, mark_complete, write_table
+from tenura.sources.published import read_partitions
 from tenura.sources.shared import materialize
 
 MONTH_KEYS = (MONTH, KEY)
@@ -71,7 +73,7 @@ def dataset_job(
     Returns the rows of each table without a key, which are left out.
     """
     tables = load_months(spark, lake, months)
-    labels = _result(spark, lake, "label").where(F.col(MONTH).isin(*months[:-1]))
+    labels = _result(spark, lake, "label", months[:-1])
     newest = [tables[t].where(F.col(MONTH) == months[-1]) for t in ("package", "recharge")]
     population = labels.unionByName(scoring_population(newest, MONTH_KEYS))
     dataset = modelling_dataset(tables, population, as_of, MONTH_KEYS)
@@ -93,7 +95,7 @@ def preprocess_job(
     on_invalid: str = "null",
 ) -> None:
     """Fit the features on the first month, keep the fitted model, transform all months."""
-    dataset = _result(spark, lake, "dataset").where(F.col(MONTH).isin(*months))
+    dataset = _result(spark, lake, "dataset", months)
     fitted = fit_features(dataset.where(F.col(MONTH) == months[0]), recipe, on_invalid)
     save_model(fitted, _features_path(lake), overwrite=True)
     vectors = apply_features(fitted, dataset, (KEY, LABEL, MONTH))
@@ -121,7 +123,7 @@ def train_job(
     if not overwrite and is_complete(spark, path):
         return None
     estimator = classifier(model)
-    train = _result(spark, lake, "preprocessed").where(F.col(MONTH) == month)
+    train = _result(spark, lake, "preprocessed", [month])
     train = train.select(KEY, FEATURES, LABEL).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         tuned = tune(
@@ -141,22 +143,25 @@ def evaluate_job(
     spark: SparkSession, lake: Lake, month: str, model: str, metric: str
 ) -> DataFrame:
     """All metrics of a saved model on one labelled month, written and returned."""
-    rows = _result(spark, lake, "dataset").where(F.col(MONTH) == month)
+    rows = _result(spark, lake, "dataset", [month])
     fitted = load_model(lake.model_path(model, metric))
     predictions = score(fitted, rows, (KEY, LABEL), probability=True)
     metrics = evaluate(materialize(predictions, "evaluated"))
     kind = f"metrics/{model}__{metric}"
     write_table(
-        metrics.withColumn(MONTH, F.lit(month)), lake.result_path(kind), partition_by=[MONTH]
+        metrics.withColumn(MONTH, F.lit(month)),
+        lake.result_path(kind),
+        partition_by=[MONTH],
+        partitions=[month],
     )
-    return _result(spark, lake, kind).where(F.col(MONTH) == month).select("metric", "value")
+    return _result(spark, lake, kind, [month]).select("metric", "value")
 
 
 def score_job(
     spark: SparkSession, lake: Lake, month: str, model: str, metric: str, probability: bool = False
 ) -> None:
     """Predictions of a saved model for one month."""
-    rows = _result(spark, lake, "dataset").where(F.col(MONTH) == month)
+    rows = _result(spark, lake, "dataset", [month])
     fitted = load_model(lake.model_path(model, metric))
     predictions = score(fitted, rows, (KEY,), probability).withColumn(MONTH, F.lit(month))
     write_table(
@@ -191,8 +196,8 @@ def _features_path(lake: Lake) -> str:
     return f"{lake.root}/models/features"
 
 
-def _result(spark: SparkSession, lake: Lake, kind: str) -> DataFrame:
+def _result(
+    spark: SparkSession, lake: Lake, kind: str, months: Sequence[str] | None = None
+) -> DataFrame:
     """A table made by an earlier job, its month as text even if it looks like a number."""
-    path = lake.result_path(kind)
-    schema = read_table(spark, path).drop(MONTH).schema.add(MONTH, "string")
-    return spark.read.schema(schema).parquet(path)
+    return read_partitions(spark, lake.result_path(kind), MONTH, months)

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tenura.schemas import TABLES, loaded_schema
 from tenura.sources.csv import read_landing_table
-from tenura.sources.parquet import path_exists, write_table
+from tenura.sources.parquet import write_table
+from tenura.sources.published import missing_partitions, read_partitions
 
 MONTH = "month"
 
@@ -39,7 +40,9 @@ class Lake:
 def ingest(spark: SparkSession, lake: Lake, months: Sequence[str], tables=TABLES) -> None:
     """CSV to Parquet: one scan-and-write job per table, idempotent per month.
 
-    A month whose file has no rows is then there and empty, whatever it held before.
+    The months of a table are published together once all are written; a failed ingest leaves
+    those that were there. A month whose file has no rows is then there and empty, whatever
+    it held before.
     """
     for table in tables:
         monthly = [
@@ -59,19 +62,17 @@ def ingest(spark: SparkSession, lake: Lake, months: Sequence[str], tables=TABLES
 def load_months(
     spark: SparkSession, lake: Lake, months: Sequence[str], tables=TABLES
 ) -> dict[str, DataFrame]:
-    """The named tables for some months, read through a partition filter.
+    """The named tables for some months, read from where they are published.
 
     A month of a table that was never ingested raises ValueError; an empty one has no rows.
     """
     loaded = {}
     for table in tables:
         path = lake.table_path(table)
-        absent = [m for m in months if not path_exists(spark, f"{path}/{MONTH}={m}")]
+        absent = missing_partitions(spark, path, MONTH, months)
         if absent:
             raise ValueError(f"table {table} has no data for months {absent} under {path}")
-        # Declared, so that a month such as "01" is not read as a number.
-        schema = loaded_schema(table).add(MONTH, "string")
-        loaded[table] = spark.read.schema(schema).parquet(path).where(F.col(MONTH).isin(*months))
+        loaded[table] = read_partitions(spark, path, MONTH, months, loaded_schema(table))
     return loaded
 
 

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tenura.sources.published import publish
+
 WRITE_MODES = ("append", "overwrite", "ignore", "error")
 
 
@@ -24,8 +26,8 @@ def write_table(
     """Write a table. Overwriting a partitioned table replaces only the partitions in df.
 
     ``partitions`` names values of the only partition column that df stands for: each is
-    replaced even if df has no rows of it, and is then there without rows. df must not be
-    read from them.
+    replaced even if df has no rows of it, and is then there without rows. They are
+    published whole, see ``tenura.sources.published``: a write that fails changes nothing.
 
     ``rebalance`` shuffles rows into files of even size, for results whose tasks each
     hold rows of many table partitions; large table partitions are split over tasks.
@@ -34,9 +36,8 @@ def write_table(
         raise ValueError(f"mode must be one of {WRITE_MODES}, not {mode!r}")
     if partitions:
         (column,) = partition_by
-        nothing = df.sparkSession.createDataFrame([], df.drop(column).schema)
-        for value in partitions:
-            nothing.write.mode("overwrite").parquet(f"{path}/{column}={value}")
+        publish(df, path, column, partitions, rebalance)
+        return
     if rebalance:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode)
