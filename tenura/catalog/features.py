@@ -7,14 +7,11 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenura.catalog.activity import label_of_star as label
 from tenura.catalog.registry import bound_sql, query, rounded
-from tenura.operators.activity import churn_labels, package_recharge_activity, scoring_population
+from tenura.operators.dataset import Source, labelled_dataset, population_dataset
 from tenura.operators.features import (
     FEATURE_SETS,
     aggregate_features,
-    join_features,
-    modelling_dataset,
     subscriber_features,
     user_attributes,
     with_duration,
@@ -23,7 +20,7 @@ from tenura.schemas import AMOUNT_FEATURES, USAGE_FEATURES
 from tenura.sources.bindings import (
     AS_OF,
     CURRENT_START,
-    NEXT_START,
+    NEXT_END,
     PERIOD_COLUMN,
     StarSchema,
 )
@@ -97,9 +94,28 @@ DATASET_SQL = bound_sql(
 )
 
 
+def quarter_sources(
+    star: StarSchema, first: datetime.datetime, end: datetime.datetime, names: list[str]
+) -> list[Source]:
+    """Rows in [first, end) with their quarter's name; undated ones repeat for each."""
+    found = []
+    for df, kinds, at in star.sources():
+        if at is None:
+            found.append((df.select("*", F.explode(F.array(*map(F.lit, names))).alias("split")), kinds))
+            continue
+        split = F
+        for number, name in enumerate(names, start=(first.month + 2) // 3):
+            split = split.when(F.quarter(at) == number, F.lit(name))
+        inside = df.where((F.col(at) >= F.lit(first)) & (F.col(at) < F.lit(end)))
+        found.append((inside.withColumn("split", split), kinds))
+    return found
+
+
 def dataset(spark: SparkSession, sf: str) -> DataFrame:
-    star = StarSchema(spark, sf)
-    return modelling_dataset(star.period(CURRENT_START, NEXT_START), label(star), AS_OF)
+    """The first quarter of 1996, labelled by the second, in one pass."""
+    names = ["current", "next"]
+    sources = quarter_sources(StarSchema(spark, sf), CURRENT_START, NEXT_END, names)
+    return labelled_dataset(sources, names, AS_OF, "split", ["current"]).drop("split")
 
 
 def _aggregate(table):
@@ -160,13 +176,12 @@ def bundle(spark, sf):
     ),
 )
 def joined(spark, sf):
-    tables = StarSchema(spark, sf).tables()
-    population = scoring_population([tables["package"], tables["recharge"]])
-    return tidy(join_features(population, subscriber_features(tables, AS_OF)))
+    sources = [(df, kinds) for df, kinds, _ in StarSchema(spark, sf).sources()]
+    return tidy(population_dataset(sources, None, AS_OF))
 
 
 @query("l4_modelling_dataset", DATASET_SQL)
-def labelled_dataset(spark, sf):
+def labelled(spark, sf):
     return tidy(dataset(spark, sf))
 
 
@@ -174,34 +189,12 @@ def labelled_dataset(spark, sf):
 SPLITS = {"1996Q1": "train", "1996Q2": "eval", "1996Q3": "test"}
 
 
-def split_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """Tables of three quarters with a split column; undated tables repeat per split."""
-    star = StarSchema(spark, sf)
-    starts = F.lit(datetime.datetime(1996, 1, 1)), F.lit(datetime.datetime(1996, 10, 1))
-    every = F.explode(F.array(*(F.lit(s) for s in SPLITS.values()))).alias("split")
-    found = {}
-    for name, df in star.tables().items():
-        if name in PERIOD_COLUMN:
-            at = F.col(PERIOD_COLUMN[name])
-            split = F
-            for quarter, value in SPLITS.items():
-                split = split.when(F.quarter(at) == int(quarter[-1]), F.lit(value))
-            inside = df.where((at >= starts[0]) & (at < starts[1]))
-            found[name] = inside.withColumn("split", split)
-        else:
-            found[name] = df.select("*", every)
-    return found
-
-
 def split_dataset(spark: SparkSession, sf: str) -> DataFrame:
     """Train, eval and unlabelled test rows in one pass over the tables."""
-    tables = split_tables(spark, sf)
-    keys = ("split", "bib_id")
-    rows = package_recharge_activity(tables["package"], tables["recharge"], keys)
-    labels = churn_labels(rows, list(SPLITS.values()), month_col="split")
-    test = [tables[t].where(F.col("split") == "test") for t in ("package", "recharge")]
-    population = labels.unionByName(scoring_population(test, keys))
-    return modelling_dataset(tables, population, AS_OF, keys)
+    names = list(SPLITS.values())
+    end = datetime.datetime(1996, 10, 1)
+    sources = quarter_sources(StarSchema(spark, sf), CURRENT_START, end, names)
+    return labelled_dataset(sources, names, AS_OF, "split")
 
 
 def split_sql(users: str = USER_SQL) -> str:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -12,6 +11,13 @@ from pyspark.sql import functions as F
 
 from tenura.functions.columns import fill_zero
 from tenura.operators.activity import with_keys
+from tenura.operators.dataset import population_dataset, table_sources
+from tenura.operators.feature_sets import (
+    DURATION_SQL,
+    FEATURE_SETS,
+    FeatureSet,
+    ranked_attributes_sql,
+)
 from tenura.operators.skew import (
     HOT_ROWS,
     HotGroups,
@@ -21,52 +27,9 @@ from tenura.operators.skew import (
 )
 from tenura.schemas import AMOUNT_FEATURES, KEY, USAGE_FEATURES, USER_FEATURES
 
-DAYS_PER_YEAR = 365.25
-
-
-@dataclass(frozen=True)
-class FeatureSet:
-    """What to aggregate per key from one table: a row count, medians and sums."""
-
-    count: str | None = None
-    medians: Mapping[str, str] = field(default_factory=dict)
-    sums: Mapping[str, str] = field(default_factory=dict)
-
-    def names(self) -> list[str]:
-        return [*([self.count] if self.count else []), *self.medians, *self.sums]
-
-    def columns(self) -> list[str]:
-        return list(dict.fromkeys([*self.medians.values(), *self.sums.values()]))
-
-
-# Features of each table and the columns they come from.
-FEATURE_SETS = {
-    "loan_assign": FeatureSet(
-        "CountAssignLoanAmount", {"MedianAssignLoanAmount": "loan_amount"}
-    ),
-    "loan_recovery": FeatureSet(
-        "CountRecoveryLoanAmount", {"MedianRecoveryLoanAmount": "loan_amount"}
-    ),
-    "package": FeatureSet(
-        "CountPackage",
-        {"MedianPackageAmount": "offer_amount", "MedianPackageDuration": "duration"},
-    ),
-    "recharge": FeatureSet("CountRecharge", {"MedianRechargeAmount": "recharge_value_amt"}),
-    "cdr": FeatureSet(
-        sums={
-            "SumSMSCount": "sms_count",
-            "SumVoiceCount": "voice_count",
-            "SumCallDuration": "call_duration",
-            "SumGPRSUsage": "gprs_usage",
-        }
-    ),
-}
-
-
 def with_duration(package: DataFrame) -> DataFrame:
     """Add the calendar days a package was active."""
-    days = F.datediff(F.col("deactivation_date"), F.col("activation_date"))
-    return package.withColumn("duration", days)
+    return package.withColumn("duration", F.expr(DURATION_SQL))
 
 
 def aggregate_features(
@@ -97,14 +60,10 @@ def user_attributes(
     Of several rows for one key one with the fewest nulls is kept, the smallest of these, so
     that reruns agree.
     """
-    age = F.datediff(F.lit(as_of), F.col("date_of_birth_d")) / DAYS_PER_YEAR
-    rows = with_keys(user, keys).withColumns(
-        {"age": age, "registration_year": F.year("registration_date_d")}
-    )
-    nulls = sum((F.col(c).isNull().cast("int") for c in USER_FEATURES), F.lit(0)).alias("nulls")
     return (
-        rows.groupBy(*keys)
-        .agg(F.min(F.struct(nulls, *USER_FEATURES)).alias("attributes"))
+        with_keys(user, keys)
+        .groupBy(*keys)
+        .agg(F.min(F.expr(ranked_attributes_sql(as_of))).alias("attributes"))
         .select(*keys, *(f"attributes.{c}" for c in USER_FEATURES))
     )
 
@@ -148,5 +107,5 @@ def modelling_dataset(
     keys: Sequence[str] = (KEY,),
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Labelled (or still unlabelled) population with all features."""
-    return join_features(population, subscriber_features(tables, as_of, keys, hot_rows), keys)
+    """Labelled (or still unlabelled) population with all features of the six tables."""
+    return population_dataset(table_sources(tables), population, as_of, keys, hot_rows)

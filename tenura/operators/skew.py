@@ -11,7 +11,7 @@ wanted ranks, so no task and no sketch holds more than the bins.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -47,21 +47,30 @@ class HotGroups:
 NO_HOT_GROUPS = HotGroups(None, 0)
 
 
+def hot_sample_share(hot_rows: int = HOT_ROWS) -> float:
+    """Share of all rows in which a group of ``hot_rows`` rows still has thousands."""
+    return min(1.0, SAMPLED_ROWS_OF_HOT / max(hot_rows, 1))
+
+
 def count_hot_groups(
-    tables: Mapping[str, DataFrame], keys: Sequence[str], hot_rows: int = HOT_ROWS
+    tables: Mapping[str, DataFrame],
+    keys: Sequence[str],
+    hot_rows: int = HOT_ROWS,
+    sampled: bool = False,
 ) -> dict[str, HotGroups]:
     """Find the hot groups of several tables in one job that reads only the key columns.
 
     Groups are counted on a sample in which a group of ``hot_rows`` rows still has
     thousands; half the expected number makes a group hot, so none of that size is
-    missed. Results never depend on which groups are found, only their cost does.
+    missed. Results never depend on which groups are found, only their cost does. Tables
+    that are ``sampled`` are such samples already.
     """
-    share = min(1.0, SAMPLED_ROWS_OF_HOT / max(hot_rows, 1))
+    share = hot_sample_share(hot_rows)
     limit = hot_rows if share == 1.0 else hot_rows * share / 2
     tagged = []
     for name, df in tables.items():
         key_rows = df.select(F.lit(name).alias("source"), *keys)
-        tagged.append(key_rows if share == 1.0 else key_rows.sample(share, seed=SEED))
+        tagged.append(key_rows if sampled or share == 1.0 else key_rows.sample(share, seed=SEED))
     sizes = (
         reduce(DataFrame.unionByName, tagged)
         .groupBy("source", *keys)
@@ -157,6 +166,8 @@ def grouped_quantiles(
     aggregates: Mapping[str, Column] | None = None,
     hot: HotGroups | None = None,
     hot_rows: int = HOT_ROWS,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+    nan: bool = False,
 ) -> DataFrame:
     """Exact quantiles and other aggregates per group, one row per group.
 
@@ -165,26 +176,36 @@ def grouped_quantiles(
     columns of the quantiles, also by ``aggregates``; a group without values has null
     quantiles.
 
-    ``df`` should hold no columns beyond those used.
+    ``df`` should hold no columns beyond those used. ``prepare`` derives further columns from
+    them row by row; it is applied after the shuffle, so that only ``df``'s are shuffled. With
+    ``nan`` it has turned NaN into null already.
     """
+    prepare = prepare or (lambda rows: rows)
     aggregates = {name: agg.alias(name) for name, agg in (aggregates or {}).items()}
     plain = [q.aggregate().alias(name) for name, q in quantiles.items()] + [*aggregates.values()]
     names = [*keys, *quantiles, *aggregates]
-    floats = {f.name for f in df.schema if f.dataType.typeName() in ("double", "float")}
-    columns = {q.col for q in quantiles.values()} & floats - set(keys)
-    df = df.withColumns({c: F.nanvl(c, F.lit(None)) for c in sorted(columns)})
+    columns: set[str] = set()
+    if not nan:
+        kinds = prepare(df).schema
+        floats = {f.name for f in kinds if f.dataType.typeName() in ("double", "float")}
+        columns = {q.col for q in quantiles.values()} & floats - set(keys)
+
+    def prepared(rows: DataFrame) -> DataFrame:
+        made = {c: F.nanvl(c, F.lit(None)) for c in sorted(columns)}
+        return prepare(rows).withColumns(made) if made else prepare(rows)
+
     if not keys:
-        return _whole_table(df, quantiles, aggregates)
+        return _whole_table(prepared(df), quantiles, aggregates)
 
     if hot is None:
         hot = count_hot_groups({"rows": df}, keys, hot_rows)["rows"]
     # Values of a key seldom repeat, so combining them before the shuffle would cost more
     # than it saves; with the hot groups apart, the rows of a key are few.
     if not hot.count:
-        return df.repartition(*keys).groupBy(*keys).agg(*plain)
+        return prepared(df.repartition(*keys)).groupBy(*keys).agg(*plain)
     cold = join_small(df, hot.rows, keys, "left_anti", hot.count)
-    cold = cold.repartition(*keys).groupBy(*keys).agg(*plain)
-    rows = join_small(df, hot.rows, keys, "left_semi", hot.count)
+    cold = prepared(cold.repartition(*keys)).groupBy(*keys).agg(*plain)
+    rows = prepared(join_small(df, hot.rows, keys, "left_semi", hot.count))
     exact = _hot_groups(rows, keys, quantiles, aggregates, hot.count)
     return cold.select(names).unionByName(exact.select(names))
 

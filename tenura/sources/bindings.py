@@ -119,6 +119,35 @@ class StarSchema:
             F.col("c_acctbal").alias("account_balance"),
         )
 
+    def order_rows(self) -> DataFrame:
+        """Recharges, and the loans among them: one scan of the orders for both."""
+        urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+        return self.raw("orders").select(
+            _text("o_custkey", "bib_id"),
+            F.col("o_totalprice").alias("recharge_value_amt"),
+            F.col("o_orderdate").alias("recharge_dt"),
+            F.col("o_totalprice").alias("loan_amount"),
+            urgent.alias("is_loan"),
+        )
+
+    def item_rows(self) -> DataFrame:
+        """Packages, and the recoveries among them: one scan of the line items for both."""
+        items = self._with_customer(self.raw("lineitem"))
+        return self._package(
+            items,
+            F.col("l_extendedprice").alias("loan_amount"),
+            (F.col("l_returnflag") == "R").alias("is_recovery"),
+        )
+
+    def sources(self) -> list[tuple[DataFrame, dict[str, str | None], str | None]]:
+        """All tables as few sources: rows, the tables they belong to, and their time column."""
+        return [
+            (self.item_rows(), {"package": None, "loan_recovery": "is_recovery"}, "activation_date"),
+            (self.order_rows(), {"recharge": None, "loan_assign": "is_loan"}, "recharge_dt"),
+            (self.cdr(), {"cdr": None}, None),
+            (self.user(), {"user": None}, None),
+        ]
+
     def tables(self, names: Iterable[str] = TABLES) -> dict[str, DataFrame]:
         return {name: getattr(self, name)() for name in names}
 
