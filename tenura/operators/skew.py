@@ -4,8 +4,8 @@ A group with more than ``hot_rows`` rows is never gathered in one task. Quantile
 ordinary groups are plain grouped aggregates. Those of hot groups take two more passes
 over the hot rows, both combined on the map side: a mergeable sketch brackets every
 wanted rank, then the rows inside the brackets are counted per distinct value. Quantiles of
-a whole table are found by counting rows in bins and descending into the bins that hold the
-wanted ranks, so no task and no sketch holds more than the bins.
+a whole table are found alike, from sketches that are merged in two levels; brackets of very
+many rows are counted in bins first. So no task and no sketch holds more than the bins.
 """
 
 from __future__ import annotations
@@ -25,9 +25,16 @@ HOT_ROWS = 200_000
 # Rows of a group of that size in the sample that hot groups are looked for in.
 SAMPLED_ROWS_OF_HOT = 2_000
 SEED = 11
-# Bins of a pass for a whole table's quantiles, and values that are counted one by one.
-RANK_BINS = 1024
-RANK_VALUES = 1000
+# Bins of a pass for a whole table's quantiles, and values that are counted one by one. With
+# the brackets below, three scans are enough for 2e11 rows, two for 13 million.
+RANK_BINS = 16_384
+RANK_VALUES = 20_000
+# Size of a whole table's sketches, and how far a rank may be off, as a share of the rows:
+# twice the normalized error that such a sketch keeps to with 99 % confidence.
+SKETCH_SIZE = 8192
+SKETCH_MARGIN = 2 * 2.296 / SKETCH_SIZE**0.9723
+# Tasks' sketches are merged in so many groups, and these in one task.
+SKETCH_GROUPS = 1024
 # A table with at most this many rows may be broadcast.
 BROADCAST_ROWS = 20_000
 # Copies of the small side in a salted join when it is too long to broadcast.
@@ -222,34 +229,131 @@ def _bins(v: Column, low: float, high: float) -> Column:
 def _whole_table(
     df: DataFrame, quantiles: Mapping[str, Quantile], aggregates: Mapping[str, Column]
 ) -> DataFrame:
-    """One row of exact quantiles and aggregates of all rows.
+    """One row of exact quantiles and aggregates of all rows."""
+    row = whole_table_quantiles(df, quantiles)
+    single = df.sparkSession.range(1).select(
+        *(F.lit(v).cast("double").alias(n) for n, v in row.items())
+    )
+    if not aggregates:
+        return single
+    summary = df.agg(*aggregates.values())
+    found = summary.first()
+    return single.select("*", *(
+        F.lit(found[f.name]).cast(f.dataType).alias(f.name) for f in summary.schema
+    ))
+
+
+@dataclass(frozen=True)
+class ColumnSummary:
+    """Values of a column, its extremes, and brackets of some ranks that may be a little off."""
+
+    n: int
+    low: float | None
+    high: float | None
+    brackets: tuple[tuple[float, float], ...] = ()
 
-    Each pass counts the rows of every sought interval in RANK_BINS bins, combined on the
-    map side, and goes on with the one bin that holds the rank. Once an interval has few
-    rows, their values are counted. So the driver sees a bounded number of counts, and the
-    number of passes grows with the logarithm of the rows.
+
+def sketch_columns(
+    values: DataFrame, shares: Mapping[str, Sequence[float]], margin: float = SKETCH_MARGIN
+) -> dict[str, ColumnSummary]:
+    """Summary of several numeric columns in one scan, with brackets of ranks given as shares.
+
+    Every task sketches its rows; the sketches are merged in groups, then the groups' ones in
+    one task, so that no task reads more than a bounded number of them for each column.
+    """
+    first = [
+        agg for c in shares for agg in (
+            F.count(c).alias(f"n_{c}"), F.min(c).alias(f"low_{c}"), F.max(c).alias(f"high_{c}"),
+            F.kll_sketch_agg_double(c, SKETCH_SIZE).alias(f"sketch_{c}"),
+        )
+    ]
+    parts = values.select("*", F.spark_partition_id().alias("part")).groupBy(
+        F.pmod("part", F.lit(SKETCH_GROUPS)).alias("part")
+    ).agg(*first)
+    merged = parts.agg(*(
+        agg for c in shares for agg in (
+            F.sum(f"n_{c}").alias(f"n_{c}"), F.min(f"low_{c}").alias(f"low_{c}"),
+            F.max(f"high_{c}").alias(f"high_{c}"),
+            F.kll_merge_agg_double(f"sketch_{c}", SKETCH_SIZE).alias(f"sketch_{c}"),
+        )
+    ))
+    wanted = []
+    for c, at in shares.items():
+        wanted += [f"n_{c}", f"low_{c}", f"high_{c}"]
+        around = [e for p in at for e in (max(0.0, p - margin), min(1.0, p + margin))]
+        if around:
+            ranks = F.array(*map(F.lit, around))
+            found = F.kll_sketch_get_quantile_double(f"sketch_{c}", ranks)
+            wanted.append(F.when(F.col(f"n_{c}") > 0, found).alias(f"at_{c}"))
+    row = merged.select(*wanted).first().asDict()
+    summaries = {}
+    for c, at in shares.items():
+        bounds = row.get(f"at_{c}") or []
+        pairs = tuple(zip(bounds[::2], bounds[1::2]))
+        summaries[c] = ColumnSummary(row[f"n_{c}"] or 0, row[f"low_{c}"], row[f"high_{c}"], pairs)
+    return summaries
+
+
+def whole_table_quantiles(
+    df: DataFrame,
+    quantiles: Mapping[str, Quantile],
+    summaries: dict[str, ColumnSummary] | None = None,
+) -> dict[str, float | None]:
+    """Exact quantiles of all rows; null for columns without values. NaN must be null in df.
+
+    One scan sketches the columns, which brackets every wanted rank. The next one counts the
+    rows below each bracket, and inside it the rows of each value, or of each of RANK_BINS bins
+    if there are too many; then one more counts the values of the one bin that holds the rank.
+    A rank outside its bracket is sought in bins of the whole range. All counts combine on the
+    map side, and the driver sees a bounded number of them. ``summaries``, if given, receives
+    the summary of each column.
     """
     cols = list(dict.fromkeys(q.col for q in quantiles.values()))
     values = df.select(*(F.col(c).cast("double").alias(f"v{j}") for j, c in enumerate(cols)))
-    limits = [
-        agg for j, c in enumerate(cols) for v in [F.col(c).cast("double")]
-        for agg in (F.count(v).alias(f"n{j}"), F.min(v).alias(f"lo{j}"), F.max(v).alias(f"hi{j}"))
-    ]
-    summary = df.agg(*limits, *aggregates.values())
-    found = summary.first()
+    shares = {
+        f"v{j}": list(dict.fromkeys(q.p for q in quantiles.values() if q.col == c))
+        for j, c in enumerate(cols)
+    }
+    found = sketch_columns(values, shares)
+    if summaries is not None:
+        summaries.update({c: found[f"v{j}"] for j, c in enumerate(cols)})
 
     ranks = {}
     for name, q in quantiles.items():
         j = cols.index(q.col)
-        n = found[f"n{j}"]
+        n = found[f"v{j}"].n
         if n:
             at = q.p * (n - 1) if q.interpolate else max(math.ceil(q.p * n) - 1, 0)
             ranks[name] = (j, math.floor(at), math.ceil(at), at - math.floor(at))
     # For each sought (column, rank): rows below, rows inside, smallest and largest inside.
-    spans = {
-        (j, rank): (0, found[f"n{j}"], found[f"lo{j}"], found[f"hi{j}"])
-        for j, low, high, _ in ranks.values() for rank in (low, high)
-    }
+    spans = {}
+    brackets: dict[tuple[int, float, float], set[int]] = {}
+    for name, (j, low, high, _) in ranks.items():
+        whole = found[f"v{j}"]
+        for rank in (low, high):
+            spans[j, rank] = (0, whole.n, whole.low, whole.high)
+            if rank in (0, whole.n - 1):
+                end = whole.low if rank == 0 else whole.high
+                spans[j, rank] = (rank, 1, end, end)
+            elif whole.n > RANK_VALUES:
+                at = shares[f"v{j}"].index(quantiles[name].p)
+                brackets.setdefault((j, *whole.brackets[at]), set()).add(rank)
+
+    def narrow(j: int, rank: int, below: int, bins: list) -> bool:
+        """Go on with the bin that holds the rank; False if none does."""
+        for low, high, rows in bins:
+            if below <= rank < below + rows:
+                spans[j, rank] = (below, rows, low, high)
+                return True
+            below += rows
+        return False
+
+    if brackets:
+        for (j, low, high), (below, bins) in _count_brackets(
+            values, [(*key, found[f"v{key[0]}"].n) for key in brackets]
+        ).items():
+            for rank in brackets[j, low, high]:
+                narrow(j, rank, below, bins)
 
     def counted(open_: list, place) -> dict:
         """Rows of each sought interval by their place, with least and largest value."""
@@ -259,9 +363,9 @@ def _whole_table(
             v = F.col(f"v{j}")
             one = F.struct(F.lit(t).alias("t"), place(v, low, high).alias("place"), v.alias("v"))
             tagged.append(F.when(v.between(low, high), one))
-        rows = values.select(F.inline(F.array_compact(F.array(*tagged)))).groupBy("t", "place").agg(
-            F.count(F.lit(1)).alias("rows"), F.min("v").alias("low"), F.max("v").alias("high")
-        )
+        rows = values.select(F.inline(F.array(*tagged))).where("t IS NOT NULL").groupBy(
+            "t", "place"
+        ).agg(F.count(F.lit(1)).alias("rows"), F.min("v").alias("low"), F.max("v").alias("high"))
         parts: dict = {key: [] for key in open_}
         for r in rows.collect():
             parts[open_[r["t"]]].append((r["low"], r["high"], r["rows"]))
@@ -269,30 +373,67 @@ def _whole_table(
 
     def descend(parts: dict) -> None:
         for (j, rank), bins in parts.items():
-            below = spans[j, rank][0]
-            for low, high, rows in bins:
-                if rank < below + rows:
-                    spans[j, rank] = (below, rows, low, high)
-                    break
-                below += rows
+            narrow(j, rank, spans[j, rank][0], bins)
 
     while open_ := [k for k, (_, n, low, high) in spans.items() if n > RANK_VALUES and low < high]:
         descend(counted(open_, _bins))
     if last := [k for k, (_, _, low, high) in spans.items() if low < high]:
         descend(counted(last, lambda v, low, high: v))
 
-    row = {}
+    row: dict[str, float | None] = {}
     for name in quantiles:
         row[name] = None
         if name in ranks:
             j, low, high, weight = ranks[name]
             a, b = spans[j, low][2], spans[j, high][2]
             row[name] = a if weight == 0 else a * (1 - weight) + b * weight
-    kinds = {f.name: f.dataType for f in summary.schema}
-    return df.sparkSession.range(1).select(
-        *(F.lit(v).cast("double").alias(n) for n, v in row.items()),
-        *(F.lit(found[n]).cast(kinds[n]).alias(n) for n in aggregates),
-    )
+    return row
+
+
+def _count_brackets(
+    values: DataFrame, brackets: Sequence[tuple[int, float, float, int]]
+) -> dict[tuple[int, float, float], tuple[int, list[tuple[float, float, int]]]]:
+    """Rows below each bracket (column, low, high, rows of the column), and rows of its values.
+
+    Values are (least, largest, rows) in order: single ones, or bins if very many rows are to
+    be expected. One scan: rows outside every bracket fall into one group, which counts those
+    below each of them.
+    """
+    kept, aggregates = [], []
+    for t, (j, low, high, n) in enumerate(brackets):
+        v = F.col(f"v{j}")
+        inside = v.between(low, high)
+        few = 2 * SKETCH_MARGIN * n <= RANK_VALUES or low == high
+        place = v if few else _bins(v, low, high).cast("double")
+        kept.append(F.when(inside, place).alias(f"k{t}"))
+        aggregates += [
+            F.count_if(v < low).alias(f"below{t}"),
+            F.min(F.when(inside, v)).alias(f"low{t}"), F.max(F.when(inside, v)).alias(f"high{t}"),
+        ]
+    combined = values.groupBy(*kept).agg(F.count(F.lit(1)).alias("rows"), *aggregates)
+    targets = []
+    for t in range(len(brackets)):
+        zero, nothing = F.lit(0).cast("long"), F.lit(None).cast("double")
+        name = F.lit(t).alias("t")
+        targets.append(F.struct(
+            name, nothing.alias("place"), F.col(f"below{t}").alias("rows"),
+            nothing.alias("low"), nothing.alias("high"),
+        ))
+        targets.append(F.when(F.col(f"k{t}").isNotNull(), F.struct(
+            name, F.col(f"k{t}").alias("place"), F.coalesce("rows", zero).alias("rows"),
+            F.col(f"low{t}").alias("low"), F.col(f"high{t}").alias("high"),
+        )))
+    counted = combined.select(F.inline(F.array(*targets))).where("t IS NOT NULL").groupBy(
+        "t", "place"
+    ).agg(F.sum("rows").alias("rows"), F.min("low").alias("low"), F.max("high").alias("high"))
+    below = dict.fromkeys(range(len(brackets)), 0)
+    bins: dict[int, list] = {t: [] for t in below}
+    for r in counted.collect():
+        if r["place"] is None:
+            below[r["t"]] = r["rows"]
+        else:
+            bins[r["t"]].append((r["low"], r["high"], r["rows"]))
+    return {(j, low, high): (below[t], sorted(bins[t])) for t, (j, low, high, _) in enumerate(brackets)}
 
 
 def _hot_groups(
