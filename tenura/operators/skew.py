@@ -217,13 +217,21 @@ def grouped_quantiles(
     return cold.select(names).unionByName(exact.select(names))
 
 
-def _bins(v: Column, low: float, high: float) -> Column:
-    """Number of the bin of v in [low, high]: rises with v."""
+def _double(value: float) -> str:
+    return f"CAST('{value!r}' AS DOUBLE)"
+
+
+def _inside(v: str, low: float, high: float) -> str:
+    return f"{v} BETWEEN {_double(low)} AND {_double(high)}"
+
+
+def _bins(v: str, low: float, high: float) -> str:
+    """SQL for the number of the bin of v in [low, high]: rises with v."""
     if math.isinf(low) or math.isinf(high):
-        return F.when(v == low, 0).when(v == high, 2).otherwise(1)
+        return f"CASE WHEN {v} = {_double(low)} THEN 0 WHEN {v} = {_double(high)} THEN 2 ELSE 1 END"
     half = high / 2 - low / 2  # high - low may be beyond a double
-    place = F.floor((v / 2 - F.lit(low / 2)) / F.lit(half) * RANK_BINS)
-    return F.least(place, F.lit(RANK_BINS - 1)).cast("int")
+    place = f"floor(({v} / 2 - {_double(low / 2)}) / {_double(half)} * {RANK_BINS})"
+    return f"CAST(least({place}, {RANK_BINS - 1}) AS INT)"
 
 
 def _whole_table(
@@ -245,12 +253,37 @@ def _whole_table(
 
 @dataclass(frozen=True)
 class ColumnSummary:
-    """Values of a column, its extremes, and brackets of some ranks that may be a little off."""
+    """Values of a column: their number, extremes, mean and squared deviations from it.
+
+    ``rows`` counts those without a value too; ``brackets`` are of ranks that may be a little off.
+    """
 
     n: int
     low: float | None
     high: float | None
     brackets: tuple[tuple[float, float], ...] = ()
+    rows: int = 0
+    mean: float = 0.0
+    squares: float = 0.0
+
+    def deviation(self, fill: float) -> float:
+        """Sample deviation of the column with its nulls replaced by ``fill``."""
+        gaps = self.rows - self.n
+        squares = self.squares + (fill - self.mean) ** 2 * self.n * gaps / max(self.rows, 1)
+        return math.sqrt(squares / (self.rows - 1)) if self.rows > 1 else 0.0
+
+
+def _moments(parts: Sequence) -> tuple[float, float]:
+    """Mean and squared deviations of all values from those of parts: (n, mean, variance)."""
+    n, mean, squares = 0, 0.0, 0.0
+    for part in parts:
+        if part["n"]:
+            away = part["mean"] - mean
+            both = n + part["n"]
+            squares += part["n"] * part["variance"] + away * away * n * part["n"] / both
+            mean += away * part["n"] / both
+            n = both
+    return mean, squares
 
 
 def sketch_columns(
@@ -261,36 +294,42 @@ def sketch_columns(
     Every task sketches its rows; the sketches are merged in groups, then the groups' ones in
     one task, so that no task reads more than a bounded number of them for each column.
     """
-    first = [
-        agg for c in shares for agg in (
-            F.count(c).alias(f"n_{c}"), F.min(c).alias(f"low_{c}"), F.max(c).alias(f"high_{c}"),
-            F.kll_sketch_agg_double(c, SKETCH_SIZE).alias(f"sketch_{c}"),
-        )
-    ]
-    parts = values.select("*", F.spark_partition_id().alias("part")).groupBy(
-        F.pmod("part", F.lit(SKETCH_GROUPS)).alias("part")
-    ).agg(*first)
-    merged = parts.agg(*(
-        agg for c in shares for agg in (
-            F.sum(f"n_{c}").alias(f"n_{c}"), F.min(f"low_{c}").alias(f"low_{c}"),
-            F.max(f"high_{c}").alias(f"high_{c}"),
-            F.kll_merge_agg_double(f"sketch_{c}", SKETCH_SIZE).alias(f"sketch_{c}"),
+    # As SQL text: the expressions are many, and each Column costs several calls to the JVM.
+    def together(template: str) -> str:
+        return ", ".join(template.format(c=c, k=SKETCH_SIZE) for c in shares)
+
+    first = together(
+        "count({c}) AS n_{c}, min({c}) AS low_{c}, max({c}) AS high_{c}, "
+        "kll_sketch_agg_double({c}, {k}) AS sketch_{c}, "
+        "struct(count({c}) AS n, avg({c}) AS mean, var_pop({c}) AS variance) AS moments_{c}"
+    )
+    parts = values.selectExpr("*", f"spark_partition_id() % {SKETCH_GROUPS} AS part").groupBy(
+        "part"
+    ).agg(F.expr(f"struct(count(1) AS rows, {first})").alias("s")).select("s.*")
+    merged = parts.selectExpr("sum(rows) AS rows", *(
+        sql.format(c=c, k=SKETCH_SIZE) for c in shares for sql in (
+            "sum(n_{c}) AS n_{c}", "min(low_{c}) AS low_{c}", "max(high_{c}) AS high_{c}",
+            "kll_merge_agg_double(sketch_{c}, {k}) AS sketch_{c}",
+            "collect_list(moments_{c}) AS moments_{c}",
         )
     ))
-    wanted = []
+    wanted = ["rows"]
     for c, at in shares.items():
-        wanted += [f"n_{c}", f"low_{c}", f"high_{c}"]
+        wanted += [f"n_{c}", f"low_{c}", f"high_{c}", f"moments_{c}"]
         around = [e for p in at for e in (max(0.0, p - margin), min(1.0, p + margin))]
         if around:
-            ranks = F.array(*map(F.lit, around))
-            found = F.kll_sketch_get_quantile_double(f"sketch_{c}", ranks)
-            wanted.append(F.when(F.col(f"n_{c}") > 0, found).alias(f"at_{c}"))
-    row = merged.select(*wanted).first().asDict()
+            ranks = ", ".join(f"{e!r}D" for e in around)
+            found = f"kll_sketch_get_quantile_double(sketch_{c}, array({ranks}))"
+            wanted.append(f"CASE WHEN n_{c} > 0 THEN {found} END AS at_{c}")
+    row = merged.selectExpr(*wanted).first().asDict()
     summaries = {}
     for c, at in shares.items():
         bounds = row.get(f"at_{c}") or []
         pairs = tuple(zip(bounds[::2], bounds[1::2]))
-        summaries[c] = ColumnSummary(row[f"n_{c}"] or 0, row[f"low_{c}"], row[f"high_{c}"], pairs)
+        mean, squares = _moments(row[f"moments_{c}"])
+        summaries[c] = ColumnSummary(
+            row[f"n_{c}"] or 0, row[f"low_{c}"], row[f"high_{c}"], pairs, row["rows"] or 0, mean, squares
+        )
     return summaries
 
 
@@ -360,15 +399,15 @@ def whole_table_quantiles(
         tagged = []
         for t, (j, rank) in enumerate(open_):
             _, _, low, high = spans[j, rank]
-            v = F.col(f"v{j}")
-            one = F.struct(F.lit(t).alias("t"), place(v, low, high).alias("place"), v.alias("v"))
-            tagged.append(F.when(v.between(low, high), one))
-        rows = values.select(F.inline(F.array(*tagged))).where("t IS NOT NULL").groupBy(
-            "t", "place"
-        ).agg(F.count(F.lit(1)).alias("rows"), F.min("v").alias("low"), F.max("v").alias("high"))
+            one = f"struct({t} AS t, {place(f'v{j}', low, high)} AS place, v{j} AS v)"
+            tagged.append(f"CASE WHEN {_inside(f'v{j}', low, high)} THEN {one} END")
+        rows = values.selectExpr(f"inline(array({', '.join(tagged)}))").where("t IS NOT NULL")
+        totals = rows.groupBy("t", "place").agg(
+            F.expr("struct(count(1) AS rows, min(v) AS low, max(v) AS high)").alias("s")
+        ).select("t", "s.*")
         parts: dict = {key: [] for key in open_}
-        for r in rows.collect():
-            parts[open_[r["t"]]].append((r["low"], r["high"], r["rows"]))
+        for t, number, low, high in totals.collect():
+            parts[open_[t]].append((low, high, number))
         return {key: sorted(p) for key, p in parts.items()}
 
     def descend(parts: dict) -> None:
@@ -399,40 +438,41 @@ def _count_brackets(
     be expected. One scan: rows outside every bracket fall into one group, which counts those
     below each of them.
     """
-    kept, aggregates = [], []
+    kept, aggregates, targets = [], ["count(1) AS rows"], []
     for t, (j, low, high, n) in enumerate(brackets):
-        v = F.col(f"v{j}")
-        inside = v.between(low, high)
+        v = f"v{j}"
+        inside = _inside(v, low, high)
         few = 2 * SKETCH_MARGIN * n <= RANK_VALUES or low == high
-        place = v if few else _bins(v, low, high).cast("double")
-        kept.append(F.when(inside, place).alias(f"k{t}"))
+        place = v if few else f"CAST({_bins(v, low, high)} AS DOUBLE)"
+        kept.append(f"CASE WHEN {inside} THEN {place} END AS k{t}")
         aggregates += [
-            F.count_if(v < low).alias(f"below{t}"),
-            F.min(F.when(inside, v)).alias(f"low{t}"), F.max(F.when(inside, v)).alias(f"high{t}"),
+            f"count_if({v} < {_double(low)}) AS below{t}",
+            f"min(CASE WHEN {inside} THEN {v} END) AS low{t}",
+            f"max(CASE WHEN {inside} THEN {v} END) AS high{t}",
         ]
-    combined = values.groupBy(*kept).agg(F.count(F.lit(1)).alias("rows"), *aggregates)
-    targets = []
-    for t in range(len(brackets)):
-        zero, nothing = F.lit(0).cast("long"), F.lit(None).cast("double")
-        name = F.lit(t).alias("t")
-        targets.append(F.struct(
-            name, nothing.alias("place"), F.col(f"below{t}").alias("rows"),
-            nothing.alias("low"), nothing.alias("high"),
-        ))
-        targets.append(F.when(F.col(f"k{t}").isNotNull(), F.struct(
-            name, F.col(f"k{t}").alias("place"), F.coalesce("rows", zero).alias("rows"),
-            F.col(f"low{t}").alias("low"), F.col(f"high{t}").alias("high"),
-        )))
-    counted = combined.select(F.inline(F.array(*targets))).where("t IS NOT NULL").groupBy(
-        "t", "place"
-    ).agg(F.sum("rows").alias("rows"), F.min("low").alias("low"), F.max("high").alias("high"))
+        nothing = "CAST(NULL AS DOUBLE)"
+        targets.append(
+            f"struct({t} AS t, {nothing} AS place, below{t} AS rows, {nothing} AS low, {nothing} AS high)"
+        )
+        targets.append(
+            f"CASE WHEN k{t} IS NOT NULL THEN struct({t} AS t, k{t} AS place, rows, "
+            f"low{t} AS low, high{t} AS high) END"
+        )
+    names = [f"k{t}" for t in range(len(brackets))]
+    combined = values.selectExpr("*", *kept).groupBy(*names).agg(
+        F.expr(f"struct({', '.join(aggregates)})").alias("s")
+    ).select(*names, "s.*")
+    each = combined.selectExpr(f"inline(array({', '.join(targets)}))").where("t IS NOT NULL")
+    counted = each.groupBy("t", "place").agg(
+        F.expr("struct(sum(rows) AS rows, min(low) AS low, max(high) AS high)").alias("s")
+    ).select("t", "place", "s.*")
     below = dict.fromkeys(range(len(brackets)), 0)
     bins: dict[int, list] = {t: [] for t in below}
-    for r in counted.collect():
-        if r["place"] is None:
-            below[r["t"]] = r["rows"]
+    for t, place, rows, low, high in counted.collect():
+        if place is None:
+            below[t] = rows
         else:
-            bins[r["t"]].append((r["low"], r["high"], r["rows"]))
+            bins[t].append((low, high, rows))
     return {(j, low, high): (below[t], sorted(bins[t])) for t, (j, low, high, _) in enumerate(brackets)}
 
 

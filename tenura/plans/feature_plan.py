@@ -1,9 +1,9 @@
 """Feature recipe: fitted once on train, saved as one PipelineModel, applied anywhere.
 
-All statistics come from passes over train that combine on the map side. Medians and
+All statistics come from three passes over train that combine on the map side. Medians and
 quartiles are exact, so a refit on the same rows gives the same model whatever the
-partitioning. Values learnt outside Spark ML's own estimators are written into
-SQLTransformer stages, so that they are saved with the model.
+partitioning. Fitted values are written into SQLTransformer stages, so that they are saved
+with the model.
 """
 
 from __future__ import annotations
@@ -12,15 +12,15 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import (
     MinMaxScaler,
     OneHotEncoder,
     SQLTransformer,
     StandardScaler,
     StringIndexer,
+    StringIndexerModel,
     VectorAssembler,
-    VectorSlicer,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -28,7 +28,13 @@ from pyspark.sql import functions as F
 
 from tenura.functions.columns import log_sql
 from tenura.operators.explore import mode
-from tenura.operators.skew import HOT_ROWS, Quantile, grouped_quantiles
+from tenura.operators.skew import (
+    HOT_ROWS,
+    ColumnSummary,
+    Quantile,
+    grouped_quantiles,
+    whole_table_quantiles,
+)
 from tenura.schemas import AMOUNT_FEATURES, CATEGORICAL_FEATURES, KEY, USAGE_FEATURES
 
 FEATURES = "FEATURES"
@@ -160,50 +166,103 @@ def onehot_stages(cols: Sequence[str]) -> list:
     ]
 
 
+def scaled_stage(
+    ranges: Mapping[str, tuple[float, float]], deviations: Mapping[str, float]
+) -> SQLTransformer:
+    """Stage that adds ``<name>_scaled``: to [0, 1] by the range, or by the deviation only.
+
+    A column of one value becomes 0.5 and 0.
+    """
+    sql = {}
+    for c, (low, high) in ranges.items():
+        width = _number(high - low)
+        sql[f"{c}_scaled"] = (
+            f"(`{c}` - {_number(low)}) / {width}" if high > low else "CAST(0.5 AS DOUBLE)"
+        )
+    for c, deviation in deviations.items():
+        sql[f"{c}_scaled"] = f"`{c}` / {_number(deviation)}" if deviation else "CAST(0 AS DOUBLE)"
+    return add_columns(sql)
+
+
+def count_categories(df: DataFrame, cols: Sequence[str]) -> dict[str, list[tuple[str, int]]]:
+    """Values of several columns as text, by falling frequency, ties in order, from one pass."""
+    if not cols:
+        return {}
+    named = [F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("value"))
+             for i, c in enumerate(cols)]
+    counts = df.select(F.inline(F.array(*named))).where("value IS NOT NULL").groupBy(
+        "i", "value"
+    ).agg(F.count(F.lit(1)).alias("n"))
+    found: dict[str, list[tuple[str, int]]] = {c: [] for c in cols}
+    for r in counts.collect():
+        found[cols[r["i"]]].append((r["value"], r["n"]))
+    return {c: sorted(v, key=lambda x: (-x[1], x[0])) for c, v in found.items()}
+
+
 def fit_features(
     train: DataFrame,
     recipe: FeatureRecipe | None = None,
     on_invalid: str = "null",
     hot_rows: int = HOT_ROWS,
 ) -> PipelineModel:
-    """Fit the whole recipe on train.
+    """Fit the whole recipe on train, from one table of statistics.
 
     Logs are taken before nulls are filled, so a value below the log domain is filled
-    like a missing one. As the log is monotone, the fitted median is unaffected.
+    like a missing one. As the log is monotone, the fitted median is unaffected. One scan
+    gives sketches, extremes and moments of all numbers, one more the exact medians and
+    quartiles, one the counts of categories; the stages are written from these. Filling
+    with a median or mode changes no extreme, and the deviation in a known way.
     """
     r = recipe or FeatureRecipe()
     logs = log_stage(r.logged, r.upper_limits, on_invalid)
     logged = [f"{c}_log" for c in r.logged]
+    robust = [f"{c}_log" for c in r.robust]
     used = [*logged, *r.mode, *r.categorical]
     prepared = logs.transform(train).select(*used).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        robust = [f"{c}_log" for c in r.robust]
-        medians, ranges = fit_quantiles(prepared, logged, robust, hot_rows)
-        fills = medians | fit_modes(prepared, r.mode)
-        ranges = {f"{c}_filled": width for c, width in ranges.items()}
-        literal_stages = [fill_stage(fills), robust_stage(ranges)]
-
-        minmax = [f"{c}_log_filled" for c in r.minmax] + [f"{c}_filled" for c in r.mode]
-        split = len(r.minmax)
-        fitted = Pipeline(
-            stages=[
-                *scaler_stages(minmax, "minmax", "minmax"),
-                VectorSlicer(inputCol="minmax", outputCol="minmax_amounts",
-                             indices=list(range(split))),
-                VectorSlicer(inputCol="minmax", outputCol="minmax_modes",
-                             indices=list(range(split, len(minmax)))),
-                *scaler_stages([f"{c}_log_filled" for c in r.standard], "standard", "standard"),
-                *onehot_stages(r.categorical),
-                VectorAssembler(
-                    inputCols=["minmax_amounts", *(f"{c}_robust" for c in ranges), "standard",
-                               "minmax_modes", *(f"{c}_onehot" for c in r.categorical)],
-                    outputCol=FEATURES,
-                ),
-            ]
-        ).fit(PipelineModel(literal_stages).transform(prepared))
+        wanted = {f"{c} median": Quantile(c, 0.5, interpolate=False) for c in logged}
+        for c in robust:
+            wanted[f"{c} low"] = Quantile(c, 0.25, interpolate=False)
+            wanted[f"{c} high"] = Quantile(c, 0.75, interpolate=False)
+        # The columns to scale take part with a quantile that costs nothing.
+        wanted |= {f"{c} least": Quantile(c, 0.0, interpolate=False) for c in r.mode}
+        summaries: dict[str, ColumnSummary] = {}
+        found = whole_table_quantiles(prepared, wanted, summaries)
+        _require(found, "quantile")
+        counts = count_categories(prepared, [*r.mode, *r.categorical])
     finally:
         prepared.unpersist()
-    return PipelineModel([logs, *literal_stages, *fitted.stages])
+    medians = {c: found[f"{c} median"] for c in logged}
+    widths = {f"{c}_filled": found[f"{c} high"] - found[f"{c} low"] for c in robust}
+    modes = {c: counts[c][0][0] if counts[c] else None for c in r.mode}
+    _require(modes, "mode")
+    kinds = dict(prepared.dtypes)
+    modes = {c: v if kinds[c] == "string" else float(v) if kinds[c] in ("double", "float") else int(v)
+             for c, v in modes.items()}
+
+    minmax = [f"{c}_log" for c in r.minmax] + list(r.mode)
+    standard = [f"{c}_log" for c in r.standard]
+    scaled = scaled_stage(
+        {f"{c}_filled": (summaries[c].low, summaries[c].high) for c in minmax},
+        {f"{c}_filled": summaries[c].deviation(medians[c]) for c in standard},
+    )
+    stages = [logs, fill_stage(medians | modes), robust_stage(widths), scaled]
+    slots = [f"{c}_log_filled_scaled" for c in r.minmax] + [f"{c}_robust" for c in widths]
+    slots += [f"{c}_filled_scaled" for c in [*standard, *r.mode]]
+    if r.categorical:
+        indexer, encoder = onehot_stages(r.categorical)
+        labels = [[value for value, _ in counts[c]] for c in r.categorical]
+        if empty := [c for c, values in zip(r.categorical, labels) if not values]:
+            raise ValueError(f"no category: columns without any value in train: {empty}")
+        indexers = [
+            StringIndexerModel.from_labels(values, c, out, indexer.getHandleInvalid())
+            for values, c, out in zip(labels, indexer.getInputCols(), indexer.getOutputCols())
+        ]
+        # The sizes of the categories are in the schema, so this starts no job.
+        nothing = prepared.sparkSession.createDataFrame([], prepared.select(*r.categorical).schema)
+        stages += [*indexers, encoder.fit(PipelineModel(indexers).transform(nothing))]
+        slots += [f"{c}_onehot" for c in r.categorical]
+    return PipelineModel([*stages, VectorAssembler(inputCols=slots, outputCol=FEATURES)])
 
 
 def apply_features(
