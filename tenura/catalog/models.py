@@ -42,6 +42,7 @@ from tenura.plans.jobs import (
     score_job,
     train_job,
 )
+from tenura.plans.model_tables import score_by_expression
 from tenura.plans.models import (
     area_under_roc,
     class_metrics,
@@ -364,6 +365,27 @@ query("k2_logistic_regression", FACTS_SQL)(_scored("lr"))
 query("k3_gradient_boosted_trees", FACTS_SQL)(_scored("gbt"))
 
 
+def _as_expression(name):
+    def run(spark, sf):
+        """Per subscriber, whether the exported trees give the model's own probability."""
+        rows = materialize(dataset(spark, sf), "dataset")
+        vectors = materialize(apply_features(fit_features(rows), rows), "vectors")
+        model = classifier(name).fit(vectors)
+        exported = score_by_expression(model, vectors)
+        both = model.transform(exported.withColumnRenamed("probability", "exported"))
+        near = F.abs(F.col("exported") - vector_to_array("probability")[1]) < 1e-9
+        return both.select("bib_id", near.cast("int").alias("same"))
+
+    return run
+
+
+SAME_SQL = bound_sql(
+    "SELECT bib_id, 1 AS same FROM label", "package", "recharge", "activity", "label"
+)
+query("k1_forest_as_expression", SAME_SQL)(_as_expression("rf"))
+query("k3_boosted_trees_as_expression", SAME_SQL)(_as_expression("gbt"))
+
+
 @query("k2_score_equations", "SELECT 25 AS slots, 25 AS near_zero")
 def score_equations(spark, sf):
     """Without a penalty, sums of (probability - label) times each feature vanish at the fit."""
@@ -512,11 +534,6 @@ def evaluated(spark, sf):
     return _equal_to_plain(evaluate(predictions), predictions)
 
 
-SAME_SQL = bound_sql(
-    "SELECT bib_id, 1 AS same FROM label", "package", "recharge", "activity", "label"
-)
-
-
 def _same(left: DataFrame, right: DataFrame) -> DataFrame:
     """Whether two sets of predictions agree, per subscriber of either."""
     joined = left.alias("a").join(right.alias("b"), "bib_id", "full")
