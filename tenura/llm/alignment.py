@@ -11,6 +11,7 @@ block gets its own pairs' counts back.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -23,13 +24,18 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, Stri
 from pyspark.sql.types import StructField, StructType
 
 from tenura.llm.common import chunks, to_batch
-from tenura.llm.pieces import flat_ids, load_tokenizer
+from tenura.llm.pieces import (
+    PieceIds, flat_ids, library_encoder, load_tokenizer, space_piece_text, space_pieces,
+)
 from tenura.sources.shared import materialize
 
 # Characters tokenized at a time, and links of a block: what a task holds at most beyond one
 # document. A block's pairs take 8 bytes each while it is made.
 CHUNK_CHARS = 500_000
 BLOCK_LINKS = 3_000_000
+# Pieces whose ids a worker remembers before it starts anew.
+REMEMBERED = 200_000
+_ODD_START = re.compile(r"\s|\x00")
 # Tokens of a document that become text for its digest at a time.
 DIGEST_TOKENS = 100_000
 
@@ -44,12 +50,28 @@ def byte_of_character() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(0x100 + i): b for i, b in enumerate(others)}
 
 
+def spaced_pieces(text: str) -> list[str]:
+    """Pieces of a space and the text, see ``space_pieces``: the first follows the space."""
+    pieces = space_pieces(text)
+    if text[:1] in ("", " ", "\n") or _ODD_START.match(text):
+        return space_pieces(" " + text)
+    pieces[0] = pieces[0][1:]
+    return pieces
+
+
 class ByteLevelTokens:
-    """Ids and token bytes of a byte-level vocabulary of the tokenizers library."""
+    """Ids and token bytes of a byte-level vocabulary of the tokenizers library.
+
+    Ids of pieces between spaces are remembered; a text that holds a special string goes to
+    the library whole, as plain text.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
         self.tokenizer.encode_special_tokens = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.known = PieceIds(library_encoder(path), spaced_pieces, space_piece_text, REMEMBERED)
+        self.known.closing = "\x00"
         byte = byte_of_character()
         vocabulary = self.tokenizer.get_vocab()
         self.pieces = [b""] * (max(vocabulary.values()) + 1)
@@ -57,8 +79,13 @@ class ByteLevelTokens:
             self.pieces[number] = bytes(byte[c] for c in token if c in byte)
 
     def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        return flat_ids([e.ids for e in found])
+        plain = [not ("<" in t and any(s in t for s in self.special)) for t in texts]
+        found = iter(self.known.ids_of([t for t, p in zip(texts, plain) if p]))
+        whole = [" " + t for t, p in zip(texts, plain) if not p]
+        encoded = iter(self.tokenizer.encode_batch_fast(whole, add_special_tokens=False))
+        ids = [next(found) if p else np.array(next(encoded).ids, np.uint32) for p in plain]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.concatenate([*ids, np.zeros(0, np.uint32)]), lengths
 
 
 class PieceTokens:
