@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenura.llm.common import chunks, to_batch
-from tenura.llm.pieces import PieceIds, library_encoder, word_piece_text, word_pieces
+from tenura.llm.pieces import word_piece_text, word_pieces, worker_pieces
 
 # Ids that are packed together; a stream is closed at the first document end beyond it.
 RUN_IDS = 1_000_000
@@ -154,7 +154,7 @@ def pack_documents(
     """
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceIds(library_encoder(tokenizer), word_pieces, word_piece_text)
+        encoder = worker_pieces(tokenizer, word_pieces, word_piece_text)
         end = np.array([end_id], np.uint32)
         names = [f.split()[0].strip("`") for f in PIECES.split(", ")]
         schema = pa.schema([(n, pa.int64()) for n in names])
@@ -163,10 +163,11 @@ def pack_documents(
         ids: list[np.ndarray] = []
         sentences: list[np.ndarray] = []
         total = 0
-        closes = np.zeros(0, bool)  # whether a piece ends a sentence
+        closes, known = np.zeros(0, bool), None  # whether a piece ends a sentence
         for rows in chunks(batches):
             numbers, counts = encoder.pieces([r[1] for r in rows])
-            if len(closes) != len(encoder.keys):
+            if known != (encoder.cleared, len(encoder.keys)):
+                known = (encoder.cleared, len(encoder.keys))
                 closes = np.array([k[-1:] in (".", "!", "?") for k in encoder.keys], bool)
             upto = np.concatenate([[0], np.cumsum(encoder.lengths[numbers])])
             flat = encoder.ids(numbers)

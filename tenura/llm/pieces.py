@@ -50,8 +50,12 @@ def space_piece_text(piece: str) -> str:
 
 
 def word_pieces(text: str) -> list[str]:
-    """Pieces for vocabularies that drop white space and case."""
-    if not _WIDE.search(text):  # else lower case may depend on the library's tables
+    """Pieces for vocabularies that drop white space and case.
+
+    Not in lower case: texts whose lower case may depend on the library's tables, and those
+    that might become a special string by it.
+    """
+    if "<" not in text and not _WIDE.search(text):
         text = text.lower()
     return text.replace("\n", " ").split(" ")
 
@@ -154,6 +158,7 @@ class PieceIds:
         self._clear()
 
     def _clear(self) -> None:
+        self.cleared = getattr(self, "cleared", 0) + 1
         self.index: dict[str, int] = {}
         self.keys: list[str] = []
         self.starts = np.zeros(0, np.int64)
@@ -222,6 +227,26 @@ class PieceIds:
         return np.split(ids, ends[:-1]) if len(texts) else []
 
 
+_REMEMBERING: dict[tuple, PieceIds] = {}
+
+
+def worker_pieces(
+    path: str,
+    split: Callable[[str], list[str]] = space_pieces,
+    text_of: Callable[[str], str] = space_piece_text,
+) -> PieceIds:
+    """The ids that this worker process remembers of a vocabulary, from one task to the next.
+
+    Workers run one task at a time and are used again, so each learns a piece once, not
+    once for every task; the bound of ``REMEMBERED`` pieces holds for the worker.
+    """
+    key = (path, split.__name__)
+    if key not in _REMEMBERING:
+        _REMEMBERING.clear()
+        _REMEMBERING[key] = PieceIds(library_encoder(path), split, text_of)
+    return _REMEMBERING[key]
+
+
 def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The stretches of ``flat`` at ``starts``, one after the other."""
     before = np.cumsum(lengths) - lengths

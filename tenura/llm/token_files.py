@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tenura.llm import pfor
 from tenura.llm.common import chunks, to_batch
-from tenura.llm.pieces import PieceIds, library_encoder
+from tenura.llm.pieces import worker_pieces
 from tenura.sources.shared import materialize, new_path
 
 MAGIC = b"TENPFOR1"
@@ -140,7 +140,7 @@ def write_token_files(
         folder = folder.replace("file:", "file://") if folder.startswith("file:") else f"file://{folder}"
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceIds(library_encoder(tokenizer))
+        encoder = worker_pieces(tokenizer)
         end = np.array([end_id], np.uint32)
         writer = None
         done = []
