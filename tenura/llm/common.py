@@ -21,9 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def chunks(
-    batches: Iterable[pa.RecordBatch], text: int = 1, limit: int = CHUNK_CHARS
+    batches: Iterable[pa.RecordBatch], text: int = 1, limit: int = CHUNK_CHARS, nulls: bool = False
 ) -> Iterator[list[tuple]]:
-    """Rows as tuples, in lists of about ``limit`` bytes in column ``text`` (null: empty).
+    """Rows as tuples, in lists of about ``limit`` bytes in column ``text``.
+
+    A null text becomes empty unless ``nulls`` are to be kept.
 
     Batches are cut before they become Python values, so that no task holds more than one
     list of them; a longer text is a list alone.
@@ -36,7 +38,8 @@ def chunks(
                 yield rows
                 rows, size = [], 0
             columns = [c.to_pylist() for c in piece.columns]
-            columns[text] = [t or "" for t in columns[text]]
+            if not nulls:
+                columns[text] = [t or "" for t in columns[text]]
             rows += zip(*columns)
             size += length
             if size >= limit:
@@ -62,6 +65,19 @@ def slices(
         start = stop
 
 
+def keyed_texts(docs: DataFrame, key: str, text: str, columns: Sequence[str]) -> DataFrame:
+    """Key, text and the other ``columns`` under names of their own, the text only once."""
+    named = [key, text, *(c for c in columns if c != text)]
+    return docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(named)))
+
+
+def kept_columns(rows: Sequence[tuple], text: str, columns: Sequence[str]) -> list[Sequence]:
+    """Key and ``columns`` of rows of ``keyed_texts``."""
+    whole = list(zip(*rows))
+    others = iter(whole[2:])
+    return [whole[0], *(whole[1] if c == text else next(others) for c in columns)]
+
+
 def to_batch(schema: pa.Schema, columns: Sequence) -> pa.RecordBatch:
     arrays = [
         c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(columns, schema)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from tenura.llm.common import chunks, to_batch
+from tenura.llm.common import chunks, kept_columns, keyed_texts, to_batch
 
 UNKNOWN = "und"
 # Bounds of what the model is fitted on: labelled documents, and words of each.
@@ -286,8 +286,8 @@ def identify(
         out = to_arrow_schema(schema)
         index: dict[str, int] = {}
         table = np.zeros((0, len(model.languages) if model else 1))
-        for rows in chunks(batches):
-            every = [[w for w in words_of(r[1])] if model else [] for r in rows]
+        for rows in chunks(batches, nulls=True):
+            every = [[w for w in words_of(r[1] or "")] if model else [] for r in rows]
             distinct = set(chain.from_iterable(every))
             new = [w for w in distinct if w not in index]
             if len(index) + len(new) > _REMEMBERED:
@@ -315,11 +315,10 @@ def identify(
                         languages[i] = model.languages[b]
                     else:
                         score[i] = sure[i] = 0.0
-            whole = list(zip(*rows))
             more = [sure] if sureness is not None else []
-            yield to_batch(out, [whole[0], *whole[2:], languages, score, *more])
+            yield to_batch(out, [*kept_columns(rows, text, columns), languages, score, *more])
 
-    return docs.select(key, F.col(text).alias("_text"), *columns).mapInArrow(run, schema)
+    return keyed_texts(docs, key, text, columns).mapInArrow(run, schema)
 
 
 def train(

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
-from tenura.llm.common import chunks, to_batch
+from tenura.llm.common import chunks, kept_columns, keyed_texts, to_batch
 
 # Bound of the labelled documents that the model is fitted on.
 TRAIN_DOCUMENTS = 6_000
@@ -242,21 +242,20 @@ def grade_documents(
         weights = model.weights.tolist() if model else []
         # Most tokens have no bucket with a weight.
         tokens = Tokens(lambda own: tuple(b for b in own if weights[b]))
-        for rows in chunks(batches):
-            whole = list(zip(*rows))
-            same = [whole[0], *whole[2:]]
+        for rows in chunks(batches, nulls=True):
+            same = kept_columns(rows, text, columns)
             if model is None:
                 n = len(rows)
                 yield to_batch(out, [*same, [None] * n, [None] * n, [True] * n])
                 continue
             scores = np.array([
-                sum(map(weights.__getitem__, sorted(document_features(r[1], tokens)))) for r in rows
+                sum(map(weights.__getitem__, sorted(document_features(r[1] or "", tokens)))) for r in rows
             ])
             below = model.at_most(scores)
             tail = 1 - below[:, -1]
             yield to_batch(out, [*same, (1 - below).sum(axis=1), tail, tail >= keep])
 
-    return docs.select(key, F.col(text).alias("_text"), *columns).mapInArrow(run, schema)
+    return keyed_texts(docs, key, text, columns).mapInArrow(run, schema)
 
 
 def toxic_quality_grades(labels: DataFrame) -> DataFrame:
