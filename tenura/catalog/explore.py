@@ -150,6 +150,25 @@ def approximate(spark, sf):
     return explore.approximate_medians(orders, ["l_quantity", "l_extendedprice", "l_discount"])
 
 
+MEDIAN_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+@query(
+    "a13_approximate_median_ranks",
+    "SELECT " + ", ".join(f"1 AS {c}" for c in MEDIAN_COLUMNS),
+)
+def approximate_ranks(spark, sf):
+    """Whether each approximate median's rank is within the stated error of a half."""
+    items = StarSchema(spark, sf).raw("lineitem")
+    found = explore.approximate_medians(items, MEDIAN_COLUMNS, error=0.01).first()
+    within = []
+    for c in MEDIAN_COLUMNS:
+        below = F.count_if(F.col(c) < found[c]) / F.count(c)
+        upto = F.count_if(F.col(c) <= found[c]) / F.count(c)
+        within.append(((below <= 0.51) & (upto >= 0.49)).cast("int").alias(c))
+    return items.agg(*within)
+
+
 @query(
     "a13_exact_medians",
     """SELECT quantile_disc(l_quantity, 0.5) AS l_quantity,
