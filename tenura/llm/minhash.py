@@ -9,21 +9,23 @@ coordinate with probability s. A posting is a document under one (coordinate, va
   first. A pair that agrees in at least MATCHES of them must share one of the first
   ``POSTED - MATCHES + 1`` of either, so only those are posted; frequent values are hardly
   ever among them, and values of one document need no posting.
-* Skip: a posting list first meets its hub, the document whose values are shared most.
-  Confirmed links join documents into components. Lists whose documents are in one component
-  are then skipped; in the others only pairs between components remain, taken from the
-  documents outside the list's largest component. So a group of near copies costs about its
-  size, and no pair that could join two components is left out.
-* Those pairs are compared inside their lists, in blocks: agreeing coordinates of the whole
-  signatures are counted, and pairs of at least a similarity of LEAST_ESTIMATE are confirmed
-  on the full shingle sets of their texts. At first only the best partner of each document is,
-  which joins most of what belongs together; then all pairs that are still between
-  components, each in the first list that it shares.
+* Skip: a posting list first meets its hub, the document whose values are shared most, and
+  each document is confirmed with the hub that it agrees with most. Confirmed links join
+  documents into components. Lists whose documents are in one component are then skipped; in
+  the others only pairs between components remain, taken from the documents outside the
+  list's largest component. So a group of near copies costs about its size, and no pair that
+  could join two components is left out.
+* Collisions of those pairs are counted inside their lists, in blocks of bounded size. What
+  leaves a block is not its pairs but the documents that have one: the pair agrees in
+  MATCHES posted coordinates and in LEAST_ESTIMATE of all, and meets here first.
+* Shingle hashes of these documents are sent to the same blocks once, and confirmed there on
+  the full sets. A block returns a spanning forest of its links, so the output never exceeds
+  the documents that came in, however many of their pairs are similar.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,11 +40,14 @@ from tenura.sources.shared import materialize
 # agrees in about one pair of 100,000.
 SIGNATURE = 256
 LEAST_ESTIMATE = 0.69
-# Posted coordinates, and least agreements in them: fewer in one pair of 100,000.
-POSTED = 64
-MATCHES = 36
-# Documents of one list that are compared with the others in one place.
+# Posted coordinates, and least agreements in them: fewer in four pairs of a million.
+POSTED = 16
+MATCHES = 5
+# Documents of one list, and shingles of theirs, that are compared with others in one place.
 LIST_ROWS = 512
+LIST_SHINGLES = 400_000
+# Documents that are compared with those in one place.
+PROBE_ROWS = 4096
 _REMEMBERED = 400_000
 _U64 = np.uint64
 
@@ -117,7 +122,7 @@ class Signer:
 def describe(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
     """doc_id, n_shingles, digest of the set, postings (coordinate and value as longs), signature.
 
-    The signature has the low byte of each minimum.
+    The signature has the posted minima in full and the low byte of each other one.
     """
     schema = pa.schema(
         [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()),
@@ -132,7 +137,9 @@ def describe(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
             full = [s for s in sets if len(s)]
             signed = signer.sign(full) if full else np.zeros((0, SIGNATURE), np.uint32)
             posted = iter((signed[:, :POSTED].astype(np.int64) | coordinate).tolist())
-            short = iter(signed.astype(np.uint8))
+            short = iter(np.hstack([
+                np.ascontiguousarray(signed[:, :POSTED]).view(np.uint8), signed[:, POSTED:].astype(np.uint8)
+            ]))
             yield to_batch(
                 schema,
                 [
@@ -151,9 +158,10 @@ def describe(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
 
 
 def prefixes(classes: DataFrame) -> DataFrame:
-    """doc, n, prefix, score: shared ones among the rarest coordinates of each document.
+    """doc, n, prefix, score, posted: shared ones among the rarest coordinates of each document.
 
-    The score is how often the document's values are shared in all.
+    The score is how often the document's values are shared in all; ``posted`` has the bits
+    of the prefix's coordinates.
     """
     every = classes.select("doc", "n", F.explode("postings").alias("key"))
     shared = every.groupBy("key").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1")
@@ -162,117 +170,218 @@ def prefixes(classes: DataFrame) -> DataFrame:
     )
     # Values of one document come first in the prefix.
     left = F.lit(1 - MATCHES) + F.size("shared")
-    return ordered.where(left > 0).select(
+    prefix = ordered.where(left > 0).select(
         "doc", "n", "score", F.slice("shared", F.lit(1), left).getField("key").alias("prefix")
     )
+    bits = "aggregate(prefix, 0, (bits, key) -> bits | shiftleft(1, cast(shiftright(key, 32) as int)))"
+    return prefix.withColumn("posted", F.expr(bits))
 
 
 def _similar_sizes(similarity: int):
     return F.expr(f"100 * least(n_a, n_b) >= {similarity} * greatest(n_a, n_b)")
 
 
+def _agreement(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bits of posted coordinates in which rows of two signature matrices agree, and all agreements."""
+    same = x[:, : 4 * POSTED].copy().view(np.uint32) == y[:, : 4 * POSTED].copy().view(np.uint32)
+    rest = (x[:, 4 * POSTED :] == y[:, 4 * POSTED :]).sum(axis=1)
+    return same @ (1 << np.arange(POSTED)), same.sum(axis=1) + rest
+
+
 def _agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose signatures agree in enough coordinates."""
+    """doc, hub of the pairs whose signatures agree in enough coordinates: the best of each doc."""
     signatures = classes.select("doc", "signature")
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    schema = pa.schema([("doc", pa.int64()), ("hub", pa.int64()), ("agree", pa.int64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (_matrix(batch.column(i), np.uint8) for i in (2, 3))
-            keep = pa.array((x == y).sum(axis=1) >= LEAST_ESTIMATE * SIGNATURE)
-            yield to_batch(schema, [batch.column(i).filter(keep) for i in range(2)])
-
-    joined = pairs.join(signatures.toDF("a", "s_a"), "a").join(signatures.toDF("b", "s_b"), "b")
-    return joined.select("a", "b", "s_a", "s_b").mapInArrow(run, "a long, b long")
+            if not batch.num_rows:
+                continue
+            _, agree = _agreement(*(_matrix(batch.column(i)) for i in (2, 3)))
+            keep = pa.array(agree >= LEAST_ESTIMATE * SIGNATURE)
+            columns = [batch.column(0), batch.column(1), pa.array(agree, pa.int64())]
+            yield to_batch(schema, [c.filter(keep) for c in columns])
+
+    joined = pairs.join(signatures.toDF("doc", "s_a"), "doc").join(signatures.toDF("hub", "s_b"), "hub")
+    found = joined.select("doc", "hub", "s_a", "s_b").mapInArrow(run, "doc long, hub long, agree long")
+    return found.groupBy("doc").agg(F.max(F.struct("agree", (-F.col("hub")).alias("hub"))).alias("best")).select(
+        "doc", (-F.col("best.hub")).alias("hub")
+    )
 
 
-def _matrix(column: pa.Array, kind) -> np.ndarray:
+def _matrix(column: pa.Array) -> np.ndarray:
     """Rows of a binary column of one length."""
-    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
 
 
-def _cross(mixed: DataFrame, similarity: int, best: bool) -> DataFrame:
-    """Pairs (a, b) of different components in one list whose signatures agree.
+def _blocks(
+    batches: Iterable[pa.RecordBatch], names: list[str], unpack: Callable
+) -> Iterator[tuple[tuple, dict, dict]]:
+    """((key, part, slice), stored rows, probing rows) of batches sorted by these and probe.
 
-    mixed: key, part, probe, doc, n, component, prefix and signature as binaries; rows that
-    are compared with all others of their list and part come first. ``best``: only the pair
-    of each such row that agrees most, the first of equal ones.
+    Stored rows are those of the whole block, and the same object as long as it lasts; probing
+    ones come as the batches cut them. ``unpack`` turns the last column of a batch into an array
+    or list. A block that has no stored or no probing rows isn't returned.
     """
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    least = LEAST_ESTIMATE * SIGNATURE
+    current, waiting, stored = None, [], None
+    for batch in batches:
+        column = {f: np.asarray(batch.column(i)) for i, f in enumerate(names[:-1])}
+        last = unpack(batch.column(len(names) - 1)) if batch.num_rows else []
+        change = np.zeros(batch.num_rows, bool)
+        for name in names[:4]:
+            change[1:] |= column[name][1:] != column[name][:-1]
+        cuts = np.flatnonzero(change).tolist()
+        for begin, end in zip([0, *cuts], [*cuts, batch.num_rows]):
+            if begin == end:
+                continue
+            place = tuple(int(column[f][begin]) for f in names[:3])
+            if place != current:
+                current, waiting, stored = place, [], None
+            rows = {f: column[f][begin:end] for f in names[4:-1]} | {names[-1]: last[begin:end]}
+            if not column["probe"][begin]:
+                waiting.append(rows)
+            elif waiting or stored:
+                if waiting:
+                    stored = {f: np.concatenate([w[f] for w in waiting]) for f in names[4:-1]}
+                    parts = [w[names[-1]] for w in waiting]
+                    whole = isinstance(parts[0], np.ndarray)
+                    stored[names[-1]] = np.concatenate(parts) if whole else [v for p in parts for v in p]
+                    waiting = []
+                yield place, stored, rows
+
+
+_PLACE = ["key", "part", "slice", "probe"]
+
+
+def _colliding(mixed: DataFrame, similarity: int) -> DataFrame:
+    """The rows of ``mixed`` (without signatures) that have a pair to be confirmed in their block.
+
+    mixed: key, part, slice, probe, doc, n, component, top, posted, signature; ``top`` marks
+    documents of the list's largest component.
+    """
+    schema = pa.schema([
+        ("key", pa.int64()), ("part", pa.int32()), ("slice", pa.int32()), ("probe", pa.int32()),
+        ("doc", pa.int64()), ("n", pa.int64()), ("component", pa.int64()),
+    ])
+    names = [*_PLACE, "doc", "n", "component", "top", "posted", "signature"]
+
+    def flagged(place: tuple, probe: int, rows: dict, found: np.ndarray) -> pa.RecordBatch:
+        count = int(found.sum())
+        fixed = [[v] * count for v in (*place, probe)]
+        return to_batch(schema, fixed + [rows[f][found] for f in ("doc", "n", "component")])
+
+    def colliding(key: int, stored: dict, own: dict) -> tuple[np.ndarray, np.ndarray]:
+        n, m = own["n"][:, None], stored["n"][None, :]
+        # Of two documents outside the largest component the greater one is the one that probes.
+        meets = own["top"][:, None] | (own["doc"][:, None] > stored["doc"])
+        meets &= own["component"][:, None] != stored["component"]
+        i, j = np.nonzero(meets & (100 * np.minimum(n, m) >= similarity * np.maximum(n, m)))
+        posted, agree = _agreement(own["signature"][i], stored["signature"][j])
+        shared = posted & own["posted"][i] & stored["posted"][j]
+        first = (shared & -shared) == 1 << (key >> 32)
+        enough = np.bitwise_count(posted) >= MATCHES
+        keep = first & enough & (agree >= LEAST_ESTIMATE * SIGNATURE)
+        return i[keep], j[keep]
 
-    def paired(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
-        return to_batch(schema, [np.minimum(x, y), np.maximum(x, y)])
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, place, hit = None, None, None
+        for where, stored, probing in _blocks(batches, names, _matrix):
+            if stored is not last:
+                if last is not None:
+                    yield flagged(place, 0, last, hit)
+                last, place, hit = stored, where, np.zeros(len(stored["doc"]), bool)
+            for at in range(0, len(probing["doc"]), 64):
+                own = {f: v[at : at + 64] for f, v in probing.items()}
+                i, j = colliding(where[0], stored, own)
+                if len(i):
+                    hit[j] = True
+                    found = np.zeros(len(own["doc"]), bool)
+                    found[i] = True
+                    yield flagged(where, 1, own, found)
+        if last is not None:
+            yield flagged(place, 0, last, hit)
+
+    ordered = mixed.repartition("key", "part", "slice").sortWithinPartitions(*_PLACE)
+    return ordered.select(*names).mapInArrow(
+        run, "key long, part int, slice int, probe int, doc long, n long, component long"
+    )
 
-    def meet(key: int, stored: dict, probing: dict) -> Iterator[pa.RecordBatch]:
-        for at in range(0, len(probing["doc"]), 64):
-            own = {f: v[at : at + 64] for f, v in probing.items()}
-            n, m = own["n"][:, None], stored["n"][None, :]
-            open_ = (own["component"][:, None] != stored["component"]) & (
-                100 * np.minimum(n, m) >= similarity * np.maximum(n, m)
-            )
-            i, j = np.nonzero(open_)
-            keep = (own["signature"][i, :64] == stored["signature"][j, :64]).sum(axis=1) >= MATCHES
-            i, j = i[keep], j[keep]
-            agree = (own["signature"][i] == stored["signature"][j]).sum(axis=1)
-            i, j, agree = i[agree >= least], j[agree >= least], agree[agree >= least]
-            if not len(i):
-                continue
-            if best:
-                order = np.lexsort((own["doc"][i], -agree, j))
-                one = order[np.unique(j[order], return_index=True)[1]]
-                better = agree[one] > stored["agree"][j[one]]
-                one = one[better]
-                stored["agree"][j[one]], stored["partner"][j[one]] = agree[one], own["doc"][i[one]]
-                continue
-            first = np.array([
-                np.intersect1d(own["prefix"][x], stored["prefix"][y])[0] == key for x, y in zip(i, j)
-            ], bool)
-            if first.any():
-                yield paired(own["doc"][i[first]], stored["doc"][j[first]])
-
-    def finish(stored: list) -> Iterator[pa.RecordBatch]:
-        for rows in stored if best else ():
-            found = rows.get("agree", np.zeros(0)) > 0
-            if found.any():
-                yield paired(rows["doc"][found], rows["partner"][found])
+
+def _sets(texts: DataFrame, words: int) -> DataFrame:
+    """doc, n, shingles of texts: sorted distinct hashes as binaries."""
+    schema = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("shingles", pa.binary())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, stored = None, []
-        names = ["key", "part", "probe", "doc", "n", "component"]
-        for batch in batches:
-            column = {f: np.asarray(batch.column(i)) for i, f in enumerate(names)}
-            prefix = [np.frombuffer(v.as_buffer(), ">i8") for v in batch.column(6)]
-            signature = _matrix(batch.column(7), np.uint8)
-            change = np.zeros(batch.num_rows, bool)
-            for name in ("key", "part", "probe"):
-                change[1:] |= column[name][1:] != column[name][:-1]
-            cuts = np.flatnonzero(change).tolist()
-            for begin, end in zip([0, *cuts], [*cuts, batch.num_rows]):
-                if begin == end:
-                    continue
-                place = (int(column["key"][begin]), int(column["part"][begin]))
-                if place != current:
-                    yield from finish(stored)
-                    current, stored = place, []
-                rows = {f: column[f][begin:end] for f in ("doc", "n", "component")}
-                rows |= {"prefix": prefix[begin:end], "signature": signature[begin:end]}
-                if not column["probe"][begin]:
-                    stored.append(rows)
-                elif stored:
-                    if len(stored) > 1:
-                        whole = {f: np.concatenate([s[f] for s in stored]) for f in rows if f != "prefix"}
-                        stored = [whole | {"prefix": [p for s in stored for p in s["prefix"]]}]
-                    if "agree" not in stored[0]:
-                        size = len(stored[0]["doc"])
-                        stored[0] |= {"agree": np.zeros(size, np.int64), "partner": np.zeros(size, np.int64)}
-                    yield from meet(current[0], stored[0], rows)
-        yield from finish(stored)
-
-    ordered = mixed.repartition("key", "part").sortWithinPartitions("key", "part", "probe")
-    return ordered.select(*["key", "part", "probe", "doc", "n", "component", "prefix", "signature"]).mapInArrow(
-        run, "a long, b long"
-    ).distinct()
+        signer = Signer(words)
+        for rows in chunks(batches):
+            sets = [signer.shingles(words_of(r[1])) for r in rows]
+            yield to_batch(schema, [[r[0] for r in rows], [len(s) for s in sets], [s.tobytes() for s in sets]])
+
+    return texts.select("doc", "text").mapInArrow(run, "doc long, n long, shingles binary")
+
+
+class _Forest:
+    """Components of a block, joined by the links found in it."""
+
+    def __init__(self):
+        self.parent: dict[int, int] = {}
+
+    def root(self, v: int) -> int:
+        while (up := self.parent.setdefault(v, v)) != v:
+            self.parent[v] = self.parent[up]
+            v = self.parent[v]
+        return v
+
+    def join(self, a: int, b: int) -> bool:
+        """Whether the two were apart."""
+        a, b = self.root(a), self.root(b)
+        self.parent[max(a, b)] = min(a, b)
+        return a != b
+
+
+class _SetIndex:
+    """Shingle sets of a block's stored rows: how much of a set each of them holds."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        flat = np.concatenate(sets)
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        order = np.argsort(flat, kind="stable")
+        self.flat, self.owner, self.size = flat[order], owner[order], len(sets)
+
+    def shared(self, own: np.ndarray) -> np.ndarray:
+        """Size of the intersection with each stored set."""
+        begin = np.searchsorted(self.flat, own, "left")
+        length = np.searchsorted(self.flat, own, "right") - begin
+        upto = np.cumsum(length)
+        places = np.arange(upto[-1] if len(upto) else 0) + np.repeat(begin - upto + length, length)
+        return np.bincount(self.owner[places], minlength=self.size)
+
+
+def _confirm_blocks(colliding: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Links (a, b) that join the components of each block, confirmed on full sets."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    names = [*_PLACE, "doc", "n", "component", "shingles"]
+
+    def unpack(column: pa.Array) -> list[np.ndarray]:
+        return [np.frombuffer(v.as_buffer(), np.uint64) for v in column]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, index, forest = None, None, None
+        for _, stored, probing in _blocks(batches, names, unpack):
+            if stored is not last:
+                last, index, forest = stored, _SetIndex(stored["shingles"]), _Forest()
+            links = []
+            for doc, n, component, own in zip(*(probing[f] for f in names[4:])):
+                both = index.shared(own)
+                similar = 100 * both >= similarity * (n + stored["n"] - both)
+                for j in np.flatnonzero(similar & (stored["doc"] != doc)).tolist():
+                    if forest.join(int(component), int(stored["component"][j])):
+                        links.append((int(doc), int(stored["doc"][j])))
+            if links:
+                yield to_batch(schema, list(zip(*links)))
+
+    ordered = colliding.join(sets, ["doc", "n"]).repartition("key", "part", "slice")
+    return ordered.sortWithinPartitions(*_PLACE).select(*names).mapInArrow(run, "a long, b long").distinct()
 
 
 def _confirm(retained: DataFrame, docs: DataFrame, words: int, similarity: int) -> DataFrame:
@@ -305,27 +414,42 @@ def _confirm(retained: DataFrame, docs: DataFrame, words: int, similarity: int)
 def _mixed_lists(
     postings: DataFrame, components: DataFrame, payload: DataFrame, list_rows: int
 ) -> DataFrame:
-    """Rows of the lists of two or more components, for _cross.
+    """Rows of the lists of two or more components, for _colliding.
 
     Compared with all are the documents outside a list's largest component, in parts of
-    about ``list_rows``.
+    about ``list_rows``, fewer long ones; the others meet each part in slices of PROBE_ROWS.
     """
     placed = postings.join(components.withColumnRenamed("node", "doc"), "doc").select(
         "key", "doc", "n", "component"
     )
-    sizes = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
+    sizes = placed.groupBy("key", "component").agg(
+        F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles")
+    )
+    top = F.max(F.struct("size", "component", "shingles")).alias("top")
     lists = sizes.groupBy("key").agg(
-        F.max(F.struct("size", "component")).alias("top"), F.count(F.lit(1)).alias("components"),
-        F.sum("size").alias("all"),
+        top, F.count(F.lit(1)).alias("components"), F.sum("size").alias("size"),
+        F.sum("shingles").alias("shingles"),
     ).where("components > 1").select(
         "key", F.col("top.component").alias("top"),
-        F.ceil((F.col("all") - F.col("top.size")) / list_rows).cast("int").alias("parts"),
+        F.ceil(F.greatest(
+            (F.col("size") - F.col("top.size")) / list_rows,
+            (F.col("shingles") - F.col("top.shingles")) / LIST_SHINGLES,
+        )).cast("int").alias("parts"),
+        F.ceil(F.col("size") / PROBE_ROWS).cast("int").alias("slices"),
+    )
+    def own(count: str, seed: int):
+        return F.array(F.pmod(F.xxhash64("doc", F.lit(seed)), F.col(count)).cast("int"))
+
+    def every(count: str):
+        return F.sequence(F.lit(0), F.col(count) - 1)
+
+    mixed = placed.join(lists, "key").withColumn("top", F.col("component") == F.col("top"))
+    stored = mixed.where(~F.col("top")).withColumn("part", F.explode(own("parts", 1))).withColumn(
+        "slice", F.explode(every("slices"))
+    )
+    probing = mixed.withColumn("part", F.explode(every("parts"))).withColumn(
+        "slice", F.explode(own("slices", 2))
     )
-    own = F.array(F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int"))
-    every = F.sequence(F.lit(0), F.col("parts") - 1)
-    mixed = placed.join(lists, "key")
-    stored = mixed.where(F.col("component") != F.col("top")).withColumn("part", F.explode(own))
-    probing = mixed.withColumn("part", F.explode(every))
     both = stored.withColumn("probe", F.lit(0)).unionByName(probing.withColumn("probe", F.lit(1)))
     return both.join(payload, ["doc", "n"])
 
@@ -364,25 +488,19 @@ def near_duplicates(
     # Every list meets its hub.
     hub = F.max(F.struct("score", (-F.col("doc")).alias("negative"), "doc", "n")).alias("hub")
     star = postings.join(postings.groupBy("key").agg(hub), "key").select(
-        F.least("doc", "hub.doc").alias("a"), F.greatest("doc", "hub.doc").alias("b"),
-        F.col("hub.n").alias("n_a"), F.col("n").alias("n_b"),
-    ).where("a < b").where(_similar_sizes(similarity)).select("a", "b").distinct()
-    links = materialize(
-        _confirm(_agreeing(star, classes), texts, words, similarity), "minhash-links"
-    )
+        "doc", F.col("hub.doc").alias("hub"), F.col("hub.n").alias("n_a"), F.col("n").alias("n_b")
+    ).where("doc <> hub").where(_similar_sizes(similarity)).select("doc", "hub").distinct()
+    best = _agreeing(star, classes).select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b"))
+    links = materialize(_confirm(best.distinct(), texts, words, similarity), "minhash-links")
 
     # Then pairs of different components in one list remain.
     nodes = prefix.select(F.col("doc").alias("node")).distinct()
-    coded = F.expr("unhex(array_join(transform(array_sort(prefix), x -> lpad(hex(x), 16, '0')), ''))")
-    payload = prefix.select("doc", "n", coded.alias("prefix")).join(
-        classes.select("doc", "n", "signature"), ["doc", "n"]
-    )
-    for best in (True, False):
-        components = connected_components(nodes, links, "minhash")
-        mixed = _mixed_lists(postings, components, payload, list_rows)
-        cross = _cross(mixed, similarity, best).join(links, ["a", "b"], "left_anti")
-        more = _confirm(cross, texts, words, similarity)
-        links = materialize(links.unionAll(more), "minhash-links")
+    payload = prefix.select("doc", "n", "posted").join(classes.select("doc", "n", "signature"), ["doc", "n"])
+    mixed = _mixed_lists(postings, connected_components(nodes, links, "minhash"), payload, list_rows)
+    colliding = materialize(_colliding(mixed, similarity), "minhash-colliding")
+    sets = _sets(texts.join(colliding.select("doc").distinct(), "doc", "left_semi"), words)
+    more = _confirm_blocks(colliding, sets, similarity)
+    links = materialize(links.unionAll(more), "minhash-links")
 
     # Texts that share an id are one node.
     several = linkable.groupBy("doc_id").agg(

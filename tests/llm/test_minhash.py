@@ -58,3 +58,41 @@ def test_null_and_repeated_ids(spark, rows):
 
 def test_empty_table(spark, rows):
     assert minhash.near_duplicates(rows("doc_id long, text string", [])).count() == 0
+
+
+def loose_group(n, seed=11):
+    """Texts around one base whose pairs lie below and above the limit, and two very long ones."""
+    r = random.Random(seed)
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join(f"x{r.random()}" if r.random() < 0.03 else w for w in base) for _ in range(n)]
+    long = [f"l{i}" for i in range(60_000)]
+    return [*texts, " ".join(long), " ".join([*long[:100], "other", *long[100:]])]
+
+
+def test_small_blocks_find_all_links_of_a_loose_group(spark, rows, monkeypatch):
+    monkeypatch.setattr(minhash, "PROBE_ROWS", 32)
+    texts = loose_group(150)
+    docs = rows("doc_id long, text string, key long, component string", [(i, t, i, "c") for i, t in enumerate(texts)])
+    got = result(minhash.near_duplicates(docs, words=2, list_rows=16))
+    expected = brute.near_duplicates(list(enumerate(texts)), 2)
+    assert got == expected
+    assert 3 < len({v[1] for v in expected.values()}) < len(texts) - 3
+
+
+def test_a_block_returns_a_forest_of_its_links(spark, rows):
+    signer = minhash.Signer(2)
+    sets = [signer.shingles([b"w%d" % j for j in range(50 + i % 5)]).tobytes() for i in range(40)]
+    colliding = rows(
+        "key long, part int, slice int, probe int, doc long, n long, component long",
+        [(1, 0, 0, probe, i, 49 + i % 5, i) for i in range(40) for probe in (0, 1)],
+    )
+    known = rows("doc long, n long, shingles binary", [(i, 49 + i % 5, bytearray(s)) for i, s in enumerate(sets)])
+    assert minhash._confirm_blocks(colliding, known, 80).count() == 39
+
+
+def test_set_index_counts_intersections():
+    r = random.Random(3)
+    sets = [minhash.np.unique(minhash.np.array(r.sample(range(60), r.randint(1, 40)), minhash.np.uint64)) for _ in range(30)]
+    index = minhash._SetIndex(sets)
+    for own in [*sets, minhash.np.array([99], minhash.np.uint64)]:
+        assert index.shared(own).tolist() == [len(set(own.tolist()) & set(s.tolist())) for s in sets]
