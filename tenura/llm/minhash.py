@@ -436,7 +436,9 @@ def _mixed_lists(
             (F.col("shingles") - F.col("top.shingles")) / LIST_SHINGLES,
         )).cast("int").alias("parts"),
         F.ceil(F.col("size") / PROBE_ROWS).cast("int").alias("slices"),
+        (F.col("size") - F.col("top.size") == 1).alias("lone"),
     )
+
     def own(count: str, seed: int):
         return F.array(F.pmod(F.xxhash64("doc", F.lit(seed)), F.col(count)).cast("int"))
 
@@ -447,7 +449,8 @@ def _mixed_lists(
     stored = mixed.where(~F.col("top")).withColumn("part", F.explode(own("parts", 1))).withColumn(
         "slice", F.explode(every("slices"))
     )
-    probing = mixed.withColumn("part", F.explode(every("parts"))).withColumn(
+    # A lone document outside the largest component meets that component only.
+    probing = mixed.where("top or not lone").withColumn("part", F.explode(every("parts"))).withColumn(
         "slice", F.explode(own("slices", 2))
     )
     both = stored.withColumn("probe", F.lit(0)).unionByName(probing.withColumn("probe", F.lit(1)))
