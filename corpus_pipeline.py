@@ -30,7 +30,10 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are more likely of the top grade: neither toxic nor of low quality."""
+    """Documents that are more likely of the top grade: neither toxic nor of low quality.
+
+    A null or empty text is graded by the thresholds alone.
+    """
     grades = quality.toxic_quality_grades(table(spark, sf_dir, "labels"))
     model = quality.train(docs, grades)
     graded = quality.grade_documents(docs, model, keep=LEAST_QUALITY, columns=COLUMNS[1:])
@@ -47,12 +50,13 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without passages of 50 or more words of an earlier one.
 
-    A text that loses words is its other words joined by one space; n_chars follows.
+    A text that loses words is its other words joined by one space; n_chars follows. A null or
+    empty text stays as it is; other columns, of whatever name, are left out.
     """
     found = substring.remove_repeats(docs, window=50, with_text=True).where("n_removed > 0")
     found = found.select("doc_id", "words_sha256", "kept_text").dropDuplicates(["doc_id", "words_sha256"])
     words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    cut = docs.withColumn("words_sha256", F.sha2(F.concat_ws(" ", words), 256)).join(
+    cut = docs.select(COLUMNS).withColumn("words_sha256", F.sha2(F.concat_ws(" ", words), 256)).join(
         found, ["doc_id", "words_sha256"], "left"
     )
     text = F.coalesce("kept_text", "text")
