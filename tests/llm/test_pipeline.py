@@ -92,3 +92,14 @@ def test_all_is_packed(kept):
 def test_run_gives_the_last_stage(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_clashing_columns_do_not_matter_to_the_substring_stage(spark, rows):
+    passage = " ".join(f"p{i}" for i in range(60))
+    docs = rows(
+        "doc_id long, text string, lang string, source string, n_chars long, kept_text string, words_sha256 string, n_removed int",
+        [(1, passage, "en", "s", len(passage), "x", "y", 5), (2, f"own {passage}", "en", "s", 1, None, None, 7), (3, None, None, None, None, "x", "y", 0)],
+    )
+    found = corpus_pipeline.substring_stage(spark, docs, "")
+    assert found.columns == corpus_pipeline.COLUMNS
+    assert sorted(tuple(r)[:2] for r in found.collect()) == [(1, passage), (2, "own"), (3, None)]
