@@ -7,7 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenura.catalog.registry import bound_sql, query
-from tenura.operators.activity import churn_label, package_recharge_activity
+from tenura.operators.activity import (
+    activity_bounds_of_summaries,
+    churn_label,
+    churn_labels_of_summaries,
+    package_recharge_activity,
+)
 from tenura.schemas import (
     DATE_COLUMNS,
     TABLES,
@@ -17,6 +22,7 @@ from tenura.schemas import (
     raw_schema,
 )
 from tenura.sources.bindings import PERIOD_COLUMN, StarSchema
+from tenura.sources.bucketed import read_activity, write_activity
 from tenura.sources.csv import read_landing_table
 from tenura.sources.lake import MONTH, Lake, ingest, load_activity, load_months
 from tenura.sources.parquet import read_table, write_table
@@ -288,3 +294,63 @@ def two_months(spark, sf):
     rows = package_recharge_activity(tables["package"], tables["recharge"], (MONTH, "bib_id"))
     by_month = [rows.where(F.col(MONTH) == m).drop(MONTH) for m in ("1996", "1997")]
     return churn_label(*by_month)
+
+
+# Buckets of the queries' tables; a large lake takes as many as give about 200 MB each.
+QUERY_BUCKETS = 8
+YEARLY_SQL = """yearly AS (SELECT bib_id, year(ts) AS y, min(ts) AS lo, max(ts) AS hi, count(*) AS n
+                FROM activity GROUP BY ALL)"""
+
+
+def _bucketed_years(spark, sf) -> tuple[DataFrame, list[str]]:
+    """Activity by year in a bucketed table; the middle year is written twice."""
+    tables = StarSchema(spark, sf).tables(["package", "recharge"])
+    by_year = {t: with_month(df, t) for t, df in tables.items()}
+    activity = package_recharge_activity(*by_year.values(), (MONTH, "bib_id"))
+    years = sorted({y for t, df in tables.items() for y in months_of(t, df)})
+    path = new_path(spark, "activity")
+    write_activity(activity, path, years, QUERY_BUCKETS)
+    again = years[len(years) // 2]
+    write_activity(activity.where(F.col(MONTH) == again), path, [again], QUERY_BUCKETS)
+    return read_activity(spark, path, years, QUERY_BUCKETS), years
+
+
+@query(
+    "l3_labels_of_bucketed_months",
+    bound_sql(
+        """SELECT CAST(a.y AS VARCHAR) AS month, a.bib_id, CASE WHEN b.lo IS NULL OR
+                  date_diff('day', CAST(a.hi AS DATE), CAST(b.lo AS DATE)) > 30 THEN 1 ELSE 0
+                  END AS label
+           FROM yearly AS a LEFT JOIN yearly AS b ON a.bib_id = b.bib_id AND b.y = a.y + 1
+           WHERE a.y < (SELECT max(y) FROM yearly)""",
+        "package",
+        "recharge",
+        "activity",
+        more=YEARLY_SQL,
+    ),
+)
+def bucketed_labels(spark, sf):
+    """Labels of all years in one pass over a bucketed table, without an exchange."""
+    return churn_labels_of_summaries(*_bucketed_years(spark, sf))
+
+
+@query(
+    "a1_activity_bounds_of_bucketed_months",
+    bound_sql(
+        """SELECT bib_id, strftime(min(lo), '%Y-%m-%d') AS first_day,
+                  strftime(max(hi), '%Y-%m-%d') AS last_day, CAST(sum(n) AS BIGINT) AS n_rows
+           FROM yearly GROUP BY bib_id""",
+        "package",
+        "recharge",
+        "activity",
+        more=YEARLY_SQL,
+    ),
+)
+def bucketed_bounds(spark, sf):
+    bounds = activity_bounds_of_summaries(_bucketed_years(spark, sf)[0])
+    return bounds.select(
+        "bib_id",
+        F.date_format("min_date", "yyyy-MM-dd").alias("first_day"),
+        F.date_format("max_date", "yyyy-MM-dd").alias("last_day"),
+        "n_rows",
+    )

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenura.schemas import KEY
@@ -146,6 +146,36 @@ def churn_labels(
     return labels.select(month.alias(month_col), *keys, "label")
 
 
+def churn_labels_of_summaries(
+    summaries: DataFrame,
+    months: Sequence[str],
+    gap_days: int = GAP_DAYS,
+    keys: Sequence[str] = (KEY,),
+    month_col: str = "month",
+) -> DataFrame:
+    """``churn_labels`` from one row (first, last) per key and month.
+
+    A key's months are looked at in order, so a table bucketed by key needs no exchange.
+    """
+    if len(months) < 2:
+        raise ValueError("labels need at least two consecutive months")
+    names = F.array(*(F.lit(m) for m in months))
+    at = F.array_position(names, F.col(month_col)).cast("int")
+    placed = summaries.withColumn("at", at).where(F.col("at") > 0)
+    in_order = Window.partitionBy(*keys).orderBy("at")
+    follows = F.lead("at").over(in_order) == F.col("at") + 1
+    label = churned(F.col("last"), F.when(follows, F.lead("first").over(in_order)), gap_days)
+    # As with rows, a key without any date is in the population and counts as not churned.
+    return placed.select(month_col, *keys, label.alias("label"), "at").where(F.col("at") < len(months)).drop("at")
+
+
+def activity_bounds_of_summaries(summaries: DataFrame, keys: Sequence[str] = (KEY,)) -> DataFrame:
+    """First and last activity and number of rows per key, from one row per key and month."""
+    return summaries.groupBy(*keys).agg(
+        F.min("first").alias("min_date"), F.max("last").alias("max_date"), F.sum("n").alias("n_rows")
+    )
+
+
 def scoring_population(tables: Sequence[DataFrame], keys: Sequence[str] = (KEY,)) -> DataFrame:
     """Distinct keys found in any of the tables, with an unknown (null) label."""
     found = reduce(DataFrame.union, [df.select(*keys) for df in tables])
