@@ -24,7 +24,7 @@ from tenura.schemas import (
 from tenura.sources.bindings import PERIOD_COLUMN, StarSchema
 from tenura.sources.bucketed import read_activity, write_activity
 from tenura.sources.csv import read_landing_table
-from tenura.sources.lake import MONTH, Lake, ingest, load_activity, load_months
+from tenura.sources.lake import MONTH, Lake, ingest, load_activity, load_months, load_rejects
 from tenura.sources.parquet import read_table, write_table
 from tenura.sources.published import publish, read_partitions
 from tenura.sources.shared import new_path
@@ -251,6 +251,57 @@ def failed_write(spark, sf):
     )
 
 
+@query(
+    "s1_p1_rejected_cells",
+    bound_sql(
+        """SELECT CAST(year(recharge_dt) AS VARCHAR) AS month, 'recharge' AS source,
+                  'recharge_value_amt' AS column_name, count(*) AS n, min('n/a ' || bib_id) AS least,
+                  max('n/a ' || bib_id) AS largest
+           FROM recharge WHERE CAST(bib_id AS BIGINT) % 7 = 0 GROUP BY ALL
+           UNION ALL
+           SELECT CAST(year(recharge_dt) AS VARCHAR), 'recharge', 'recharge_dt', count(*),
+                  min(strftime(recharge_dt, '%Y%m%d %H:%M:%S') || '?'),
+                  max(strftime(recharge_dt, '%Y%m%d %H:%M:%S') || '?')
+           FROM recharge WHERE CAST(bib_id AS BIGINT) % 5 = 0 GROUP BY ALL
+           UNION ALL
+           SELECT CAST(year(recharge_dt) AS VARCHAR), 'loaded', 'nulls', count(*), NULL, NULL
+           FROM recharge WHERE CAST(bib_id AS BIGINT) % 7 = 0 OR CAST(bib_id AS BIGINT) % 5 = 0
+           GROUP BY ALL""",
+        "recharge",
+    ),
+)
+def rejected(spark, sf):
+    """Planted unreadable amounts and times: what is rejected, and the rows loaded with nulls."""
+    lake = Lake(new_path(spark, "lake"), landing="{root}/landing/{table}/month={month}")
+    recharge = StarSchema(spark, sf).recharge()
+    months = months_of("recharge", recharge)
+    key = F.col("bib_id").cast("long")
+    amount, at = F.col("recharge_value_amt").cast("string"), F.col("recharge_dt")
+    text = landing_text(recharge, "recharge").withColumns(
+        {
+            MONTH: F.substring("recharge_dt", 1, 4),
+            "recharge_value_amt": F.when(key % 7 == 0, F.concat(F.lit("n/a "), "bib_id")).otherwise(amount),
+            "recharge_dt": F.when(key % 5 == 0, F.concat(at, F.lit("?"))).otherwise(at),
+        }
+    )
+    landing = lake.csv_path("recharge", "").removesuffix("/month=")
+    text.hint("rebalance", MONTH).write.partitionBy(MONTH).csv(landing, header=True)
+    ingest(spark, lake, months, ["recharge"], rejects=True)
+    cells = load_rejects(spark, lake, months, ["recharge"]).groupBy(
+        MONTH, "source", F.col("column").alias("column_name")
+    )
+    found = cells.agg(F.count(F.lit(1)).alias("n"), F.min("text").alias("least"), F.max("text").alias("largest"))
+    loaded = load_months(spark, lake, months, ["recharge"])["recharge"]
+    holes = loaded.where(F.col("recharge_value_amt").isNull() | F.col("recharge_dt").isNull())
+    none = F.lit(None).cast("string")
+    return found.unionByName(
+        holes.groupBy(MONTH).agg(F.count(F.lit(1)).alias("n")).select(
+            MONTH, F.lit("loaded").alias("source"), F.lit("nulls").alias("column_name"), "n",
+            none.alias("least"), none.alias("largest"),
+        )
+    )
+
+
 @query(
     "s6_tables_of_one_month",
     bound_sql(

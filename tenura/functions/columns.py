@@ -25,12 +25,17 @@ RECHARGE_EDGES = [-math.inf, 10000, 20000, 50000, 100000, 200000, 500000, math.i
 RECHARGE_NAMES = ["1T", "2T", "5T", "10T", "20T", "50T", "More"]
 
 
+def date_parsers(timestamps: Sequence[str] = (), dates: Sequence[str] = ()) -> dict[str, Column]:
+    """Timestamps and dates of text columns, by column; unreadable text is null."""
+    parsed = {c: F.try_to_timestamp(F.col(c), F.lit(TIMESTAMP_FORMAT)) for c in timestamps}
+    return parsed | {c: F.try_to_date(F.col(c), DATE_FORMAT) for c in dates}
+
+
 def parse_dates(
     df: DataFrame, timestamps: Sequence[str] = (), dates: Sequence[str] = ()
 ) -> DataFrame:
     """Turn text columns into timestamps and dates; unreadable text becomes null."""
-    parsed = {c: F.try_to_timestamp(F.col(c), F.lit(TIMESTAMP_FORMAT)) for c in timestamps}
-    parsed.update({c: F.try_to_date(F.col(c), DATE_FORMAT) for c in dates})
+    parsed = date_parsers(timestamps, dates)
     missing = [c for c in parsed if c not in df.columns]
     if missing:
         warnings.warn(f"columns not found, not parsed: {missing}", stacklevel=2)
