@@ -4,26 +4,30 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.classification import (
+    GBTClassificationModel,
     GBTClassifier,
     LogisticRegression,
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import Bucketizer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tenura.plans.feature_plan import FEATURES, LABEL
 from tenura.schemas import KEY
+from tenura.sources.shared import materialize
 
 SEED = 17
 FOLDS = 3
-SCORE_BUCKETS = 256
+# Rows of a range of scores.
+RANGE_ROWS = 1_000_000
 
 CLASSIFIERS = {"rf": RandomForestClassifier, "lr": LogisticRegression, "gbt": GBTClassifier}
 
@@ -90,8 +94,14 @@ def tune(
     keys: Sequence[str] = (KEY,),
     parallelism: int = 4,
 ) -> CrossValidatorModel:
-    """Cross-validate a grid and refit its best point on all of train."""
+    """Cross-validate a grid and refit its best point on all of train.
+
+    Boosted trees that differ in their number only are fitted once, see ``staged_scores``.
+    """
     labelled = train.where(F.col(estimator.getLabelCol()).isNotNull())
+    if isinstance(estimator, GBTClassifier):
+        points = param_grid(estimator) if grid is None else grid
+        return _tune_boosted(estimator, with_folds(labelled, folds, keys), metric, points, folds, parallelism)
     return CrossValidator(
         estimator=estimator,
         estimatorParamMaps=param_grid(estimator) if grid is None else grid,
@@ -102,6 +112,80 @@ def tune(
     ).fit(with_folds(labelled, folds, keys))
 
 
+def staged_scores(
+    model: GBTClassificationModel, df: DataFrame, stages: Sequence[int], metric: str
+) -> list[float]:
+    """The metric of the model's first trees, for each number of trees in ``stages``.
+
+    Boosting adds trees and never changes former ones, so the first 10 trees of a model of 50
+    are those of a model of 10 with the same seed. Each tree is evaluated once per row.
+    """
+    label = model.getLabelCol()
+    scored = df.select(F.col(label).alias("_label"), F.col(model.getFeaturesCol()).alias("_features"))
+    for i, tree in enumerate(model.trees[: max(stages)]):
+        scored = tree.setFeaturesCol("_features").setPredictionCol(f"_tree{i}").transform(scored)
+    margin, margins = F.lit(0.0), {}
+    for i, weight in enumerate(model.treeWeights[: max(stages)]):
+        margin = margin + F.lit(float(weight)) * F.col(f"_tree{i}")
+        margins[i + 1] = margin
+    wanted = F.array(*(margins[n] for n in stages))
+    staged = scored.select(F.col("_label").alias(label), wanted.alias("_margins")).persist()
+    found = []
+    for place in range(len(stages)):
+        at = F.col("_margins")[place]
+        found.append(
+            evaluator(metric, label).evaluate(
+                staged.select(
+                    label,
+                    array_to_vector(F.array(-at, at)).alias("rawPrediction"),
+                    F.when(at > 0, 1.0).otherwise(0.0).alias("prediction"),
+                )
+            )
+        )
+    staged.unpersist()
+    return found
+
+
+def _tune_boosted(
+    estimator: GBTClassifier, rows: DataFrame, metric: str, grid: list[dict], folds: int, parallelism: int
+) -> CrossValidatorModel:
+    """One fit per fold and combination of all values but the number of trees."""
+    number = estimator.maxIter
+    groups: dict[tuple, list[int]] = {}
+    for i, point in enumerate(grid):
+        rest = tuple(sorted((p.name, v) for p, v in point.items() if p != number))
+        groups.setdefault(rest, []).append(i)
+    stages = [point.get(number, estimator.getMaxIter()) for point in grid]
+    halves = {
+        fold: [rows.where(F.col("fold") != fold).persist(), rows.where(F.col("fold") == fold).persist()]
+        for fold in range(folds)
+    }
+
+    def run(job: tuple[int, list[int]]) -> tuple[list[int], list[float]]:
+        fold, places = job
+        train, validation = halves[fold]
+        longest = max(places, key=lambda i: stages[i])
+        model = estimator.fit(train, grid[longest])
+        return places, staged_scores(model, validation, [stages[i] for i in places], metric)
+
+    jobs = [(fold, places) for fold in halves for places in groups.values()]
+    with ThreadPoolExecutor(parallelism) as pool:
+        done = list(pool.map(inheritable_thread_target(run), jobs))
+    for half in halves.values():
+        for part in half:
+            part.unpersist()
+    scores: list[list[float]] = [[] for _ in grid]
+    for places, found in done:
+        for i, value in zip(places, found):
+            scores[i].append(value)
+    means = [sum(s) / folds for s in scores]
+    spread = [math.sqrt(sum((x - m) ** 2 for x in s) / folds) for s, m in zip(scores, means)]
+    best = means.index(max(means))
+    tuned = CrossValidatorModel(estimator.fit(rows, grid[best]), means, None, spread)
+    tuned.set(tuned.estimatorParamMaps, grid)
+    return tuned
+
+
 def grid_scores(tuned: CrossValidatorModel, metric: str) -> DataFrame:
     """Mean cross-validation metric per grid point."""
     spark = SparkSession.active()
@@ -175,36 +259,23 @@ def class_metrics(df: DataFrame, label: str = LABEL, prediction: str = "predicti
 
 
 def area_under_roc(
-    df: DataFrame, label: str = LABEL, score_col: str = "probability", buckets: int = SCORE_BUCKETS
+    df: DataFrame,
+    label: str = LABEL,
+    score_col: str = "probability",
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Exact area under the ROC curve as the share of ordered (negative, positive) pairs.
 
-    Rows are combined per distinct score. The running count of negatives is taken inside
-    score ranges of about equal size, and the ranges' totals are added to it.
+    Rows are combined per distinct score, and scores dealt to ranges in order, one for every
+    ``range_rows`` rows, however many there are. The running count of negatives is taken inside
+    each range, and the totals of the ranges below are added to it.
     """
     scored = df.select(
         F.col(score_col).cast("double").alias("score"), F.col(label).cast("bigint").alias("y")
     ).where(F.col("score").isNotNull() & F.col("y").isNotNull())
-    marks = [i / buckets for i in range(1, buckets)]
-    found = scored.agg(F.percentile_approx("score", marks, 10 * buckets).alias("at")).first()["at"]
-    splits = [-math.inf, *sorted(set(found or [])), math.inf]
-    per_score = scored.groupBy("score").agg(
-        F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")
-    )
-    ranged = Bucketizer(splits=splits, inputCol="score", outputCol="range").transform(per_score)
-
-    in_order = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    in_range = Window.partitionBy("range").orderBy("score").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    totals = ranged.groupBy("range").agg(F.sum("neg").alias("neg"))
-    # At most one row per range, so one task and a broadcast hold it.
-    totals = totals.select(
-        "range", F.coalesce(F.sum("neg").over(in_order), F.lit(0)).alias("neg_below")
-    )
-    inside = F.coalesce(F.sum("neg").over(in_range), F.lit(0))
-    placed = ranged.withColumn("neg_inside", inside).join(F.broadcast(totals), "range")
-    pairs = F.col("pos") * (F.col("neg_below") + F.col("neg_inside") + F.col("neg") / 2)
+    ranges = max(1, math.ceil(scored.count() / range_rows))
+    placed = _prefix_counts(scored, ranges)
+    pairs = F.col("pos") * (F.col("neg_below") + F.col("neg") / 2)
     return placed.agg(
         F.try_divide(
             F.sum(pairs), F.sum("pos").cast("double") * F.sum("neg").cast("double")
@@ -212,6 +283,26 @@ def area_under_roc(
     )
 
 
+def _prefix_counts(scored: DataFrame, ranges: int) -> DataFrame:
+    """range, score, pos, neg, neg_below per distinct score; below: of all smaller scores."""
+    per_score = scored.groupBy("score").agg(
+        F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")
+    )
+    dealt = per_score.repartitionByRange(ranges, "score").withColumn("range", F.spark_partition_id())
+    # Written, so that both uses below see the same ranges.
+    ranged = materialize(dealt, "scores")
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("range").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy("range").agg(F.sum("neg").alias("neg"))
+    # One row per range, so one task and a broadcast hold it.
+    totals = totals.select("range", F.coalesce(F.sum("neg").over(before), F.lit(0)).alias("neg_before"))
+    below = F.coalesce(F.sum("neg").over(inside), F.lit(0))
+    placed = ranged.withColumn("neg_inside", below).join(F.broadcast(totals), "range")
+    return placed.select(
+        "range", "score", "pos", "neg", (F.col("neg_before") + F.col("neg_inside")).alias("neg_below")
+    )
+
+
 def evaluate(predictions: DataFrame, label: str = LABEL) -> DataFrame:
     """All five metrics of labelled predictions with probabilities: (metric, value) rows."""
     labelled = predictions.where(F.col(label).isNotNull())

@@ -4,6 +4,8 @@ import numpy as np
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.tuning import CrossValidator
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tenura.plans.feature_plan import (
@@ -23,6 +25,7 @@ from tenura.plans.feature_plan import (
 from tenura.plans.models import (
     GRIDS,
     METRICS,
+    _prefix_counts,
     area_under_roc,
     class_metrics,
     classifier,
@@ -224,7 +227,49 @@ def test_metrics_match_the_evaluators(vectors, name):
             assert found[metric] == pytest.approx(evaluator(metric).evaluate(raw))
     exact = evaluator("auc").setNumBins(0).evaluate(raw)
     assert found["auc"] == pytest.approx(exact)
-    assert area_under_roc(scored, buckets=3).first()["auc"] == pytest.approx(exact)
+    assert area_under_roc(scored, range_rows=3).first()["auc"] == pytest.approx(exact)
+
+
+def test_score_ranges_follow_the_rows(spark):
+    """A third of all rows has one score; no range holds many more scores than asked for."""
+    rows = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, 0.25).otherwise(F.rand(3)).alias("probability"),
+        (F.col("id") % 7 < 3).cast("int").alias("label"),
+    )
+    scored = rows.select(F.col("probability").alias("score"), F.col("label").cast("long").alias("y"))
+    placed = _prefix_counts(scored, 30)
+    sizes = [r["count"] for r in placed.groupBy("range").count().collect()]
+    assert len(sizes) == 30 and max(sizes) < 3 * 20001 / 30
+    below = Window.orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    plain = placed.withColumn("plain", F.coalesce(F.sum("neg").over(below), F.lit(0)))
+    assert plain.where("plain <> neg_below").count() == 0
+    few, one = (area_under_roc(rows, range_rows=n).first()["auc"] for n in (1000, 10**9))
+    assert few == pytest.approx(one, abs=1e-12)
+
+
+@pytest.mark.parametrize("metric", ["auc", "f1"])
+def test_staged_boosting_equals_separate_fits(vectors, metric):
+    estimator = classifier("gbt")
+    grid = param_grid(estimator, {"maxIter": [1, 3], "maxDepth": [1]})
+    fits = []
+    whole = type(estimator)._fit
+
+    def counted(self, df):
+        fits.append(self.getMaxIter())
+        return whole(self, df)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(estimator), "_fit", counted)
+        tuned = tune(estimator, vectors, metric, grid)
+    assert sorted(fits[:-1]) == [3] * 3  # once per fold
+    separate = CrossValidator(
+        estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator(metric), numFolds=3, foldCol="fold"
+    ).fit(with_folds(vectors))
+    assert tuned.avgMetrics == pytest.approx(separate.avgMetrics, abs=1e-9)
+    assert tuned.stdMetrics == pytest.approx(separate.stdMetrics, abs=1e-9)
+    best = tuned.getEstimatorParamMaps()[tuned.avgMetrics.index(max(tuned.avgMetrics))]
+    assert tuned.bestModel.getMaxIter() == best[estimator.maxIter]
+    assert tuned.bestModel.getNumTrees == best[estimator.maxIter]
 
 
 def test_metrics_of_degenerate_predictions(rows):
