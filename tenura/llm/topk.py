@@ -25,6 +25,8 @@ from tenura.llm.vectors import is_whole
 PART_ROWS = 32_768
 BLOCK_ROWS = 64
 _EXACT = float(1 << 53)
+# Components and scores beyond a long count as the largest or smallest of these.
+LARGEST = (1 << 63) - 1
 
 
 class BlockIndex:
@@ -52,7 +54,7 @@ class BlockIndex:
 
     def search(self, query: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the k best ids other than the query, ties to smaller ids."""
-        bounds = np.maximum(q * self.high, q * self.low).sum(axis=1)
+        bounds = _held(np.maximum(q * self.high, q * self.low).sum(axis=1))
         order = np.argsort(-bounds, kind="stable")
         bounds = bounds[order]
         ids, scores = np.zeros(0, np.int64), np.zeros(0, self.values.dtype)
@@ -68,7 +70,7 @@ class BlockIndex:
             at, wave = at + wave, wave * 2
             rows = (self.starts[chosen][:, None] + np.arange(self.ends[0])).ravel()
             rows = rows[rows < len(self.ids)] if chosen.max() == len(self.starts) - 1 else rows
-            found = self.values[rows] @ q
+            found = _held(self.values[rows] @ q)
             own = self.ids[rows]
             if len(ids) == k:
                 better = found >= scores[-1]
@@ -82,6 +84,11 @@ class BlockIndex:
         return ids, scores
 
 
+def _held(scores: np.ndarray) -> np.ndarray:
+    """Python's integers within a long; doubles stand for exact ones below 2**53."""
+    return scores if scores.dtype != object else np.minimum(np.maximum(scores, -LARGEST), LARGEST)
+
+
 def _best_of_each(ids: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Every id once, with its best score."""
     order = np.lexsort((-scores, ids))
@@ -174,13 +181,21 @@ def top_k(
     fewer others has all of them. Vectors that are null, empty or hold null or non-finite
     components, and null ids, take no part; vectors of other lengths than the query's are
     not compared with it. A row with the query's own id is no result. Rows that share an
-    id count as one, with the best of their scores. A score beyond a long is an error.
+    id count as one, with the best of their scores. Scaled components and scores beyond
+    2**63 - 1 or its negative count as these, and tie with each other.
     """
 
     def whole(df: DataFrame) -> DataFrame:
         rows = df.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
         rows = rows.where(F.col("id").isNotNull() & is_whole(F.col("v")))
-        values = F.transform("v", lambda x: F.floor(x * F.lit(scale)).cast("long"))
+        # A double beyond a long becomes the largest or smallest one.
+        limit = float(1 << 63)
+
+        def component(x):
+            scaled = F.floor(F.greatest(F.least(x * F.lit(scale), F.lit(limit)), F.lit(-limit)))
+            return F.greatest(scaled.cast("long"), F.lit(-LARGEST))
+
+        values = F.transform("v", component)
         return rows.select("id", F.size("v").alias("length"), values.alias("v"))
 
     documents = whole(vectors)

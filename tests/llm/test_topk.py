@@ -80,3 +80,21 @@ def test_repeated_rows_and_empty_tables(spark, rows):
     empty = rows(SCHEMA, [])
     assert topk.top_k(empty, empty).count() == 0
     assert topk.top_k(twice, empty).count() == 0
+
+
+def test_components_and_scores_beyond_a_long(spark, rows):
+    huge = [
+        (0, [1.0, 1.0]), (1, [3e16, 0.0]), (2, [1e300, 0.0]), (3, [-1e300, -1e300]), (4, [3e16, 2.0]),
+        (50, [3e16, -1.0]), (100, [0.5, 0.25]), (7, [2.0, 2.0]),
+    ]
+    limit = 2**63 - 1
+    values = {i: [int(max(-limit, min(limit, np.floor(256 * x)))) for x in v] for i, v in huge}
+    wanted = {}
+    for q in (0, 50, 100):
+        held = lambda i: max(-limit, min(limit, sum(a * b for a, b in zip(values[q], values[i]))))
+        scored = sorted((-held(i), i) for i in values if i != q)
+        wanted.update({(q, r + 1): (i, -s) for r, (s, i) in enumerate(scored[:5])})
+    vectors = rows(SCHEMA, huge)
+    for part_rows in (2, 1000):
+        got = topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), part_rows=part_rows, block_rows=2)
+        assert result(got) == wanted
