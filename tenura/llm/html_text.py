@@ -47,10 +47,19 @@ ARTICLE_WORDS = set("article articlebody entry main post story".split())
 # "has-header" nor "search-methods" is furniture, but "site-header" and "cookie-notice" are.
 NEUTRAL_WORDS = ARTICLE_WORDS | set(
     "area author bar block body bottom box button buttons col column container content desktop fixed global "
-    "icon icons info inner item items label law left link links list message meta mobile outer overlay page "
-    "panel policy posts primary right row secondary section site slot space sticky text title tools top unit "
-    "wrap wrapper zone".split()
+    "guest icon icons info inner item items label large law left link links list medium message meta mobile outer "
+    "overlay page panel policy posts primary reader readers right row secondary section site slot small space "
+    "sticky stream text thread title tools top unit user users visitor visitors wrap wrapper zone".split()
 )
+# Words that make a name one of page furniture if it ends with them, neutral words apart,
+# whatever stands before: "cc-cookie-banner", "leaderboard-ad". Not with a word of a state.
+LAST_WORDS = set(
+    "ad ads adsense advert advertisement adverts banner breadcrumb breadcrumbs comments cookie cookies disqus "
+    "modal newsletter pagination popup promo signup sponsored subscribe widget".split()
+)
+STATE_WORDS = set("after before free has have hide hides is js no not show shows with without".split())
+# Two words that make it one together, each of which also names an article's parts.
+WORD_PAIRS = [{"discussion", "thread"}, {"discussion", "board"}]
 # Words that also name the layout of a wrapper around a whole page.
 LAYOUT_WORDS = set("form header masthead nav navbar search sidebar toolbar topbar".split())
 # Of a heading's or paragraph's classes in an article, only these count.
@@ -110,6 +119,7 @@ class _Reader:
     linked: list[str] = field(default_factory=list)
     open: list[tuple[str, int, bool, bool]] = field(default_factory=list)  # tag, element, inside article, furniture
     links: int = 0
+    headings: int = 0  # open ones
 
     def flush(self) -> None:
         if self.parts:
@@ -119,7 +129,7 @@ class _Reader:
                 self.blocks.append(
                     Block(
                         " ".join(words), len(words), min(1.0, inside / len(words)), False, False,
-                        any(o[0] in HEADING_TAGS for o in self.open[-4:]), self.open[-1][1] if self.open else -1, max(0, len(words) - inside),
+                        self.headings > 0, self.open[-1][1] if self.open else -1, max(0, len(words) - inside),
                     )
                 )
         self.parts, self.linked = [], []
@@ -141,7 +151,9 @@ class _Reader:
         if name in BLOCK_TAGS:
             self.flush()
             if self.open and self.open[-1][0] == "p" or self.open and self.open[-1][0] == name == "li":
-                self.open.pop()
+                self.close(len(self.open) - 1)
+        if name in HEADING_TAGS and self.headings:  # a heading ends where the next one starts
+            self.close(max(i for i, o in enumerate(self.open) if o[0] in HEADING_TAGS))
         if name in VOID_TAGS or rest.endswith("/"):
             return
         if name in BLOCK_TAGS or name in ("span", "button", "label", "ins", "small"):
@@ -152,6 +164,12 @@ class _Reader:
             self.elements.append(element)
             inside |= (element.article or element.named) and not element.furniture
             self.open.append((name, len(self.elements) - 1, inside, element.furniture > 0))
+            self.headings += name in HEADING_TAGS
+
+    def close(self, at: int) -> None:
+        """Close the open elements from this one on."""
+        self.headings -= sum(o[0] in HEADING_TAGS for o in self.open[at:])
+        del self.open[at:]
 
     def end(self, name: str) -> None:
         if name == "a":
@@ -160,12 +178,24 @@ class _Reader:
             if self.open[i][0] == name:
                 if name in BLOCK_TAGS or any(o[3] for o in self.open[i:]):
                     self.flush()
-                del self.open[i:]
+                self.close(i)
                 return
         if name in BLOCK_TAGS:
             self.flush()
 
 
+def _furniture_words(parts: list[str]) -> set[str]:
+    """The words of a name that make it one of page furniture; none if it isn't one."""
+    named = FURNITURE_WORDS.intersection(parts)
+    if named and named.union(NEUTRAL_WORDS).issuperset(parts):
+        return named
+    last = next((p for p in reversed(parts) if p not in NEUTRAL_WORDS), None)
+    if last in LAST_WORDS and not STATE_WORDS.intersection(parts):
+        return {last}
+    pairs = [pair for pair in WORD_PAIRS if pair.issubset(parts) and pair.union(NEUTRAL_WORDS).issuperset(parts)]
+    return pairs[0] if pairs else set()
+
+
 def _element(name: str, rest: str, in_article: bool, parent: int) -> Element:
     """What an element is by its tag, role, class and id."""
     found = Element(parent, name in ("article", "main"), name == "main", False, prose=name in PROSE_TAGS)
@@ -188,8 +218,8 @@ def _element(name: str, rest: str, in_article: bool, parent: int) -> Element:
         names.append(values.get("id", ""))
         found.named = any(ARTICLE_WORDS.intersection(_LETTERS.findall(n.lower())) for n in names)
     for parts in ([w.lower() for w in _NAME_PARTS.findall(n)] for n in names):
-        named = FURNITURE_WORDS.intersection(parts)
-        if not named or not named.union(NEUTRAL_WORDS).issuperset(parts):
+        named = _furniture_words(parts)
+        if not named:
             continue
         if named == {"header"} and (in_article or ARTICLE_WORDS.intersection(parts)):
             continue
@@ -286,10 +316,9 @@ def text_blocks(page: str) -> list[Block]:
 def block_features(blocks: list[Block]) -> list[tuple]:
     """words, density, those of the block before, of the block after, and what encloses the block.
 
-    That is: article, furniture, lost, heading, between. ``lost``: the page has an article, but
-    the block is outside and no plain heading right before it. ``between``: both neighbours
-    are mostly links. Furniture beside a block counts as the page's end, and a heading beside
-    it as free of links.
+    That is: article, furniture, lost, heading. ``lost``: the page has an article, but the block
+    is outside and no plain heading right before it. Furniture beside a block counts as the
+    page's end, and a heading beside it as free of links.
     """
     has_article = any(b.in_article for b in blocks)
     leads = [b.in_article for b in blocks] + [False]  # in the article, or heads it
@@ -300,73 +329,72 @@ def block_features(blocks: list[Block]) -> list[tuple]:
     ]
     return [
         (b.words, b.density, *around[i], *around[i + 2], b.in_article, b.in_furniture,
-         has_article and not leads[i], b.heading, around[i][1] >= LINKED and around[i + 2][1] >= LINKED)
+         has_article and not leads[i], b.heading)
         for i, b in enumerate(blocks)
     ]
 
 
 # The labelled table: words, density, words and density before, and after; 1 if inside an
-# article, inside furniture, outside the page's article, in a heading, between links; 1 if the
-# block is text.
+# article, inside furniture, outside the page's article, in a heading; 1 if the block is text.
 LABELLED = [
     # menus and footers
-    (6, 1.0, 0, 0.0, 5, 1.0, 0, 1, 0, 0, 0, 0), (1, 1.0, 1, 1.0, 1, 1.0, 0, 1, 1, 0, 1, 0),
-    (2, 1.0, 3, 1.0, 40, 0.0, 0, 1, 1, 0, 0, 0), (25, 0.1, 90, 0.0, 0, 0.0, 0, 1, 1, 0, 0, 0),
-    (60, 0.0, 2, 1.0, 8, 0.0, 0, 1, 1, 0, 0, 0), (12, 0.0, 120, 0.0, 0, 0.0, 0, 1, 0, 0, 0, 0),
-    (1, 0.0, 1, 1.0, 90, 0.0, 0, 1, 1, 0, 0, 0), (9, 0.9, 70, 0.0, 4, 1.0, 0, 1, 0, 0, 0, 0),
+    (6, 1.0, 0, 0.0, 5, 1.0, 0, 1, 0, 0, 0), (1, 1.0, 1, 1.0, 1, 1.0, 0, 1, 1, 0, 0),
+    (2, 1.0, 3, 1.0, 40, 0.0, 0, 1, 1, 0, 0), (25, 0.1, 90, 0.0, 0, 0.0, 0, 1, 1, 0, 0),
+    (60, 0.0, 2, 1.0, 8, 0.0, 0, 1, 1, 0, 0), (12, 0.0, 120, 0.0, 0, 0.0, 0, 1, 0, 0, 0),
+    (1, 0.0, 1, 1.0, 90, 0.0, 0, 1, 1, 0, 0), (9, 0.9, 70, 0.0, 4, 1.0, 0, 1, 0, 0, 0),
     # notices, adverts, forms and comments in an article or beside it
-    (30, 0.0, 80, 0.0, 75, 0.0, 1, 1, 0, 0, 0, 0), (8, 0.0, 45, 0.0, 60, 0.0, 1, 1, 0, 0, 0, 0),
-    (55, 0.0, 120, 0.0, 40, 0.0, 1, 1, 0, 0, 0, 0), (4, 0.5, 66, 0.0, 21, 0.0, 1, 1, 0, 0, 0, 0),
-    (140, 0.0, 20, 0.0, 15, 0.0, 0, 1, 1, 0, 0, 0), (1, 1.0, 80, 0.0, 2, 0.0, 1, 1, 0, 0, 0, 0),
-    (70, 0.05, 50, 0.0, 0, 0.0, 0, 1, 1, 0, 0, 0), (18, 0.0, 0, 0.0, 30, 0.0, 0, 1, 1, 0, 0, 0),
+    (30, 0.0, 80, 0.0, 75, 0.0, 1, 1, 0, 0, 0), (8, 0.0, 45, 0.0, 60, 0.0, 1, 1, 0, 0, 0),
+    (55, 0.0, 120, 0.0, 40, 0.0, 1, 1, 0, 0, 0), (4, 0.5, 66, 0.0, 21, 0.0, 1, 1, 0, 0, 0),
+    (140, 0.0, 20, 0.0, 15, 0.0, 0, 1, 1, 0, 0), (1, 1.0, 80, 0.0, 2, 0.0, 1, 1, 0, 0, 0),
+    (70, 0.05, 50, 0.0, 0, 0.0, 0, 1, 1, 0, 0), (18, 0.0, 0, 0.0, 30, 0.0, 0, 1, 1, 0, 0),
     # paragraphs, headings, short lines and linked words of an article
-    (9, 0.0, 6, 0.0, 80, 0.0, 1, 0, 0, 0, 0, 1), (80, 0.0, 9, 0.0, 120, 0.02, 1, 0, 0, 0, 0, 1),
-    (120, 0.02, 80, 0.0, 3, 0.0, 1, 0, 0, 0, 0, 1), (2, 0.0, 110, 0.0, 70, 0.0, 1, 0, 0, 0, 0, 1),
-    (1, 0.0, 2, 0.0, 1, 0.0, 1, 0, 0, 0, 0, 1), (1, 0.0, 0, 0.0, 0, 0.0, 1, 0, 0, 0, 0, 1),
-    (5, 1.0, 60, 0.0, 44, 0.0, 1, 0, 0, 0, 0, 1), (3, 1.0, 4, 1.0, 3, 1.0, 1, 0, 0, 0, 1, 1),
-    (30, 0.4, 12, 0.1, 0, 0.0, 1, 0, 0, 0, 0, 1), (1, 0.0, 6, 1.0, 3, 1.0, 1, 0, 0, 0, 1, 1),
-    (400, 0.0, 5, 0.0, 15, 0.0, 1, 0, 0, 0, 0, 1), (7, 0.0, 12, 0.0, 9, 0.0, 1, 0, 0, 0, 0, 1),
+    (9, 0.0, 6, 0.0, 80, 0.0, 1, 0, 0, 0, 1), (80, 0.0, 9, 0.0, 120, 0.02, 1, 0, 0, 0, 1),
+    (120, 0.02, 80, 0.0, 3, 0.0, 1, 0, 0, 0, 1), (2, 0.0, 110, 0.0, 70, 0.0, 1, 0, 0, 0, 1),
+    (1, 0.0, 2, 0.0, 1, 0.0, 1, 0, 0, 0, 1), (1, 0.0, 0, 0.0, 0, 0.0, 1, 0, 0, 0, 1),
+    (5, 1.0, 60, 0.0, 44, 0.0, 1, 0, 0, 0, 1), (3, 1.0, 4, 1.0, 3, 1.0, 1, 0, 0, 0, 1),
+    (30, 0.4, 12, 0.1, 0, 0.0, 1, 0, 0, 0, 1), (1, 0.0, 6, 1.0, 3, 1.0, 1, 0, 0, 0, 1),
+    (400, 0.0, 5, 0.0, 15, 0.0, 1, 0, 0, 0, 1), (7, 0.0, 12, 0.0, 9, 0.0, 1, 0, 0, 0, 1),
     # beside a page's article: short or linked blocks
-    (20, 0.0, 5, 1.0, 9, 0.0, 0, 0, 1, 0, 0, 0), (90, 0.0, 30, 0.0, 5, 1.0, 0, 0, 1, 0, 0, 1),
-    (3, 0.0, 0, 0.0, 100, 0.0, 0, 0, 1, 0, 0, 0), (4, 1.0, 90, 0.0, 4, 1.0, 0, 0, 1, 0, 0, 0),
-    (45, 0.0, 200, 0.0, 0, 0.0, 0, 0, 1, 0, 0, 1), (1, 0.0, 2, 0.0, 1, 0.0, 0, 0, 1, 0, 0, 0),
+    (20, 0.0, 5, 1.0, 9, 0.0, 0, 0, 1, 0, 0), (90, 0.0, 30, 0.0, 5, 1.0, 0, 0, 1, 0, 1),
+    (3, 0.0, 0, 0.0, 100, 0.0, 0, 0, 1, 0, 0), (4, 1.0, 90, 0.0, 4, 1.0, 0, 0, 1, 0, 0),
+    (45, 0.0, 200, 0.0, 0, 0.0, 0, 0, 1, 0, 1), (1, 0.0, 2, 0.0, 1, 0.0, 0, 0, 1, 0, 0),
     # pages without a marked article: text
-    (60, 0.0, 4, 0.0, 70, 0.0, 0, 0, 0, 0, 0, 1), (70, 0.03, 60, 0.0, 2, 1.0, 0, 0, 0, 0, 0, 1),
-    (25, 0.0, 70, 0.0, 30, 0.0, 0, 0, 0, 0, 0, 1), (18, 0.1, 40, 0.0, 33, 0.0, 0, 0, 0, 0, 0, 1),
-    (4, 0.0, 60, 0.0, 50, 0.0, 0, 0, 0, 0, 0, 1), (2, 0.0, 45, 0.0, 80, 0.0, 0, 0, 0, 0, 0, 1),
-    (6, 0.0, 3, 1.0, 55, 0.0, 0, 0, 0, 0, 0, 1), (8, 0.0, 0, 0.0, 90, 0.0, 0, 0, 0, 0, 0, 1),
-    (12, 0.0, 38, 0.0, 0, 0.0, 0, 0, 0, 0, 0, 1), (150, 0.2, 3, 1.0, 2, 1.0, 0, 0, 0, 0, 1, 1),
-    (16, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 0, 0, 1), (14, 0.0, 9, 0.0, 12, 0.0, 0, 0, 0, 0, 0, 1),
+    (60, 0.0, 4, 0.0, 70, 0.0, 0, 0, 0, 0, 1), (70, 0.03, 60, 0.0, 2, 1.0, 0, 0, 0, 0, 1),
+    (25, 0.0, 70, 0.0, 30, 0.0, 0, 0, 0, 0, 1), (18, 0.1, 40, 0.0, 33, 0.0, 0, 0, 0, 0, 1),
+    (4, 0.0, 60, 0.0, 50, 0.0, 0, 0, 0, 0, 1), (2, 0.0, 45, 0.0, 80, 0.0, 0, 0, 0, 0, 1),
+    (6, 0.0, 3, 1.0, 55, 0.0, 0, 0, 0, 0, 1), (8, 0.0, 0, 0.0, 90, 0.0, 0, 0, 0, 0, 1),
+    (12, 0.0, 38, 0.0, 0, 0.0, 0, 0, 0, 0, 1), (150, 0.2, 3, 1.0, 2, 1.0, 0, 0, 0, 0, 1),
+    (16, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 0, 1), (14, 0.0, 9, 0.0, 12, 0.0, 0, 0, 0, 0, 1),
     # pages without a marked article: lists of links and loose words
-    (3, 1.0, 0, 0.0, 2, 1.0, 0, 0, 0, 0, 0, 0), (2, 1.0, 3, 1.0, 60, 0.0, 0, 0, 0, 0, 0, 0),
-    (5, 0.8, 70, 0.0, 4, 1.0, 0, 0, 0, 0, 0, 0), (24, 0.9, 60, 0.0, 0, 0.0, 0, 0, 0, 0, 0, 0),
-    (1, 0.0, 2, 1.0, 1, 1.0, 0, 0, 0, 0, 1, 0), (3, 0.0, 4, 1.0, 2, 1.0, 0, 0, 0, 0, 1, 0),
-    (2, 0.0, 3, 0.0, 4, 1.0, 0, 0, 0, 0, 0, 1), (40, 0.7, 5, 1.0, 6, 1.0, 0, 0, 0, 0, 1, 0),
-    (9, 0.6, 50, 0.0, 44, 0.0, 0, 0, 0, 0, 0, 0), (2, 1.0, 2, 1.0, 0, 0.0, 0, 0, 0, 0, 0, 0),
+    (3, 1.0, 0, 0.0, 2, 1.0, 0, 0, 0, 0, 0), (2, 1.0, 3, 1.0, 60, 0.0, 0, 0, 0, 0, 0),
+    (5, 0.8, 70, 0.0, 4, 1.0, 0, 0, 0, 0, 0), (24, 0.9, 60, 0.0, 0, 0.0, 0, 0, 0, 0, 0),
+    (1, 0.0, 2, 1.0, 1, 1.0, 0, 0, 0, 0, 0), (3, 0.0, 4, 1.0, 2, 1.0, 0, 0, 0, 0, 0),
+    (2, 0.0, 3, 0.0, 4, 1.0, 0, 0, 0, 0, 1), (40, 0.7, 5, 1.0, 6, 1.0, 0, 0, 0, 0, 0),
+    (9, 0.6, 50, 0.0, 44, 0.0, 0, 0, 0, 0, 0), (2, 1.0, 2, 1.0, 0, 0.0, 0, 0, 0, 0, 0),
     # long blocks beside a page's article: text if free of links
-    (30, 0.0, 5, 1.0, 9, 0.0, 0, 0, 1, 0, 0, 1), (60, 0.0, 0, 0.0, 40, 0.0, 0, 0, 1, 0, 0, 1),
-    (120, 0.02, 3, 0.0, 80, 0.0, 0, 0, 1, 0, 0, 1), (35, 0.5, 60, 0.0, 9, 1.0, 0, 0, 1, 0, 0, 0),
-    (60, 0.9, 90, 0.0, 5, 1.0, 0, 0, 1, 0, 0, 0), (24, 1.0, 0, 0.0, 0, 0.0, 0, 0, 1, 0, 0, 0),
+    (30, 0.0, 5, 1.0, 9, 0.0, 0, 0, 1, 0, 1), (60, 0.0, 0, 0.0, 40, 0.0, 0, 0, 1, 0, 1),
+    (120, 0.02, 3, 0.0, 80, 0.0, 0, 0, 1, 0, 1), (35, 0.5, 60, 0.0, 9, 1.0, 0, 0, 1, 0, 0),
+    (60, 0.9, 90, 0.0, 5, 1.0, 0, 0, 1, 0, 0), (24, 1.0, 0, 0.0, 0, 0.0, 0, 0, 1, 0, 0),
     # headings, linked ones too
-    (4, 1.0, 60, 0.0, 70, 0.0, 0, 0, 0, 1, 0, 1), (6, 1.0, 0, 0.0, 90, 0.0, 0, 0, 0, 1, 0, 1),
-    (3, 0.6, 2, 1.0, 40, 0.0, 0, 0, 0, 1, 0, 1), (1, 0.0, 2, 1.0, 1, 1.0, 0, 0, 0, 1, 1, 1),
-    (2, 1.0, 4, 1.0, 3, 1.0, 0, 0, 0, 1, 1, 1), (30, 1.0, 0, 0.0, 60, 0.0, 0, 0, 0, 1, 0, 1),
-    (5, 1.0, 60, 0.0, 60, 0.0, 0, 1, 0, 1, 0, 0), (3, 0.0, 0, 0.0, 60, 0.0, 0, 1, 1, 1, 0, 0),
-    (4, 0.0, 90, 0.0, 20, 0.0, 0, 0, 1, 1, 0, 0), (4, 1.0, 90, 0.0, 20, 0.0, 0, 0, 1, 1, 0, 0),
+    (4, 1.0, 60, 0.0, 70, 0.0, 0, 0, 0, 1, 1), (6, 1.0, 0, 0.0, 90, 0.0, 0, 0, 0, 1, 1),
+    (3, 0.6, 2, 1.0, 40, 0.0, 0, 0, 0, 1, 1), (1, 0.0, 2, 1.0, 1, 1.0, 0, 0, 0, 1, 1),
+    (2, 1.0, 4, 1.0, 3, 1.0, 0, 0, 0, 1, 1), (30, 1.0, 0, 0.0, 60, 0.0, 0, 0, 0, 1, 1),
+    (5, 1.0, 60, 0.0, 60, 0.0, 0, 1, 0, 1, 0), (3, 0.0, 0, 0.0, 60, 0.0, 0, 1, 1, 1, 0),
+    (4, 0.0, 90, 0.0, 20, 0.0, 0, 0, 1, 1, 0), (4, 1.0, 90, 0.0, 20, 0.0, 0, 0, 1, 1, 0),
     # short last lines and first ones
-    (3, 0.0, 60, 0.0, 5, 1.0, 0, 0, 0, 0, 0, 1), (1, 0.0, 80, 0.0, 30, 0.9, 0, 0, 0, 0, 0, 1),
-    (2, 0.0, 2, 0.0, 5, 1.0, 0, 0, 0, 0, 0, 1), (1, 0.0, 1, 0.0, 1, 1.0, 0, 0, 0, 0, 0, 1),
-    (2, 0.0, 0, 0.0, 4, 1.0, 0, 0, 0, 0, 0, 1), (2, 0.0, 4, 1.0, 0, 0.0, 0, 0, 0, 0, 0, 1),
+    (3, 0.0, 60, 0.0, 5, 1.0, 0, 0, 0, 0, 1), (1, 0.0, 80, 0.0, 30, 0.9, 0, 0, 0, 0, 1),
+    (2, 0.0, 2, 0.0, 5, 1.0, 0, 0, 0, 0, 1), (1, 0.0, 1, 0.0, 1, 1.0, 0, 0, 0, 0, 1),
+    (2, 0.0, 0, 0.0, 4, 1.0, 0, 0, 0, 0, 1), (2, 0.0, 4, 1.0, 0, 0.0, 0, 0, 0, 0, 1),
     # more than loose words between lists of links
-    (5, 0.0, 4, 1.0, 3, 1.0, 0, 0, 0, 0, 1, 1), (20, 0.0, 3, 1.0, 6, 1.0, 0, 0, 0, 0, 1, 1),
-    (90, 0.0, 2, 1.0, 5, 1.0, 0, 0, 0, 0, 1, 1), (40, 0.05, 8, 0.9, 2, 1.0, 0, 0, 0, 0, 1, 1),
-    (60, 0.0, 2, 1.0, 1, 1.0, 0, 0, 0, 0, 1, 1), (8, 0.0, 5, 1.0, 1, 1.0, 0, 0, 0, 0, 1, 1),
-    (1, 0.0, 3, 1.0, 6, 1.0, 0, 0, 0, 0, 1, 0),
-    (2, 0.0, 8, 0.9, 12, 0.9, 0, 0, 0, 0, 1, 0), (3, 0.0, 20, 1.0, 3, 1.0, 0, 0, 0, 0, 1, 0),
+    (5, 0.0, 4, 1.0, 3, 1.0, 0, 0, 0, 0, 1), (20, 0.0, 3, 1.0, 6, 1.0, 0, 0, 0, 0, 1),
+    (90, 0.0, 2, 1.0, 5, 1.0, 0, 0, 0, 0, 1), (40, 0.05, 8, 0.9, 2, 1.0, 0, 0, 0, 0, 1),
+    (60, 0.0, 2, 1.0, 1, 1.0, 0, 0, 0, 0, 1), (8, 0.0, 5, 1.0, 1, 1.0, 0, 0, 0, 0, 1),
+    (1, 0.0, 3, 1.0, 6, 1.0, 0, 0, 0, 0, 0),
+    (2, 0.0, 8, 0.9, 12, 0.9, 0, 0, 0, 0, 0), (3, 0.0, 20, 1.0, 3, 1.0, 0, 0, 0, 0, 0),
 ]
 
 
-def grow_tree(table: list[tuple], depth: int = 8):
+def grow_tree(table: list[tuple], depth: int = 10):
     """Nodes (feature, limit, below, above) and leaves 0 or 1, by least Gini impurity.
 
     Ties go to the feature that comes last and the smallest limit, so what encloses a block

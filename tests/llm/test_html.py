@@ -91,6 +91,41 @@ def test_short_lines_and_linked_headings_without_an_article(end):
     assert text(f"{links}<p>or</p>{links}<p>{LONG}</p>{links}{end}") == LONG
 
 
+def test_neighbours_are_real_splits():
+    used, nodes = set(), [TREE]
+    while nodes:
+        node = nodes.pop()
+        if not isinstance(node, int):
+            used.add(node[0])
+            nodes += node[2:]
+    assert {0, 1, 3, 5} <= used  # words, density, densities before and after
+
+
+@pytest.mark.parametrize("name", [
+    "reader-comments", "user-comments", "discussion-thread", "comment-stream", "cc-cookie-banner", "promo-large",
+    "leaderboard-ad", "userComments", "mid_article_ad", "yui-newsletter-signup",
+])
+def test_names_with_words_not_listed(name):
+    inside = f'<article><h1>Title</h1><p>{LONG}</p><div class="{name}"><p>{LONG}</p></div></article>'
+    beside = f'<h1>Title</h1><p>{LONG}</p><p>{LONG}</p><section id="{name}"><p>{LONG}</p></section>'
+    assert text(inside) == f"Title\n\n{LONG}"
+    assert text(beside) == f"Title\n\n{LONG}\n\n{LONG}"
+
+
+@pytest.mark.parametrize("name", [
+    "no-ads", "content-with-newsletter", "ad-free", "discussion", "discussion-section", "thread", "search-methods",
+    "comments-on-method", "has-cookie-banner", "large", "reader",
+])
+def test_names_that_are_no_furniture(name):
+    assert text(f'<article><h1>Title</h1><section class="{name}"><p>{LONG}</p></section></article>') == f"Title\n\n{LONG}"
+
+
+def test_deep_headings():
+    deep = "<div>" * 9 + "<a href=1>Linked title</a>" + "</div>" * 9
+    page = f"<nav><a href=1>Home</a></nav><h1>{deep}</h1><p>{LONG}</p><h2>Open<p>{LONG}</p><h3>Next</h3><p>{LONG}</p>"
+    assert text(page) == "\n\n".join(["Linked title", LONG, "Open", LONG, "Next", LONG])
+
+
 def test_table(spark, rows):
     data = [(1, "u", PAGE, "clash"), (2, None, None, "clash"), (None, "v", "", "clash"), (1, "u", PAGE, "clash"), (3, "w", "<article>" + "<p>x y</p>" * 50_000, "clash")]
     pages = rows("page_id long, url string, html string, text string", data)
