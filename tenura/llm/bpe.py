@@ -1,6 +1,6 @@
 """Byte-level BPE encoding by a transducer of frequent words, and decoding.
 
-The words of a bounded sample of documents are counted; the ids of the frequent ones are
+The words of all documents are counted; the ids of the frequent ones are
 compiled into a minimal acyclic transducer (see transducer), which every executor maps into memory. Each
 distinct word of a batch is looked up there; a word that it lacks is merged pair by pair,
 which gives the same ids. So the results don't depend on which words the lexicon holds.
@@ -30,8 +30,6 @@ from tenura.sources.shared import materialize, shared_folder
 
 # Words in the transducer, by descending count. Bounds what the driver and each executor hold.
 LEXICON_WORDS = 200_000
-# Documents of about so many bytes in all are counted for it, taken by chance.
-SAMPLE_BYTES = 64_000_000
 SEED = 7
 # Distinct pieces of text that one task counts before it passes the counts on.
 COUNTED = 200_000
@@ -245,6 +243,9 @@ def word_counts(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
         def flush(pieces: Counter) -> pa.RecordBatch:
             words: Counter = Counter()
             for piece, n in pieces.items():
+                if piece.isalpha() and piece.isascii():  # one word with its space
+                    words[" " + piece] += n
+                    continue
                 for word in vocabulary.words(space_piece_text(piece)):
                     words[word] += n
             return to_batch(schema, [[w.encode() for w in words], list(words.values())])
@@ -267,19 +268,20 @@ def build_lexicon(
     path: str,
     text: str = "text",
     size: int = LEXICON_WORDS,
-    sample_bytes: int = SAMPLE_BYTES,
+    sample_bytes: int | None = None,
 ) -> bytes:
     """The compiled transducer of at most ``size`` frequent words.
 
-    They are counted in documents of about ``sample_bytes`` in all, a share of all rows taken
-    by chance. Words are taken from a least count on, the smallest that leaves at most
+    They are counted in all documents; a caller may have documents of about ``sample_bytes``
+    counted instead, a share of all rows taken by chance. Words are taken from a least count on, the smallest that leaves at most
     ``size`` of them; so there is no sort, and no task gathers the words of the others.
     """
     vocabulary = Vocabulary(path)
     rows = docs.select(text)
-    total = rows.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
-    sampled = rows.sample(sample_bytes / total, seed=SEED) if total > sample_bytes else rows
-    counts = materialize(word_counts(sampled, path, text).where(F.length("word") > 0), "bpe-words")
+    if sample_bytes is not None:
+        total = rows.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
+        rows = rows.sample(sample_bytes / total, seed=SEED) if total > sample_bytes else rows
+    counts = materialize(word_counts(rows, path, text).where(F.length("word") > 0), "bpe-words")
     # The counts that occur are few: their sum is at most the number of words.
     histogram = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).collect()
     least, taken = None, 0

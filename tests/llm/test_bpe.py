@@ -1,10 +1,12 @@
 import hashlib
 import random
 import time
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from tenura.llm import bpe
 from tenura.llm.pieces import PieceIds, library_encoder, load_tokenizer, word_piece_text, word_pieces
@@ -119,3 +121,18 @@ def test_empty_table_and_null_keys(spark, rows):
     assert bpe.digest_documents(bpe.encode_documents(empty, PATH), PATH).count() == 0
     one = rows("doc_id long, text string", [(None, "a"), (None, "a")])
     assert bpe.digest_documents(bpe.encode_documents(one, PATH), PATH).count() == 2
+
+
+def test_lexicon_counts_the_words_of_all_documents(spark):
+    # 80 MB, each document with a word of its own.
+    own = F.concat(F.lit("zq"), F.translate(F.lpad(F.col("id").cast("string"), 2, "0"), "0123456789", "abcdefghij"))
+    docs = spark.range(80).select(F.concat(F.repeat(F.lit("word and "), 111_000), own).alias("text"))
+    words = [f" zq{a}{b}".encode() for a in "abcdefgh" for b in "abcdefghij"]
+    assert (Lexicon(bpe.build_lexicon(docs, PATH)).ranks(words) >= 0).all()
+
+
+def test_counted_words_equal_those_of_whole_texts(spark, rows, vocabulary):
+    every = [*texts(100), "plain Words, é and 12 don't\n\nend.", "a", ""]
+    docs = rows("text string", [(t,) for t in every])
+    wanted = Counter(w.encode() for t in every for w in vocabulary.words(t))
+    assert {bytes(r["word"]): r["n"] for r in bpe.word_counts(docs, PATH).collect()} == wanted
