@@ -596,7 +596,7 @@ def _quarters(spark: SparkSession, sf: str):
     for table in ("cdr", "user"):
         rows = load_months(spark, lake, ["all"], [table])[table].drop(MONTH)
         each = rows.select("*", F.explode(F.array(*map(F.lit, months))).alias(MONTH))
-        write_table(each, lake.table_path(table), partition_by=[MONTH])
+        write_table(each, lake.table_path(table), partition_by=[MONTH], rebalance=True)
     label_job(spark, lake, months)
     dataset_job(spark, lake, months, AS_OF)
     preprocess_job(spark, lake, months)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.errors import SparkRuntimeException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +33,8 @@ from tenura.sources.published import publish, read_partitions
 from tenura.sources.shared import new_path
 
 ALL = "all"
+# Tables that are written at the same time: the last tasks of one leave cores to the next.
+TOGETHER = 3
 
 
 def landing_text(df: DataFrame, table: str) -> DataFrame:
@@ -60,11 +65,16 @@ def months_of(table: str, df: DataFrame) -> list[str]:
 
 
 def build_lake(spark: SparkSession, sf: str, tables=TABLES, month=F.year) -> Lake:
-    """Bound tables written as monthly partitions."""
+    """Bound tables written as monthly partitions, several at a time."""
     lake = Lake(new_path(spark, "lake"))
-    for table, df in StarSchema(spark, sf).tables(tables).items():
+
+    def write(bound: tuple[str, DataFrame]) -> None:
+        table, df = bound
         rows = conform(with_month(df, table, month), loaded_schema(table).add(MONTH, "string"))
         write_table(rows, lake.table_path(table), partition_by=[MONTH], rebalance=True)
+
+    with ThreadPoolExecutor(TOGETHER) as pool:
+        list(pool.map(inheritable_thread_target(write), StarSchema(spark, sf).tables(tables).items()))
     return lake
 
 

@@ -1,8 +1,10 @@
 import datetime as dt
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 
+from tenura.catalog import sources as catalog_sources
 from tenura.schemas import TABLES, conform, loaded_schema, raw_schema
 from tenura.sources import shared
 from tenura.sources.csv import read_csv, read_landing_table
@@ -185,3 +187,9 @@ def test_shared_folder_comes_from_the_session(spark):
     assert cut.count() == 5
     assert shared.new_path(spark, "a") != shared.new_path(spark, "a")
     assert shared.materialize(spark.range(4), "four").count() == 4
+
+
+def test_tables_of_a_lake_are_written_together(spark, monkeypatch):
+    both = threading.Barrier(2, timeout=60)
+    monkeypatch.setattr(catalog_sources, "write_table", lambda *args, **named: both.wait())
+    catalog_sources.build_lake(spark, "/root/testdata/sf0.001", ["package", "recharge"])
