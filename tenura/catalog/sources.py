@@ -186,7 +186,8 @@ def csv_to_parquet(spark, sf):
         else:
             text = text.withColumn(MONTH, F.lit(ALL))
         landing = lake.csv_path(table, "").removesuffix("/month=")
-        text.hint("rebalance", MONTH).write.partitionBy(MONTH).csv(landing, header=True)
+        text = text.hint("rebalance", MONTH)
+        text.write.partitionBy(MONTH).csv(landing, header=True, compression="gzip")
         ingest(spark, lake, months, [table])
         loaded = load_months(spark, lake, months, [table])[table]
         counts = loaded.groupBy(MONTH).agg(F.count(F.lit(1)).alias("n_rows"))

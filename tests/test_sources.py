@@ -193,3 +193,10 @@ def test_tables_of_a_lake_are_written_together(spark, monkeypatch):
     both = threading.Barrier(2, timeout=60)
     monkeypatch.setattr(catalog_sources, "write_table", lambda *args, **named: both.wait())
     catalog_sources.build_lake(spark, "/root/testdata/sf0.001", ["package", "recharge"])
+
+
+def test_landing_of_all_tables_is_compressed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalog_sources, "new_path", lambda spark, name: str(tmp_path / name))
+    catalog_sources.csv_to_parquet(spark, "/root/testdata/sf0.001")
+    landed = [p.name for p in (tmp_path / "lake" / "landing").rglob("part-*")]
+    assert landed and all(name.endswith(".csv.gz") for name in landed)
