@@ -9,12 +9,13 @@ starts in a document of a smaller id. Steps, each a distributed job:
    of two or more units go on.
 3. Windows around such anchors are counted by their hashes. Those of two or more documents
    are joined, where they occur first, into passages.
-4. Passages are dealt to shards of bounded size, like ones together, and a document to those
-   shards whose passages share an anchor with it. Each shard compiles an Aho-Corasick automaton of its
-   passages' blocks of ANCHOR words (every window of a passage holds one whole), streams
-   its documents through it, and extends each hit word by word. So what is removed has
-   been compared word for word. Shards of many documents are split, with a copy of the
-   automaton for each part.
+4. Passages are dealt to shards of bounded size, like ones together. A document's words
+   around an anchor, as far as a window with it reaches, go to those shards whose passages
+   have that anchor; so what all shards read of a document is about its length. Each shard
+   compiles an Aho-Corasick automaton of its passages' blocks of ANCHOR words (every window
+   of a passage holds one whole), streams these segments through it, and extends each hit
+   word by word. So what is removed has been compared word for word. Shards of many
+   documents are split, with a copy of the automaton for each part.
 """
 
 from __future__ import annotations
@@ -30,12 +31,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenura.llm.common import chunks, to_batch
+from tenura.llm.common import CHUNK_CHARS, chunks, to_batch
+from tenura.llm.pieces import gather
 from tenura.sources.shared import materialize
 
 WINDOW = 50
 ANCHOR = 25
-# Words of passages in one automaton, and documents streamed through one copy of it.
+# Words of passages in one automaton, and documents streamed through one copy of it; one of
+# which a shard gets only some anchors counts by their share.
 SHARD_WORDS = 400_000
 SHARD_DOCUMENTS = 1_000
 _REMEMBERED = 400_000
@@ -173,32 +176,97 @@ def _passages(texts: DataFrame, firsts: DataFrame, window: int) -> DataFrame:
     )
 
 
+def _segments(targets: DataFrame, window: int, anchor: int) -> DataFrame:
+    """The words of every window with an anchor of a shard: shard, part, doc, digest, base, words.
+
+    ``targets`` has doc, text and an array of (shard, part, anchors). ``base`` is the number
+    of words before the segment.
+    """
+    schema = pa.schema(
+        [("shard", pa.int64()), ("part", pa.int32()), ("doc", pa.int64()), ("digest", pa.binary()),
+         ("base", pa.int32()), ("words", pa.binary())]
+    )
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams = Grams()
+        for rows in chunks(batches):
+            found, held = [], 0
+            for doc, text, shards in rows:
+                words = words_of(text)
+                if len(words) < window:
+                    continue  # another text of the same id
+                digest = hashlib.sha256(b" ".join(words)).digest()
+                g = grams.grams(grams.word_hashes(words), anchor).view(np.int64)
+                order = np.argsort(g, kind="stable")
+                ascending = g[order]
+                for shard in shards:
+                    wanted = np.array(shard["anchors"], np.int64)
+                    first = np.searchsorted(ascending, wanted, "left")
+                    count = np.searchsorted(ascending, wanted, "right") - first
+                    at = np.sort(order[spans(first, count)])
+                    for part in np.split(at, np.flatnonzero(np.diff(at) > 2 * window - anchor) + 1):
+                        if len(part):
+                            # From the first window with the first place to the last with the last.
+                            base = max(0, int(part[0]) - (window - anchor))
+                            own = b" ".join(words[base : int(part[-1]) + window])
+                            found.append((shard["shard"], shard["part"], doc, digest, base, own))
+                            held += len(own) + 100
+                            if held >= CHUNK_CHARS:
+                                yield to_batch(schema, list(zip(*found)))
+                                found, held = [], 0
+            yield to_batch(schema, list(zip(*found)) if found else [[]] * 6)
+
+    return targets.mapInArrow(
+        run, "shard long, part int, doc long, digest binary, base int, words binary"
+    )
+
+
+def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its length."""
+    return gather(np.arange(int((starts + lengths).max(initial=0))), starts, lengths)
+
+
 class PassageAutomaton:
-    """Finds every stretch of ``window`` or more words that a text shares with a passage."""
+    """Finds every stretch of ``window`` or more words that a text shares with a passage.
+
+    A state's moves are searched one after the other, so each word is three symbols of small
+    alphabets, one for each place: no state has more moves than the cube root of the words.
+    """
 
     def __init__(self, passages: list[tuple[int, list[bytes]]], window: int, block: int):
         self.window, self.block = window, block
         self.numbers: dict[bytes, int] = {}
         self.passages = []
-        blocks: dict[tuple, list] = {}
+        blocks: dict[bytes, list] = {}
         for doc, words in passages:
-            numbers = [self.numbers.setdefault(w, len(self.numbers) + 1) for w in words]
+            numbers = np.array([self.numbers.setdefault(w, len(self.numbers) + 1) for w in words], np.int64)
             for at in range(0, len(numbers) - block + 1, block):
-                blocks.setdefault(tuple(numbers[at : at + block]), []).append((len(self.passages), at))
-            self.passages.append((doc, np.array(numbers, np.int64)))
+                blocks.setdefault(numbers[at : at + block].tobytes(), []).append((len(self.passages), at))
+            self.passages.append((doc, numbers))
+        self.radix = 1
+        while self.radix**3 <= len(self.numbers):
+            self.radix += 1
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
         for key, places in blocks.items():
-            self.automaton.add_word(key, places)
+            self.automaton.add_word(self._symbols(np.frombuffer(key, np.int64)), places)
         self.automaton.make_automaton()
 
+    def _symbols(self, numbers: np.ndarray) -> tuple[int, ...]:
+        radix = self.radix
+        symbols = np.empty((len(numbers), 3), np.int64)
+        symbols[:, 0] = numbers // radix**2
+        symbols[:, 1] = numbers // radix % radix + radix
+        symbols[:, 2] = numbers % radix + 2 * radix
+        return tuple(symbols.ravel().tolist())
+
     def shared(self, doc: int, words: list[bytes]) -> list[tuple[int, int]]:
         """Stretches (start, end) of the words that passages of smaller documents hold."""
         get = self.numbers.get
-        text = [get(w, 0) for w in words]
-        numbers = np.array(text, np.int64)
+        numbers = np.array([get(w, 0) for w in words], np.int64)
         found: set[tuple[int, int]] = set()
         reached: dict[tuple[int, int], int] = {}
-        for end, places in self.automaton.iter(tuple(text)):
+        for last, places in self.automaton.iter(self._symbols(numbers)):
+            end = last // 3
             start = end - self.block + 1
             for number, at in places:
                 source, passage = self.passages[number]
@@ -216,23 +284,23 @@ class PassageAutomaton:
         return sorted(found)
 
 
-def _locate(probes: DataFrame, passages: DataFrame, window: int, block: int) -> DataFrame:
-    """doc, digest, starts, ends of the stretches found in each shard."""
+def _locate(segments: DataFrame, passages: DataFrame, window: int, block: int) -> DataFrame:
+    """doc, digest, starts, ends of the stretches found in each segment."""
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         rows = []
         if len(left) and len(right):
             known = [(d, w.split(b" ")) for d, w in zip(right["doc"], right["words"])]
             automaton = PassageAutomaton(known, window, block)
-            for doc, text in zip(left["doc"], left["text"]):
-                words = words_of(text)
-                stretches = automaton.shared(doc, words)
+            columns = (left["doc"], left["digest"], left["base"].tolist(), left["words"])
+            for doc, digest, base, words in zip(*columns):
+                stretches = automaton.shared(doc, words.split(b" "))
                 if stretches:
-                    digest = hashlib.sha256(b" ".join(words)).digest()
-                    rows.append((doc, digest, *map(list, zip(*stretches))))
+                    starts, ends = zip(*stretches)
+                    rows.append((doc, digest, [base + s for s in starts], [base + e for e in ends]))
         return pd.DataFrame(rows, columns=["doc", "digest", "starts", "ends"])
 
-    groups = probes.groupBy("shard", "part").cogroup(passages.groupBy("shard", "part"))
+    groups = segments.groupBy("shard", "part").cogroup(passages.groupBy("shard", "part"))
     return groups.applyInPandas(run, "doc long, digest binary, starts array<int>, ends array<int>")
 
 
@@ -281,18 +349,23 @@ def remove_repeats(
     routes = passages.select(
         F.explode("anchors").alias("anchor"), shard("kin"), F.col("doc").alias("source")
     ).groupBy("anchor", "shard").agg(F.min("source").alias("source"))
-    wanted = texts.select("doc", F.explode("anchors").alias("anchor")).join(routes, "anchor").where(
-        "source < doc"
-    ).select("doc", "shard").distinct()
+    asked = texts.select("doc", F.size("anchors").alias("all"), F.explode("anchors").alias("anchor"))
+    wanted = asked.join(routes, "anchor").where("source < doc").groupBy("doc", "shard").agg(
+        F.collect_set("anchor").alias("anchors"), F.max("all").alias("all")
+    )
     wanted = materialize(wanted, "substring-routes")
-    load = wanted.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / shard_documents).cast("int").alias("parts"))
-    probes = wanted.join(load, "shard").select(
-        "doc", "shard", F.pmod(F.xxhash64(F.lit(1), "doc"), F.col("parts")).cast("int").alias("part")
-    ).join(texts.select("doc", "text"), "doc")
+    share = F.sum(F.size("anchors") / F.col("all"))
+    load = wanted.groupBy("shard").agg(F.ceil(share / shard_documents).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64(F.lit(1), "doc"), F.col("parts")).cast("int").alias("part")
+    targets = wanted.join(load, "shard").select("doc", F.struct("shard", part, "anchors").alias("t"))
+    targets = texts.select("doc", "text").join(
+        targets.groupBy("doc").agg(F.collect_list("t").alias("targets")), "doc"
+    )
+    segments = _segments(targets, window, anchor)
     dealt = passages.select("doc", "words", shard("kin")).join(load, "shard").select(
         "doc", "words", "shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
     )
-    stretches = _locate(probes, dealt, window, anchor).groupBy("doc", "digest").agg(
+    stretches = _locate(segments, dealt, window, anchor).groupBy("doc", "digest").agg(
         F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends")
     )
     removed = materialize(_cut(texts, stretches, with_text), "substring-removed")

@@ -66,3 +66,28 @@ def test_grams_don_t_depend_on_their_place():
     words = [b"x", b"a", b"b", b"c", b"y", b"a", b"b", b"c"]
     found = grams.grams(grams.word_hashes(words), 3)
     assert found[1] == found[5] and len(np.unique(found)) == len(found) - 1
+
+
+def test_automaton_tells_words_apart_by_all_symbols():
+    # Many different words: their symbols agree in two places of three, and the alphabets stay small.
+    words = [b"w%d" % i for i in range(3000)]
+    automaton = substring.PassageAutomaton([(0, words)], 10, 5)
+    assert automaton.radix**3 > len(words) and automaton.radix < 16
+    assert automaton.shared(1, [b"x", *words[100:112], b"w1", *words[500:509]]) == [(1, 13)]
+    assert automaton.shared(1, [words[i + automaton.radix] for i in range(50, 55)] + words[7:12]) == []
+    assert automaton.shared(0, words[100:150]) == []
+
+
+def test_only_words_around_anchors_go_to_a_shard(spark, rows):
+    r = random.Random(3)
+    noise = lambda n: [f"n{r.random()}" for _ in range(n)]
+    passage = [f"p{i}" for i in range(60)]
+    texts = [passage, noise(5000) + passage + noise(5000)]
+    grams = substring.Grams()
+    found = grams.grams(grams.word_hashes([w.encode() for w in passage]), 25).view(np.int64)
+    targets = rows(
+        "doc long, text string, targets array<struct<shard: long, part: int, anchors: array<long>>>",
+        [(i, " ".join(t), [(0, 0, [int(found[20])])]) for i, t in enumerate(texts)],
+    )
+    got = {s["doc"]: (s["base"], bytes(s["words"]).decode().split()) for s in substring._segments(targets, 50, 25).collect()}
+    assert got == {0: (0, passage), 1: (4995, texts[1][4995:5070])}
