@@ -24,7 +24,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenura.llm.common import chunks, to_batch
-from tenura.llm.pieces import PieceIds, flat_ids, gather, space_piece_text, space_pieces
+from tenura.llm.pieces import (
+    PieceIds, distinct_pieces, flat_ids, gather, space_piece_text, space_pieces,
+)
 from tenura.llm.transducer import Lexicon, compile_lexicon
 from tenura.sources.shared import materialize, shared_folder
 
@@ -252,8 +254,9 @@ def word_counts(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 
         pieces: Counter = Counter()
         for rows in chunks(batches, 0):
-            for row in rows:
-                pieces.update(space_pieces(row[0]))
+            distinct, which, _ = distinct_pieces([r[0] for r in rows], space_pieces)
+            for piece, n in zip(distinct, np.bincount(which, minlength=len(distinct)).tolist()):
+                pieces[piece] += n
             if len(pieces) > COUNTED:
                 yield flush(pieces)
                 pieces = Counter()

@@ -167,8 +167,11 @@ def pack_documents(
         for rows in chunks(batches):
             numbers, counts = encoder.pieces([r[1] for r in rows])
             if known != (encoder.cleared, len(encoder.keys)):
+                if known is None or known[0] != encoder.cleared:
+                    closes = np.zeros(0, bool)
                 known = (encoder.cleared, len(encoder.keys))
-                closes = np.array([k[-1:] in (".", "!", "?") for k in encoder.keys], bool)
+                new = [k.endswith((".", "!", "?")) for k in encoder.keys[len(closes) :]]
+                closes = np.concatenate([closes, np.array(new, bool)])
             upto = np.concatenate([[0], np.cumsum(encoder.lengths[numbers])])
             flat = encoder.ids(numbers)
             last = np.cumsum(counts)

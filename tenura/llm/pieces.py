@@ -13,14 +13,25 @@ from collections.abc import Callable, Iterable
 from itertools import chain, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # Pieces remembered by one task before it starts anew; bounds its memory.
 REMEMBERED = 400_000
 _WIDE = re.compile("[^\x00-\u012f\u0131-\u024f]")
-_ODD = re.compile(r"[^\S \n]|\x00")
+_ODD = ["\x00", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")]
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
+def space_joined(text: str) -> str | None:
+    """The pieces of ``space_pieces`` with a space after each but the last, if none holds one."""
+    plain = not (
+        "  " in text or "\n " in text or " \n" in text or "\n\n" in text
+        or text[:1] in (" ", "\n") or text[-1:] in (" ", "\n") or any(c in text for c in _ODD)
+    )
+    return "\x00" + text.replace("\n", " \n") if plain else None
+
+
 def space_pieces(text: str) -> list[str]:
     """Pieces for byte-level vocabularies, whose words may start with one space.
 
@@ -29,16 +40,12 @@ def space_pieces(text: str) -> list[str]:
     for itself; the first is marked with a NUL character. Other white space stays inside
     pieces.
     """
-    plain = not (
-        "  " in text or "\n " in text or " \n" in text or "\n\n" in text
-        or text[:1] in (" ", "\n") or text[-1:] in (" ", "\n") or _ODD.search(text)
-    )
-    if plain:
-        parts = text.replace("\n", " \n").split(" ")
-    elif "\x00" in text:
+    joined = space_joined(text)
+    if joined is not None:
+        return joined.split(" ")
+    if "\x00" in text:
         return ["\x00" + text]
-    else:
-        parts = _SINGLE_SPACE.split(text)
+    parts = _SINGLE_SPACE.split(text)
     parts[0] = "\x00" + parts[0]
     return parts
 
@@ -49,15 +56,20 @@ def space_piece_text(piece: str) -> str:
     return piece if piece[0] == "\n" else " " + piece
 
 
+def word_joined(text: str) -> str:
+    """The pieces of ``word_pieces`` with a space after each but the last."""
+    if "<" not in text and (text.isascii() or not _WIDE.search(text)):
+        text = text.lower()
+    return text.replace("\n", " ")
+
+
 def word_pieces(text: str) -> list[str]:
     """Pieces for vocabularies that drop white space and case.
 
     Not in lower case: texts whose lower case may depend on the library's tables, and those
     that might become a special string by it.
     """
-    if "<" not in text and not _WIDE.search(text):
-        text = text.lower()
-    return text.replace("\n", " ").split(" ")
+    return word_joined(text).split(" ")
 
 
 def word_piece_text(piece: str) -> str:
@@ -90,8 +102,14 @@ def library_encoder(path: str, together: int = 1024) -> Encoder:
     Pieces are passed ``together`` in one text, which saves most of the cost of a call for
     each; words don't join where one piece meets the next. The bytes of the tokens tell
     where each piece ends. Pieces of which the library may change the length in other ways
-    than lower case, or that hold special tokens, are passed one by one.
+    than lower case, or that hold special tokens, are passed one by one. Pieces that are one
+    word of letters go to the library's model, as its other steps leave them whole.
     """
+    from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import Split
+
+    from tenura.llm.bpe import byte_letters
+
     tokenizer = load_tokenizer(path)
     word_end = tokenizer.model.end_of_word_suffix or ""
     vocabulary = tokenizer.get_vocab()
@@ -100,6 +118,30 @@ def library_encoder(path: str, together: int = 1024) -> Encoder:
         width[number] = len(token) - (len(word_end) if word_end and token.endswith(word_end) else 0)
     special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
     joint = " " if word_end else ""
+    lead = "" if word_end else " "
+    shown = {byte: letter for letter, byte in byte_letters().items()}
+    head = lead.translate(shown)
+    alone = Tokenizer(tokenizer.model)  # the model only, its words between spaces
+    alone.pre_tokenizer = Split(" ", "removed")
+
+    def word(text: str) -> str | None:
+        """What the model is given of a text that is one word of letters up to U+024F."""
+        letters = text[len(lead) :]
+        if not letters.isalpha() or text[: len(lead)] != lead:
+            return None
+        if word_end and letters != letters.lower():
+            return None
+        if letters.isascii():
+            return head + letters
+        return text.encode().decode("latin-1").translate(shown) if max(letters) < "\u0250" else None
+
+    def passed(text: str) -> list[tuple]:
+        normal = tokenizer.normalizer.normalize_str(text) if tokenizer.normalizer else text
+        return [t for t, _ in tokenizer.pre_tokenizer.pre_tokenize_str(normal)]
+
+    probe = lead + "a\u00ed\u00f1\u0142"
+    direct = tokenizer.pre_tokenizer is not None and passed(probe) == [word(probe)]
+    direct = direct and not any(t.strip().isalpha() for t in special)
 
     def joins(text: str) -> bool:
         if word_end:
@@ -108,39 +150,84 @@ def library_encoder(path: str, together: int = 1024) -> Encoder:
             sure = text[:1] in (" ", "\n") and len(text) > 1
         return sure and not ("<" in text and any(t in text for t in special))
 
-    def encode_all(texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def encode_all(texts: list[str], by=tokenizer) -> list[list[int]]:
+        return [e.ids for e in by.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        sure = np.fromiter(map(joins, texts), bool, len(texts))
-        plain = [t for t, j in zip(texts, sure) if j]
-        groups = [plain[i : i + together] for i in range(0, len(plain), together)]
-        flats, counts = [], []
-        for group in groups:
-            ids = np.array(encode_all([joint.join(group)])[0], np.uint32)
+    def encode_joined(
+        texts: list[str], joint: str, size_of: Callable[[str], int], by=tokenizer
+    ) -> tuple[np.ndarray, np.ndarray]:
+        flats, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for group in (texts[i : i + together] for i in range(0, len(texts), together)):
+            ids = np.array(encode_all([joint.join(group)], by)[0], np.uint32)
             ends = np.cumsum(width[ids])
-            changed = map(str.lower, group) if word_end else group
-            sizes = np.fromiter((len(t.encode()) for t in changed), np.int64, len(group))
-            upto = np.cumsum(sizes)
+            upto = np.cumsum(np.fromiter(map(size_of, group), np.int64, len(group)))
             last = np.searchsorted(ends, upto)
             if not len(ends) or ends[-1] != upto[-1] or (ends[last] != upto).any():
-                ids, lengths = flat_ids(encode_all(group))
+                ids, lengths = flat_ids(encode_all(group, by))
             else:
                 lengths = np.diff(last, prepend=-1)
             flats.append(ids)
             counts.append(lengths)
-        ids, lengths = flat_ids(encode_all([t for t, j in zip(texts, sure) if not j]))
-        flat, lengths = np.concatenate([*flats, ids]), np.concatenate([*counts, lengths])
-        if sure.all():
-            return flat, lengths
-        order = np.empty(len(texts), np.int64)
-        order[np.concatenate([np.flatnonzero(sure), np.flatnonzero(~sure)])] = np.arange(len(texts))
-        starts = np.cumsum(lengths) - lengths
-        return gather(flat, starts[order], lengths[order]), lengths[order]
+        return np.concatenate(flats), np.concatenate(counts)
+
+    def encode_pieces(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        sure = np.fromiter(map(joins, texts), bool, len(texts))
+        plain = [t for t, j in zip(texts, sure) if j]
+        size_of = (lambda t: len(t.lower().encode())) if word_end else (lambda t: len(t.encode()))
+        found = encode_joined(plain, joint, size_of)
+        if len(plain) == len(texts):
+            return found
+        return in_order(sure, found, flat_ids(encode_all([t for t, j in zip(texts, sure) if not j])))
+
+    def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        words = list(map(word, texts)) if direct else [None] * len(texts)
+        others = [t for t, w in zip(texts, words) if w is None]
+        if len(others) == len(texts):
+            return encode_pieces(texts)
+        found = encode_joined([w for w in words if w is not None], " ", len, alone)
+        if not others:
+            return found
+        return in_order(np.array([w is not None for w in words]), found, encode_pieces(others))
 
     return encode
 
 
+def in_order(
+    first: np.ndarray, these: tuple[np.ndarray, np.ndarray], others: tuple[np.ndarray, np.ndarray]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and lengths of pieces put together: ``these`` where ``first`` holds, else ``others``."""
+    flat, lengths = (np.concatenate(pair) for pair in zip(these, others))
+    order = np.empty(len(first), np.int64)
+    order[np.concatenate([np.flatnonzero(first), np.flatnonzero(~first)])] = np.arange(len(first))
+    starts = np.cumsum(lengths) - lengths
+    return gather(flat, starts[order], lengths[order]), lengths[order]
+
+
+def distinct_pieces(
+    texts: list[str], split: Callable[[str], list[str]]
+) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct pieces of all texts, which of them each piece is, and how many each text has."""
+    joined = [_JOINED[split](t) if split in _JOINED else None for t in texts]
+    plain = np.array([j is not None for j in joined], bool)
+    lists = pc.split_pattern(pa.array([j for j in joined if j is not None], pa.large_string()), " ")
+    odd = [split(t) for t, j in zip(texts, joined) if j is None]
+    counts = np.empty(len(texts), np.int64)
+    counts[plain] = pc.list_value_length(lists).to_numpy()
+    counts[~plain] = [len(o) for o in odd]
+    every = [lists.flatten(), pa.array(list(chain.from_iterable(odd)), pa.large_string())]
+    coded = pa.concat_arrays(every).dictionary_encode()
+    which = coded.indices.to_numpy()
+    if odd:  # the pieces of the others come first
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        starts = np.empty(len(texts), np.int64)
+        starts[order] = np.cumsum(counts[order]) - counts[order]
+        which = gather(which, starts, counts)
+    return coded.dictionary.to_numpy(zero_copy_only=False).tolist(), which, counts
+
+
+_JOINED = {space_pieces: space_joined, word_pieces: word_joined}
+
+
 class PieceIds:
     """Ids of texts by way of their pieces."""
 
@@ -169,20 +256,19 @@ class PieceIds:
         """A letter and a last comma or full stop are words apart, so they are put together."""
         plain, closed = set(), []
         for piece in pieces:
-            if piece[-1:] in (".", ",") and piece[-2:-1] < "\u0130" and piece[-2:-1].isalpha():
+            if piece.endswith((".", ",")) and piece[-2:-1] < "\u0130" and piece[-2:-1].isalpha():
                 closed.append(piece)
-                base = piece[:-1]
-                if base not in self.index:
-                    plain.add(base)
             else:
                 plain.add(piece)
+        plain.update(b for b in (piece[:-1] for piece in closed) if b not in self.index)
         if closed:
             plain.update(p for p in (self.closing + ".", self.closing + ",") if p not in self.index)
         new = list(plain)
         self._add(new, *self.encode([self.text_of(p) for p in new]))
         if closed:
-            parts = [self.index[p] for piece in closed for p in (piece[:-1], self.closing + piece[-1])]
-            numbers = np.array(parts, np.int64)
+            numbers = np.empty(2 * len(closed), np.int64)
+            numbers[::2] = self._known([piece[:-1] for piece in closed])
+            numbers[1::2] = self._known([self.closing + piece[-1] for piece in closed])
             lengths = self.lengths[numbers].reshape(-1, 2).sum(axis=1)
             self._add(closed, self.ids(numbers), lengths)
 
@@ -196,20 +282,17 @@ class PieceIds:
 
     def pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Piece numbers of all texts in a row, and how many each text has."""
-        split = [self.split(t) for t in texts]
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        every = list(chain.from_iterable(split))
-        numbers = self._known(every)
+        distinct, which, counts = distinct_pieces(texts, self.split)
+        numbers = self._known(distinct)
         missing = np.flatnonzero(numbers < 0)
         if len(missing):
-            new = [every[i] for i in missing.tolist()]
-            distinct = set(new)
-            if len(self.index) + len(distinct) > self.remembered:
+            new = [distinct[i] for i in missing.tolist()]
+            if len(self.index) + len(new) > self.remembered:
                 self._clear()
-                new, missing = every, np.arange(len(every))
-                distinct = set(new)
-            self._learn(distinct)
+                new, missing = distinct, np.arange(len(distinct))
+            self._learn(new)
             numbers[missing] = self._known(new)
+        numbers = numbers[which]
         return numbers, counts
 
     def _known(self, pieces: list[str]) -> np.ndarray:

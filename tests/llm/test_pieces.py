@@ -4,10 +4,12 @@ import pyarrow as pa
 from tenura.llm.common import chunks, slices
 from tenura.llm.language import UNKNOWN, identify
 from tenura.llm.pieces import (
-    PieceIds, library_encoder, load_tokenizer, word_piece_text, word_pieces, worker_pieces,
+    PieceIds, distinct_pieces, library_encoder, load_tokenizer, space_pieces, word_piece_text,
+    word_pieces, worker_pieces,
 )
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def test_special_strings_in_capitals_are_words():
@@ -47,3 +49,30 @@ def test_text_may_be_kept_and_names_may_clash(rows):
     found = identify(docs, None, columns=["_text", "text", "c1"])
     assert found.columns == ["doc_id", "_text", "text", "c1", "lang_pred", "score"]
     assert sorted(map(tuple, found.collect())) == [(1, "x", None, 5, UNKNOWN, 0.0), (2, None, "a", 6, UNKNOWN, 0.0)]
+
+
+TEXTS = [
+    "", " ", "a  b", "plain words.\nand, more", "\x00x y", "tail ", "\n\nx", "x\ty z", "é x", "\u2003a b",
+    "The the THE", "ªµß Straße's", "İstanbul ıx ǅ ﬁ", "don't Ünïcode日本語 word", "e\u0301a áb cd",
+]
+
+
+def test_distinct_pieces_are_those_of_the_split():
+    for split in (space_pieces, word_pieces):
+        for texts in (TEXTS, TEXTS[:1], TEXTS[3:4], [], TEXTS[::-1] * 2):
+            distinct, which, counts = distinct_pieces(texts, split)
+            expected = [split(t) for t in texts]
+            assert len(set(distinct)) == len(distinct)
+            assert counts.tolist() == [len(p) for p in expected]
+            assert [distinct[i] for i in which] == [piece for pieces in expected for piece in pieces]
+
+
+def test_words_of_letters_have_the_ids_of_the_whole_library():
+    words = ["the", "Thlyouble", "ciónñí", "ǅ", "ß", "ª", "İx", "ſt", "kΑ", "日本", "x²", "it's", "éa", "a1"]
+    for path in (WORDS, BYTES):
+        tokenizer, encode = load_tokenizer(path), library_encoder(path)
+        for texts in (words, [" " + w for w in words], ["\n" + w for w in words], ["", " "]):
+            flat, lengths = encode(texts)
+            expected = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+            assert lengths.tolist() == [len(ids) for ids in expected]
+            assert flat.tolist() == [i for ids in expected for i in ids]
