@@ -74,32 +74,31 @@ def choose_cuts(
     penalties = (np.array([0.0, costs.inside, costs.sentence, 0.0])[kinds] + costs.sequence).tolist()
     powers = [1 << k for k in range(size.bit_length()) if 1 << k <= size]
 
-    least, came = [0.0] * len(place), [0] * len(place)
-    at = {0: 0}
-    # Cuts of the window with f(i) + i rising: its values, places and numbers.
-    values, places, numbers, head = [0.0], [0], [0], 0
-    for j in range(1, len(place)):
-        here = place[j]
-        first = here - size
-        while places[head] < first:
+    # Of each cut i: f(i) + i, and the cut before it.
+    values, came = [0.0], [0]
+    # The first cut that a sequence up to each cut can start at.
+    firsts = np.searchsorted(cuts, cuts - size).tolist()
+    number = dict(zip(place, range(len(place))))
+    # Numbers of the window's cuts with f(i) + i rising; a new one is never below the first.
+    queue, head, j = [0], 0, 0
+    for first, penalty, ends in zip(firsts[1:], penalties[1:], is_end[1:]):
+        j += 1
+        while queue[head] < first:
             head += 1
-        best, source = values[head] + size - here, numbers[head]
-        if is_end[j]:
+        source = queue[head]
+        value = values[source] + size
+        if ends:
+            here = place[j]
             for p in powers:
-                i = at.get(here - p)
-                if i is not None and least[i] < best:
-                    best, source = least[i], i
-        best += penalties[j]
-        least[j], came[j] = best, source
-        at[here] = j
-        value = best + here
-        while len(values) > head and values[-1] >= value:
-            values.pop()
-            places.pop()
-            numbers.pop()
+                i = number.get(here - p)
+                if i is not None and values[i] + p < value:
+                    value, source = values[i] + p, i
+        value += penalty
         values.append(value)
-        places.append(here)
-        numbers.append(j)
+        came.append(source)
+        while values[queue[-1]] >= value:
+            queue.pop()
+        queue.append(j)
     ends, j = [], len(place) - 1
     while j:
         ends.append(place[j])

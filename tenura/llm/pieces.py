@@ -9,14 +9,14 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Pieces remembered by one task before it starts anew; bounds its memory.
+# Pieces remembered by one task before it forgets the rarer ones; bounds its memory.
 REMEMBERED = 400_000
 _WIDE = re.compile("[^\x00-\u012f\u0131-\u024f]")
 _ODD = ["\x00", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")]
@@ -106,7 +106,7 @@ def library_encoder(path: str, together: int = 1024) -> Encoder:
     word of letters go to the library's model, as its other steps leave them whole.
     """
     from tokenizers import Tokenizer
-    from tokenizers.pre_tokenizers import Split
+    from tokenizers.pre_tokenizers import CharDelimiterSplit
 
     from tenura.llm.bpe import byte_letters
 
@@ -120,9 +120,9 @@ def library_encoder(path: str, together: int = 1024) -> Encoder:
     joint = " " if word_end else ""
     lead = "" if word_end else " "
     shown = {byte: letter for letter, byte in byte_letters().items()}
-    head = lead.translate(shown)
+    head, skip = lead.translate(shown), len(lead)
     alone = Tokenizer(tokenizer.model)  # the model only, its words between spaces
-    alone.pre_tokenizer = Split(" ", "removed")
+    alone.pre_tokenizer = CharDelimiterSplit(" ")
 
     def word(text: str) -> str | None:
         """What the model is given of a text that is one word of letters up to U+024F."""
@@ -180,7 +180,14 @@ def library_encoder(path: str, together: int = 1024) -> Encoder:
         return in_order(sure, found, flat_ids(encode_all([t for t, j in zip(texts, sure) if not j])))
 
     def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        words = list(map(word, texts)) if direct else [None] * len(texts)
+        if direct:
+            # Most are in ASCII; those of a vocabulary without case are in lower case already.
+            words = [
+                head + t[skip:] if t.isascii() and t[skip:].isalpha() and t[:skip] == lead
+                and (skip or t.islower()) else word(t) for t in texts
+            ]
+        else:
+            words = [None] * len(texts)
         others = [t for t, w in zip(texts, words) if w is None]
         if len(others) == len(texts):
             return encode_pieces(texts)
@@ -228,8 +235,23 @@ def distinct_pieces(
 _JOINED = {space_pieces: space_joined, word_pieces: word_joined}
 
 
+class _Closed(dict):
+    """Whether a piece with these two last characters is a word and a comma or full stop."""
+
+    def __missing__(self, end: str) -> bool:
+        found = self[end] = end[1:] in (".", ",") and end[0] < "\u0130" and end[0].isalpha()
+        return found
+
+
+_CLOSED = _Closed()
+
+
 class PieceIds:
-    """Ids of texts by way of their pieces."""
+    """Ids of texts by way of their pieces.
+
+    Beyond ``remembered`` pieces those met in several calls are kept, the most frequent half
+    at most, and the others forgotten.
+    """
 
     def __init__(
         self,
@@ -245,32 +267,54 @@ class PieceIds:
         self._clear()
 
     def _clear(self) -> None:
+        # A piece keeps its number until this changes.
         self.cleared = getattr(self, "cleared", 0) + 1
         self.index: dict[str, int] = {}
         self.keys: list[str] = []
         self.starts = np.zeros(0, np.int64)
         self.lengths = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
-
-    def _learn(self, pieces: Iterable[str]) -> None:
-        """A letter and a last comma or full stop are words apart, so they are put together."""
-        plain, closed = set(), []
-        for piece in pieces:
-            if piece.endswith((".", ",")) and piece[-2:-1] < "\u0130" and piece[-2:-1].isalpha():
-                closed.append(piece)
-            else:
-                plain.add(piece)
-        plain.update(b for b in (piece[:-1] for piece in closed) if b not in self.index)
+        self.calls = np.zeros(0, np.int32)  # in which a piece was met, fewer for older ones
+
+    def _forget(self) -> np.ndarray:
+        """Keeps the frequent pieces; returns their former numbers."""
+        kept = np.flatnonzero(self.calls > 1)
+        most = self.remembered // 2
+        if len(kept) > most:
+            kept = np.sort(kept[np.argsort(-self.calls[kept], kind="stable")[:most]])
+        keys, calls, lengths = [self.keys[i] for i in kept.tolist()], self.calls[kept], self.lengths[kept]
+        flat = gather(self.flat, self.starts[kept], lengths)
+        self._clear()
+        self._add(keys, flat, lengths)
+        self.calls = (calls + 1) // 2
+        return kept
+
+    def _learn(self, pieces: list[str]) -> np.ndarray:
+        """Numbers of distinct new pieces.
+
+        A letter and a last comma or full stop are words apart, so they are put together.
+        """
+        closes = [_CLOSED[p[-2:]] for p in pieces]
+        plain = [p for p, c in zip(pieces, closes) if not c]
+        closed = [p for p, c in zip(pieces, closes) if c]
+        numbers = np.empty(len(pieces), np.int64)
+        of_plain = len(self.keys) + np.arange(len(plain))
+        new = plain
         if closed:
-            plain.update(p for p in (self.closing + ".", self.closing + ",") if p not in self.index)
-        new = list(plain)
+            parts = [p[:-1] for p in closed] + [self.closing + ".", self.closing + ","]
+            new = list(dict.fromkeys(chain(plain, (p for p in parts if p not in self.index))))
         self._add(new, *self.encode([self.text_of(p) for p in new]))
         if closed:
-            numbers = np.empty(2 * len(closed), np.int64)
-            numbers[::2] = self._known([piece[:-1] for piece in closed])
-            numbers[1::2] = self._known([self.closing + piece[-1] for piece in closed])
-            lengths = self.lengths[numbers].reshape(-1, 2).sum(axis=1)
-            self._add(closed, self.ids(numbers), lengths)
+            both = np.empty(2 * len(closed), np.int64)
+            both[::2] = self._known(parts[:-2])
+            both[1::2] = self._known([self.closing + p[-1] for p in closed])
+            first = len(self.keys)
+            self._add(closed, self.ids(both), self.lengths[both].reshape(-1, 2).sum(axis=1))
+            closes = np.array(closes, bool)
+            numbers[closes] = first + np.arange(len(closed))
+            numbers[~closes] = of_plain
+            return numbers
+        return of_plain
 
     def _add(self, new: list[str], flat: np.ndarray, lengths: np.ndarray) -> None:
         starts = len(self.flat) + np.cumsum(lengths) - lengths
@@ -279,21 +323,24 @@ class PieceIds:
         self.starts = np.concatenate([self.starts, starts])
         self.lengths = np.concatenate([self.lengths, lengths])
         self.flat = np.concatenate([self.flat, flat])
+        self.calls = np.concatenate([self.calls, np.zeros(len(new), np.int32)])
 
     def pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Piece numbers of all texts in a row, and how many each text has."""
         distinct, which, counts = distinct_pieces(texts, self.split)
         numbers = self._known(distinct)
         missing = np.flatnonzero(numbers < 0)
-        if len(missing):
-            new = [distinct[i] for i in missing.tolist()]
-            if len(self.index) + len(new) > self.remembered:
+        if len(missing) and len(self.index) + len(missing) > self.remembered:
+            self._forget()
+            numbers = self._known(distinct)
+            if len(self.index) + np.count_nonzero(numbers < 0) > self.remembered:
                 self._clear()
-                new, missing = distinct, np.arange(len(distinct))
-            self._learn(new)
-            numbers[missing] = self._known(new)
-        numbers = numbers[which]
-        return numbers, counts
+                numbers[:] = -1
+            missing = np.flatnonzero(numbers < 0)
+        if len(missing):
+            numbers[missing] = self._learn([distinct[i] for i in missing.tolist()])
+        self.calls[numbers] += 1
+        return numbers[which], counts
 
     def _known(self, pieces: list[str]) -> np.ndarray:
         return np.fromiter(map(self.index.get, pieces, repeat(-1)), np.int64, len(pieces))

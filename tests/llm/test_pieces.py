@@ -76,3 +76,16 @@ def test_words_of_letters_have_the_ids_of_the_whole_library():
             expected = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
             assert lengths.tolist() == [len(ids) for ids in expected]
             assert flat.tolist() == [i for ids in expected for i in ids]
+
+
+def test_frequent_pieces_are_learned_once():
+    tokenizer = load_tokenizer(BYTES)
+    known, learned = PieceIds(library_encoder(BYTES), remembered=40), []
+    learn = known._learn
+    known._learn = lambda pieces: learned.extend(pieces) or learn(pieces)
+    for i in range(30):
+        texts = [f"w{i} often, again.\nand again x{i}y é{i}. z{i}", f"often {i}"]
+        expected = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert [ids.tolist() for ids in known.ids_of(texts)] == expected
+        assert len(known.index) == len(known.keys) <= 50 and known.index[known.keys[-1]] == len(known.keys) - 1
+    assert known.cleared > 3 and learned.count("again") == learned.count("often,") == 1
