@@ -36,6 +36,8 @@ TRAIN_LEAST = 100
 # Hashed n-gram weights for each language, and words in the lexicon.
 BUCKETS = 1 << 16
 LEXICON = 20_000
+# Words whose features are summed at a time when the model is fitted, on the driver.
+FIT_WORDS = 10_000
 SEGMENT = 128
 _WORD = re.compile(r"[^\W\d_]+")
 _REMEMBERED = 200_000
@@ -180,18 +182,21 @@ def fit(samples: list[tuple[str, list[str]]], rounds: int = 25, rate: float = 0.
     kept = np.zeros((labels, labels))
     np.add.at(kept, (truth[inner - 1], truth[inner]), 1)
     for step in range(1, rounds + 1):
-        scores = model.emissions(words)[of_word]
+        parts = (model.emissions(words[i : i + FIT_WORDS]) for i in range(0, len(words), FIT_WORDS))
+        scores = np.concatenate(list(parts))[of_word]
         found = posteriors(scores, lengths, model.transitions)
         gap = np.zeros((len(words), labels))
         for k in range(labels):
             gap[:, k] = np.bincount(of_word, (found - target)[:, k], len(words))
         slope = np.stack([np.bincount(numbers, gap[owner, k], features) for k in range(labels)], axis=1)
-        # Expected changes: neighbours' probabilities with the transition between them.
-        potential = np.exp(scores - scores.max(axis=1, keepdims=True))
-        pair = (found[inner - 1] / np.maximum((np.exp(model.transitions) @ potential[inner].T).T, 1e-30))[:, :, None]
-        pair = pair * np.exp(model.transitions) * potential[inner][:, None, :]
-        pair /= pair.sum(axis=(1, 2), keepdims=True)
-        changes = pair.sum(axis=0) - kept
+        # Expected changes: neighbours' probabilities with the transition between them. Their sum
+        # over all words is a matrix product, so no word's own matrix is made.
+        potential = np.exp(scores - scores.max(axis=1, keepdims=True))[inner]
+        moves = np.exp(model.transitions)
+        reach = potential @ moves.T
+        before = found[inner - 1] / np.maximum(reach, 1e-30)
+        before /= (before * reach).sum(axis=1, keepdims=True)
+        changes = moves * (before.T @ potential) - kept
         for parameter, gradient, (mean, square) in zip(
             (model.weights, model.transitions), (slope, changes), moments
         ):

@@ -113,11 +113,14 @@ def document_features(text: str, tokens: Tokens) -> set[int]:
     return found
 
 
-def telling(flat: np.ndarray, grade: np.ndarray, y: np.ndarray, grades: int) -> np.ndarray:
-    """Buckets that depend on the grade. ``flat``: buckets of all documents; ``grade``: their grades."""
-    buckets, place = np.unique(flat, return_inverse=True)
-    seen = np.zeros((len(buckets), grades))
-    np.add.at(seen, (place, grade), 1)
+def telling(samples: list[tuple[int, np.ndarray]], grades: int) -> np.ndarray:
+    """Buckets that depend on the grade; samples are counted one by one, nothing is put together."""
+    seen = np.zeros((BUCKETS, grades))
+    for grade, own in samples:
+        seen[own, grade] += 1  # a document's buckets are distinct
+    buckets = np.flatnonzero(seen.any(axis=1))
+    seen = seen[buckets]
+    y = np.array([g for g, _ in samples])
     of_grade = np.bincount(y, minlength=grades).astype(float)
     n, total = seen.sum(axis=1, keepdims=True), of_grade.sum()
     ratio = np.zeros(len(buckets))
@@ -143,9 +146,7 @@ def fit(samples: list[tuple[int, np.ndarray]], grades: int, rounds: int = 200, r
 
     Thresholds are a first one and positive distances, so they stay in order.
     """
-    every = np.concatenate([own for _, own in samples])
-    rated = np.repeat([g for g, _ in samples], [len(own) for _, own in samples])
-    used = telling(every, rated, np.array([g for g, _ in samples]), grades)
+    used = telling(samples, grades)
     place = np.full(BUCKETS, -1, np.int64)
     place[used] = np.arange(len(used))
     kept = [place[own][place[own] >= 0] for _, own in samples]
@@ -211,7 +212,7 @@ def train(
 
     made = rows.select("_h", "_grade", "_text").mapInArrow(features, "h long, grade int, buckets binary")
     found = sorted((r["h"], r["grade"], bytes(r["buckets"])) for r in made.toLocalIterator())[:documents]
-    samples = [(g, np.frombuffer(b, "<u4").astype(np.int64)) for _, g, b in found]
+    samples = [(g, np.frombuffer(b, "<u4")) for _, g, b in found]
     if len({g for g, _ in samples}) < 2:
         return None
     return fit(samples, grades)

@@ -1,4 +1,5 @@
 import os
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -77,3 +78,13 @@ def test_no_labels_and_empty_table(spark, rows):
     assert [tuple(r) for r in language.identify(unlabelled, None).collect()] == [(1, "und", 0.0)]
     empty = rows(SCHEMA, [])
     assert language.identify(empty, language.train(empty)).count() == 0
+
+
+def test_the_fit_sums_few_words_at_a_time():
+    samples = [(f"l{i % 12}", [f"w{i}abcd{j}efg" for j in range(40)]) for i in range(600)]
+    tracemalloc.start()
+    try:
+        language.fit(samples, rounds=1)
+        assert tracemalloc.get_traced_memory()[1] < 150e6
+    finally:
+        tracemalloc.stop()

@@ -1,5 +1,6 @@
 import os
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -74,3 +75,14 @@ def test_no_ratings_and_empty_table(spark, rows):
 @pytest.mark.parametrize("token, kind", [("word", "a"), ("WORD,", "AA,"), ("THE!!", "AA!"), ("x***", "a*"), ("|", "|"), ("12-3", "0-0"), ("ABC", "AA")])
 def test_shapes(token, kind):
     assert quality.shape(token) == kind
+
+
+def test_the_fit_makes_no_copy_of_all_samples():
+    random = np.random.default_rng(0)
+    data = [(i % 3, np.unique(random.integers(0, quality.BUCKETS, 800))) for i in range(2000)]
+    tracemalloc.start()
+    try:
+        quality.fit(data, 3, rounds=1)
+        assert tracemalloc.get_traced_memory()[1] < 50e6
+    finally:
+        tracemalloc.stop()
