@@ -2,8 +2,10 @@
 
 Both token sequences of a text cover the same bytes. All tokens of many texts are sorted by
 where they start; a running maximum of their ends shows where no token reaches across, which
-closes a group, and inside groups the overlapping tokens are linked. Texts are worked on in
-blocks of bounded size. A block is written once, with its linked id pairs counted per
+closes a group, and inside groups the overlapping tokens are linked. Tokens of neither side
+reach across a single space or newline between two other characters, so groups and links of the
+piece between two of them are found once and remembered; only texts for which that isn't sure are
+aligned whole. Texts are worked on in blocks of bounded size. A block is written once, with its linked id pairs counted per
 document; only these pairs are shuffled to count documents over the whole table, and each
 block gets its own pairs' counts back.
 """
@@ -12,7 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +33,14 @@ from tenura.sources.shared import materialize
 
 # Characters tokenized at a time, and links of a block: what a task holds at most beyond one
 # document. A block's pairs take 8 bytes each while it is made.
-CHUNK_CHARS = 500_000
+CHUNK_CHARS = 1_000_000
 BLOCK_LINKS = 3_000_000
-# Pieces whose ids a worker remembers before it starts anew.
-REMEMBERED = 200_000
+# Pieces whose links a worker remembers before it forgets the rarer ones.
+REMEMBERED = 300_000
 _ODD_START = re.compile(r"\s|\x00")
-# Tokens of a document that become text for its digest at a time.
+# Parts of a document that become text for its digest at a time.
 DIGEST_TOKENS = 100_000
+_COUNTED = ("n_a", "n_b", "n_groups", "n_links")
 
 
 def byte_of_character() -> dict[str, int]:
@@ -62,16 +65,17 @@ def spaced_pieces(text: str) -> list[str]:
 class ByteLevelTokens:
     """Ids and token bytes of a byte-level vocabulary of the tokenizers library.
 
-    Ids of pieces between spaces are remembered; a text that holds a special string goes to
-    the library whole, as plain text.
+    Ids of pieces between spaces are remembered for texts that are aligned whole. A text that holds a special string goes to the library whole, as plain text.
     """
 
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
         self.tokenizer.encode_special_tokens = True
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known = PieceIds(library_encoder(path), spaced_pieces, space_piece_text, REMEMBERED)
-        self.known.closing = "\x00"
+        encode = library_encoder(path)
+        self.known = PieceIds(encode, spaced_pieces, space_piece_text, REMEMBERED // 3)
+        self.fresh = PieceIds(encode, spaced_pieces, space_piece_text)
+        self.known.closing = self.fresh.closing = "\x00"
         byte = byte_of_character()
         vocabulary = self.tokenizer.get_vocab()
         self.pieces = [b""] * (max(vocabulary.values()) + 1)
@@ -79,7 +83,7 @@ class ByteLevelTokens:
             self.pieces[number] = bytes(byte[c] for c in token if c in byte)
 
     def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        plain = [not ("<" in t and any(s in t for s in self.special)) for t in texts]
+        plain = [self.apart(t) for t in texts]
         found = iter(self.known.ids_of([t for t, p in zip(texts, plain) if p]))
         whole = [" " + t for t, p in zip(texts, plain) if not p]
         encoded = iter(self.tokenizer.encode_batch_fast(whole, add_special_tokens=False))
@@ -87,9 +91,24 @@ class ByteLevelTokens:
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         return np.concatenate([*ids, np.zeros(0, np.uint32)]), lengths
 
+    def apart(self, text: str) -> bool:
+        """Whether the ids of the text are those of its pieces."""
+        return not ("<" in text and any(s in text for s in self.special))
+
+    def piece_ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct ``spaced_pieces``; nothing is remembered."""
+        self.fresh._clear()
+        numbers = self.fresh._learn(pieces)
+        return self.fresh.ids(numbers), self.fresh.lengths[numbers]
+
 
 class PieceTokens:
-    """Ids and token bytes of a sentencepiece model, which adds the first space itself."""
+    """Ids and token bytes of a sentencepiece model, which adds the first space itself.
+
+    Merges of a model of ranked merges depend on the characters they join only. If no token
+    of its vocabulary goes on with a space or newline after other characters, none is formed
+    across the start of a piece, so the ids of a text are those of its pieces.
+    """
 
     def __init__(self, path: str):
         import sentencepiece
@@ -102,6 +121,31 @@ class PieceTokens:
                 self.pieces.append(bytes([int(piece[3:5], 16)]))
             else:
                 self.pieces.append(piece.replace("▁", " ").encode())
+        self.space = self.model.piece_to_id("▁")
+        self.divides = self._ranked() and not any(
+            " " in p.lstrip() or "\n" in p[1:]
+            for p in (self.model.id_to_piece(n).replace("▁", " ") for n in range(len(self.pieces)))
+        )
+
+    def _ranked(self) -> bool:
+        """Scores of merges are their ranks, those of other models are logarithms."""
+        model = self.model
+        plain = [n for n in range(len(self.pieces)) if not (
+            model.is_byte(n) or model.is_control(n) or model.is_unknown(n) or model.is_unused(n))]
+        return all(s <= 0 and s == int(s) for s in map(model.get_score, plain))
+
+    def piece_ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of ``spaced_pieces``; one that starts with a newline has no space before it.
+
+        None for those marked as a text's first, as the model would add a space.
+        """
+        found = self.model.encode(pieces, num_threads=1)
+        for i, piece in enumerate(pieces):
+            if piece[:1] == "\n" and found[i][:1] == [self.space]:
+                del found[i][0]
+            elif piece[:1] == "\x00":
+                found[i] = []
+        return flat_ids(found)
 
     def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         return flat_ids(self.model.encode(texts, num_threads=1))
@@ -117,13 +161,24 @@ class Side:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts in a row, how many each has, and whether its bytes are space+text."""
-        ids, counts = self.tokens.ids(texts)
+        return self._compared(*self.tokens.ids(texts), [b" " + t.encode() for t in texts])
+
+    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same of pieces, see ``spaced_pieces``."""
+        return self._compared(*self.tokens.piece_ids(pieces), [space_piece_text(p).encode() for p in pieces])
+
+    def _compared(
+        self, ids: np.ndarray, counts: np.ndarray, expected: list[bytes]
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         ids = ids.astype(np.int64)
         ends = np.cumsum(counts)
-        pieces = self.tokens.pieces
-        same = np.zeros(len(texts), bool)
-        for i, (a, b) in enumerate(zip((ends - counts).tolist(), ends.tolist())):
-            same[i] = b"".join([pieces[t] for t in ids[a:b].tolist()]) == b" " + texts[i].encode()
+        spelt = list(map(self.tokens.pieces.__getitem__, ids.tolist()))
+        upto = np.concatenate([[0], np.cumsum(self.sizes[ids])])
+        sizes = np.fromiter(map(len, expected), np.int64, len(expected))
+        same = upto[ends] - upto[ends - counts] == sizes
+        if not same.all() or b"".join(spelt) != b"".join(expected):
+            for i, (a, b) in enumerate(zip((ends - counts).tolist(), ends.tolist())):
+                same[i] = b"".join(spelt[a:b]) == expected[i]
         return ids, counts, same
 
 
@@ -155,29 +210,28 @@ def coalesced_groups(
     return order, group[order], a, b
 
 
-def _digests(
-    left: Side, right: Side, ids: np.ndarray, kinds: np.ndarray, groups: np.ndarray, ends: np.ndarray
-) -> list[str]:
-    """SHA-256 of ``a1,a2|b1;a3|b2`` of each text; ids in order of group and kind."""
+def _spelt(
+    left: Side, right: Side, ids: np.ndarray, kinds: np.ndarray, groups: np.ndarray, last: np.ndarray
+) -> np.ndarray:
+    """``a1,a2|b1;a3|b2`` in parts, one for each id; ids in order of group and kind.
+
+    No sign follows the ids at ``last``.
+    """
     texts = np.where(kinds == 0, left.text[np.where(kinds == 0, ids, 0)],
                      right.text[np.where(kinds == 1, ids, 0)])
     mark = np.full(len(ids), ",", dtype=object)
     mark[:-1][kinds[1:] != kinds[:-1]] = "|"
     mark[:-1][groups[1:] != groups[:-1]] = ";"
-    found = []
-    start = 0
-    for end in ends.tolist():
-        if start == end:
-            found.append("")
-            continue
-        digest = hashlib.sha256()
-        mark[end - 1] = ""
-        for i in range(start, end, DIGEST_TOKENS):
-            part = slice(i, min(i + DIGEST_TOKENS, end))
-            digest.update("".join((texts[part] + mark[part]).tolist()).encode())
-        found.append(digest.hexdigest())
-        start = end
-    return found
+    mark[last] = ""
+    return texts + mark
+
+
+def _digest(parts: Sequence[str], joint: str) -> str:
+    """SHA-256 of all parts with ``joint`` between them; empty without parts."""
+    digest = hashlib.sha256()
+    for i in range(0, len(parts), DIGEST_TOKENS):
+        digest.update(((joint if i else "") + joint.join(parts[i : i + DIGEST_TOKENS])).encode())
+    return digest.hexdigest() if len(parts) else ""
 
 
 class Aligner:
@@ -187,17 +241,56 @@ class Aligner:
         self.left, self.right = left, right
         # A pair of ids as one number.
         self.right_ids = len(right.sizes)
+        self.known = PieceLinks(self)
 
-    def align(self, texts: list[str]) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    def align(self, texts: list[str]) -> tuple[dict[str, Sequence], np.ndarray, np.ndarray]:
         """Per text n_a, n_b, n_groups, n_links, groups_sha256; links as (text, pair of ids).
 
         A text that is empty, or that either tokenizer doesn't give back byte by byte, has
         no tokens.
         """
-        sides = []
-        for side in (self.left, self.right):
-            sides.append(side.encode(texts))
+        divides = self.right.tokens.divides
+        apart = np.array([t != "" and divides and self.left.tokens.apart(t) for t in texts], bool)
+        sure, found, *links = self.known.align([t for t, p in zip(texts, apart) if p])
+        apart[apart] = sure
+        if apart.all():
+            return found, *links
+        rest = np.flatnonzero(~apart)
+        other, *others = self.align_whole([texts[i] for i in rest.tolist()])
+        order = np.argsort(np.concatenate([np.flatnonzero(apart), rest]), kind="stable")
+        both = {n: np.concatenate([np.asarray(found[n]), np.asarray(other[n])])[order] for n in _COUNTED}
+        digests = [*found["groups_sha256"], *other["groups_sha256"]]
+        both["groups_sha256"] = [digests[i] for i in order.tolist()]
+        owner = np.concatenate([np.flatnonzero(apart)[links[0]], rest[others[0]]])
+        pairs = np.concatenate([links[1], others[1]])
+        by_text = np.argsort(owner, kind="stable")
+        return both, owner[by_text], pairs[by_text]
+
+    def align_whole(self, texts: list[str]) -> tuple[dict[str, Sequence], np.ndarray, np.ndarray]:
+        """Like ``align``, by the tokens of whole texts."""
         filled = np.fromiter(map(bool, texts), bool, len(texts))
+        found, spelt, ends, owner, pairs = self._linked(
+            self.left.encode(texts), self.right.encode(texts), filled)
+        starts = np.concatenate([[0], ends])
+        found["groups_sha256"] = [
+            _digest(spelt[a:b], "") for a, b in zip(starts.tolist(), ends.tolist())
+        ]
+        return found, owner, pairs
+
+    def align_pieces(self, pieces: list[str]) -> tuple[dict[str, np.ndarray], list[str], np.ndarray]:
+        """Counts of pieces, their groups as text, and their links in a row as pairs of ids.
+
+        A piece that either tokenizer doesn't give back byte by byte has no groups.
+        """
+        found, spelt, ends, _, pairs = self._linked(
+            self.left.encode_pieces(pieces), self.right.encode_pieces(pieces), np.ones(len(pieces), bool))
+        spelt = spelt.tolist()
+        starts = np.concatenate([[0], ends])
+        return found, ["".join(spelt[a:b]) for a, b in zip(starts.tolist(), ends.tolist())], pairs
+
+    def _linked(self, of_left: tuple, of_right: tuple, filled: np.ndarray) -> tuple:
+        """Counts of each text, groups as text for each id, where each text's end; links."""
+        sides = [of_left, of_right]
         good = sides[0][2] & sides[1][2] & filled
         tokens = []
         for side, (ids, counts, _) in zip((self.left, self.right), sides):
@@ -214,7 +307,7 @@ class Aligner:
         ids = np.concatenate([a_ids, b_ids])[order]
         kinds = np.repeat([0, 1], [len(a_ids), len(b_ids)])[order]
         text_of = np.concatenate(owner)[order]
-        count = len(texts)
+        count = len(filled)
         breaks = np.ones(len(group), bool)
         breaks[1:] = group[1:] != group[:-1]
         found = {
@@ -222,12 +315,62 @@ class Aligner:
             "n_b": np.bincount(owner[1], minlength=count),
             "n_groups": np.bincount(text_of[breaks], minlength=count),
             "n_links": np.bincount(owner[0][a], minlength=count),
-            "groups_sha256": _digests(
-                self.left, self.right, ids, kinds, group,
-                np.searchsorted(text_of, np.arange(count), "right"),
-            ),
         }
-        return found, owner[0][a], a_ids[a] * self.right_ids + b_ids[b]
+        ends = np.searchsorted(text_of, np.arange(count), "right")
+        spelt = _spelt(self.left, self.right, ids, kinds, group, np.unique(ends[ends > 0]) - 1)
+        return found, spelt, ends, owner[0][a], a_ids[a] * self.right_ids + b_ids[b]
+
+
+class PieceLinks(PieceIds):
+    """Groups and links of texts by way of their pieces; ``ids`` are pairs of linked ids here."""
+
+    def __init__(self, aligner: Aligner, remembered: int = REMEMBERED):
+        self.aligner = aligner
+        super().__init__(None, spaced_pieces, space_piece_text, remembered)
+
+    def _clear(self) -> None:
+        super()._clear()
+        self.counts = np.zeros((3, 0), np.int64)
+        self.spelt: list[str] = []
+
+    def _forget(self) -> np.ndarray:
+        counts, spelt = self.counts, self.spelt
+        kept = super()._forget()
+        self.counts, self.spelt = counts[:, kept], [spelt[i] for i in kept.tolist()]
+        return kept
+
+    def _learn(self, pieces: list[str]) -> np.ndarray:
+        numbers = len(self.keys) + np.arange(len(pieces))
+        found, spelt, pairs = self.aligner.align_pieces(pieces)
+        self._add(pieces, pairs, found["n_links"])
+        own = np.stack([found[n] for n in ("n_a", "n_b", "n_groups")])
+        self.counts = np.concatenate([self.counts, own], axis=1)
+        self.spelt += spelt
+        return numbers
+
+    def align(self, texts: list[str]) -> tuple[np.ndarray, dict[str, Sequence], np.ndarray, np.ndarray]:
+        """Which texts' pieces both tokenizers give back; of these, what the aligner returns.
+
+        Pieces marked as a text's first that no space comes before are not among them.
+        """
+        numbers, many = self.pieces(texts)
+        unsure = self.counts[2] == 0
+        sure = np.bincount(np.repeat(np.arange(len(texts)), many), unsure[numbers], len(texts)) == 0
+        numbers, many = numbers[np.repeat(sure, many)], many[sure]
+        ends = np.cumsum(many)
+        starts = ends - many
+
+        def per_text(values: np.ndarray) -> np.ndarray:
+            total = np.concatenate([[0], np.cumsum(values)])
+            return total[ends] - total[starts]
+
+        n_links = per_text(self.lengths[numbers])
+        found = dict(zip(_COUNTED, [*(per_text(own[numbers]) for own in self.counts), n_links]))
+        parts = list(map(self.spelt.__getitem__, numbers.tolist()))
+        found["groups_sha256"] = [
+            _digest(parts[a:b], ";") for a, b in zip(starts.tolist(), ends.tolist())
+        ]
+        return sure, found, np.repeat(np.arange(len(many)), n_links), self.ids(numbers)
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -255,8 +398,6 @@ _BLOCK_COLUMNS = [
     StructField("b_id", ArrayType(IntegerType())),
     StructField("n_docs", ArrayType(IntegerType())),
 ]
-_COUNTED = ("n_a", "n_b", "n_groups", "n_links")
-
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
 
 
@@ -281,14 +422,15 @@ class _Block:
     def add(self, keys: list, found: dict, owner: np.ndarray, pairs: np.ndarray) -> None:
         for name, column in self.columns.items():
             column.extend(found[name].tolist() if name in _COUNTED else found[name])
-        # Distinct pairs per document; owner rises, so one sort by both is enough.
-        order = np.lexsort((pairs, owner))
-        owner, pairs = owner[order], pairs[order]
-        new = np.ones(len(pairs), bool)
-        new[1:] = (owner[1:] != owner[:-1]) | (pairs[1:] != pairs[:-1])
+        # Distinct pairs per document; both as one number sort fast.
+        span = int(pairs.max()) + 1 if len(pairs) else 1
+        both = np.sort(owner * span + pairs)
+        new = np.ones(len(both), bool)
+        new[1:] = both[1:] != both[:-1]
         at = np.flatnonzero(new)
-        times = np.diff(at, append=len(pairs))
-        self.parts.append((owner[at] + len(self.keys), pairs[at], times))
+        times = np.diff(at, append=len(both))
+        owner, pairs = np.divmod(both[at], span)
+        self.parts.append((owner + len(self.keys), pairs, times))
         self.links += len(at)
         self.keys.extend(keys)
 

@@ -128,3 +128,29 @@ def test_packed_numbers():
     values = np.array([0, 5, -3, 2**31 - 1])
     assert unpacked(packed(values), 4).tolist() == values.tolist()
     assert unpacked(packed(np.zeros(0)), 0).tolist() == []
+
+
+def test_pieces_are_aligned_once(monkeypatch):
+    aligner = alignment.Aligner(
+        alignment.Side(alignment.ByteLevelTokens(BYTES)), alignment.Side(alignment.PieceTokens(PIECES)))
+    aligner.known.remembered = 60
+    learned = []
+    align = aligner.align_pieces
+    monkeypatch.setattr(aligner, "align_pieces", lambda pieces: learned.extend(pieces) or align(pieces))
+    for seed in range(8):
+        texts = ["the same\nwords, again.", *texts_of(9, seed), f"w{seed} é{seed}"]
+        found, owner, pairs = aligner.align(texts)
+        whole, *links = aligner.align_whole(texts)
+        assert {n: list(v) for n, v in found.items()} == {n: list(v) for n, v in whole.items()}
+        assert sorted(zip(owner.tolist(), pairs.tolist())) == sorted(zip(*(x.tolist() for x in links)))
+        assert (np.diff(owner) >= 0).all()
+    assert learned.count("\nwords,") == 1 and aligner.known.cleared > 1
+
+
+def test_models_of_logarithms_are_aligned_whole():
+    side = alignment.PieceTokens(PIECES)
+    assert side.divides
+    model, score = side.model, side.model.get_score
+    side.model = type("Model", (), {"__getattr__": lambda _, name: getattr(model, name),
+                                    "get_score": lambda _, n: score(n) - 0.5})()
+    assert not side._ranked()
