@@ -13,15 +13,16 @@ starts in a document of a smaller id. Steps, each a distributed job:
    around an anchor, as far as a window with it reaches, go to those shards whose passages
    have that anchor; so what all shards read of a document is about its length. Each shard
    compiles an Aho-Corasick automaton of its passages' blocks of ANCHOR words (every window
-   of a passage holds one whole), streams these segments through it, and extends each hit
-   word by word. So what is removed has been compared word for word. Shards of many
-   documents are split, with a copy of the automaton for each part.
+   of a passage holds one whole), streams these segments through it, many at a time, and
+   extends all hits together word by word. So what is removed has been compared word for
+   word. Shards of many documents are split, with a copy of the automaton for each part.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import chain, repeat
 
 import ahocorasick
 import numpy as np
@@ -32,7 +33,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenura.llm.common import CHUNK_CHARS, chunks, to_batch
-from tenura.llm.pieces import gather
 from tenura.sources.shared import materialize
 
 WINDOW = 50
@@ -41,7 +41,13 @@ ANCHOR = 25
 # which a shard gets only some anchors counts by their share.
 SHARD_WORDS = 400_000
 SHARD_DOCUMENTS = 1_000
-_REMEMBERED = 400_000
+# Words of segments streamed at a time, and words compared at a time; bound a task's memory.
+_STREAMED = 200_000
+_COMPARED = 1_000_000
+# Longer words are hashed one by one.
+_LONG = 64
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _U64 = np.uint64
 _EMPTY = hashlib.sha256(b"").hexdigest()
 
@@ -51,22 +57,68 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().split()
 
 
+class Words:
+    """The words of several texts, as places in one buffer of their bytes."""
+
+    def __init__(self, texts: Sequence[str]):
+        data = [t.encode() for t in texts]
+        self.buffer = b"".join([b" ", b" ".join(data), b" " * 8])
+        codes = np.frombuffer(self.buffer, np.uint8)
+        space = _SPACE[codes]
+        self.starts = np.flatnonzero(space[:-1] & ~space[1:]) + 1
+        self.ends = np.flatnonzero(~space[:-1] & space[1:]) + 1
+        offsets = np.cumsum([1, *(len(d) + 1 for d in data)])
+        # Number of the first word of each text, and of all words.
+        self.first = np.searchsorted(self.starts, offsets)
+        self.counts = np.diff(self.first)
+        odd = (self.starts[1:] - self.ends[:-1] != 1) | (codes[self.ends[:-1]] != 0x20)
+        self.odd = np.concatenate([np.zeros(1, np.int64), np.cumsum(odd)])
+
+    def joined(self, text: int, start: int = 0, end: int | None = None) -> bytes:
+        """Words of a text, joined by one space."""
+        first = int(self.first[text]) + start
+        last = int(self.first[text + 1] if end is None else min(self.first[text] + end, self.first[text + 1])) - 1
+        if last < first:
+            return b""
+        own = self.buffer[int(self.starts[first]) : int(self.ends[last])]
+        return own if self.odd[last] == self.odd[first] else b" ".join(own.split())
+
+    def hashes(self) -> np.ndarray:
+        return hash_words(self.buffer, self.starts, self.ends - self.starts)
+
+
+def hash_words(buffer: bytes, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Hash of each word, eight bytes at a time; at least 8 bytes follow the last one."""
+    wide = np.ndarray(len(buffer) - 7, "<u8", buffer, strides=(1,))
+    found = _mixed(lengths.astype(np.uint64))
+    live = np.flatnonzero(lengths <= _LONG)
+    done = 0
+    while len(live):
+        left = lengths[live] - done
+        found[live] = _mixed(found[live] ^ (wide[starts[live] + done] & _MASKS[np.minimum(left, 8)]))
+        live = live[left > 8]
+        done += 8
+    for i in np.flatnonzero(lengths > _LONG).tolist():
+        found[i] = xxhash.xxh3_64_intdigest(buffer[int(starts[i]) : int(starts[i] + lengths[i])])
+    return found
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> _U64(32))) * _U64(0xD6E8FEB86659FD93)
+    x = (x ^ (x >> _U64(29))) * _U64(0x9E3779B97F4A7C15)
+    return x ^ (x >> _U64(32))
+
+
 class Grams:
     """Hashes of word grams, by sums of powers that are divided out again."""
 
     def __init__(self):
-        self.memory: dict[bytes, int] = {}
         self.base, self.inverse = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
         self.powers = self.inverses = np.ones(1, np.uint64)
 
     def word_hashes(self, words: list[bytes]) -> np.ndarray:
-        new = set(words).difference(self.memory)
-        if len(self.memory) + len(new) > _REMEMBERED:
-            self.memory.clear()
-            new = set(words)
-        for word in new:
-            self.memory[word] = xxhash.xxh3_64_intdigest(word)
-        return np.fromiter(map(self.memory.__getitem__, words), np.uint64, len(words))
+        lengths = np.array([len(w) for w in words], np.int64)
+        return hash_words(b"".join([*words, b" " * 8]), np.cumsum(lengths) - lengths, lengths)
 
     def grams(self, hashes: np.ndarray, n: int) -> np.ndarray:
         """Hash of the n words from each position."""
@@ -78,16 +130,18 @@ class Grams:
             steps[0] = back[0] = 1
             self.powers, self.inverses = np.cumprod(steps), np.cumprod(back)
         upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * self.powers[:count])])
-        x = (upto[n:] - upto[:-n]) * self.inverses[: count - n + 1]
-        x = (x ^ (x >> _U64(32))) * _U64(0xD6E8FEB86659FD93)
-        x = (x ^ (x >> _U64(29))) * _U64(0x9E3779B97F4A7C15)
-        return x ^ (x >> _U64(32))
+        return _mixed((upto[n:] - upto[:-n]) * self.inverses[: max(count - n + 1, 0)])
 
 
 def anchors(grams: np.ndarray, window: int, anchor: int) -> np.ndarray:
-    """For each window, the position of its gram of least hash (the first of equal ones)."""
-    view = np.lib.stride_tricks.sliding_window_view(grams, window - anchor + 1)
-    return view.argmin(axis=1) + np.arange(len(view))
+    """For each window, the least hash of its grams."""
+    width = window - anchor + 1
+    count = max(len(grams) - width + 1, 0)
+    least, reach = grams, 1
+    while 2 * reach <= width:
+        least = np.minimum(least[:-reach], least[reach:])
+        reach *= 2
+    return np.minimum(least[:count], least[width - reach :][:count])
 
 
 def _describe(docs: DataFrame, window: int, anchor: int) -> DataFrame:
@@ -99,17 +153,16 @@ def _describe(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams()
         for rows in chunks(batches):
-            out: tuple[list, ...] = ([], [], [], [])
-            for doc, text in rows:
-                words = words_of(text)
-                found = np.zeros(0, np.int64)
-                if len(words) >= window:
-                    g = grams.grams(grams.word_hashes(words), anchor)
-                    found = np.unique(g[np.unique(anchors(g, window, anchor))]).view(np.int64)
-                values = (doc, len(words), hashlib.sha256(b" ".join(words)).digest(), found.tolist())
-                for column, value in zip(out, values):
-                    column.append(value)
-            yield to_batch(schema, out)
+            words = Words([text for _, text in rows])
+            chosen = anchors(grams.grams(words.hashes(), anchor), window, anchor).view(np.int64)
+            found = []
+            for first, count in zip(words.first.tolist(), words.counts.tolist()):
+                own = chosen[first : first + max(count - window + 1, 0)]
+                found.append(np.unique(own[np.diff(own, prepend=own[:1] + 1) != 0]))
+            upto = np.cumsum([0, *map(len, found)])
+            digests = [hashlib.sha256(words.joined(i)).digest() for i in range(len(rows))]
+            lists = pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(np.concatenate(found)))
+            yield to_batch(schema, [[doc for doc, _ in rows], words.counts, digests, lists])
 
     return docs.mapInArrow(run, "doc_id long, n_words long, digest binary, anchors array<long>")
 
@@ -122,22 +175,24 @@ def _windows(texts: DataFrame, window: int, anchor: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams()
         for rows in chunks(batches):
-            parts: list[list[np.ndarray]] = [[] for _ in names]
-            for doc, text, recurring in rows:
-                hashes = grams.word_hashes(words_of(text))
-                if len(hashes) < window:
-                    continue
-                g = grams.grams(hashes, anchor)
-                chosen = g[anchors(g, window, anchor)].view(np.int64)
-                at = np.flatnonzero(np.isin(chosen, np.array(recurring, np.int64)))
-                own = grams.grams(hashes, window)[at]
-                other = grams.grams(hashes ^ (hashes >> _U64(17)), window)[at]
-                values = (own.view(np.int64), (other & _U64(0x7FFFFFFF)).astype(np.int32),
-                          np.full(len(at), doc, np.int64), at.astype(np.int32), chosen[at])
-                for part, value in zip(parts, values):
-                    part.append(value)
-            if parts[0]:
-                yield to_batch(schema, [np.concatenate(p) for p in parts])
+            docs, texts, recurring = zip(*rows)
+            words = Words(texts)
+            hashes = words.hashes()
+            chosen = anchors(grams.grams(hashes, anchor), window, anchor).view(np.int64)
+            windows = np.maximum(words.counts - window + 1, 0)
+            places = spans(words.first[:-1], windows)
+            # Neighbours mostly have one anchor; an anchor that recurs does so for every text.
+            own = chosen[places]
+            starts = np.flatnonzero(np.diff(own, prepend=own[:1] + 1))
+            wanted = np.isin(own[starts], np.fromiter(chain.from_iterable(recurring), np.int64))
+            kept = np.repeat(wanted, np.diff(starts, append=len(own)))
+            places = places[kept]
+            number = np.repeat(np.arange(len(docs)), windows)[kept]
+            h = grams.grams(hashes, window)[places].view(np.int64)
+            other = grams.grams(hashes ^ (hashes >> _U64(17)), window)[places]
+            h2 = (other & _U64(0x7FFFFFFF)).astype(np.int32)
+            at = (places - words.first[number]).astype(np.int32)
+            yield to_batch(schema, [h, h2, np.array(docs, np.int64)[number], at, own[kept]])
 
     return texts.mapInArrow(run, "h long, h2 int, doc long, `at` int, anchor long")
 
@@ -191,12 +246,14 @@ def _segments(targets: DataFrame, window: int, anchor: int) -> DataFrame:
         grams = Grams()
         for rows in chunks(batches):
             found, held = [], 0
-            for doc, text, shards in rows:
-                words = words_of(text)
-                if len(words) < window:
+            words = Words([text for _, text, _ in rows])
+            hashes = grams.grams(words.hashes(), anchor).view(np.int64)
+            for i, (doc, _, shards) in enumerate(rows):
+                count = int(words.counts[i])
+                if count < window:
                     continue  # another text of the same id
-                digest = hashlib.sha256(b" ".join(words)).digest()
-                g = grams.grams(grams.word_hashes(words), anchor).view(np.int64)
+                digest = hashlib.sha256(words.joined(i)).digest()
+                g = hashes[words.first[i] :][: count - anchor + 1]
                 order = np.argsort(g, kind="stable")
                 ascending = g[order]
                 for shard in shards:
@@ -208,7 +265,7 @@ def _segments(targets: DataFrame, window: int, anchor: int) -> DataFrame:
                         if len(part):
                             # From the first window with the first place to the last with the last.
                             base = max(0, int(part[0]) - (window - anchor))
-                            own = b" ".join(words[base : int(part[-1]) + window])
+                            own = words.joined(i, base, int(part[-1]) + window)
                             found.append((shard["shard"], shard["part"], doc, digest, base, own))
                             held += len(own) + 100
                             if held >= CHUNK_CHARS:
@@ -223,7 +280,15 @@ def _segments(targets: DataFrame, window: int, anchor: int) -> DataFrame:
 
 def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The numbers from each start on, as many as its length."""
-    return gather(np.arange(int((starts + lengths).max(initial=0))), starts, lengths)
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))
+
+
+def _parts(sizes: np.ndarray, limit: int) -> Iterator[slice]:
+    """Slices of neighbours whose sizes add up to about ``limit``, or of one."""
+    cuts = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // limit)) + 1
+    edges = [0, *cuts.tolist(), len(sizes)]
+    return (slice(a, b) for a, b in zip(edges, edges[1:]) if a < b)
 
 
 class PassageAutomaton:
@@ -236,20 +301,28 @@ class PassageAutomaton:
     def __init__(self, passages: list[tuple[int, list[bytes]]], window: int, block: int):
         self.window, self.block = window, block
         self.numbers: dict[bytes, int] = {}
-        self.passages = []
+        texts = []
         blocks: dict[bytes, list] = {}
-        for doc, words in passages:
+        for number, (_, words) in enumerate(passages):
             numbers = np.array([self.numbers.setdefault(w, len(self.numbers) + 1) for w in words], np.int64)
             for at in range(0, len(numbers) - block + 1, block):
-                blocks.setdefault(numbers[at : at + block].tobytes(), []).append((len(self.passages), at))
-            self.passages.append((doc, numbers))
+                blocks.setdefault(numbers[at : at + block].tobytes(), []).append((number, at))
+            texts.append(numbers)
         self.radix = 1
         while self.radix**3 <= len(self.numbers):
             self.radix += 1
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for key, places in blocks.items():
-            self.automaton.add_word(self._symbols(np.frombuffer(key, np.int64)), places)
+        for i, key in enumerate(blocks):
+            self.automaton.add_word(self._symbols(np.frombuffer(key, np.int64)), i)
         self.automaton.make_automaton()
+        # Where each block is: ``counts`` places from ``firsts`` on, each a passage and a word in it.
+        self.counts = np.array([len(places) for places in blocks.values()], np.int64)
+        self.firsts = np.cumsum(self.counts) - self.counts
+        self.places = np.array(list(chain.from_iterable(blocks.values())), np.int64).reshape(-1, 2)
+        self.sources = np.array([doc for doc, _ in passages], np.int64)
+        self.lengths = np.array([len(t) for t in texts], np.int64)
+        self.begins = np.cumsum(self.lengths) - self.lengths
+        self.words = np.concatenate([*texts, np.zeros(0, np.int64)])
 
     def _symbols(self, numbers: np.ndarray) -> tuple[int, ...]:
         radix = self.radix
@@ -261,27 +334,64 @@ class PassageAutomaton:
 
     def shared(self, doc: int, words: list[bytes]) -> list[tuple[int, int]]:
         """Stretches (start, end) of the words that passages of smaller documents hold."""
-        get = self.numbers.get
-        numbers = np.array([get(w, 0) for w in words], np.int64)
-        found: set[tuple[int, int]] = set()
-        reached: dict[tuple[int, int], int] = {}
-        for last, places in self.automaton.iter(self._symbols(numbers)):
-            end = last // 3
-            start = end - self.block + 1
-            for number, at in places:
-                source, passage = self.passages[number]
-                if source >= doc or reached.get((number, start - at), -1) > end:
-                    continue
-                left = min(start, at)
-                same = numbers[start - left : start][::-1] == passage[at - left : at][::-1]
-                left = left if same.all() else int(same.argmin())
-                right = min(len(numbers) - start, len(passage) - at)
-                same = numbers[start : start + right] == passage[at : at + right]
-                right = right if same.all() else int(same.argmin())
-                reached[number, start - at] = start + right
-                if left + right >= self.window:
-                    found.add((start - left, start + right))
-        return sorted(found)
+        return self.shared_of([doc], [words])[0]
+
+    def shared_of(self, docs: Sequence[int], segments: Sequence[list[bytes]]) -> list[list[tuple[int, int]]]:
+        """``shared`` of many segments, which are streamed as one text with a strange word after each."""
+        found: list[list[tuple[int, int]]] = [[] for _ in segments]
+        sizes = np.array([len(words) + 1 for words in segments], np.int64)
+        begins = np.cumsum(sizes) - sizes
+        each = chain.from_iterable(chain(words, (b"",)) for words in segments)
+        text = np.fromiter(map(self.numbers.get, each, repeat(0)), np.int64, int(sizes.sum()))
+        hits = list(self.automaton.iter(self._symbols(text)))
+        if not hits:
+            return found
+        last, key = np.array(hits, np.int64).T
+        for part in _parts(self.counts[key], _COMPARED):
+            pairs = self._beside(last[part] // 3 - self.block + 1, key[part], np.array(docs, np.int64), begins, sizes)
+            for some in _parts(pairs[-1], _COMPARED):
+                for own, begin, end in self._equal(text, *(values[some] for values in pairs)):
+                    found[own].append((begin - int(begins[own]), end - int(begins[own])))
+        return [sorted(set(stretches)) for stretches in found]
+
+    def _beside(
+        self, start: np.ndarray, key: np.ndarray, docs: np.ndarray, begins: np.ndarray, sizes: np.ndarray
+    ) -> tuple[np.ndarray, ...]:
+        """Passages of smaller documents laid beside segments, once for all hits that agree on the place.
+
+        For each: segment, place in the text, place in ``words``, number of words.
+        """
+        counts = self.counts[key]
+        segment = np.repeat(np.searchsorted(begins, start, "right") - 1, counts)
+        number, at = self.places[spans(self.firsts[key], counts)].T
+        place = np.repeat(start, counts) - at
+        known = self.sources[number] < docs[segment]
+        segment, number, place = segment[known], number[known], place[known]
+        order = np.lexsort((place, number, segment))
+        segment, number, place = segment[order], number[order], place[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(segment) != 0) | (np.diff(number) != 0) | (np.diff(place) != 0)
+        segment, number, place = segment[new], number[new], place[new]
+        low = np.maximum(place, begins[segment])
+        length = np.minimum(place + self.lengths[number], begins[segment] + sizes[segment] - 1) - low
+        enough = length >= self.window
+        return tuple(v[enough] for v in (segment, low, self.begins[number] + low - place, length))
+
+    def _equal(
+        self, text: np.ndarray, segment: np.ndarray, low: np.ndarray, beside: np.ndarray, length: np.ndarray
+    ) -> Iterator[tuple[int, int, int]]:
+        """Runs of ``window`` or more equal words of text and passage: segment, start, end."""
+        upto = np.cumsum(length + 1)
+        same = np.zeros(int(upto[-1]) + 1, bool)
+        # Before each pair is a place where nothing is equal.
+        same[spans(upto - length, length)] = text[spans(low, length)] == self.words[spans(beside, length)]
+        edges = np.flatnonzero(same[1:] != same[:-1]) + 1
+        starts, ends = edges[::2], edges[1::2]
+        long = ends - starts >= self.window
+        starts, ends = starts[long], ends[long]
+        pair = np.searchsorted(upto, starts, "left")
+        begin = starts - (upto - length)[pair] + low[pair]
+        yield from zip(segment[pair].tolist(), begin.tolist(), (begin + ends - starts).tolist())
 
 
 def _locate(segments: DataFrame, passages: DataFrame, window: int, block: int) -> DataFrame:
@@ -292,12 +402,14 @@ def _locate(segments: DataFrame, passages: DataFrame, window: int, block: int) -
         if len(left) and len(right):
             known = [(d, w.split(b" ")) for d, w in zip(right["doc"], right["words"])]
             automaton = PassageAutomaton(known, window, block)
-            columns = (left["doc"], left["digest"], left["base"].tolist(), left["words"])
-            for doc, digest, base, words in zip(*columns):
-                stretches = automaton.shared(doc, words.split(b" "))
-                if stretches:
-                    starts, ends = zip(*stretches)
-                    rows.append((doc, digest, [base + s for s in starts], [base + e for e in ends]))
+            size = np.array([w.count(b" ") + 1 for w in left["words"]], np.int64)
+            for part in _parts(size, _STREAMED):
+                own = left.iloc[part]
+                found = automaton.shared_of(own["doc"].tolist(), [w.split(b" ") for w in own["words"]])
+                for doc, digest, base, stretches in zip(own["doc"], own["digest"], own["base"].tolist(), found):
+                    if stretches:
+                        starts, ends = zip(*stretches)
+                        rows.append((doc, digest, [base + s for s in starts], [base + e for e in ends]))
         return pd.DataFrame(rows, columns=["doc", "digest", "starts", "ends"])
 
     groups = segments.groupBy("shard", "part").cogroup(passages.groupBy("shard", "part"))

@@ -1,5 +1,6 @@
 import os
 import random
+import sys
 
 import numpy as np
 import pytest
@@ -91,3 +92,66 @@ def test_only_words_around_anchors_go_to_a_shard(spark, rows):
     )
     got = {s["doc"]: (s["base"], bytes(s["words"]).decode().split()) for s in substring._segments(targets, 50, 25).collect()}
     assert got == {0: (0, passage), 1: (4995, texts[1][4995:5070])}
+
+
+def test_segments_streamed_together_equal_each_alone(monkeypatch):
+    r = random.Random(5)
+    shared = [[f"w{r.randrange(40)}".encode() for _ in range(r.randint(12, 40))] for _ in range(8)]
+    segments = [[b"x"] * r.randint(0, 3) + r.choice(shared)[r.randint(0, 6) :] + r.choice(shared) for _ in range(60)]
+    docs = [r.randrange(12) for _ in segments]
+    passages = list(enumerate(shared))
+    automaton = substring.PassageAutomaton(passages, 10, 5)
+    expected = []
+    for doc, words in zip(docs, segments):
+        runs = set()
+        for source, passage in passages:
+            for shift in range(-len(passage), len(words)):
+                start = None
+                for i in range(max(shift, 0), min(shift + len(passage), len(words)) + 1):
+                    same = i < min(shift + len(passage), len(words)) and words[i] == passage[i - shift]
+                    if same and start is None:
+                        start = i
+                    elif not same and start is not None:
+                        if i - start >= 10 and source < doc:
+                            runs.add((start, i))
+                        start = None
+        expected.append(sorted(runs))
+    assert automaton.shared_of(docs, segments) == expected
+    monkeypatch.setattr(substring, "_COMPARED", 7)  # hits and comparisons cut into many parts
+    assert automaton.shared_of(docs, segments) == expected
+    assert [automaton.shared(d, s) for d, s in zip(docs, segments)] == expected
+    assert automaton.shared_of([], []) == []
+
+
+def test_hits_are_compared_together():
+    # 40 passages share a block with each of 200 segments: no step for each of the 8,000 hits.
+    block = [b"b%d" % i for i in range(5)]
+    passages = [(0, block + [b"p%d_%d" % (p, i) for i in range(10)]) for p in range(40)]
+    automaton = substring.PassageAutomaton(passages, 10, 5)
+    segments = [block + [b"s%d_%d" % (s, i) for i in range(10)] for s in range(200)]
+    steps = []
+    previous = sys.getprofile()
+    sys.setprofile(lambda frame, event, function: steps.append(event) if event == "c_call" else None)
+    try:
+        found = automaton.shared_of([1] * 200, segments)
+    finally:
+        sys.setprofile(previous)
+    assert found == [[]] * 200
+    assert len(steps) < 8_000
+
+
+def test_words_of_many_texts():
+    texts = ["", " a  bc\td ", "\n", "\x00 a\x00 a ab abcdefgh abcdefghi " + "é" * 40 + "\x1c ", "a" * 64 + " " + "a" * 65, "a bc d"]
+    words = substring.Words(texts)
+    plain = [substring.words_of(t) for t in texts]
+    assert words.counts.tolist() == [len(w) for w in plain]
+    assert [words.joined(i) for i in range(len(texts))] == [b" ".join(w) for w in plain]
+    assert words.joined(1, 1, 9) == b"bc d" and words.joined(3, 3, 5) == b"ab abcdefgh"
+    hashes = words.hashes()
+    flat = [w for own in plain for w in own]
+    assert hashes.tolist() == substring.Grams().word_hashes(flat).tolist()
+    assert len(set(hashes.tolist())) == len(set(flat))
+    g = np.array([5, 3, 9, 4, 4, 8, 1], np.uint64)
+    for window, anchor in [(10, 10), (9, 5), (5, 3), (4, 1), (20, 2)]:
+        width = window - anchor + 1
+        assert substring.anchors(g, window, anchor).tolist() == [min(g[i : i + width]) for i in range(len(g) - width + 1)]
