@@ -150,12 +150,15 @@ class Quantile:
     p: float = 0.5
     interpolate: bool = True
 
-    def aggregate(self) -> Column:
-        if self.interpolate:
-            return F.percentile(F.col(self.col), F.lit(self.p))
-        return F.expr(
-            f"percentile_disc({self.p!r}) WITHIN GROUP (ORDER BY CAST(`{self.col}` AS DOUBLE))"
-        )
+    def of_sorted(self, values: str) -> Column:
+        """The quantile of a sorted array of doubles, given as SQL; null of an empty one."""
+        n = f"size({values})"
+        if not self.interpolate:
+            return F.expr(f"get({values}, CAST(greatest(ceil({self.p!r}D * {n}) - 1, 0) AS INT))")
+        at = f"({self.p!r}D * ({n} - 1))"
+        low, high = (f"get({values}, CAST({end}({at}) AS INT))" for end in ("floor", "ceil"))
+        between = f"(ceil({at}) - {at}) * {low} + ({at} - floor({at})) * {high}"
+        return F.expr(f"CASE WHEN {low} = {high} THEN {low} ELSE {between} END")
 
     def ranks(self, n: Column) -> tuple[Column, Column, Column]:
         """Lower rank, upper rank (from 0) and the weight of the upper one."""
@@ -189,8 +192,18 @@ def grouped_quantiles(
     """
     prepare = prepare or (lambda rows: rows)
     aggregates = {name: agg.alias(name) for name, agg in (aggregates or {}).items()}
-    plain = [q.aggregate().alias(name) for name, q in quantiles.items()] + [*aggregates.values()]
     names = [*keys, *quantiles, *aggregates]
+    # One list of doubles per column: percentile() keeps a hash map per group and quantile.
+    lists = {c: f"_values_{j}" for j, c in enumerate(dict.fromkeys(q.col for q in quantiles.values()))}
+    plain = [F.collect_list(F.col(c).cast("double")).alias(v) for c, v in lists.items()]
+    plain += [*aggregates.values()]
+
+    def grouped(rows: DataFrame) -> DataFrame:
+        found = prepared(rows.repartition(*keys)).groupBy(*keys).agg(*plain)
+        found = found.withColumns({v: F.sort_array(v) for v in lists.values()})
+        exact = {name: q.of_sorted(lists[q.col]).alias(name) for name, q in quantiles.items()}
+        return found.select(*keys, *exact.values(), *aggregates)
+
     columns: set[str] = set()
     if not nan:
         kinds = prepare(df).schema
@@ -209,9 +222,8 @@ def grouped_quantiles(
     # Values of a key seldom repeat, so combining them before the shuffle would cost more
     # than it saves; with the hot groups apart, the rows of a key are few.
     if not hot.count:
-        return prepared(df.repartition(*keys)).groupBy(*keys).agg(*plain)
-    cold = join_small(df, hot.rows, keys, "left_anti", hot.count)
-    cold = prepared(cold.repartition(*keys)).groupBy(*keys).agg(*plain)
+        return grouped(df)
+    cold = grouped(join_small(df, hot.rows, keys, "left_anti", hot.count))
     rows = prepared(join_small(df, hot.rows, keys, "left_semi", hot.count))
     exact = _hot_groups(rows, keys, quantiles, aggregates, hot.count)
     return cold.select(names).unionByName(exact.select(names))

@@ -171,3 +171,22 @@ def test_hot_groups_are_found_in_a_sample(skewed):
     assert [r["k"] for r in found.rows.collect()] == ["hot"] and found.count == 1
     plain = collected(grouped_quantiles(skewed, ["k"], WANTED, counted()))
     assert collected(grouped_quantiles(skewed, ["k"], WANTED, counted(), hot_rows=3000)) == plain
+
+
+def test_group_quantiles_equal_those_of_spark_from_one_list_per_column(spark, monkeypatch):
+    rng = random.Random(4)
+    values = [None, 0.0, 1e300, float("inf"), float("-inf"), *(rng.uniform(-5, 5) for _ in range(6))]
+    rows = [(k, rng.choice(values)) for k in [*range(40), None] for _ in range(rng.randint(1, 12))]
+    df = spark.createDataFrame(rows, "k int, a double")
+    shares = [0.0, 1e-05, 0.1, 0.25, 0.5, 0.9, 1.0]
+    wanted = {f"q{i}": Quantile("a", p) for i, p in enumerate(shares)}
+    wanted |= {f"d{i}": Quantile("a", p, False) for i, p in enumerate(shares)}
+    found = grouped_quantiles(df, ["k"], wanted, {"n": F.count("a")})
+    expected = df.groupBy("k").agg(
+        *(F.percentile("a", F.lit(p)).alias(f"q{i}") for i, p in enumerate(shares)),
+        *(F.expr(f"percentile_disc({p!r}) WITHIN GROUP (ORDER BY a)").alias(f"d{i}") for i, p in enumerate(shares)),
+        F.count("a").alias("n"),
+    )
+    assert found.columns == expected.columns and collected(found) == collected(expected)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_list(") == 1 and "percentile" not in plan
